@@ -17,7 +17,8 @@ ISO = (
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", year, month, day).try_cast("date").cast("timestamp_ntz")
+    text = F.concat(year, F.lit("-"), month, F.lit("-"), day)
+    return text.try_cast("date").cast("timestamp_ntz")
 
 
 def _month_number(name: Column) -> Column:

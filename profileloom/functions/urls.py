@@ -71,7 +71,7 @@ def _without_dots(path: Column) -> Column:
     tail = F.when(path.rlike(r"(^|/)\.\.?$"), "/").otherwise("")
     has_dots = path.rlike(r"(^|/)\.\.?(/|$)")
     joined = F.when(has_dots, F.concat(resolved, tail)).otherwise(path)
-    return F.when(joined == "", "/").otherwise(joined)
+    return F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
 def resolve(page_url: Column, href: Column) -> Column:
