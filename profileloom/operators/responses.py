@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profileloom.fixed_values import CATEGORIES, DEFAULT_CURRENCY, UNKNOWN_NAME, UNKNOWN_TYPE
+from profileloom.fixed_values import (
+    CATEGORIES,
+    DEFAULT_CURRENCY,
+    SEVERITIES,
+    UNKNOWN_NAME,
+    UNKNOWN_TYPE,
+)
 from profileloom.functions.dates import parse_date
 from profileloom.functions.text import UNICODE_SPACE
 from profileloom.schemas import (
@@ -225,21 +231,12 @@ def default_data(name: Column, country: Column, base_url: Column) -> Column:
     )
 
 
-RECORD_SHAPE = Shape(
-    Field("university_name", STRING, True),
-    Field("scraped_at", T.TimestampType(), True),
-    Field("data", Shape(*[Field(c, CATEGORY_KINDS[c], True) for c in CATEGORIES]), True),
-    Field(
-        "validation_flags",
-        ListOf(
-            Shape(
-                Field("field", STRING, True),
-                Field("issue", STRING, True),
-                Field("severity", STRING, True, allowed=["low", "medium", "high"]),
-            )
-        ),
-        True,
-    ),
+FLAG_KIND = ListOf(
+    Shape(
+        Field("field", STRING, True),
+        Field("issue", STRING, True),
+        Field("severity", STRING, True, allowed=SEVERITIES),
+    )
 )
 
 
@@ -255,8 +252,7 @@ def typed_record(parsed: Column) -> Column:
         F.struct(*[_record_category(parsed, c).alias(c) for c in CATEGORIES]).alias("data"),
         _record_scores(parsed).alias("scores"),
         _or_no_items(
-            F.try_variant_get(parsed, "$.validation_flags", "variant"),
-            RECORD_SHAPE.fields[3].kind,
+            F.try_variant_get(parsed, "$.validation_flags", "variant"), FLAG_KIND
         ).alias("flags"),
     )
 
