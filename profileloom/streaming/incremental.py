@@ -29,13 +29,7 @@ def start_change_feed(
         pages = with_clean_text(last_per_key(batch, ["url"], ["fetched_at"]))
         changed = page_changes(pages, state).filter("has_changed")
         write_version(changed.select("url", "hash", "error", "fetched_at"), changes_root, batch_id + 1)
-        write_version(
-            next_state(pages, state, F.lit(None).cast("timestamp")).withColumn(
-                "fetched_at", F.coalesce("fetched_at", F.current_timestamp())
-            ),
-            state_root,
-            batch_id + 1,
-        )
+        write_version(next_state(pages, state, F.current_timestamp()), state_root, batch_id + 1)
 
     stream = spark.readStream.schema(PAGE_TYPE).parquet(pages_dir)
     return (
