@@ -99,12 +99,12 @@ select ek, variant <> 4 as parsed,
 from $answer"""
 )
 def response_parse(spark, sf_dir):
-    parsed = responses.parse_response(F.col("about_content"))
+    parsed = responses.parse_response("about_content")
     return load(spark, sf_dir, "answer").select("ek", parsed.alias("v")).select(
         "ek",
         F.col("v").isNotNull().alias("parsed"),
         F.try_variant_get("v", "$.name", "string").alias("name"),
-        responses.is_blank_response(F.col("v")).alias("blank"),
+        responses.is_blank_response("v").alias("blank"),
     )
 
 

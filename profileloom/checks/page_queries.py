@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from profileloom.checks.inputs import load, run_sql
 from profileloom.checks.registry import register
 from profileloom.fixed_values import CATEGORIES, CATEGORY_KEYWORDS
+from profileloom.functions.arrays import unroll
 from profileloom.functions.text import (
     clean_text,
     content_hash,
@@ -205,9 +206,7 @@ DUCK_RELEVANT = {c: _duck_relevant(c) for c in CATEGORIES}
 )
 def link_relevance(spark, sf_dir):
     hits = links.relevant_categories(F.col("anchor_text"), F.col("href"))
-    return load(spark, sf_dir, "link").select(
-        "ek", "page_url", "pos", "href", F.explode(hits).alias("category")
-    )
+    return unroll(load(spark, sf_dir, "link"), hits, "category", "ek", "page_url", "pos", "href")
 
 
 @register(

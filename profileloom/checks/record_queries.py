@@ -17,6 +17,7 @@ from profileloom.checks.rule_queries import (
     confidence_sql,
 )
 from profileloom.fixed_values import CATEGORIES
+from profileloom.functions.arrays import unroll
 from profileloom.operators import incremental, records, rules
 from profileloom.runtime import fresh_path
 from profileloom.schemas import DATA_TYPE
@@ -43,7 +44,7 @@ def stored_records(spark, sf_dir):
 @register(f"select ek, field, rule_id, idx, severity from ({all_flags_sql(nested=True)}) f")
 def record_flags(spark, sf_dir):
     validated = rules.validate_records(nested_records(spark, sf_dir), AS_OF_YEAR)
-    return validated.select("ek", F.explode("validation_flags").alias("flag")).select(
+    return unroll(validated, F.col("validation_flags"), "flag", "ek").select(
         "ek", "flag.field", "flag.rule_id", "flag.idx", "flag.severity"
     )
 
@@ -51,7 +52,7 @@ def record_flags(spark, sf_dir):
 @register(f"select ek, field, confidence from ({confidence_sql(nested=True)}) c")
 def record_confidence(spark, sf_dir):
     validated = rules.validate_records(nested_records(spark, sf_dir), AS_OF_YEAR)
-    return validated.select("ek", F.explode("field_confidence").alias("field", "confidence"))
+    return validated.select("ek", F.explode_outer("field_confidence").alias("field", "confidence"))
 
 
 _DUCK = duck_data_columns()

@@ -151,7 +151,7 @@ def all_flags_sql(nested: bool = False) -> str:
 def confidence_sql(nested: bool = False) -> str:
     owners = "$rec" if nested else "$entity"
     cells = " union all ".join(f"select ek, '{f}' as field from {owners}" for f in CATEGORIES)
-    lows = "coalesce(list_reduce(list_transform(range(n_low), lambda q: 0.1e0), lambda a, b: a + b), 0e0)"
+    lows = "coalesce(list_reduce(list_transform(range(n_low), lambda q: 0.1e0), lambda a, b: a + b, 0e0), 0e0)"
     return f"""
 select ek, field, greatest(0e0, least(1e0,
     case when n_missing > 0 then 0.3e0 else 1e0 end - (0.5e0 * n_high + 0.25e0 * n_medium + {lows}))) as confidence,
@@ -280,7 +280,7 @@ select ek, date_text, d is not null as is_date, d as parsed from (
   from $date_text where ek % 12 = 11) x"""
 )
 def date_parse(spark, sf_dir):
-    parsed = parse_date(F.col("date_text"))
+    parsed = parse_date("date_text")
     return load(spark, sf_dir, "date_text").select(
         "ek", "date_text", parsed.isNotNull().alias("is_date"), parsed.alias("parsed")
     )

@@ -2,99 +2,77 @@
 
 from __future__ import annotations
 
-from calendar import month_abbr, month_name
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from profileloom.functions.text import collapse_space
+from profileloom.functions.text import UNICODE_SPACE
 
-ISO = (
+# Groups: year, month and day (dashed or plain), hour, minute, second, fraction,
+# offset sign, offset hour, minute and second.
+_ISO = (
     r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2}))"
     r"(?:.(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?"
     r"(?:([+-])(\d{2}):?(\d{2})?(?::?(\d{2}))?)?)?$"
 )
+_MONTH = (
+    "(jan(uary)?|feb(ruary)?|mar(ch)?|apr(il)?|may|june?|july?|aug(ust)?|"
+    "sep(tember)?|oct(ober)?|nov(ember)?|dec(ember)?)"
+)
+_MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
 
 
-def _date(year: Column, month: Column, day: Column) -> Column:
-    text = F.concat(year, F.lit("-"), month, F.lit("-"), day)
-    return text.try_cast("date").cast("timestamp_ntz")
-
-
-def _month_number(name: Column) -> Column:
-    """Number of a full or three-letter English month name."""
-    pairs = [(names[i].lower(), i) for names in (month_name, month_abbr) for i in range(1, 13)]
-    table = F.create_map(*[F.lit(part) for pair in dict(pairs).items() for part in pair])
-    return F.try_element_at(table, F.lower(name)).cast("string")
+def bind(value: str, name: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` standing for a value that is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _iso(text: Column) -> Column:
-    part = [F.regexp_extract(text, ISO, i) for i in range(14)]
-    day = F.concat_ws(
-        "-", part[1], F.concat(part[2], part[4]), F.concat(part[3], part[5])
+def _iso() -> str:
+    clock = [f"if(m[{i}] = '', '00', m[{i}])" for i in (1, 2, 3)]
+    local = (
+        f"try_cast(concat(m[0], 'T', {clock[0]}, ':', {clock[1]}, ':', {clock[2]}, "
+        "if(m[4] = '', '', concat('.', m[4]))) as timestamp_ntz)"
+    )
+    offset = [f"cast(concat('0', m[{i}]) as int)" for i in (6, 7, 8)]
+    seconds = f"(({offset[0]} * 60 + {offset[1]}) * 60 + {offset[2]})"
+    shifted = f"{local} - make_dt_interval(0, 0, 0, if(m[5] = '-', -{seconds}, {seconds}))"
+    parts = (
+        f"split(regexp_replace(replace(t, 'Z', '+00:00'), r'{_ISO}', "
+        "'$1-$2$4-$3$5;$6;$7;$8;$9;$10;$11;$12;$13'), ';')"
     )
+    return bind(parts, "m", f"if(m[5] = '', {local}, {shifted})")
 
-    def clock(column: Column) -> Column:
-        return F.when(column == "", "00").otherwise(column)
 
-    time = F.concat(
-        clock(part[6]), F.lit(":"), clock(part[7]), F.lit(":"), clock(part[8]),
-        F.when(part[9] == "", "").otherwise(F.concat(F.lit("."), part[9])),
-    )
-    local = F.concat(day, F.lit("T"), time).try_cast("timestamp_ntz")
-    offset = (
-        clock(part[11]).cast("int") * 3600 + clock(part[12]).cast("int") * 60
-        + clock(part[13]).cast("int")
-    )
-    seconds = F.when(part[10] == "-", -offset).otherwise(offset)
-    shifted = local - F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
-    return F.when(text.rlike(ISO), F.when(part[10] == "", local).otherwise(shifted))
+def _named(month: int, day: int) -> str:
+    number = f"(instr('{_MONTH_STARTS}', lower(left(w[{month}], 3))) + 2) div 3"
+    date = f"try_cast(concat(w[2], '-', {number}, '-', w[{day}]) as date)"
+    return bind("split(replace(t, ',', ''), ' ')", "w", f"cast({date} as timestamp_ntz)")
 
 
-def parse_date(text: Column) -> Column:
-    """First successful reading of a date string as ``timestamp_ntz`` (UTC), else null.
+def parse_date_sql(text: str) -> str:
+    """SQL of the first successful reading of a date text as ``timestamp_ntz`` (UTC).
 
     Tried in order: ISO 8601 calendar dates with optional time and offset;
     year-month-day; day/month/year; month/day/year; year/month/day; and the
     English month-name forms ``March 5, 2025`` and ``5 March 2025``, names full
-    or abbreviated. Each form is guarded by its shape and then cast, so rows
-    that do not match cost a regex test rather than a thrown exception.
+    or abbreviated. Each form is guarded by its shape and then cast, so a text
+    that is no date costs regex tests rather than a thrown exception.
     """
-    trimmed = collapse_space(text)
-    iso_text = F.replace(trimmed, F.lit("Z"), F.lit("+00:00"))
-    slashed = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
-    dashed_year = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
-    slashed_year = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
-    month_first = r"^([A-Za-z]+) (\d{1,2}), (\d{4})$"
-    day_first = r"^(\d{1,2}) ([A-Za-z]+) (\d{4})$"
-
-    def group(pattern: str, index: int) -> Column:
-        return F.regexp_extract(trimmed, pattern, index)
-
-    slash_date = F.coalesce(
-        _date(group(slashed, 3), group(slashed, 2), group(slashed, 1)),
-        _date(group(slashed, 3), group(slashed, 1), group(slashed, 2)),
-    )
-    named_first = _date(group(month_first, 3), _month_number(group(month_first, 1)), group(month_first, 2))
-    named_second = _date(group(day_first, 3), _month_number(group(day_first, 2)), group(day_first, 1))
-    year_first = F.coalesce(
-        *[
-            F.when(
-                trimmed.rlike(pattern),
-                _date(group(pattern, 1), group(pattern, 2), group(pattern, 3)),
-            )
-            for pattern in (dashed_year, slashed_year)
-        ]
-    )
-    return F.coalesce(
-        F.when(trimmed.rlike(r"^\d{4}-?\d{2}-?\d{2}"), _iso(iso_text)),
-        F.when(trimmed.rlike(r"^\d{4}[-/]"), year_first)
-        .when(trimmed.rlike(slashed), slash_date)
-        .when(trimmed.rlike(month_first), named_first)
-        .when(trimmed.rlike(day_first), named_second),
-    )
+
+    def slashed(order: str) -> str:
+        return f"try_cast(regexp_replace(t, r'{_SLASHED}', '{order}') as date)"
+
+    forms = f"""case
+        when replace(t, 'Z', '+00:00') rlike r'{_ISO}' then {_iso()}
+        when t rlike r'^\\d{{4}}([-/])\\d{{1,2}}\\1\\d{{1,2}}$'
+            then cast(try_cast(replace(t, '/', '-') as date) as timestamp_ntz)
+        when t rlike r'{_SLASHED}'
+            then cast(coalesce({slashed('$3-$2-$1')}, {slashed('$3-$1-$2')}) as timestamp_ntz)
+        when t rlike r'(?i)^{_MONTH} \\d{{1,2}}, \\d{{4}}$' then {_named(0, 1)}
+        when t rlike r'(?i)^\\d{{1,2}} {_MONTH} \\d{{4}}$' then {_named(1, 0)} end"""
+    return bind(f"trim(regexp_replace({text}, r'{UNICODE_SPACE}', ' '))", "t", forms)
 
 
-def is_date(text: Column) -> Column:
-    """Whether ``parse_date`` succeeds."""
-    return parse_date(text).isNotNull()
+def parse_date(text: str) -> Column:
+    """``parse_date_sql`` of a column or SQL expression."""
+    return F.expr(parse_date_sql(text))

@@ -38,9 +38,8 @@ def collapse_space(text: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Named and numeric character references, decoded once, left to right."""
-    names = F.create_map(
-        *[F.lit(part) for name, code in name2codepoint.items() for part in (name, chr(code))]
-    )
+    pairs = ", ".join(f"'{name}', '\\u{code:04x}'" for name, code in name2codepoint.items())
+    names = F.expr(f"map({pairs})")
 
     def from_code(code: Column) -> Column:
         valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)

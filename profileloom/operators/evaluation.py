@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profileloom.fixed_values import CATEGORIES, FEE_TOLERANCE, SEVERITIES
+from profileloom.functions.arrays import unroll
 from profileloom.functions.numbers import is_close
 from profileloom.functions.text import normalise_alnum
 
@@ -137,9 +138,8 @@ def score_rows(joined: DataFrame) -> DataFrame:
         )
         for c in CATEGORIES
     ]
-    rows = joined.filter(~F.col("record_missing")).select(
-        "university_name", F.explode(F.array(*entries)).alias("row")
-    )
+    known = joined.filter(~F.col("record_missing"))
+    rows = unroll(known, F.array(*entries), "row", "university_name")
     return rows.select("row.category", "university_name", "row.score.correct", "row.score.checked")
 
 
@@ -208,4 +208,4 @@ def known_gaps(joined: DataFrame) -> DataFrame:
         return F.col("record_missing") | (score["checked"] == 0)
 
     cells = F.array_compact(F.array(*[F.when(gap(c), F.lit(c)) for c in CATEGORIES]))
-    return joined.select("university_name", F.explode(cells).alias("category"))
+    return unroll(joined, cells, "category", "university_name")

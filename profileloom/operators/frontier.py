@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from profileloom.fixed_values import MAX_PAGES_PER_CATEGORY, MAX_URLS_PER_CATEGORY
+from profileloom.functions.arrays import unroll
 from profileloom.functions.urls import domain_and_parents, strip_fragment
 from profileloom.runtime import join_on_hot_key
 
@@ -67,9 +68,12 @@ def page_outlinks(
     """
     useful = links.filter(F.col("is_page") | (F.size("categories") > 0))
     kinds = F.when(F.col("is_page"), F.array(F.lit(PAGINATION))).otherwise(F.col("categories"))
-    parents = useful.withColumn("base_domain", F.explode(domain_and_parents(F.col("target_domain"))))
+    parents = unroll(
+        useful, domain_and_parents(F.col("target_domain")), "base_domain",
+        "page_url", "target_url", "pos", kinds.alias("kinds"),
+    )
     inside = join_on_hot_key(
-        parents.select("page_url", "base_domain", "target_url", "pos", kinds.alias("kinds")),
+        parents,
         domains.select("base_domain").distinct(),
         ["base_domain"],
         "left_semi",
@@ -130,9 +134,8 @@ def _next_level(kept: DataFrame, outlinks: DataFrame, level: int, max_urls: int,
     rows = F.when(expands & F.col("outlinks").isNotNull(), F.concat(F.array(itself), found)).otherwise(
         F.array(itself)
     )
-    return joined.select("ek", "category", "base_domain", F.explode(rows).alias("row")).select(
-        "ek", "category", "base_domain", "row.*"
-    )
+    unrolled = unroll(joined, rows, "row", "ek", "category", "base_domain")
+    return unrolled.select("ek", "category", "base_domain", "row.*")
 
 
 def build_plan(

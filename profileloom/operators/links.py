@@ -13,6 +13,7 @@ from profileloom.fixed_values import (
     PAGINATION_PARAMETERS,
     PAGINATION_WORDS,
 )
+from profileloom.functions.arrays import unroll_with_position
 from profileloom.functions.text import (
     ANY_TAG,
     COMMENT,
@@ -65,9 +66,9 @@ def anchors(html: Column) -> Column:
 
 def extract_links(pages: DataFrame, *keep: str) -> DataFrame:
     """One row per anchor: the ``keep`` columns, ``page_url``, ``pos`` and the anchor."""
-    return pages.select(
-        *keep, F.col("url").alias("page_url"), F.posexplode(anchors(F.col("html"))).alias("pos", "link")
-    ).select(*keep, "page_url", "pos", "link.*")
+    url = F.col("url").alias("page_url")
+    rows = unroll_with_position(pages, anchors(F.col("html")), "pos", "link", *keep, url)
+    return rows.select(*keep, "page_url", "pos", "link.*")
 
 
 def is_pagination(anchor_text: Column, href: Column, rel: Column, classes: Column) -> Column:

@@ -35,17 +35,17 @@ def compile_data(profiles: DataFrame, responses: DataFrame, unwrap: bool = False
     parsed = joined.select(
         *profiles.columns,
         *[
-            parse_response(F.try_element_at("_answers", F.lit(c))).alias(f"_parsed_{c}")
+            parse_response(f"try_element_at(_answers, '{c}')").alias(f"_parsed_{c}")
             for c in CATEGORIES
         ],
     )
     read = parsed.select(
         "*",
-        *[typed_value(F.col(f"_parsed_{c}"), c, unwrap).alias(f"_read_{c}") for c in CATEGORIES],
+        *[typed_value(f"_parsed_{c}", c, unwrap).alias(f"_read_{c}") for c in CATEGORIES],
     )
 
     def value(category: str) -> Column:
-        accepted = ~is_blank_response(F.col(f"_parsed_{category}")) & F.col(f"_read_{category}.ok")
+        accepted = ~is_blank_response(f"_parsed_{category}") & F.col(f"_read_{category}.ok")
         fallback = default_value(category, *_profile_columns())
         return F.when(accepted, F.col(f"_read_{category}.value")).otherwise(fallback)
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,13 +13,12 @@ from profileloom.fixed_values import (
     UNKNOWN_NAME,
     UNKNOWN_TYPE,
 )
-from profileloom.functions.dates import parse_date
+from profileloom.functions.dates import bind, parse_date_sql
 from profileloom.functions.text import UNICODE_SPACE
 from profileloom.schemas import (
     CATEGORY_KINDS,
     CATEGORY_TYPES,
     DOUBLE,
-    LONG,
     STRING,
     Field,
     ListOf,
@@ -30,140 +26,115 @@ from profileloom.schemas import (
     spark_type,
 )
 
+_NUMBER_TEXT = r"(?i)^[+-]?((\d+(_\d+)*\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
 _INTEGER_TEXT = r"^[+-]?\d+(_\d+)*(\.0*)?$"
-_NUMBER_TEXT = r"(?i)^[+-]?(\d+(_\d+)*\.?\d*|\.\d+)(e[+-]?\d+)?$"
 _NUMBER_KINDS = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
 
-def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{UNICODE_SPACE}|{UNICODE_SPACE}$", "")
-
-
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Applies ``use`` to a value that is evaluated only once."""
-    return F.transform(F.array(value), use)[0]
+def _strip(text: str) -> str:
+    return f"regexp_replace({text}, r'^{UNICODE_SPACE}|{UNICODE_SPACE}$', '')"
 
 
-def parse_response(content: Column) -> Column:
-    """Answer text as a VARIANT; null when it is not JSON.
+def parse_response_sql(content: str) -> str:
+    """SQL of an answer text as a VARIANT; null when it is not JSON.
 
     Tried as it stands, then without the first and last line of a code fence.
     """
-    text = _strip(content)
-    opened = F.regexp_replace(text, r"^```[^\r\n]*(\r\n|\r|\n|$)", "")
-    inner = F.regexp_replace(opened, r"(^|\r\n|\r|\n)```[^\r\n]*$", "")
-    fenced = F.when(text.startswith("```"), F.try_parse_json(_strip(inner)))
-    return F.coalesce(F.try_parse_json(text), fenced)
-
-
-def _as_number(value: Column, kind: Column) -> Column:
-    text = _strip(F.try_variant_get(value, "$", "string"))
-    return (
-        F.when(kind.rlike(_NUMBER_KINDS), F.try_variant_get(value, "$", "double"))
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double"))
-        .when(
-            (kind == "STRING") & text.rlike(_NUMBER_TEXT),
-            F.replace(text, F.lit("_"), F.lit("")).try_cast("double"),
-        )
-        .when(
-            (kind == "STRING") & text.rlike(r"(?i)^[+-]?(inf|infinity|nan)$"),
-            F.regexp_replace(F.lower(text), "^([+-]?)inf(inity)?$", "$1Infinity").try_cast("double"),
-        )
-    )
-
-
-def _as_integer(value: Column, kind: Column) -> Column:
-    number = F.try_variant_get(value, "$", "double")
-    text = _strip(F.try_variant_get(value, "$", "string"))
-    whole = F.regexp_replace(F.replace(text, F.lit("_"), F.lit("")), r"\.0*$", "")
-    return (
-        F.when(kind == "BIGINT", F.try_variant_get(value, "$", "bigint"))
-        .when(
-            kind.rlike(_NUMBER_KINDS) & (number == F.floor(number)),
-            F.try_variant_get(value, "$", "double").try_cast("bigint"),
-        )
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("bigint"))
-        .when((kind == "STRING") & text.rlike(_INTEGER_TEXT), whole.try_cast("bigint"))
-    )
-
-
-def _result(ok: Column, value: Column) -> Column:
-    return F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), value.alias("value"))
-
-
-def _read(value: Column, declared, allowed: list[str] | None = None) -> Column:
-    """Struct ``(ok, value)`` of a VARIANT read as a declared kind."""
+    opened = r"regexp_replace(t, r'^```[^\r\n]*(\r\n|\r|\n|$)', '')"
+    inner = rf"regexp_replace({opened}, r'(^|\r\n|\r|\n)```[^\r\n]*$', '')"
+    fenced = f"if(startswith(t, '```'), try_parse_json({_strip(inner)}), null)"
+    return bind(_strip(content), "t", f"coalesce(try_parse_json(t), {fenced})")
+
+
+def parse_response(content: str) -> Column:
+    """``parse_response_sql`` of a column or SQL expression."""
+    return F.expr(parse_response_sql(content))
+
+
+def _result(ok: str, value: str) -> str:
+    return f"named_struct('ok', coalesce({ok}, false), 'value', {value})"
+
+
+_TEXT_OF_VARIANT = "try_variant_get(b.v, '$', 'string')"
+# How a bound VARIANT ``b.v`` of kind ``b.kind`` reads as a scalar.
+_SCALAR_SQL = {
+    "string": f"if(b.kind = 'STRING', {_TEXT_OF_VARIANT}, null)",
+    "double": f"""case
+        when b.kind rlike '{_NUMBER_KINDS}' then try_variant_get(b.v, '$', 'double')
+        when b.kind = 'BOOLEAN' then cast(try_variant_get(b.v, '$', 'boolean') as double)
+        when b.kind = 'STRING' then {bind(_strip(_TEXT_OF_VARIANT), "t",
+            f"if(t rlike r'{_NUMBER_TEXT}', try_cast(replace(t, '_', '') as double), null)")}
+        end""",
+    "bigint": f"""case
+        when b.kind = 'BIGINT' then try_variant_get(b.v, '$', 'bigint')
+        when b.kind rlike '{_NUMBER_KINDS}' then {bind("try_variant_get(b.v, '$', 'double')", "n",
+            "if(n = floor(n), try_cast(n as bigint), null)")}
+        when b.kind = 'BOOLEAN' then cast(try_variant_get(b.v, '$', 'boolean') as bigint)
+        when b.kind = 'STRING' then {bind(_strip(_TEXT_OF_VARIANT), "t",
+            f"if(t rlike r'{_INTEGER_TEXT}', try_cast(replace(substring_index(t, '.', 1), '_', '') as bigint), null)")}
+        end""",
+    "timestamp": f"cast(if(b.kind = 'STRING', {parse_date_sql(_TEXT_OF_VARIANT)}, null) as timestamp)",
+}
+
+
+def read_sql(value: str, declared, allowed: list[str] | None = None, depth: int = 0) -> str:
+    """SQL of the struct ``(ok, value)`` of a VARIANT read as a declared kind.
+
+    Each level binds what it looks at to a name, so nothing is evaluated twice.
+    """
+    name = f"p{depth}"
     if isinstance(declared, ListOf):
-        items = F.transform(
-            F.try_variant_get(value, "$", "array<variant>"), lambda x: _read(x, declared.kind)
-        )
-        is_list = F.schema_of_variant(value).startswith("ARRAY")
-        return _bind(
-            F.struct(is_list.alias("is_list"), items.alias("items")),
-            lambda b: _result(
-                b["is_list"] & F.forall(b["items"], lambda x: x["ok"]),
-                F.transform(b["items"], lambda x: x["value"]),
-            ),
+        item = read_sql(f"x{depth}", declared.kind, depth=depth + 1)
+        parts = (
+            f"named_struct('listed', startswith(schema_of_variant({value}), 'ARRAY'), "
+            f"'items', transform(try_variant_get({value}, '$', 'array<variant>'), x{depth} -> {item}))"
         )
+        ok = f"{name}.listed and forall({name}.items, y -> y.ok)"
+        return bind(parts, name, _result(ok, f"transform({name}.items, y -> y.value)"))
     if isinstance(declared, Shape):
-        parts = F.struct(
-            F.schema_of_variant(value).startswith("OBJECT").alias("_is_object"),
-            *[_read_field(value, f).alias(f.name) for f in declared.fields],
-        )
-        return _bind(
-            parts,
-            lambda b: _result(
-                reduce(lambda x, y: x & y, [b[f.name]["ok"] for f in declared.fields], b["_is_object"]),
-                F.struct(*[b[f.name]["value"].alias(f.name) for f in declared.fields]),
-            ),
-        )
-
-    def scalar(b: Column) -> Column:
-        v, kind = b["v"], b["kind"]
-        if declared == STRING:
-            text = F.when(kind == "STRING", F.try_variant_get(v, "$", "string"))
-            ok = text.isNotNull() if allowed is None else text.isin(allowed)
-            return _result(ok, text)
-        if isinstance(declared, T.TimestampType):
-            read = F.when(kind == "STRING", parse_date(F.try_variant_get(v, "$", "string")))
-        else:
-            read = _as_integer(v, kind) if declared == LONG else _as_number(v, kind)
-        return _result(read.isNotNull(), read.cast(declared))
-
-    return _bind(F.struct(value.alias("v"), F.schema_of_variant(value).alias("kind")), scalar)
-
-
-def _read_field(owner: Column, field: Field) -> Column:
-    value = F.try_variant_get(owner, f"$.{field.name}", "variant")
-    read = _read(value, field.kind, field.allowed)
-    if field.required:
-        return read
-    kind = spark_type(field.kind)
-    absent = value.isNull() | F.is_variant_null(value)
-    return F.when(absent, _result(F.lit(True), F.lit(None).cast(kind))).otherwise(read)
-
-
-def is_blank_response(parsed: Column) -> Column:
+        fields = "".join(f", '{f.name}', {_field_sql(value, f, depth + 1)}" for f in declared.fields)
+        parts = f"named_struct('object_', startswith(schema_of_variant({value}), 'OBJECT'){fields})"
+        ok = " and ".join([f"{name}.object_", *[f"{name}.{f.name}.ok" for f in declared.fields]])
+        values = ", ".join(f"'{f.name}', {name}.{f.name}.value" for f in declared.fields)
+        return bind(parts, name, _result(ok, f"named_struct({values})"))
+    source = f"named_struct('v', {value}, 'kind', schema_of_variant({value}))"
+    read = bind(source, "b", _SCALAR_SQL[declared.simpleString()])
+    listed = ", ".join(f"'{choice}'" for choice in allowed or [])
+    ok = f"r in ({listed})" if allowed else "r is not null"
+    return bind(read, "r", _result(ok, "r"))
+
+
+def _field_sql(owner: str, field: Field, depth: int) -> str:
+    value = f"f{depth}"
+    read = read_sql(value, field.kind, field.allowed, depth)
+    if not field.required:
+        none = f"cast(null as {spark_type(field.kind).simpleString()})"
+        read = f"if({value} is null or is_variant_null({value}), {_result('true', none)}, {read})"
+    return bind(f"try_variant_get({owner}, '$.{field.name}', 'variant')", value, read)
+
+
+def is_blank_response(parsed: str) -> Column:
     """Whether an answer says nothing: no JSON, or an empty or zero value."""
-    kind = F.schema_of_variant(parsed)
-    scalar = F.try_variant_get(parsed, "$", "string")
-    return (
-        F.coalesce(kind.isin("OBJECT<>", "ARRAY<>", "VOID"), F.lit(True))
-        | ((kind == "STRING") & (scalar == ""))
-        | ((kind == "BOOLEAN") & ~F.coalesce(F.try_variant_get(parsed, "$", "boolean"), F.lit(False)))
-        | (kind.rlike(_NUMBER_KINDS) & (F.try_variant_get(parsed, "$", "double") == 0))
-        | ((kind == "ARRAY<VOID>") & (F.size(F.try_variant_get(parsed, "$", "array<variant>")) == 0))
+    kind = f"schema_of_variant({parsed})"
+    return F.expr(
+        f"""case
+        when {kind} is null or {kind} in ('OBJECT<>', 'VOID') then true
+        when startswith({kind}, 'ARRAY') then size(try_variant_get({parsed}, '$', 'array<variant>')) = 0
+        when {kind} = 'STRING' then try_variant_get({parsed}, '$', 'string') = ''
+        when {kind} = 'BOOLEAN' then not try_variant_get({parsed}, '$', 'boolean')
+        when {kind} rlike '{_NUMBER_KINDS}' then try_variant_get({parsed}, '$', 'double') = 0
+        else false end"""
     )
 
 
-def unwrap_single_list(parsed: Column) -> Column:
-    """The list inside an object whose only field is a list; other values unchanged."""
-    fields = F.map_values(F.try_variant_get(parsed, "$", "map<string,variant>"))
-    only = F.when(F.size(fields) == 1, F.try_element_at(fields, F.lit(1)))
-    return F.when(F.schema_of_variant(only).startswith("ARRAY"), only).otherwise(parsed)
+def unwrap_single_list_sql(parsed: str) -> str:
+    """SQL of the list inside an object whose only field is a list; else the value itself."""
+    only = "if(size(m) = 1, try_element_at(map_values(m), 1), null)"
+    inside = bind(f"try_variant_get({parsed}, '$', 'map<string,variant>')", "m", only)
+    return bind(inside, "u", f"if(startswith(schema_of_variant(u), 'ARRAY'), u, {parsed})")
 
 
-def typed_value(parsed: Column, category: str, unwrap: bool = False) -> Column:
+def typed_value(parsed: str, category: str, unwrap: bool = False) -> Column:
     """Struct ``(ok, value)``: a parsed answer loaded as a category's type.
 
     Unknown keys are ignored. A missing required field, a value of a wrong kind
@@ -172,21 +143,21 @@ def typed_value(parsed: Column, category: str, unwrap: bool = False) -> Column:
     """
     declared = CATEGORY_KINDS[category]
     if unwrap and isinstance(declared, ListOf):
-        parsed = unwrap_single_list(parsed)
-    return _read(parsed, declared)
+        return F.expr(bind(unwrap_single_list_sql(parsed), "answer", read_sql("answer", declared)))
+    return F.expr(read_sql(parsed, declared))
 
 
 def load_responses(responses: DataFrame, category: str, unwrap: bool = False) -> DataFrame:
     """Adds ``status`` (loaded, rejected or empty) and the typed ``value`` of one category."""
-    kept = list(responses.columns)
-    parsed = responses.withColumn("_parsed", parse_response(F.col("content"))).withColumn(
-        "_read", typed_value(F.col("_parsed"), category, unwrap)
+    read = responses.withColumn("_parsed", parse_response("content")).withColumn(
+        "_read", typed_value("_parsed", category, unwrap)
     )
-    blank = is_blank_response(F.col("_parsed"))
-    status = F.when(blank, "empty").when(F.col("_read.ok"), "loaded").otherwise("rejected")
-    step = parsed.withColumn("status", status)
+    status = F.when(is_blank_response("_parsed"), "empty").when(F.col("_read.ok"), "loaded")
+    step = read.withColumn("status", status.otherwise("rejected"))
     return step.select(
-        *kept, "status", F.when(F.col("status") == "loaded", F.col("_read.value")).alias("value")
+        *responses.columns,
+        "status",
+        F.when(F.col("status") == "loaded", F.col("_read.value")).alias("value"),
     )
 
 
@@ -240,60 +211,50 @@ FLAG_KIND = ListOf(
 )
 
 
-def typed_record(parsed: Column) -> Column:
-    """Struct ``(ok, value)`` of one stored record.
+def typed_record(parsed: str) -> Column:
+    """Struct ``(ok, value)`` of one stored record given as a VARIANT column.
 
     List categories and flags may be missing, which reads as no items;
     confidences must be an object of numbers.
     """
-    with_lists = F.struct(
-        _read(F.try_variant_get(parsed, "$.university_name", "variant"), STRING).alias("name"),
-        _read(F.try_variant_get(parsed, "$.scraped_at", "variant"), T.TimestampType()).alias("at"),
-        F.struct(*[_record_category(parsed, c).alias(c) for c in CATEGORIES]).alias("data"),
-        _record_scores(parsed).alias("scores"),
-        _or_no_items(
-            F.try_variant_get(parsed, "$.validation_flags", "variant"), FLAG_KIND
-        ).alias("flags"),
-    )
-
-    def combine(b: Column) -> Column:
-        oks = [b["name"]["ok"], b["at"]["ok"], b["scores"]["ok"], b["flags"]["ok"]]
-        oks += [b["data"][c]["ok"] for c in CATEGORIES]
-        value = F.struct(
-            b["name"]["value"].alias("university_name"),
-            b["at"]["value"].alias("scraped_at"),
-            F.struct(*[b["data"][c]["value"].alias(c) for c in CATEGORIES]).alias("data"),
-            b["scores"]["value"].alias("field_confidence"),
-            b["flags"]["value"].alias("validation_flags"),
-        )
-        return _result(reduce(lambda x, y: x & y, oks), value)
 
-    return _bind(with_lists, combine)
-
-
-def _or_no_items(value: Column, declared: ListOf) -> Column:
-    none = F.array().cast(spark_type(declared))
-    return F.when(value.isNull(), _result(F.lit(True), none)).otherwise(_read(value, declared))
-
-
-def _record_category(parsed: Column, category: str) -> Column:
-    value = F.try_variant_get(parsed, f"$.data.{category}", "variant")
-    declared = CATEGORY_KINDS[category]
-    if isinstance(declared, ListOf):
-        is_object = F.schema_of_variant(
-            F.try_variant_get(parsed, "$.data", "variant")
-        ).startswith("OBJECT")
-        return F.when(is_object, _or_no_items(value, declared)).otherwise(_read(value, declared))
-    return _read(value, declared)
-
-
-def _record_scores(parsed: Column) -> Column:
-    scores = F.try_variant_get(parsed, "$.field_confidence", "map<string,variant>")
-    read = F.transform_values(scores, lambda _, v: _read(v, DOUBLE))
-    return _bind(
-        read,
-        lambda m: _result(
-            m.isNotNull() & F.forall(F.map_values(m), lambda x: x["ok"]),
-            F.transform_values(m, lambda _, x: x["value"]),
+    def or_no_items(value: str, declared: ListOf) -> str:
+        none = f"cast(array() as {spark_type(declared).simpleString()})"
+        return bind(value, "f0", f"if(f0 is null, {_result('true', none)}, {read_sql('f0', declared)})")
+
+    def category(name: str) -> str:
+        value = f"try_variant_get({parsed}, '$.data.{name}', 'variant')"
+        declared = CATEGORY_KINDS[name]
+        if isinstance(declared, ListOf):
+            return or_no_items(value, declared)
+        return bind(value, "f0", read_sql("f0", declared))
+
+    def required(name: str, kind) -> str:
+        return bind(f"try_variant_get({parsed}, '$.{name}', 'variant')", "f0", read_sql("f0", kind))
+
+    scores = bind(
+        f"transform_values(try_variant_get({parsed}, '$.field_confidence', 'map<string,variant>'), "
+        f"(k, x) -> {read_sql('x', DOUBLE)})",
+        "m",
+        _result(
+            "m is not null and forall(map_values(m), y -> y.ok)",
+            "transform_values(m, (k, y) -> y.value)",
+        ),
+    )
+    parts = {
+        "university_name": required("university_name", STRING),
+        "scraped_at": required("scraped_at", T.TimestampType()),
+        **{c: category(c) for c in CATEGORIES},
+        "field_confidence": scores,
+        "validation_flags": or_no_items(
+            f"try_variant_get({parsed}, '$.validation_flags', 'variant')", FLAG_KIND
         ),
+    }
+    data = "named_struct(" + ", ".join(f"'{c}', q.{c}.value" for c in CATEGORIES) + ")"
+    value = (
+        f"named_struct('university_name', q.university_name.value, 'scraped_at', q.scraped_at.value, "
+        f"'data', {data}, 'field_confidence', q.field_confidence.value, "
+        "'validation_flags', q.validation_flags.value)"
     )
+    whole = "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"
+    return F.expr(bind(whole, "q", _result(" and ".join(f"q.{k}.ok" for k in parts), value)))

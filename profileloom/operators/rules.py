@@ -6,6 +6,9 @@ higher-order functions inside the row, with no shuffle at all.
 *Long*: each category is a table of its own keyed by ``ek``; flags are a narrow
 projection of each table, and scores come from counts that are aggregated on
 the map side first, so one entity may own any share of the items.
+
+Rules are SQL conditions in which ``{name}`` is a field of the category or of
+the item, ``{expected}`` the expected currency and ``{year}`` the current year.
 """
 
 from __future__ import annotations
@@ -32,21 +35,14 @@ from profileloom.fixed_values import (
     UNKNOWN_NAME,
     UNKNOWN_TYPE,
 )
-from profileloom.functions.dates import is_date, parse_date
+from profileloom.functions.arrays import unroll
+from profileloom.functions.dates import bind, parse_date_sql
 from profileloom.functions.numbers import clamp_unit
-from profileloom.functions.text import has_digit, normalise_currency
 from profileloom.runtime import join_on_hot_key
 from profileloom.schemas import FLAG_TYPE
 
-Values = Callable[[str], Column]
 MISSING_RULE = "N11"
-
-
-class Context(NamedTuple):
-    """What rules need beyond the category itself."""
-
-    expected_currency: Column
-    as_of_year: int
+Names = Callable[[str], str]
 
 
 class Rule(NamedTuple):
@@ -55,238 +51,200 @@ class Rule(NamedTuple):
     rule_id: str
     field: str
     severity: str
-    test: Callable[[Values, Context], Column]
-    issue: Callable[[Values, Context], Column]
+    test: str
+    issue: str
     part: str | None = None
 
 
 def expected_currency(country: Column) -> Column:
     """Currency expected in a country; null for countries without one."""
-    table = F.create_map(*[F.lit(part) for pair in COUNTRY_CURRENCIES.items() for part in pair])
-    return F.try_element_at(table, country)
+    pairs = ", ".join(f"'{name}', '{code}'" for name, code in COUNTRY_CURRENCIES.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), country)
 
 
-def _words(*parts: str | Column) -> Column:
-    columns = [F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in parts]
-    return F.concat(*columns)
+_WRONG_CURRENCY = "{expected} is not null and {currency} <> '' and upper(trim({currency})) <> {expected}"
 
 
-def _wrong_currency(v: Values, ctx: Context) -> Column:
-    given = v("currency")
-    return (
-        ctx.expected_currency.isNotNull()
-        & (given != "")
-        & (normalise_currency(given) != ctx.expected_currency)
-    )
+def _currency_rule(rule_id: str, field: str) -> Rule:
+    issue = "concat('currency ', {currency}, ' differs from ', {expected})"
+    return Rule(rule_id, field, "high", _WRONG_CURRENCY, issue)
 
 
-def _currency_rule(rule_id: str, field: str) -> Rule:
-    return Rule(
-        rule_id, field, "high", _wrong_currency,
-        lambda v, ctx: _words("currency ", v("currency"), " differs from ", ctx.expected_currency),
-    )
+def _value_rule(rule_id, field, severity, name, test, words, part=None) -> Rule:
+    issue = f"concat('{name} {words}: ', cast({{{name}}} as string))"
+    return Rule(rule_id, field, severity, test.replace("x", f"{{{name}}}"), issue, part)
 
 
 def _negative(rule_id: str, field: str, name: str, part: str | None = None) -> Rule:
-    return Rule(
-        rule_id, field, "high", lambda v, _: v(name) < 0,
-        lambda v, _: _words(f"{name} is negative: ", v(name)), part,
-    )
+    return _value_rule(rule_id, field, "high", name, "x < 0", "is negative", part)
 
 
 def _above(rule_id: str, field: str, name: str, ceiling: int) -> Rule:
-    return Rule(
-        rule_id, field, "medium", lambda v, _: v(name) > ceiling,
-        lambda v, _: _words(f"{name} is above {ceiling}: ", v(name)),
-    )
-
-
-def _out_of_percent(rule_id: str, field: str, name: str, part: str | None = None) -> Rule:
-    return Rule(
-        rule_id, field, "high", lambda v, _: (v(name) < 0) | (v(name) > 100),
-        lambda v, _: _words(f"{name} is not a percentage: ", v(name)), part,
-    )
+    return _value_rule(rule_id, field, "medium", name, f"x > {ceiling}", f"is above {ceiling}")
 
 
-def _suspicious_percent(rule_id: str, field: str, name: str, part: str | None = None) -> Rule:
-    return Rule(
-        rule_id, field, "low", lambda v, _: (v(name) == 0) | (v(name) == 100),
-        lambda v, _: _words(f"{name} is suspiciously round: ", v(name)), part,
-    )
-
-
-def _bad_date(rule_id: str, field: str, name: str) -> Rule:
-    return Rule(
-        rule_id, field, "medium", lambda v, _: has_digit(v(name)) & ~is_date(v(name)),
-        lambda v, _: _words(f"{name} is not a date: ", v(name)),
-    )
+def _no_percent(rule_id: str, field: str, name: str, part: str | None = None) -> Rule:
+    return _value_rule(rule_id, field, "high", name, "x < 0 or x > 100", "is not a percentage", part)
 
 
-def _blank_visa(v: Values) -> Column:
-    return F.coalesce(v("visa_type"), F.lit("")).isin("", UNKNOWN_NAME)
+def _round_percent(rule_id: str, field: str, name: str, part: str | None = None) -> Rule:
+    return _value_rule(rule_id, field, "low", name, "x in (0, 100)", "is suspiciously round", part)
 
 
-def _no_requirements(v: Values) -> Column:
-    return F.coalesce(v("n_requirements"), F.lit(0)) == 0
-
-
-def _blank(text: Column) -> Column:
-    return F.coalesce(text, F.lit("")) == ""
+def _bad_date(rule_id: str, field: str, name: str, parsed: str) -> Rule:
+    test = f"{{{name}}} rlike r'\\p{{{{Nd}}}}' and {{{parsed}}} is null"
+    return Rule(rule_id, field, "medium", test, f"concat('{name} is not a date: ', {{{name}}})")
 
 
 _PERCENTS = ["overall_pct", "undergraduate_pct", "postgraduate_pct"]
 _COSTS = ["rent", "food", "transport"]
+_BLANK_VISA = f"coalesce({{visa_type}}, '') in ('', '{UNKNOWN_NAME}')"
+_NO_REQUIREMENTS = "coalesce({n_requirements}, 0) <= 0"
+
+# Values that rules use more than once, worked out once per item.
+DERIVED = {
+    "scholarships": {"deadline_at": "application_deadline"},
+    "intake_deadlines": {"open_at": "application_open_date", "close_at": "application_close_date"},
+}
 
 RULES: list[Rule] = [
     Rule(
         "R1", "about", "medium",
-        lambda v, ctx: ~v("founding_year").between(EARLIEST_FOUNDING_YEAR, ctx.as_of_year),
-        lambda v, _: _words("implausible founding year: ", v("founding_year")),
-    ),
-    Rule(
-        "R2", "about", "low",
-        lambda v, _: v("institution_type") == UNKNOWN_TYPE,
-        lambda v, _: _words("institution type is unknown"),
+        f"not ({{founding_year}} between {EARLIEST_FOUNDING_YEAR} and {{year}})",
+        "concat('implausible founding year: ', cast({founding_year} as string))",
     ),
+    Rule("R2", "about", "low", f"{{institution_type}} = '{UNKNOWN_TYPE}'", "'institution type is unknown'"),
     _currency_rule("R3", "tuition_fees"),
     _negative("R4", "tuition_fees", "domestic_fee"),
     _above("R5", "tuition_fees", "domestic_fee", AMOUNT_CEILING),
     _negative("R6", "tuition_fees", "international_fee"),
     _above("R7", "tuition_fees", "international_fee", AMOUNT_CEILING),
     Rule(
-        "R8", "tuition_fees", "medium",
-        lambda v, _: v("international_fee") < v("domestic_fee"),
-        lambda v, _: _words(
-            "international fee ", v("international_fee"), " is below domestic fee ", v("domestic_fee")
-        ),
+        "R8", "tuition_fees", "medium", "{international_fee} < {domestic_fee}",
+        "concat('international fee ', cast({international_fee} as string), "
+        "' is below domestic fee ', cast({domestic_fee} as string))",
     ),
     _currency_rule("R9", "living_costs"),
     *[_negative("R10", "living_costs", f"monthly_{cost}", cost) for cost in _COSTS],
     _above("R11", "living_costs", "monthly_rent", RENT_CEILING),
-    _bad_date("R12", "scholarships", "application_deadline"),
+    _bad_date("R12", "scholarships", "application_deadline", "deadline_at"),
     *[
         rule
         for name in _PERCENTS
         for rule in (
-            _out_of_percent("R13", "acceptance_rate", name, name),
-            _suspicious_percent("R14", "acceptance_rate", name, name),
+            _no_percent("R13", "acceptance_rate", name, name),
+            _round_percent("R14", "acceptance_rate", name, name),
         )
     ],
-    _out_of_percent("R15", "graduate_employment", "employed_within_6_months_pct"),
-    _suspicious_percent("R16", "graduate_employment", "employed_within_6_months_pct"),
+    _no_percent("R15", "graduate_employment", "employed_within_6_months_pct"),
+    _round_percent("R16", "graduate_employment", "employed_within_6_months_pct"),
     _currency_rule("R17", "average_salaries"),
     _negative("R18", "average_salaries", "median_salary"),
     _above("R19", "average_salaries", "median_salary", AMOUNT_CEILING),
+    Rule("R20", "visa_policies", "medium", _BLANK_VISA, "'visa type is missing'"),
+    Rule("R21", "visa_policies", "low", _NO_REQUIREMENTS, "'no key requirements'"),
+    _bad_date("R22", "intake_deadlines", "application_open_date", "open_at"),
+    _bad_date("R23", "intake_deadlines", "application_close_date", "close_at"),
     Rule(
-        "R20", "visa_policies", "medium", lambda v, _: _blank_visa(v),
-        lambda v, _: _words("visa type is missing"),
-    ),
-    Rule(
-        "R21", "visa_policies", "low", lambda v, _: _no_requirements(v),
-        lambda v, _: _words("no key requirements"),
+        "R24", "intake_deadlines", "medium", "{close_at} < {open_at}",
+        "concat('closes ', {application_close_date}, ' before it opens ', {application_open_date})",
     ),
-    _bad_date("R22", "intake_deadlines", "application_open_date"),
-    _bad_date("R23", "intake_deadlines", "application_close_date"),
     Rule(
-        "R24", "intake_deadlines", "medium",
-        lambda v, _: parse_date(v("application_close_date")) < parse_date(v("application_open_date")),
-        lambda v, _: _words(
-            "closes ", v("application_close_date"), " before it opens ", v("application_open_date")
-        ),
-    ),
-    Rule(
-        "R25", "course_listings", "low", lambda v, _: _blank(v("code")) | _blank(v("title")),
-        lambda v, _: _words("code or title is missing: ", v("code"), " / ", v("title")),
+        "R25", "course_listings", "low", "coalesce({code}, '') = '' or coalesce({title}, '') = ''",
+        "concat('code or title is missing: ', coalesce({code}, ''), ' / ', coalesce({title}, ''))",
     ),
 ]
 CURRENCY_RULES = {"R3", "R9", "R17"}
 
+# When a single-valued category holds nothing worth keeping. Lists are empty
+# when they have no items.
+EMPTY_TESTS = {
+    "about": (
+        f"coalesce({{name}}, '') in ('', '{UNKNOWN_NAME}') or ({{founding_year}} is null "
+        f"and {{overall_ranking}} is null and coalesce({{institution_type}} = '{UNKNOWN_TYPE}', true))"
+    ),
+    "living_costs": "coalesce({monthly_rent}, {monthly_food}, {monthly_transport}) is null",
+    "acceptance_rate": "coalesce({overall_pct}, {undergraduate_pct}, {postgraduate_pct}) is null",
+    "graduate_employment": "{employed_within_6_months_pct} is null",
+    "visa_policies": f"{_BLANK_VISA} and {_NO_REQUIREMENTS}",
+}
+
+
+class _Filled(dict):
+    def __init__(self, names: Names):
+        super().__init__()
+        self._names = names
+
+    def __missing__(self, key: str) -> str:
+        return self._names(key)
+
+
+def _fill(template: str, names: Names, expected: str = "null", year: int = 0) -> str:
+    values = _Filled(names)
+    values.update(expected=expected, year=year)
+    return template.format_map(values)
+
 
 def rules_of(field: str, rule_ids: Iterable[str] | None = None) -> list[Rule]:
     """Declared rules of a category, in order, optionally only some ids."""
     return [r for r in RULES if r.field == field and (rule_ids is None or r.rule_id in rule_ids)]
 
 
-def empty_test(field: str, v: Values) -> Column:
-    """Whether a single-valued category holds nothing worth keeping."""
-    if field == "about":
-        return (
-            F.coalesce(v("name"), F.lit("")).isin("", UNKNOWN_NAME)
-            | (
-                v("founding_year").isNull()
-                & v("overall_ranking").isNull()
-                & F.coalesce(v("institution_type") == UNKNOWN_TYPE, F.lit(True))
-            )
-        )
-    if field == "living_costs":
-        return F.coalesce(*[v(f"monthly_{cost}") for cost in _COSTS]).isNull()
-    if field == "acceptance_rate":
-        return F.coalesce(*[v(name) for name in _PERCENTS]).isNull()
-    if field == "graduate_employment":
-        return v("employed_within_6_months_pct").isNull()
-    if field == "visa_policies":
-        return _blank_visa(v) & _no_requirements(v)
-    raise ValueError(f"{field} is a list category: it is empty when it has no items")
-
-
 # ---------------------------------------------------------------- nested layout
 
 
-def _nested_values(value: Column) -> Values:
-    def get(name: str) -> Column:
+def _nested_names(item: str, derived: Iterable[str] = ()) -> Names:
+    """Fields of ``item.v`` with derived values beside it."""
+
+    def path(name: str) -> str:
         if name == "n_requirements":
-            return F.size(value["key_requirements"])
-        return value[name]
+            return f"size({item}.v.key_requirements)"
+        return f"{item}.{name}" if name in derived else f"{item}.v.{name}"
 
-    return get
+    return path
 
 
-def is_empty(field: str, value: Column) -> Column:
-    """Emptiness of a nested category value."""
+def _empty_sql(field: str, value: str) -> str:
     if field in LIST_CATEGORIES:
-        return F.coalesce(F.size(value), F.lit(0)) <= 0
-    return value.isNull() | empty_test(field, _nested_values(value))
+        return f"coalesce(size({value}), 0) <= 0"
+    test = _fill(EMPTY_TESTS[field], lambda name: (
+        f"size({value}.key_requirements)" if name == "n_requirements" else f"{value}.{name}"
+    ))
+    return f"({value} is null or {test})"
 
 
-def _flag(field: str, rule_id: str, idx: Column, issue: Column, severity: str) -> Column:
-    return F.struct(
-        F.lit(field).alias("field"),
-        F.lit(rule_id).alias("rule_id"),
-        idx.cast("bigint").alias("idx"),
-        issue.alias("issue"),
-        F.lit(severity).alias("severity"),
+def _flag_sql(field: str, rule_id: str, idx: str, issue: str, severity: str) -> str:
+    return (
+        f"named_struct('field', '{field}', 'rule_id', '{rule_id}', 'idx', cast({idx} as bigint), "
+        f"'issue', {issue}, 'severity', '{severity}')"
     )
 
 
-def category_flags(field: str, value: Column, ctx: Context) -> Column:
-    """Flags of one non-empty nested category, in item then rule order."""
+def category_flags_sql(field: str, value: str, expected: str, year: int) -> str:
+    """SQL of the flags of one non-empty nested category, in item then rule order."""
+    derived = DERIVED.get(field, {})
 
-    def check(item: Column, idx: Column) -> Column:
-        v = _nested_values(item)
-        flags = [
-            F.when(r.test(v, ctx), _flag(field, r.rule_id, idx, r.issue(v, ctx), r.severity))
+    def check(item: str, idx: str) -> str:
+        names = _nested_names("b", derived)
+        flags = ", ".join(
+            f"case when {_fill(r.test, names, expected, year)} then "
+            f"{_flag_sql(field, r.rule_id, idx, _fill(r.issue, names, expected, year), r.severity)} end"
             for r in rules_of(field)
-        ]
-        return F.array_compact(F.array(*flags))
+        )
+        extra = "".join(f", '{k}', {parse_date_sql(f'{item}.{source}')}" for k, source in derived.items())
+        return bind(f"named_struct('v', {item}{extra})", "b", f"array_compact(array({flags}))")
 
     if field in LIST_CATEGORIES:
-        return F.flatten(F.transform(value, check))
-    return check(value, F.lit(None))
+        return f"flatten(transform({value}, (x, i) -> {check('x', 'i')}))"
+    return check(value, "null")
 
 
-def score(flags: Column, empty: Column) -> Column:
-    """Confidence of a category: base minus penalties, taken in flag order."""
-    penalty = F.aggregate(
-        flags,
-        F.lit(0.0),
-        lambda total, flag: total
-        + reduce(
-            lambda chain, name: chain.when(flag["severity"] == name, SEVERITY_PENALTY[name]),
-            SEVERITIES[1:],
-            F.when(flag["severity"] == SEVERITIES[0], SEVERITY_PENALTY[SEVERITIES[0]]),
-        ).otherwise(0.0),
-    )
-    return clamp_unit(F.when(empty, EMPTY_CONFIDENCE).otherwise(BASE_CONFIDENCE) - penalty)
+def _score_sql(flags: str, empty: str) -> str:
+    """SQL of a confidence: base minus penalties taken in flag order, within [0, 1]."""
+    weights = " ".join(f"when '{s}' then {SEVERITY_PENALTY[s]!r}D" for s in SEVERITIES)
+    penalty = f"aggregate({flags}, 0D, (total, flag) -> total + case flag.severity {weights} else 0D end)"
+    base = f"if({empty}, {EMPTY_CONFIDENCE!r}D, {BASE_CONFIDENCE!r}D)"
+    return f"greatest(0D, least(1D, {base} - {penalty}))"
 
 
 def validate_records(
@@ -298,57 +256,38 @@ def validate_records(
     A narrow projection: nothing is shuffled, and each category's flags are
     computed once and used for both outputs.
     """
-    no_flags = F.array().cast(f"array<{FLAG_TYPE.simpleString()}>")
-    kept = list(records.columns)
-    step = records.withColumn("_currency", expected_currency(F.col(country)))
-    ctx = Context(F.col("_currency"), as_of_year)
-    values = {field: F.col(data)[field] for field in CATEGORIES}
-    step = step.select(
-        "*", *[is_empty(field, values[field]).alias(f"_empty_{field}") for field in CATEGORIES]
-    )
-    step = step.select(
+    missing = {
+        f: _flag_sql(f, MISSING_RULE, "null", f"'{MISSING_ISSUE}'", "medium") for f in CATEGORIES
+    }
+    no_flags = f"cast(array() as array<{FLAG_TYPE.simpleString()}>)"
+    checked = records.withColumn("_currency", expected_currency(F.col(country))).selectExpr(
         "*",
         *[
-            F.when(F.col(f"_empty_{field}"), no_flags)
-            .otherwise(category_flags(field, values[field], ctx))
-            .alias(f"_flags_{field}")
-            for field in CATEGORIES
+            f"""if({_empty_sql(f, f'{data}.{f}')}, named_struct('empty', true, 'flags', {no_flags}),
+                named_struct('empty', false, 'flags',
+                    {category_flags_sql(f, f'{data}.{f}', '_currency', as_of_year)})) as _{f}"""
+            for f in CATEGORIES
         ],
     )
-    missing = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"_empty_{field}"),
-                    _flag(field, MISSING_RULE, F.lit(None), F.lit(MISSING_ISSUE), "medium"),
-                )
-                for field in CATEGORIES
-            ]
-        )
-    )
-    missing_penalty = F.array(
-        _flag("", MISSING_RULE, F.lit(None), F.lit(MISSING_ISSUE), "medium")
+    absent = ", ".join(f"case when _{f}.empty then {missing[f]} end" for f in CATEGORIES)
+    own = ", ".join(f"_{f}.flags" for f in CATEGORIES)
+    scores = ", ".join(
+        f"'{f}', " + _score_sql(f"if(_{f}.empty, array({missing[f]}), _{f}.flags)", f"_{f}.empty")
+        for f in CATEGORIES
     )
-    scores = [
-        score(
-            F.when(F.col(f"_empty_{field}"), missing_penalty).otherwise(F.col(f"_flags_{field}")),
-            F.col(f"_empty_{field}"),
-        )
-        for field in CATEGORIES
-    ]
-    flags = F.concat(missing, *[F.col(f"_flags_{field}") for field in CATEGORIES])
-    confidence = F.map_from_arrays(F.array(*map(F.lit, CATEGORIES)), F.array(*scores))
-    return step.select(
-        *kept, flags.alias("validation_flags"), confidence.alias("field_confidence")
+    return checked.selectExpr(
+        *records.columns,
+        f"concat(array_compact(array({absent})), {own}) as validation_flags",
+        f"map({scores}) as field_confidence",
     )
 
 
 # ------------------------------------------------------------------ long layout
 
 
-def _column_values(items: DataFrame) -> Values:
+def _column_names(items: DataFrame) -> Names:
     present = set(items.columns)
-    return lambda name: F.col(name) if name in present else F.lit(None)
+    return lambda name: f"`{name}`" if name in present else "null"
 
 
 def attach_currency(items: DataFrame, entities: DataFrame) -> DataFrame:
@@ -361,7 +300,14 @@ def non_empty(field: str, items: DataFrame) -> DataFrame:
     """Rows of a category table that rules apply to; items of lists always do."""
     if field in LIST_CATEGORIES:
         return items
-    return items.filter(~empty_test(field, _column_values(items)))
+    return items.filter(f"not ({_fill(EMPTY_TESTS[field], _column_names(items))})")
+
+
+def with_derived(field: str, items: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Adds the derived values that the given rules read."""
+    used = " ".join(r.test for r in rules)
+    wanted = {k: v for k, v in DERIVED.get(field, {}).items() if f"{{{k}}}" in used}
+    return items.selectExpr("*", *[f"{parse_date_sql(v)} as {k}" for k, v in wanted.items()])
 
 
 def flag_rows(
@@ -374,48 +320,40 @@ def flag_rows(
     """Flags ``(ek, field, rule_id, part, idx, severity, issue)`` of a category table.
 
     ``items(ek, idx?, ...)``; ``entities`` is needed only for currency rules.
-    Rows without any flag are filtered out before the rules are unrolled.
     """
     rules = rules_of(field, rule_ids)
     rows = non_empty(field, items)
-    if "idx" not in rows.columns:
-        rows = rows.withColumn("idx", F.lit(None).cast("bigint"))
-    expected = F.lit(None).cast("string")
+    expected = "null"
     if CURRENCY_RULES & {r.rule_id for r in rules}:
         rows = attach_currency(rows, entities)
-        expected = F.col("expected_currency")
-    v, ctx = _column_values(rows), Context(expected, as_of_year)
-    flags = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    r.test(v, ctx),
-                    F.struct(
-                        F.lit(r.rule_id).alias("rule_id"),
-                        F.lit(r.part).cast("string").alias("part"),
-                        F.lit(r.severity).alias("severity"),
-                        r.issue(v, ctx).alias("issue"),
-                    ),
-                )
-                for r in rules
-            ]
-        )
+        expected = "expected_currency"
+    rows = with_derived(field, rows, rules)
+    names = _column_names(rows)
+    flags = ", ".join(
+        f"case when {_fill(r.test, names, expected, as_of_year)} then named_struct("
+        f"'rule_id', '{r.rule_id}', 'part', {_part_sql(r.part)}, 'severity', '{r.severity}', "
+        f"'issue', {_fill(r.issue, names, expected, as_of_year)}) end"
+        for r in rules
     )
-    return (
-        rows.select("ek", F.col("idx").cast("bigint").alias("idx"), F.explode(flags).alias("flag"))
-        .select("ek", F.lit(field).alias("field"), "flag.rule_id", "flag.part", "idx", "flag.severity", "flag.issue")
+    found = F.expr(f"array_compact(array({flags}))")
+    idx = F.expr(f"cast({names('idx')} as bigint)").alias("idx")
+    return unroll(rows, found, "flag", "ek", F.lit(field).alias("field"), idx).select(
+        "ek", "field", "flag.rule_id", "flag.part", "idx", "flag.severity", "flag.issue"
     )
 
 
+def _part_sql(part: str | None) -> str:
+    """SQL of the part of a category a rule looks at."""
+    return f"'{part}'" if part else "cast(null as string)"
+
+
 def empty_entities(field: str, entities: DataFrame, table: DataFrame) -> DataFrame:
     """Keys of the entities whose category is empty.
 
     For lists only the distinct keys of the items travel, reduced on the map
     side, so an entity with very many items costs one row per task.
     """
-    if field in LIST_CATEGORIES:
-        return entities.select("ek").join(table.select("ek").distinct(), "ek", "left_anti")
-    filled = non_empty(field, table).select("ek")
+    filled = non_empty(field, table).select("ek").distinct()
     return entities.select("ek").join(filled, "ek", "left_anti")
 
 
@@ -426,15 +364,14 @@ def missing_flag_rows(entities: DataFrame, tables: dict[str, DataFrame]) -> Data
         [non_empty(f, t).select("ek", F.lit(f).alias("field")) for f, t in tables.items()],
     ).distinct()
     cells = entities.select("ek", F.explode(F.array(*map(F.lit, tables))).alias("field"))
-    empty = cells.join(filled, ["ek", "field"], "left_anti")
-    return empty.select(
+    return cells.join(filled, ["ek", "field"], "left_anti").selectExpr(
         "ek",
         "field",
-        F.lit(MISSING_RULE).alias("rule_id"),
-        F.lit(None).cast("string").alias("part"),
-        F.lit(None).cast("bigint").alias("idx"),
-        F.lit("medium").alias("severity"),
-        F.lit(MISSING_ISSUE).alias("issue"),
+        f"'{MISSING_RULE}' as rule_id",
+        "cast(null as string) as part",
+        "cast(null as bigint) as idx",
+        "'medium' as severity",
+        f"'{MISSING_ISSUE}' as issue",
     )
 
 
@@ -451,22 +388,22 @@ def _severity_counts(field: str, items: DataFrame, as_of_year: int) -> DataFrame
     Currency rules need the entity's country. Counting items per currency first
     moves that join behind the aggregation, so item rows are never joined.
     """
-    rows = non_empty(field, items)
-    v, ctx = _column_values(rows), Context(F.lit(None).cast("string"), as_of_year)
     rules = [r for r in rules_of(field) if r.rule_id not in CURRENCY_RULES]
-    priced = any(r.rule_id in CURRENCY_RULES for r in rules_of(field))
+    priced = len(rules) < len(rules_of(field))
+    rows = with_derived(field, non_empty(field, items), rules)
+    names = _column_names(rows)
 
-    def hits(severity: str) -> Column:
-        tests = [F.coalesce(r.test(v, ctx), F.lit(False)).cast("bigint") for r in rules if r.severity == severity]
-        return reduce(lambda a, b: a + b, tests, F.lit(0).cast("bigint"))
+    def hits(severity: str) -> str:
+        tests = [_fill(r.test, names, year=as_of_year) for r in rules if r.severity == severity]
+        return " + ".join(f"cast(coalesce({t}, false) as bigint)" for t in tests) or "0L"
 
-    currency = normalise_currency(F.nullif(v("currency"), F.lit(""))) if priced else F.lit(None)
+    currency = f"upper(trim(nullif({names('currency')}, '')))" if priced else "null"
     return (
-        rows.select(
+        rows.selectExpr(
             "ek",
-            F.lit(field).alias("field"),
-            currency.cast("string").alias("currency"),
-            *[hits(s).alias(s) for s in SEVERITIES],
+            f"'{field}' as field",
+            f"cast({currency} as string) as currency",
+            *[f"{hits(s)} as {s}" for s in SEVERITIES],
         )
         .groupBy("ek", "field", "currency")
         .agg(F.count(F.lit(1)).alias("n_items"), *[F.sum(s).alias(s) for s in SEVERITIES])
@@ -504,11 +441,7 @@ def confidence_rows(entities: DataFrame, tables: dict[str, DataFrame], as_of_yea
         DataFrame.unionByName, [_severity_counts(f, t, as_of_year) for f, t in tables.items()]
     )
     known = entities.select("ek", expected_currency(F.col("country")).alias("expected_currency"))
-    wrong = (
-        F.col("expected_currency").isNotNull()
-        & F.col("currency").isNotNull()
-        & (F.col("currency") != F.col("expected_currency"))
-    )
+    wrong = F.expr("coalesce(currency <> expected_currency, false)")
     per_field = (
         counts.join(known, "ek", "left")
         .withColumn("high", F.col("high") + F.when(wrong, F.col("n_items")).otherwise(0))

@@ -67,7 +67,7 @@ def materialise(df: DataFrame) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(spark: SparkSession) -> int:

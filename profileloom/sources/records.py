@@ -19,7 +19,8 @@ def parse_records(lines: DataFrame) -> DataFrame:
     Records that fail the schema are dropped one by one; of several with one
     name the last stays.
     """
-    read = lines.select("ord", typed_record(F.try_parse_json("line")).alias("read"))
+    parsed = lines.select("ord", F.try_parse_json("line").alias("parsed"))
+    read = parsed.select("ord", typed_record("parsed").alias("read"))
     valid = read.filter(F.col("read.ok")).select("ord", "read.value.*")
     return last_per_key(valid, ["university_name"], ["ord"])
 
