@@ -52,9 +52,9 @@ def _walk(max_pages: int) -> dict[str, str]:
 
 
 def _inputs(spark, sf_dir):
-    entities = load(spark, sf_dir, "entity").select("ek", base_domain(F.col("base_url")).alias("base_domain"))
+    entities = load(spark, sf_dir, "entity").select("ek", base_domain("base_url").alias("base_domain"))
     ok_pages = load(spark, sf_dir, "linkpage").filter("status_code < 400").select(F.col("url").alias("page_url"))
-    table = links.classify_links(_link_tokens(load(spark, sf_dir, "link")))
+    table = links.followable_links(_link_tokens(load(spark, sf_dir, "link")))
     return load(spark, sf_dir, "seed"), entities, table.join(ok_pages, "page_url", "left_semi")
 
 
@@ -92,10 +92,10 @@ where case when l.is_page then true when k.category = 'tuition_fees' then l.r_tu
 
 def _queue(spark, sf_dir):
     seeds, entities, table = _inputs(spark, sf_dir)
-    first = seeds.select("ek", "category", strip_fragment(F.col("url")).alias("page_url"))
-    joined = first.join(entities, "ek").join(table.drop("ek"), "page_url")
-    relevant = F.array_contains("categories", F.col("category"))
-    admitted = frontier.link_admitted(F.col("is_page"), relevant, F.lit(1))
+    first = seeds.select("ek", "category", strip_fragment("url").alias("page_url"))
+    joined = first.join(entities, "ek").join(table, "page_url")
+    kind = F.col("kind")
+    admitted = frontier.link_admitted(kind == links.PAGINATION, kind == F.col("category"), F.lit(1))
     return joined.filter(admitted & (F.col("target_domain") == F.col("base_domain"))).select(
         "ek", "category", "base_domain", F.col("target_url").alias("url"),
         F.lit(1).alias("level"), F.lit(1).alias("parent_rank"), "pos",

@@ -130,13 +130,13 @@ def url_resolve(spark, sf_dir):
     found = links.extract_links(load(spark, sf_dir, "pages"), "page_id").select(
         F.col("page_id").alias("ek"), "page_url", "pos", "href"
     )
-    return table.union(found).withColumn("absolute", resolve(F.col("page_url"), F.col("href")))
+    return table.union(found).withColumn("absolute", resolve("page_url", "href"))
 
 
 @register("select page_id, split_part(url, '#', 1) as url_normalized from $pages")
 def url_normalize(spark, sf_dir):
     return load(spark, sf_dir, "pages").select(
-        "page_id", strip_fragment(F.col("url")).alias("url_normalized")
+        "page_id", strip_fragment("url").alias("url_normalized")
     )
 
 
@@ -158,11 +158,11 @@ from $targets t join $entity e on t.ek = e.ek""",
     resolved=_RESOLVED, targets=_TARGETS,
 )
 def link_same_domain(spark, sf_dir):
-    bases = load(spark, sf_dir, "entity").select("ek", base_domain(F.col("base_url")).alias("base"))
+    bases = load(spark, sf_dir, "entity").select("ek", base_domain("base_url").alias("base"))
     joined = _resolved_links(spark, sf_dir).join(bases, "ek")
     return joined.select(
         "ek", "pos", "target_url", "target_domain",
-        in_domain(F.col("target_domain"), F.col("base")).alias("same_domain"),
+        in_domain("target_domain", "base").alias("same_domain"),
     )
 
 
@@ -182,7 +182,7 @@ def _link_tokens(frame):
 @register(f"select ek, page_url, pos, href, anchor_text, {DUCK_IS_PAGE} as is_page from $link")
 def link_pagination(spark, sf_dir):
     table = _link_tokens(load(spark, sf_dir, "link"))
-    flag = links.is_pagination(F.col("anchor_text"), F.col("href"), F.col("rel"), F.col("classes"))
+    flag = links.is_pagination("anchor_text", "href", "rel", "classes")
     return table.select("ek", "page_url", "pos", "href", "anchor_text", flag.alias("is_page"))
 
 
@@ -205,7 +205,7 @@ DUCK_RELEVANT = {c: _duck_relevant(c) for c in CATEGORIES}
     )
 )
 def link_relevance(spark, sf_dir):
-    hits = links.relevant_categories(F.col("anchor_text"), F.col("href"))
+    hits = links.relevant_categories("anchor_text", "href")
     return unroll(load(spark, sf_dir, "link"), hits, "category", "ek", "page_url", "pos", "href")
 
 

@@ -108,18 +108,18 @@ def records_roundtrip(spark, sf_dir):
 # Stored record lines, some of them damaged; about ten lines share each name,
 # and a third of all lines share one.
 _LINE_NAME = "case when o_orderkey % 3 = 0 then 'Popular' else concat('Entity ', cast(o_custkey as string)) end"
-_LINES = f"""
-select o_orderkey as ord, {_LINE_NAME} as name, cast(o_orderkey % 8 as int) as variant,
+_LINES = """
+select o_orderkey as ord, @name as name, cast(o_orderkey % 8 as int) as variant,
   case o_orderkey % 8 when 7 then concat('not json ', o_orderpriority) else concat(
-    '{{"university_name":', case o_orderkey % 8 when 6 then 'null' else concat('"', {_LINE_NAME}, '"') end,
-    ',"scraped_at":"2026-01-01T00:00:00Z","data":{{"about":{{"name":"', cast(o_orderkey as string),
-    '","location":{{"city":"C","country":"Canada"}},"institution_type":"', case o_orderkey % 8 when 5 then 'Secret' else 'public' end,
-    '"}},"living_costs":{{"city":"C","monthly_rent":', cast(o_custkey as string), ',"currency":"CAD","source_url":"u"}},',
-    '"acceptance_rate":{{"source_url":"u"}},"graduate_employment":{{"source_url":"u"}},',
-    '"visa_policies":{{"country":"Canada","visa_type":"S","key_requirements":', case o_orderkey % 8 when 4 then '"x"' else '["x"]' end,
-    ',"source_url":"u"}}}},"field_confidence":{{"about":', case o_orderkey % 8 when 3 then '"high"' else '0.5' end, '}}',
-    case o_orderkey % 8 when 2 then '' else ',"validation_flags":[{{"field":"about","issue":"i","severity":"low"}}]' end, '}}') end as line
-from $orders""".replace("{{", "{").replace("}}", "}")
+    '{"university_name":', case o_orderkey % 8 when 6 then 'null' else concat('"', @name, '"') end,
+    ',"scraped_at":"2026-01-01T00:00:00Z","data":{"about":{"name":"', cast(o_orderkey as string),
+    '","location":{"city":"C","country":"Canada"},"institution_type":"', case o_orderkey % 8 when 5 then 'Secret' else 'public' end,
+    '"},"living_costs":{"city":"C","monthly_rent":', cast(o_custkey as string), ',"currency":"CAD","source_url":"u"},',
+    '"acceptance_rate":{"source_url":"u"},"graduate_employment":{"source_url":"u"},',
+    '"visa_policies":{"country":"Canada","visa_type":"S","key_requirements":', case o_orderkey % 8 when 4 then '"x"' else '["x"]' end,
+    ',"source_url":"u"}},"field_confidence":{"about":', case o_orderkey % 8 when 3 then '"high"' else '0.5' end, '}',
+    case o_orderkey % 8 when 2 then '' else ',"validation_flags":[{"field":"about","issue":"i","severity":"low"}]' end, '}') end as line
+from $orders""".replace("@name", _LINE_NAME)
 
 
 @register(

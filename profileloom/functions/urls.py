@@ -1,118 +1,105 @@
-"""URL expressions: joining, fragments, domains."""
+"""URL expressions: joining, fragments, domains.
+
+Functions take a column name or SQL expression, so that they can be nested in
+lambdas and bound to a name where a value is needed more than once.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Parts of a reference as RFC 3986 appendix B splits them.
-_SPLIT = r"^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+from profileloom.functions.dates import bind
+
+# Scheme, authority, path, query and fragment as RFC 3986 appendix B splits them.
+_SPLIT = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+_AUTHORITY = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#]*)"
+_PATH = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 # Schemes under which a scheme-only prefix still means a relative reference.
-_RELATIVE_SCHEMES = ["http", "https", "ftp", "file", "ws", "wss"]
+_RELATIVE_SCHEMES = "('http', 'https', 'ftp', 'file', 'ws', 'wss')"
 
 
-def _part(url: Column, index: int) -> Column:
-    return F.regexp_extract(url, "(?s)" + _SPLIT, index)
+def _parts(url: str) -> str:
+    """SQL array of the five parts of a URL, from one regex pass."""
+    return f"split(regexp_replace({url}, r'{_SPLIT}', '$1\\u0001$2\\u0001$3\\u0001$4\\u0001$5'), '\\u0001')"
 
 
-def strip_fragment(url: Column) -> Column:
+def strip_fragment(url: str) -> Column:
     """The URL up to its first ``#``."""
-    return F.substring_index(url, "#", 1)
+    return F.expr(f"substring_index({url}, '#', 1)")
 
 
-def authority(url: Column) -> Column:
+def authority(url: str) -> Column:
     """Host with port and user part as written; empty when there is none."""
-    return _part(url, 2)
+    return F.expr(f"regexp_extract({url}, r'{_AUTHORITY}', 1)")
 
 
-def base_domain(base_url: Column) -> Column:
+def base_domain(base_url: str) -> Column:
     """Domain that links must stay in: authority, else path, else the text itself."""
-    return F.coalesce(
-        F.nullif(_part(base_url, 2), F.lit("")), F.nullif(_part(base_url, 3), F.lit("")), base_url
-    )
+    host = f"nullif(regexp_extract({base_url}, r'{_AUTHORITY}', 1), '')"
+    path = f"nullif(regexp_extract({base_url}, r'{_PATH}', 1), '')"
+    return F.expr(f"coalesce({host}, {path}, {base_url})")
 
 
-def in_domain(domain: Column, base: Column) -> Column:
+def in_domain(domain: str, base: str) -> Column:
     """Whether a domain is ``base`` or lies below it."""
-    return (domain == base) | domain.endswith(F.concat(F.lit("."), base))
+    return F.expr(f"{domain} = {base} or endswith({domain}, concat('.', {base}))")
 
 
-def domain_and_parents(domain: Column) -> Column:
+def domain_and_parents(domain: str) -> Column:
     """A domain with every parent: ``a.b.c`` gives ``[a.b.c, b.c, c]``.
 
     ``in_domain(d, base)`` is ``base in domain_and_parents(d)``, which turns the
     suffix test into an equality a join can hash on.
     """
-    labels = F.split(domain, r"\.")
-    starts = F.sequence(F.lit(1), F.size(labels))
-    return F.transform(
-        starts, lambda start: F.array_join(F.slice(labels, start, F.size(labels)), ".")
-    )
+    parents = "transform(sequence(1, size(labels)), i -> array_join(slice(labels, i, size(labels)), '.'))"
+    return F.expr(bind(f"split({domain}, r'\\.')", "labels", parents))
 
 
-def path_of(url: Column) -> Column:
-    """Path of a raw reference, without parameters of its last segment."""
-    return F.regexp_replace(_part(url, 3), ";[^/]*$", "")
+def path_of_sql(url: str) -> str:
+    """SQL of the path of a raw reference, without parameters of its last segment."""
+    path = f"regexp_extract({url}, r'{_PATH}', 1)"
+    return f"regexp_replace({path}, ';[^/]*$', '')"
 
 
-def _without_dots(path: Column) -> Column:
-    """Path with ``.`` and ``..`` segments resolved and inner empty segments kept."""
+def path_of(url: str) -> Column:
+    """``path_of_sql`` of a column or SQL expression."""
+    return F.expr(path_of_sql(url))
 
-    def step(done: Column, segment: Column) -> Column:
-        shorter = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
-        return (
-            F.when(segment == "..", shorter)
-            .when(segment == ".", done)
-            .otherwise(F.concat(done, F.array(segment)))
-        )
 
-    segments = F.split(path, "/")
-    resolved = F.array_join(F.aggregate(segments, F.array().cast("array<string>"), step), "/")
-    tail = F.when(path.rlike(r"(^|/)\.\.?$"), "/").otherwise("")
-    has_dots = path.rlike(r"(^|/)\.\.?(/|$)")
-    joined = F.when(has_dots, F.concat(resolved, tail)).otherwise(path)
-    return F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
+def _without_dots(path: str) -> str:
+    """SQL of a path with ``.`` and ``..`` segments resolved and a leading slash."""
+    walk = """array_join(aggregate(split(p, '/'), cast(array() as array<string>),
+        (done, s) -> case when s = '..' then slice(done, 1, greatest(size(done) - 1, 0))
+            when s = '.' then done else concat(done, array(s)) end), '/')"""
+    tail = r"if(p rlike r'(^|/)\.\.?$', '/', '')"
+    joined = rf"if(p rlike r'(^|/)\.\.?(/|$)', concat({walk}, {tail}), p)"
+    return bind(path, "p", bind(joined, "j", "if(startswith(j, '/'), j, concat('/', j))"))
 
 
-def resolve(page_url: Column, href: Column) -> Column:
-    """Absolute form of ``href`` as found on ``page_url``."""
-    base = [_part(page_url, i) for i in range(6)]
-    ref = [_part(href, i) for i in range(6)]
+def resolve_sql(page_url: str, href: str) -> str:
+    """SQL of the absolute form of ``href`` as found on ``page_url``."""
 
-    def with_suffix(url: Column, query: Column, fragment: Column) -> Column:
-        return F.concat(
-            url,
-            F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-            F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""),
+    def suffixed(url: str, query: str = "r[3]") -> str:
+        return (
+            f"concat({url}, if({query} = '', '', concat('?', {query})), "
+            "if(r[4] = '', '', concat('#', r[4])))"
         )
 
-    root = F.concat(base[1], F.lit("://"), base[2])
-    directory = F.concat(
-        F.when(F.startswith(base[3], F.lit("/")), "").otherwise("/"),
-        F.regexp_replace(base[3], "[^/]*$", ""),
-    )
+    root = "concat(b[0], '://', b[1])"
+    directory = "concat(if(startswith(b[2], '/'), '', '/'), regexp_replace(b[2], '[^/]*$', ''))"
     # Empty inner segments vanish only when a relative path is merged.
-    merged = F.regexp_replace(F.concat(directory, ref[3]), "(?<!^)/{2,}", "/")
-    other_scheme = (ref[1] != "") & (F.lower(ref[1]) != F.lower(base[1]))
-    opaque = (ref[1] != "") & ~F.lower(ref[1]).isin(_RELATIVE_SCHEMES)
-    return (
-        F.when(href == "", page_url)
-        .when(other_scheme | opaque, href)
-        .when(
-            ref[2] != "",
-            with_suffix(F.concat(base[1], F.lit("://"), ref[2], ref[3]), ref[4], ref[5]),
-        )
-        .when(
-            ref[3] == "",
-            with_suffix(
-                F.concat(root, base[3]),
-                F.when(ref[4] == "", base[4]).otherwise(ref[4]),
-                ref[5],
-            ),
-        )
-        .when(
-            F.startswith(ref[3], F.lit("/")),
-            with_suffix(F.concat(root, _without_dots(ref[3])), ref[4], ref[5]),
-        )
-        .otherwise(with_suffix(F.concat(root, _without_dots(merged)), ref[4], ref[5]))
-    )
+    merged = f"regexp_replace(concat({directory}, r[2]), '(?<!^)/{{2,}}', '/')"
+    forms = f"""case
+        when h = '' then u
+        when r[0] <> '' and (lower(r[0]) <> lower(b[0]) or lower(r[0]) not in {_RELATIVE_SCHEMES}) then h
+        when r[1] <> '' then {suffixed("concat(b[0], '://', r[1], r[2])")}
+        when r[2] = '' then {suffixed(f"concat({root}, b[2])", "if(r[3] = '', b[3], r[3])")}
+        when startswith(r[2], '/') then {suffixed(f"concat({root}, {_without_dots('r[2]')})")}
+        else {suffixed(f"concat({root}, {_without_dots(merged)})")} end"""
+    return bind(page_url, "u", bind(href, "h", bind(_parts("u"), "b", bind(_parts("h"), "r", forms))))
+
+
+def resolve(page_url: str, href: str) -> Column:
+    """``resolve_sql`` of columns or SQL expressions."""
+    return F.expr(resolve_sql(page_url, href))

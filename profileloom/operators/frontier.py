@@ -15,10 +15,9 @@ from pyspark.sql.window import Window
 from profileloom.fixed_values import MAX_PAGES_PER_CATEGORY, MAX_URLS_PER_CATEGORY
 from profileloom.functions.arrays import unroll
 from profileloom.functions.urls import domain_and_parents, strip_fragment
+from profileloom.operators.links import PAGINATION
 from profileloom.runtime import join_on_hot_key
 
-# Category of a link that any category may follow.
-PAGINATION = "*"
 PLACE = ["level", "parent_rank", "pos"]
 
 
@@ -60,17 +59,15 @@ def page_outlinks(
 ) -> DataFrame:
     """Per (page, base domain) the links a walk could ever take, as one short array.
 
-    ``links`` are classified links of usable pages; ``domains`` holds the base
+    ``links`` are followable links of usable pages; ``domains`` holds the base
     domains of the entities. A walk holds at most ``max_urls`` URLs and needs at
     most as many new ones, so of each category's distinct targets on a page only
     the first ``2 * max_urls`` can matter. The array is bounded by that, however
     many links a page has, and repeated links collapse before the shuffle.
     """
-    useful = links.filter(F.col("is_page") | (F.size("categories") > 0))
-    kinds = F.when(F.col("is_page"), F.array(F.lit(PAGINATION))).otherwise(F.col("categories"))
     parents = unroll(
-        useful, domain_and_parents(F.col("target_domain")), "base_domain",
-        "page_url", "target_url", "pos", kinds.alias("kinds"),
+        links, domain_and_parents("target_domain"), "base_domain",
+        "page_url", "kind", "target_url", "pos",
     )
     inside = join_on_hot_key(
         parents,
@@ -79,10 +76,8 @@ def page_outlinks(
         "left_semi",
         spread=["page_url", "pos"],
     )
-    first_seen = (
-        inside.select("page_url", "base_domain", F.explode("kinds").alias("kind"), "target_url", "pos")
-        .groupBy("page_url", "base_domain", "kind", "target_url")
-        .agg(F.min("pos").alias("pos"))
+    first_seen = inside.groupBy("page_url", "base_domain", "kind", "target_url").agg(
+        F.min("pos").alias("pos")
     )
     order = Window.partitionBy("page_url", "base_domain", "kind").orderBy("pos", "target_url")
     leading = first_seen.withColumn("_n", F.row_number().over(order)).filter(
@@ -98,7 +93,7 @@ def _seed_queue(seeds: DataFrame, entities: DataFrame) -> DataFrame:
     queue = seeds.select(
         "ek",
         "category",
-        strip_fragment(F.col("url")).alias("url"),
+        strip_fragment("url").alias("url"),
         F.lit(0).alias("level"),
         F.lit(0).alias("parent_rank"),
         F.col("pos").cast("bigint").alias("pos"),
@@ -149,7 +144,7 @@ def build_plan(
     """Targets ``(ek, category, rank, url, level)`` in crawl order.
 
     ``seeds(ek, category, pos, url)``, ``entities(ek, base_domain)``, and
-    ``links`` classified and taken from usable pages only. Each level uses the
+    followable ``links`` of usable pages only. Each level uses the
     previous one exactly once: a kept row and its page's candidates leave the
     join together, so the plan grows linearly and needs no action between
     levels. ``materialise`` (such as ``runtime.materialise``) stores the outlink

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +11,8 @@ from profileloom.fixed_values import (
     PAGINATION_PARAMETERS,
     PAGINATION_WORDS,
 )
-from profileloom.functions.arrays import unroll_with_position
+from profileloom.functions.arrays import unroll, unroll_with_position
+from profileloom.functions.dates import bind
 from profileloom.functions.text import (
     ANY_TAG,
     COMMENT,
@@ -23,7 +22,10 @@ from profileloom.functions.text import (
     _element,
     decode_entities,
 )
-from profileloom.functions.urls import authority, path_of, resolve, strip_fragment
+from profileloom.functions.urls import authority, path_of_sql, resolve_sql
+
+# Kind of a link that any category may follow.
+PAGINATION = "*"
 
 _OPENING = rf"(?is)^<a({TAG_BODY})>"
 _ANCHOR = rf"(?is)<a(?=[\s/>]){TAG_BODY}>.*?(?=</a[\s>]|<a[\s/>]|\z)"
@@ -71,17 +73,17 @@ def extract_links(pages: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, "page_url", "pos", "link.*")
 
 
-def is_pagination(anchor_text: Column, href: Column, rel: Column, classes: Column) -> Column:
+def is_pagination(anchor_text: str, href: str, rel: str, classes: str) -> Column:
     """Whether an anchor looks like navigation to a further page of a listing."""
-    text, address = F.lower(anchor_text), F.lower(href)
-    class_text = F.lower(F.array_join(classes, " "))
+    text, address = f"lower({anchor_text})", f"lower({href})"
+    class_text = f"lower(array_join({classes}, ' '))"
     tests = [
-        F.array_contains(rel, "next"),
-        *[class_text.contains(word) for word in PAGINATION_CLASSES],
-        *[address.contains(word) for word in PAGINATION_PARAMETERS],
-        *[text.contains(word) for word in PAGINATION_WORDS],
+        f"array_contains({rel}, 'next')",
+        *[f"contains({class_text}, '{word}')" for word in PAGINATION_CLASSES],
+        *[f"contains({address}, '{word}')" for word in PAGINATION_PARAMETERS],
+        *[f"contains({text}, '{word}')" for word in PAGINATION_WORDS],
     ]
-    return reduce(lambda a, b: a | b, tests)
+    return F.expr(" or ".join(tests))
 
 
 def shortest_keywords(keywords: list[str]) -> list[str]:
@@ -89,41 +91,42 @@ def shortest_keywords(keywords: list[str]) -> list[str]:
     return [k for k in keywords if not any(o != k and o in k for o in keywords)]
 
 
-def relevant_to(category: str, anchor_text: Column, href: Column) -> Column:
-    """Whether anchor text or path of the raw reference names a category.
+def relevant_categories(anchor_text: str, href: str) -> Column:
+    """Array of the categories whose keywords occur in anchor text or raw path.
 
-    Text and path are searched together; the newline between them cannot be
-    part of a keyword, so no match spans both.
+    Text and path are searched together, prepared once; the newline between
+    them cannot be part of a keyword, so no match spans both.
     """
-    haystack = F.lower(F.concat_ws("\n", anchor_text, path_of(href)))
-    tests = [haystack.contains(word) for word in shortest_keywords(CATEGORY_KEYWORDS[category])]
-    return reduce(lambda a, b: a | b, tests)
 
+    def hit(category: str) -> str:
+        words = shortest_keywords(CATEGORY_KEYWORDS[category])
+        tests = " or ".join(f"contains(words, '{word}')" for word in words)
+        return f"if({tests}, '{category}', null)"
 
-def relevant_categories(anchor_text: Column, href: Column) -> Column:
-    """Array of the categories an anchor is relevant to."""
-    hits = [
-        F.when(relevant_to(category, anchor_text, href), F.lit(category))
-        for category in CATEGORY_KEYWORDS
-    ]
-    return F.array_compact(F.array(*hits))
+    hits = ", ".join(map(hit, CATEGORY_KEYWORDS))
+    haystack = f"lower(concat_ws('\\n', {anchor_text}, {path_of_sql(href)}))"
+    return F.expr(bind(haystack, "words", f"array_compact(array({hits}))"))
 
 
 def resolve_links(links: DataFrame) -> DataFrame:
     """Adds the absolute target without fragment and its domain to extracted links."""
-    target = strip_fragment(resolve(F.col("page_url"), F.col("href")))
+    absolute = resolve_sql("page_url", "href")
+    target = F.expr(f"substring_index({absolute}, '#', 1)")
     return links.withColumn("target_url", target).withColumn(
-        "target_domain", authority(F.col("target_url"))
+        "target_domain", authority("target_url")
     )
 
 
-def classify_links(links: DataFrame) -> DataFrame:
-    """Resolved links with ``is_page`` and, unless that holds, their ``categories``."""
-    text, href = F.col("anchor_text"), F.col("href")
-    page = is_pagination(text, href, F.col("rel"), F.col("classes"))
-    none = F.array().cast("array<string>")
-    return (
-        resolve_links(links)
-        .withColumn("is_page", page)
-        .withColumn("categories", F.when(F.col("is_page"), none).otherwise(relevant_categories(text, href)))
+def followable_links(links: DataFrame) -> DataFrame:
+    """Links a walk may follow: ``(page_url, pos, kind, target_url, target_domain)``.
+
+    ``kind`` is ``*`` for pagination, otherwise a category the link is relevant
+    to, one row each. Links of no kind are dropped before anything else is
+    worked out for them.
+    """
+    page = is_pagination("anchor_text", "href", "rel", "classes")
+    kinds = F.when(page, F.array(F.lit(PAGINATION))).otherwise(
+        relevant_categories("anchor_text", "href")
     )
+    kept = unroll(links, kinds, "kind", "page_url", "pos", "href")
+    return resolve_links(kept).select("page_url", "pos", "kind", "target_url", "target_domain")

@@ -25,7 +25,7 @@ from profileloom.operators.incremental import (
     next_state,
     page_changes,
 )
-from profileloom.operators.links import classify_links, extract_links
+from profileloom.operators.links import extract_links, followable_links
 from profileloom.operators.pages import needs_render, plan_usable, with_clean_text
 from profileloom.operators.records import compile_data, finish_records
 from profileloom.operators.robots import apply_robots
@@ -61,10 +61,10 @@ def plan_targets(
 ) -> DataFrame:
     """Crawl plan of keyed profiles over a page snapshot.
 
-    Links leave the page scan already classified; ``html`` is never shuffled.
+    Links leave the page scan already judged and resolved; ``html`` is never shuffled.
     """
     usable = pages.filter(plan_usable(F.col("error"), F.col("status_code")))
-    links = classify_links(extract_links(usable.select("url", "html")))
+    links = followable_links(extract_links(usable.select("url", "html")))
     plan = build_plan(seed_rows(profiles), profiles, links, max_urls, max_pages, materialise)
     shell = needs_render(F.col("error"), F.col("status_code"), F.col("html"))
     return plan_with_render(plan, pages.select("url", shell.alias("needs_render")))

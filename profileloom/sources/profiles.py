@@ -29,7 +29,7 @@ def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
 def with_keys(profiles: DataFrame) -> DataFrame:
     """Adds the entity key (a hash of the name, stable over runs) and the base domain."""
     return profiles.withColumn("ek", F.xxhash64("name")).withColumn(
-        "base_domain", base_domain(F.col("base_url"))
+        "base_domain", base_domain("base_url")
     )
 
 
