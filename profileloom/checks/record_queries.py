@@ -19,7 +19,7 @@ from profileloom.checks.rule_queries import (
 from profileloom.fixed_values import CATEGORIES
 from profileloom.functions.arrays import unroll
 from profileloom.operators import incremental, records, rules
-from profileloom.runtime import fresh_path
+from profileloom.runtime import fresh_path, spread
 from profileloom.schemas import DATA_TYPE
 from profileloom.sources import records as record_io
 
@@ -29,8 +29,8 @@ _RUN_TIME = "2026-01-01"
 def nested_records(spark, sf_dir):
     """One nested record per order: ``ek, ord, name, country, base_url, data``."""
     columns = spark_data_columns()
-    fields = ", ".join(f"{columns[c]} as {c}" for c in CATEGORIES)
-    flat = run_sql(spark, sf_dir, f"select ek, ord, name, country, base_url, {fields} from $rec")
+    base = spread(load(spark, sf_dir, "rec"))
+    flat = base.selectExpr("ek", "ord", "name", "country", "base_url", *[f"{columns[c]} as {c}" for c in CATEGORIES])
     data = F.struct(*CATEGORIES).cast(DATA_TYPE)
     return flat.select("ek", "ord", "name", "country", "base_url", data.alias("data"))
 
@@ -131,7 +131,7 @@ select ord, university_name, about_name, monthly_rent, n_flags from (
     lines=_LINES,
 )
 def records_tolerant_load(spark, sf_dir):
-    lines = run_sql(spark, sf_dir, _LINES).select("ord", "line")
+    lines = spread(run_sql(spark, sf_dir, _LINES).select("ord", "line"))
     return record_io.parse_records(lines).select(
         "ord", "university_name", F.col("data.about.name").alias("about_name"),
         "data.living_costs.monthly_rent", F.size("validation_flags").alias("n_flags"),

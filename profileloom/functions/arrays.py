@@ -22,3 +22,13 @@ def unroll_with_position(
     """Like ``unroll``, with the position of each element."""
     rows = df.select(*keep, F.posexplode_outer(array).alias(position, name))
     return rows.filter(F.col(position).isNotNull())
+
+
+def computed(df: DataFrame, value: Column, name: str, *keep: str | Column) -> DataFrame:
+    """``keep`` and a costly non-null value, evaluated exactly once per row.
+
+    Filters on a projected value are pushed below the projection and so
+    evaluate it again; they cannot pass the generator used here. Rows whose
+    value is null are dropped.
+    """
+    return unroll(df, F.array(value), name, *keep)

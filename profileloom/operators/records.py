@@ -6,13 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profileloom.fixed_values import CATEGORIES, FAILURE_FIELD
-from profileloom.operators.responses import (
-    default_data,
-    default_value,
-    is_blank_response,
-    parse_response,
-    typed_value,
-)
+from profileloom.operators.responses import answer_sql, default_data, default_value
 from profileloom.operators.rules import validate_records
 from profileloom.schemas import FLAG_TYPE
 
@@ -32,24 +26,19 @@ def compile_data(profiles: DataFrame, responses: DataFrame, unwrap: bool = False
         F.map_from_entries(F.collect_list(F.struct("category", "content"))).alias("_answers")
     )
     joined = profiles.join(answers, "ek", "left")
-    parsed = joined.select(
+    read = joined.select(
         *profiles.columns,
         *[
-            parse_response(f"try_element_at(_answers, '{c}')").alias(f"_parsed_{c}")
+            F.expr(answer_sql(f"try_element_at(_answers, '{c}')", c, unwrap)).alias(f"_{c}")
             for c in CATEGORIES
         ],
     )
-    read = parsed.select(
-        "*",
-        *[typed_value(f"_parsed_{c}", c, unwrap).alias(f"_read_{c}") for c in CATEGORIES],
+    data = F.struct(
+        *[
+            F.coalesce(F.col(f"_{c}.value"), default_value(c, *_profile_columns())).alias(c)
+            for c in CATEGORIES
+        ]
     )
-
-    def value(category: str) -> Column:
-        accepted = ~is_blank_response(f"_parsed_{category}") & F.col(f"_read_{category}.ok")
-        fallback = default_value(category, *_profile_columns())
-        return F.when(accepted, F.col(f"_read_{category}.value")).otherwise(fallback)
-
-    data = F.struct(*[value(c).alias(c) for c in CATEGORIES])
     return read.select(*profiles.columns, data.alias("data"))
 
 

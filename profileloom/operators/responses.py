@@ -13,6 +13,7 @@ from profileloom.fixed_values import (
     UNKNOWN_NAME,
     UNKNOWN_TYPE,
 )
+from profileloom.functions.arrays import computed
 from profileloom.functions.dates import bind, parse_date_sql
 from profileloom.functions.text import UNICODE_SPACE
 from profileloom.schemas import (
@@ -113,18 +114,21 @@ def _field_sql(owner: str, field: Field, depth: int) -> str:
     return bind(f"try_variant_get({owner}, '$.{field.name}', 'variant')", value, read)
 
 
-def is_blank_response(parsed: str) -> Column:
-    """Whether an answer says nothing: no JSON, or an empty or zero value."""
-    kind = f"schema_of_variant({parsed})"
-    return F.expr(
-        f"""case
-        when {kind} is null or {kind} in ('OBJECT<>', 'VOID') then true
-        when startswith({kind}, 'ARRAY') then size(try_variant_get({parsed}, '$', 'array<variant>')) = 0
-        when {kind} = 'STRING' then try_variant_get({parsed}, '$', 'string') = ''
-        when {kind} = 'BOOLEAN' then not try_variant_get({parsed}, '$', 'boolean')
-        when {kind} rlike '{_NUMBER_KINDS}' then try_variant_get({parsed}, '$', 'double') = 0
+def is_blank_sql(parsed: str) -> str:
+    """SQL of whether an answer says nothing: no JSON, or an empty or zero value."""
+    tests = f"""case
+        when kind is null or kind in ('OBJECT<>', 'VOID') then true
+        when startswith(kind, 'ARRAY') then size(try_variant_get({parsed}, '$', 'array<variant>')) = 0
+        when kind = 'STRING' then try_variant_get({parsed}, '$', 'string') = ''
+        when kind = 'BOOLEAN' then not try_variant_get({parsed}, '$', 'boolean')
+        when kind rlike '{_NUMBER_KINDS}' then try_variant_get({parsed}, '$', 'double') = 0
         else false end"""
-    )
+    return bind(f"schema_of_variant({parsed})", "kind", tests)
+
+
+def is_blank_response(parsed: str) -> Column:
+    """``is_blank_sql`` of a column or SQL expression."""
+    return F.expr(is_blank_sql(parsed))
 
 
 def unwrap_single_list_sql(parsed: str) -> str:
@@ -134,8 +138,8 @@ def unwrap_single_list_sql(parsed: str) -> str:
     return bind(inside, "u", f"if(startswith(schema_of_variant(u), 'ARRAY'), u, {parsed})")
 
 
-def typed_value(parsed: str, category: str, unwrap: bool = False) -> Column:
-    """Struct ``(ok, value)``: a parsed answer loaded as a category's type.
+def typed_value_sql(parsed: str, category: str, unwrap: bool = False) -> str:
+    """SQL of the struct ``(ok, value)``: a parsed answer loaded as a category's type.
 
     Unknown keys are ignored. A missing required field, a value of a wrong kind
     or an unlisted choice rejects the whole answer. Numbers may come as numeric
@@ -143,21 +147,40 @@ def typed_value(parsed: str, category: str, unwrap: bool = False) -> Column:
     """
     declared = CATEGORY_KINDS[category]
     if unwrap and isinstance(declared, ListOf):
-        return F.expr(bind(unwrap_single_list_sql(parsed), "answer", read_sql("answer", declared)))
-    return F.expr(read_sql(parsed, declared))
+        return bind(unwrap_single_list_sql(parsed), "answer", read_sql("answer", declared))
+    return read_sql(parsed, declared)
+
+
+def answer_sql(content: str, category: str, unwrap: bool = False) -> str:
+    """SQL of the struct ``(status, value)`` of an answer text.
+
+    ``status`` is loaded, rejected or empty; ``value`` is null unless loaded.
+    Answers that say nothing, absent ones included, are not read any further.
+    """
+    kind = spark_type(CATEGORY_KINDS[category]).simpleString()
+
+    def outcome(status: str, value: str) -> str:
+        return f"named_struct('status', {status}, 'value', {value})"
+
+    nothing = f"cast(null as {kind})"
+    read = bind(
+        typed_value_sql("doc", category, unwrap),
+        "r",
+        outcome("if(r.ok, 'loaded', 'rejected')", f"if(r.ok, r.value, {nothing})"),
+    )
+    loaded = bind(
+        parse_response_sql(content),
+        "doc",
+        f"if({is_blank_sql('doc')}, {outcome(repr('empty'), nothing)}, {read})",
+    )
+    return f"if({content} is null, {outcome(repr('empty'), nothing)}, {loaded})"
 
 
 def load_responses(responses: DataFrame, category: str, unwrap: bool = False) -> DataFrame:
     """Adds ``status`` (loaded, rejected or empty) and the typed ``value`` of one category."""
-    read = responses.withColumn("_parsed", parse_response("content")).withColumn(
-        "_read", typed_value("_parsed", category, unwrap)
-    )
-    status = F.when(is_blank_response("_parsed"), "empty").when(F.col("_read.ok"), "loaded")
-    step = read.withColumn("status", status.otherwise("rejected"))
-    return step.select(
-        *responses.columns,
-        "status",
-        F.when(F.col("status") == "loaded", F.col("_read.value")).alias("value"),
+    read = F.expr(answer_sql("content", category, unwrap))
+    return computed(responses, read, "_answer", *responses.columns).select(
+        *responses.columns, "_answer.status", "_answer.value"
     )
 
 
@@ -211,8 +234,8 @@ FLAG_KIND = ListOf(
 )
 
 
-def typed_record(parsed: str) -> Column:
-    """Struct ``(ok, value)`` of one stored record given as a VARIANT column.
+def typed_record_sql(parsed: str) -> str:
+    """SQL of the struct ``(ok, value)`` of one stored record given as a VARIANT.
 
     List categories and flags may be missing, which reads as no items;
     confidences must be an object of numbers.
@@ -257,4 +280,4 @@ def typed_record(parsed: str) -> Column:
         "'validation_flags', q.validation_flags.value)"
     )
     whole = "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"
-    return F.expr(bind(whole, "q", _result(" and ".join(f"q.{k}.ok" for k in parts), value)))
+    return bind(whole, "q", _result(" and ".join(f"q.{k}.ok" for k in parts), value))

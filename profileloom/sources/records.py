@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from profileloom.functions.arrays import computed
+from profileloom.functions.dates import bind
 from profileloom.operators.incremental import last_per_key
 from profileloom.operators.records import flatten_fields
-from profileloom.operators.responses import typed_record
+from profileloom.operators.responses import typed_record_sql
 from profileloom.schemas import RECORD_TYPE, TRUTH_TYPE
 
 FLAT_COLUMNS = ["university_name", "field_name", "field_json", "confidence", "flags_json"]
@@ -19,9 +21,9 @@ def parse_records(lines: DataFrame) -> DataFrame:
     Records that fail the schema are dropped one by one; of several with one
     name the last stays.
     """
-    parsed = lines.select("ord", F.try_parse_json("line").alias("parsed"))
-    read = parsed.select("ord", typed_record("parsed").alias("read"))
-    valid = read.filter(F.col("read.ok")).select("ord", "read.value.*")
+    read = bind("try_parse_json(line)", "doc", typed_record_sql("doc"))
+    record = F.expr(bind(read, "r", "if(r.ok, r.value, null)"))
+    valid = computed(lines, record, "record", "ord").select("ord", "record.*")
     return last_per_key(valid, ["university_name"], ["ord"])
 
 
