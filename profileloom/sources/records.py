@@ -42,7 +42,7 @@ def record_lines(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFram
     if not _path_exists(spark, path):
         return spark.createDataFrame([], "ord bigint, line string")
     if fmt == "json":
-        documents = spark.read.option("wholetext", True).text(path)
+        documents = spark.read.text(path, wholetext=True)
         entries = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
         return documents.select(F.posexplode(entries).alias("ord", "entry")).select(
             F.col("ord").cast("bigint").alias("ord"), F.to_json("entry").alias("line")
