@@ -78,40 +78,47 @@ _SCALAR_SQL = {
 }
 
 
-def read_sql(value: str, declared, allowed: list[str] | None = None, depth: int = 0) -> str:
-    """SQL of the struct ``(ok, value)`` of a VARIANT read as a declared kind.
+def read_sql(value: str, field: Field, depth: int = 0) -> str:
+    """SQL of the struct ``(ok, value)`` of a VARIANT read as a declared field.
 
     Each level binds what it looks at to a name, so nothing is evaluated twice.
+    A value that is no list yields no items, and one that is no object yields no
+    fields and so lacks a required one; neither needs a look at its kind.
     """
-    name = f"p{depth}"
+    declared, name = field.kind, f"p{depth}"
     if isinstance(declared, ListOf):
-        item = read_sql(f"x{depth}", declared.kind, depth=depth + 1)
-        parts = (
-            f"named_struct('listed', startswith(schema_of_variant({value}), 'ARRAY'), "
-            f"'items', transform(try_variant_get({value}, '$', 'array<variant>'), x{depth} -> {item}))"
-        )
-        ok = f"{name}.listed and forall({name}.items, y -> y.ok)"
-        return bind(parts, name, _result(ok, f"transform({name}.items, y -> y.value)"))
+        item = read_sql(f"x{depth}", Field("item", declared.kind, True), depth + 1)
+        parts = f"transform(try_variant_get({value}, '$', 'array<variant>'), x{depth} -> {item})"
+        ok = f"{name} is not null and forall({name}, y -> y.ok)"
+        return _unless_absent(value, field, bind(parts, name, _result(ok, f"transform({name}, y -> y.value)")))
     if isinstance(declared, Shape):
-        fields = "".join(f", '{f.name}', {_field_sql(value, f, depth + 1)}" for f in declared.fields)
-        parts = f"named_struct('object_', startswith(schema_of_variant({value}), 'OBJECT'){fields})"
-        ok = " and ".join([f"{name}.object_", *[f"{name}.{f.name}.ok" for f in declared.fields]])
+        parts = ", ".join(f"'{f.name}', {_inner_sql(value, f, depth + 1)}" for f in declared.fields)
+        ok = " and ".join(f"{name}.{f.name}.ok" for f in declared.fields)
         values = ", ".join(f"'{f.name}', {name}.{f.name}.value" for f in declared.fields)
-        return bind(parts, name, _result(ok, f"named_struct({values})"))
+        read = bind(f"named_struct({parts})", name, _result(ok, f"named_struct({values})"))
+        return _unless_absent(value, field, read)
     source = f"named_struct('v', {value}, 'kind', schema_of_variant({value}))"
-    read = bind(source, "b", _SCALAR_SQL[declared.simpleString()])
-    listed = ", ".join(f"'{choice}'" for choice in allowed or [])
-    ok = f"r in ({listed})" if allowed else "r is not null"
-    return bind(read, "r", _result(ok, "r"))
+    listed = ", ".join(f"'{choice}'" for choice in field.allowed or [])
+    ok = f"r in ({listed})" if field.allowed else "r is not null"
+    read = bind(_SCALAR_SQL[declared.simpleString()], "r", _result(ok, "r"))
+    if not field.required:
+        read = f"if(b.kind is null or b.kind = 'VOID', {_nothing(field)}, {read})"
+    return bind(source, "b", read)
+
+
+def _nothing(field: Field) -> str:
+    return _result("true", f"cast(null as {spark_type(field.kind).simpleString()})")
 
 
-def _field_sql(owner: str, field: Field, depth: int) -> str:
+def _unless_absent(value: str, field: Field, read: str) -> str:
+    if field.required:
+        return read
+    return f"if({value} is null or is_variant_null({value}), {_nothing(field)}, {read})"
+
+
+def _inner_sql(owner: str, field: Field, depth: int) -> str:
     value = f"f{depth}"
-    read = read_sql(value, field.kind, field.allowed, depth)
-    if not field.required:
-        none = f"cast(null as {spark_type(field.kind).simpleString()})"
-        read = f"if({value} is null or is_variant_null({value}), {_result('true', none)}, {read})"
-    return bind(f"try_variant_get({owner}, '$.{field.name}', 'variant')", value, read)
+    return bind(f"try_variant_get({owner}, '$.{field.name}', 'variant')", value, read_sql(value, field, depth))
 
 
 def is_blank_sql(parsed: str) -> str:
@@ -145,10 +152,10 @@ def typed_value_sql(parsed: str, category: str, unwrap: bool = False) -> str:
     or an unlisted choice rejects the whole answer. Numbers may come as numeric
     text or booleans; integers as whole decimals; text only as text.
     """
-    declared = CATEGORY_KINDS[category]
-    if unwrap and isinstance(declared, ListOf):
-        return bind(unwrap_single_list_sql(parsed), "answer", read_sql("answer", declared))
-    return read_sql(parsed, declared)
+    field = Field(category, CATEGORY_KINDS[category], True)
+    if unwrap and isinstance(field.kind, ListOf):
+        return bind(unwrap_single_list_sql(parsed), "answer", read_sql("answer", field))
+    return read_sql(parsed, field)
 
 
 def answer_sql(content: str, category: str, unwrap: bool = False) -> str:
@@ -243,21 +250,21 @@ def typed_record_sql(parsed: str) -> str:
 
     def or_no_items(value: str, declared: ListOf) -> str:
         none = f"cast(array() as {spark_type(declared).simpleString()})"
-        return bind(value, "f0", f"if(f0 is null, {_result('true', none)}, {read_sql('f0', declared)})")
+        return bind(value, "f0", f"if(f0 is null, {_result('true', none)}, {read_sql('f0', Field('list', declared, True))})")
 
     def category(name: str) -> str:
         value = f"try_variant_get({parsed}, '$.data.{name}', 'variant')"
         declared = CATEGORY_KINDS[name]
         if isinstance(declared, ListOf):
             return or_no_items(value, declared)
-        return bind(value, "f0", read_sql("f0", declared))
+        return bind(value, "f0", read_sql("f0", Field(name, declared, True)))
 
     def required(name: str, kind) -> str:
-        return bind(f"try_variant_get({parsed}, '$.{name}', 'variant')", "f0", read_sql("f0", kind))
+        return bind(f"try_variant_get({parsed}, '$.{name}', 'variant')", "f0", read_sql("f0", Field(name, kind, True)))
 
     scores = bind(
         f"transform_values(try_variant_get({parsed}, '$.field_confidence', 'map<string,variant>'), "
-        f"(k, x) -> {read_sql('x', DOUBLE)})",
+        f"(k, x) -> {read_sql('x', Field('score', DOUBLE, True))})",
         "m",
         _result(
             "m is not null and forall(map_values(m), y -> y.ok)",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from profileloom.operators import assembly, responses
 from profileloom.operators.extractor import apply_extractor
-from profileloom.schemas import CATEGORY_KINDS
+from profileloom.schemas import DOUBLE, LONG, Field
 
 PLACE = '"location":{"city":"C","country":"Canada"}'
 CASES = [
@@ -56,8 +56,8 @@ def test_numbers_are_read_leniently(spark):
     frame = spark.createDataFrame([(i, n) for i, (n, *_) in enumerate(NUMBERS)], "i int, n string")
     read = frame.withColumn("v", F.try_parse_json("n")).select(
         "i",
-        F.expr(responses.read_sql("v", responses.spark_type(CATEGORY_KINDS["about"].fields[1].kind))).alias("whole"),
-        F.expr(responses.read_sql("v", responses.DOUBLE)).alias("real"),
+        F.expr(responses.read_sql("v", Field("n", LONG, True))).alias("whole"),
+        F.expr(responses.read_sql("v", Field("n", DOUBLE, True))).alias("real"),
     )
     for row in read.collect():
         assert (row.whole.value, row.real.value) == NUMBERS[row.i][1:], NUMBERS[row.i]
