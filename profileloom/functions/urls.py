@@ -78,7 +78,11 @@ def _without_dots(path: str) -> str:
 
 
 def resolve_sql(page_url: str, href: str) -> str:
-    """SQL of the absolute form of ``href`` as found on ``page_url``."""
+    """SQL of the absolute form of ``href`` as found on ``page_url``.
+
+    Plain absolute and rooted references, nearly all there are, take a shortcut
+    around the general algorithm.
+    """
 
     def suffixed(url: str, query: str = "r[3]") -> str:
         return (
@@ -97,7 +101,15 @@ def resolve_sql(page_url: str, href: str) -> str:
         when r[2] = '' then {suffixed(f"concat({root}, b[2])", "if(r[3] = '', b[3], r[3])")}
         when startswith(r[2], '/') then {suffixed(f"concat({root}, {_without_dots('r[2]')})")}
         else {suffixed(f"concat({root}, {_without_dots(merged)})")} end"""
-    return bind(page_url, "u", bind(href, "h", bind(_parts("u"), "b", bind(_parts("h"), "r", forms))))
+    general = bind(_parts("u"), "b", bind(_parts("h"), "r", forms))
+    plain = "not endswith(h, '?') and not endswith(h, '#') and not contains(h, '?#')"
+    rooted = "startswith(h, '/') and not startswith(h, '//') and not contains(h, '/.')"
+    shortcut = f"""case
+        when h rlike r'^https?://[^/?#]' and {plain} then h
+        when {rooted} and {plain} and u rlike '^[a-z]+://'
+            then concat(regexp_extract(u, r'^[a-z]+://[^/?#]*', 0), h)
+        else {general} end"""
+    return bind(page_url, "u", bind(href, "h", shortcut))
 
 
 def resolve(page_url: str, href: str) -> Column:

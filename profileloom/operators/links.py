@@ -11,7 +11,7 @@ from profileloom.fixed_values import (
     PAGINATION_PARAMETERS,
     PAGINATION_WORDS,
 )
-from profileloom.functions.arrays import unroll, unroll_with_position
+from profileloom.functions.arrays import computed, unroll, unroll_with_position
 from profileloom.functions.dates import bind
 from profileloom.functions.text import (
     ANY_TAG,
@@ -129,4 +129,6 @@ def followable_links(links: DataFrame) -> DataFrame:
         relevant_categories("anchor_text", "href")
     )
     kept = unroll(links, kinds, "kind", "page_url", "pos", "href")
-    return resolve_links(kept).select("page_url", "pos", "kind", "target_url", "target_domain")
+    target = F.expr(f"substring_index({resolve_sql('page_url', 'href')}, '#', 1)")
+    resolved = computed(kept, target, "target_url", "page_url", "pos", "kind")
+    return resolved.withColumn("target_domain", authority("target_url"))
