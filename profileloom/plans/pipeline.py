@@ -96,9 +96,10 @@ def run(
     keyed = with_keys(profiles)
     plan = keep(plan_targets(keyed, pages, max_urls, max_pages, materialise))
 
-    # Each planned page is cleaned and hashed once, however many plans name it.
+    # Each planned page is cleaned and hashed once, however many plans name it. An
+    # inner join, as a semi join would be pushed below the cleaning and shuffle html.
     planned = plan.select("url").distinct()
-    visited = with_clean_text(pages.join(planned, "url", "left_semi"))
+    visited = with_clean_text(pages).join(planned, "url")
     known = state if state is not None else spark.createDataFrame([], "url string, hash string, fetched_at timestamp")
     fetched = fetch_plan(plan, page_changes(visited, known).select(
         "url", "status_code", "error", "clean_text", "has_changed"
