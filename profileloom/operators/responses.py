@@ -74,7 +74,11 @@ _SCALAR_SQL = {
         when b.kind = 'STRING' then {bind(_strip(_TEXT_OF_VARIANT), "t",
             f"if(t rlike r'{_INTEGER_TEXT}', try_cast(replace(substring_index(t, '.', 1), '_', '') as bigint), null)")}
         end""",
-    "timestamp": f"cast(if(b.kind = 'STRING', {parse_date_sql(_TEXT_OF_VARIANT)}, null) as timestamp)",
+    # The reading is in UTC, whatever the session's time zone.
+    "timestamp": (
+        f"if(b.kind = 'STRING', try_cast(concat(cast({parse_date_sql(_TEXT_OF_VARIANT)} as string), 'Z') "
+        "as timestamp), null)"
+    ),
 }
 
 
