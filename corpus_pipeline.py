@@ -9,10 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from profileloom.llm.golomb_dedup import keep_one_of_equal
+from profileloom.llm.length_buckets import pack
+from profileloom.llm.quality import keep_good
+from profileloom.llm.secret_scan import redact
 from profileloom.llm.shared import stored
 from profileloom.llm.simhash import keep_one_of_near
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of equal texts stays."""
     return keep_one_of_equal(docs)
@@ -23,7 +31,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one_of_near(docs)
 
 
-STAGES = [("exact dedup", exact_dedup), ("near dedup", near_dedup)]
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced; every document stays."""
+    return redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token of the documents gets its place in a padded batch."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("secret scans", secrets),
+    ("packing", packing),
+]
 
 #: Model fitting, SimHash and dynamic programming have no SQL form.
 ORACLE_SQL = None
