@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from profileloom.llm import golomb_dedup, length_buckets, quality, secret_scan, simhash
+from profileloom.llm import golomb_dedup, length_buckets, quality, secret_scan, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,11 @@ def op5_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golomb_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
