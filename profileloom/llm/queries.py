@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from profileloom.llm import golomb_dedup, length_buckets, quality, secret_scan, simhash, token_files
+from profileloom.llm import golomb_dedup, imatch, length_buckets, quality, secret_scan, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_with_edits(_table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_buckets.pack(_table(spark, sf_dir, "documents"))
