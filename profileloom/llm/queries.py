@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from profileloom.llm import golomb_dedup, imatch, length_buckets, quality, secret_scan, simhash, token_files
+from profileloom.llm import golomb_dedup, imatch, length_buckets, quality, secret_scan, simhash, token_files, tool_chat
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,6 +63,13 @@ def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query()
+def op9_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has plain chats only, so each message becomes tool traffic first."""
+    traffic = tool_chat.derived_calls(_table(spark, sf_dir, "conversations"))
+    return tool_chat.link_tools(traffic, tool_chat.SCHEMAS)
+
+
 @_query()
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
