@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from profileloom.llm import golomb_dedup, imatch, length_buckets, quality, secret_scan, simhash, token_files, tool_chat
+from profileloom.llm import golomb_dedup, imatch, length_buckets, pseudonyms, quality, secret_scan, simhash, token_files, tool_chat
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,15 @@ def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare_with_edits(_table(spark, sf_dir, "documents"))
 
 
+#: The key of the registered query alone; a real run passes a secret of its own.
+DEMO_KEY = b"a key that is no secret"
+
+
+@_query()
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.hide_personal_data(_table(spark, sf_dir, "documents"), DEMO_KEY)
+
+
 @_query()
 def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_buckets.pack(_table(spark, sf_dir, "documents"))
