@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from profileloom.llm import golomb_dedup, imatch, length_buckets, pseudonyms, quality, secret_scan, simhash, token_files, tool_chat
+from profileloom.llm import golomb_dedup, imatch, length_buckets, pieces, pseudonyms, quality, secret_scan, simhash, token_files, tool_chat
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,6 +62,11 @@ def op5_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golomb_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_and_decode(_table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"))
