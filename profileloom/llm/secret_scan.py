@@ -44,7 +44,9 @@ ALLOWED = (
 KINDS = ("assign", "access", "hex", *(name for name, *_ in CLASSES))
 REDACTED = "[SECRET]"
 
-_TEXT = F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
 def _n_log_n(n: Column) -> Column:
@@ -117,13 +119,13 @@ def _matches(kind: int, pattern: str) -> Column:
 
     The rest behind the last match stands in an entry without match.
     """
-    found = F.regexp_extract_all(_TEXT, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(_TEXT, pattern, -1), F.length)
+    found = F.regexp_extract_all(_text(), F.lit(pattern), F.lit(0))
+    gaps = F.transform(F.split(_text(), pattern, -1), F.length)
     rows = F.transform(
         F.arrays_zip(found.alias("m"), gaps.alias("g")),
         lambda x: F.struct(F.lit(kind).alias("kind"), x["m"].alias("match"), x["g"].alias("gap")),
     )
-    return F.when(_TEXT.rlike(pattern), rows)
+    return F.when(_text().rlike(pattern), rows)
 
 
 def secret_spans(documents: DataFrame) -> DataFrame:

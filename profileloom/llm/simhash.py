@@ -97,7 +97,8 @@ def linked_forest(prints: np.ndarray, most: int) -> list[tuple[int, int]]:
             differing = rest ^ one
             shared = (differing.view(np.uint8).reshape(-1, BYTES) == 0).sum(1)
             near = shared >= BYTES - most
-            near[near] = np.bitwise_count(differing[near]) <= most
+            # Unsigned: of signed numbers the bits of the absolute value would be counted.
+            near[near] = np.bitwise_count(differing[near].view(np.uint64)) <= most
             if near.any():
                 links += [(int(one), int(x)) for x in rest[near]]
                 queue += list(rest[near])
