@@ -146,7 +146,11 @@ def _date(text: str, permute: Permute) -> str | None:
         return None
     if not 0 <= place < _DAYS:
         return None
-    new = _FIRST_DAY + timedelta(permute(place, _DAYS, "date"))
+    while True:  # days above 12 stay so in any notation: then the order of day and month stays as plain as it was
+        place = permute(place, _DAYS, "date")
+        new = _FIRST_DAY + timedelta(place)
+        if (new.day > 12) == (day > 12):
+            break
     first, last = (new.day, new.month) if american else (new.month, new.day)
     pad = 2 if any(len(p) == 2 and p[0] == "0" for p in parts) or all(len(p) >= 2 for p in parts) else 1
     fields = [f"{new.year:04d}", f"{first:0{pad}d}", f"{last:0{pad}d}"]
