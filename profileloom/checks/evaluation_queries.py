@@ -14,6 +14,8 @@ from profileloom.checks.registry import register
 from profileloom.checks.rule_queries import all_flags_sql
 from profileloom.fixed_values import CATEGORIES
 from profileloom.operators import evaluation
+from profileloom.runtime import fresh_path
+from profileloom.sources import records as record_io
 
 # Fields of a truth row over the columns of "rec".
 _YEAR = "case when ek % 5 = 0 then null when ek % 5 = 1 then cast(floor(price / 200) as bigint) else cast(1900 as bigint) end"
@@ -47,6 +49,26 @@ def joined(spark, sf_dir):
     return evaluation.join_truth(truth_rows(spark, sf_dir), found)
 
 
+@register(
+    f"""
+select name as university_name, case when ek % 10 = 0 then null else {_YEAR} end as founding_year,
+  case when ek % 10 = 0 then null else {_TYPE} end as institution_type,
+  case when ek % 7 = 0 then null else cast(2 as int) end as n_fees,
+  case when ek % 8 = 0 then null else {_RATE} end as overall_pct,
+  case when ek % 11 = 0 then null else cast(2 as int) end as n_courses
+from $rec"""
+)
+def truth_read(spark, sf_dir):
+    """Ground truth stored as one object per line, all of it read again."""
+    path = fresh_path(spark, "truth")
+    truth_rows(spark, sf_dir).write.json(path)
+    items = lambda name: F.when(F.col(f"data.{name}").isNotNull(), F.size(f"data.{name}"))
+    return record_io.read_truth(spark, path, "jsonl").select(
+        "university_name", "data.about.founding_year", "data.about.institution_type",
+        items("tuition_fees").alias("n_fees"), "data.acceptance_rate.overall_pct", items("course_listings").alias("n_courses"),
+    )
+
+
 # ------------------------------------------------- the oracle, in long form
 def _plain(text: str) -> str:
     return f"lower(regexp_replace(coalesce({text}, ''), '[^a-zA-Z0-9]', '', 'g'))"

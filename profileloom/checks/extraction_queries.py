@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from profileloom.checks.inputs import load
+from profileloom.checks.inputs import dealt, load
 from profileloom.checks.registry import register
 from profileloom.fixed_values import LIST_CATEGORIES, MAX_CONTEXT_CHARS
 from profileloom.operators import assembly, records, responses
 from profileloom.operators.extractor import apply_extractor
-from profileloom.runtime import spread
 
 _TEXTS = """
 select ek, category,
@@ -101,7 +100,7 @@ from $answer"""
 )
 def response_parse(spark, sf_dir):
     parsed = responses.parse_response("about_content")
-    return spread(load(spark, sf_dir, "answer")).select("ek", parsed.alias("v")).select(
+    return dealt(load(spark, sf_dir, "answer")).select("ek", parsed.alias("v")).select(
         "ek",
         F.col("v").isNotNull().alias("parsed"),
         F.try_variant_get("v", "$.name", "string").alias("name"),
@@ -128,7 +127,7 @@ from $answer"""
 
 @register(_TYPED)
 def response_typed(spark, sf_dir):
-    answers = spread(load(spark, sf_dir, "answer"))
+    answers = dealt(load(spark, sf_dir, "answer"))
     about = responses.load_responses(answers.select("ek", F.col("about_content").alias("content")), "about")
     tuition = responses.load_responses(
         answers.select("ek", F.col("tuition_content").alias("content")), "tuition_fees"
@@ -212,8 +211,8 @@ def stub_records(spark, sf_dir):
 
 def _profiles_and_answers(spark, sf_dir):
     """One profile per order with the answers for two of its categories."""
-    base = spread(load(spark, sf_dir, "rec")).select("ek", "name", "country", "base_url")
-    answers = spread(load(spark, sf_dir, "answer"))
+    base = dealt(load(spark, sf_dir, "rec")).select("ek", "name", "country", "base_url")
+    answers = dealt(load(spark, sf_dir, "answer"))
     long = answers.select("ek", F.lit("about").alias("category"), F.col("about_content").alias("content")).unionByName(
         answers.select("ek", F.lit("tuition_fees").alias("category"), F.col("tuition_content").alias("content"))
     )

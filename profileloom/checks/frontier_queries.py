@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from profileloom.checks.inputs import load
+from profileloom.checks.inputs import dealt, load
 from profileloom.checks.page_queries import (
     _RESOLVED,
     _TARGETS,
@@ -16,7 +16,6 @@ from profileloom.checks.registry import register
 from profileloom.functions.urls import base_domain, strip_fragment
 from profileloom.operators import frontier, links
 from profileloom.operators.pages import plan_usable
-from profileloom.runtime import spread
 from profileloom.sources.profiles import entity_named, seed_rows
 
 MAX_URLS, MAX_PAGES = 4, 5
@@ -55,7 +54,7 @@ def _walk(max_pages: int) -> dict[str, str]:
 def _inputs(spark, sf_dir):
     entities = load(spark, sf_dir, "entity").select("ek", base_domain("base_url").alias("base_domain"))
     ok_pages = load(spark, sf_dir, "linkpage").filter("status_code < 400").select(F.col("url").alias("page_url"))
-    table = links.followable_links(_link_tokens(spread(load(spark, sf_dir, "link"))))
+    table = links.followable_links(_link_tokens(dealt(load(spark, sf_dir, "link"))))
     return load(spark, sf_dir, "seed"), entities, table.join(ok_pages, "page_url", "left_semi")
 
 

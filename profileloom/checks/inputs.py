@@ -410,3 +410,12 @@ select * from (values ('United States', 'USD'), ('United Kingdom', 'GBP'), ('Can
   ('New Zealand', 'NZD'), ('Singapore', 'SGD')) as t(country, expected)""",
     **{f"rec_{name}": duck_items(name) for name in [*RECORD_STRUCTS, *RECORD_ITEMS]},
 }
+
+
+def dealt(df):
+    """The rows of a one-file table dealt over the cluster, for checks of costly expressions.
+
+    The given tables have one split each. Operators never deal their input: a large
+    table has splits enough.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from profileloom.checks.inputs import load, run_sql
+from profileloom.checks.inputs import dealt, load, run_sql
 from profileloom.checks.registry import register
 from profileloom.fixed_values import CATEGORIES, CATEGORY_KEYWORDS
 from profileloom.functions.arrays import unroll
@@ -16,7 +16,6 @@ from profileloom.functions.text import (
 )
 from profileloom.functions.urls import base_domain, in_domain, resolve, strip_fragment
 from profileloom.operators import incremental, links, pages, robots
-from profileloom.runtime import spread
 
 # The oracle's own reading of HTML, one replacement per element kind.
 _RAW = ["script", "style", "noscript", "iframe"]
@@ -50,18 +49,18 @@ def page_scan(spark, sf_dir):
 
 @register(f"select page_id, {DUCK_CLEAN} as clean_text from $pages")
 def page_clean_text(spark, sf_dir):
-    return spread(load(spark, sf_dir, "pages")).select("page_id", clean_text(F.col("html")).alias("clean_text"))
+    return dealt(load(spark, sf_dir, "pages")).select("page_id", clean_text(F.col("html")).alias("clean_text"))
 
 
 @register(f"select page_id, {DUCK_VISIBLE} as visible_text from $pages")
 def page_visible_text(spark, sf_dir):
-    return spread(load(spark, sf_dir, "pages")).select("page_id", visible_text(F.col("html")).alias("visible_text"))
+    return dealt(load(spark, sf_dir, "pages")).select("page_id", visible_text(F.col("html")).alias("visible_text"))
 
 
 @register("select page_id, needs_render from $page", page=_DUCK_PAGE)
 def page_needs_render(spark, sf_dir):
     flag = pages.needs_render(F.col("error"), F.col("status_code"), F.col("html"))
-    return spread(load(spark, sf_dir, "fetch")).select("page_id", flag.alias("needs_render"))
+    return dealt(load(spark, sf_dir, "fetch")).select("page_id", flag.alias("needs_render"))
 
 
 @register(
@@ -69,14 +68,14 @@ def page_needs_render(spark, sf_dir):
     page=_DUCK_PAGE,
 )
 def page_profile(spark, sf_dir):
-    return pages.page_profile(spread(load(spark, sf_dir, "fetch"))).select(
+    return pages.page_profile(dealt(load(spark, sf_dir, "fetch"))).select(
         "page_id", "url", "clean_text", "needs_render", "hash"
     )
 
 
 @register(f"select page_id, sha256({DUCK_CLEAN}) as hash from $pages")
 def page_hash(spark, sf_dir):
-    return spread(load(spark, sf_dir, "pages")).select(
+    return dealt(load(spark, sf_dir, "pages")).select(
         "page_id", content_hash(clean_text(F.col("html"))).alias("hash")
     )
 
@@ -106,7 +105,7 @@ from $anchors"""
 
 @register("select page_id, pos, href, anchor_text from $page_links", anchors=_ANCHORS, page_links=_PAGE_LINKS)
 def link_extract(spark, sf_dir):
-    found = links.extract_links(spread(load(spark, sf_dir, "pages")), "page_id")
+    found = links.extract_links(dealt(load(spark, sf_dir, "pages")), "page_id")
     return found.select("page_id", "pos", "href", "anchor_text")
 
 
@@ -127,8 +126,8 @@ select page_id as ek, url as page_url, pos, href,
     resolved=_RESOLVED, anchors=_ANCHORS, page_links=_PAGE_LINKS,
 )
 def url_resolve(spark, sf_dir):
-    table = spread(load(spark, sf_dir, "link")).select("ek", "page_url", "pos", "href")
-    found = links.extract_links(spread(load(spark, sf_dir, "pages")), "page_id").select(
+    table = dealt(load(spark, sf_dir, "link")).select("ek", "page_url", "pos", "href")
+    found = links.extract_links(dealt(load(spark, sf_dir, "pages")), "page_id").select(
         F.col("page_id").alias("ek"), "page_url", "pos", "href"
     )
     return table.union(found).withColumn("absolute", resolve("page_url", "href"))
@@ -147,7 +146,7 @@ select *, split_part(absolute, '#', 1) as target_url,
 
 
 def _resolved_links(spark, sf_dir):
-    return links.resolve_links(spread(load(spark, sf_dir, "link")))
+    return links.resolve_links(dealt(load(spark, sf_dir, "link")))
 
 
 @register(
@@ -182,7 +181,7 @@ def _link_tokens(frame):
 
 @register(f"select ek, page_url, pos, href, anchor_text, {DUCK_IS_PAGE} as is_page from $link")
 def link_pagination(spark, sf_dir):
-    table = _link_tokens(spread(load(spark, sf_dir, "link")))
+    table = _link_tokens(dealt(load(spark, sf_dir, "link")))
     flag = links.is_pagination("anchor_text", "href", "rel", "classes")
     return table.select("ek", "page_url", "pos", "href", "anchor_text", flag.alias("is_page"))
 
@@ -207,7 +206,7 @@ DUCK_RELEVANT = {c: _duck_relevant(c) for c in CATEGORIES}
 )
 def link_relevance(spark, sf_dir):
     hits = links.relevant_categories("anchor_text", "href")
-    return unroll(spread(load(spark, sf_dir, "link")), hits, "category", "ek", "page_url", "pos", "href")
+    return unroll(dealt(load(spark, sf_dir, "link")), hits, "category", "ek", "page_url", "pos", "href")
 
 
 @register(
@@ -235,8 +234,8 @@ _RUN_TIME = "2026-01-01 00:00:00"
 
 
 def _now_and_earlier(spark, sf_dir):
-    now = pages.with_clean_text(spread(load(spark, sf_dir, "fetch")))
-    earlier = spread(load(spark, sf_dir, "earlier_page")).select(
+    now = pages.with_clean_text(dealt(load(spark, sf_dir, "fetch")))
+    earlier = dealt(load(spark, sf_dir, "earlier_page")).select(
         "url",
         content_hash(clean_text(F.col("html"))).alias("hash"),
         F.lit(_EARLIER_TIME).cast("timestamp_ntz").alias("fetched_at"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from profileloom.checks.inputs import (
+    dealt,
     duck_data_columns,
     load,
     run_sql,
@@ -19,7 +20,7 @@ from profileloom.checks.rule_queries import (
 from profileloom.fixed_values import CATEGORIES
 from profileloom.functions.arrays import unroll
 from profileloom.operators import incremental, records, rules
-from profileloom.runtime import fresh_path, spread
+from profileloom.runtime import fresh_path
 from profileloom.schemas import DATA_TYPE
 from profileloom.sources import records as record_io
 
@@ -29,7 +30,7 @@ _RUN_TIME = "2026-01-01"
 def nested_records(spark, sf_dir):
     """One nested record per order: ``ek, ord, name, country, base_url, data``."""
     columns = spark_data_columns()
-    base = spread(load(spark, sf_dir, "rec"))
+    base = dealt(load(spark, sf_dir, "rec"))
     flat = base.selectExpr("ek", "ord", "name", "country", "base_url", *[f"{columns[c]} as {c}" for c in CATEGORIES])
     data = F.struct(*CATEGORIES).cast(DATA_TYPE)
     return flat.select("ek", "ord", "name", "country", "base_url", data.alias("data"))
@@ -84,18 +85,28 @@ def flat_csv_roundtrip(spark, sf_dir):
     return _count_flags(record_io.read_flat(spark, path))
 
 
-@register(
-    """
+_STORE = """
 select r.ek as ord, r.name as university_name, timestamp '2026-01-01' as scraped_at,
   case when r.ek % 7 = 0 then null else cast(floor(price / 200) as bigint) end as founding_year,
   n_tuition as n_fees, n_requirement as n_requirements, coalesce(n, 0) as n_flags
-from $rec r left join (select ek, count(*) as n from $flags group by ek) f on f.ek = r.ek""",
-    flags=all_flags_sql(nested=True),
-)
+from $rec r left join (select ek, count(*) as n from $flags group by ek) f on f.ek = r.ek"""
+
+
+@register(_STORE, flags=all_flags_sql(nested=True))
+def records_parquet_roundtrip(spark, sf_dir):
+    path = fresh_path(spark, "records")
+    record_io.write_records(stored_records(spark, sf_dir), path, "parquet")
+    return _store_summary(record_io.read_records(spark, path, "parquet"))
+
+
+@register(_STORE, flags=all_flags_sql(nested=True))
 def records_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "records")
     record_io.write_records(stored_records(spark, sf_dir), path)
-    read = record_io.read_records(spark, path)
+    return _store_summary(record_io.read_records(spark, path))
+
+
+def _store_summary(read):
     return read.select(
         "ord", "university_name", F.col("scraped_at").cast("timestamp_ntz").alias("scraped_at"),
         F.col("data.about.founding_year").alias("founding_year"),
@@ -131,13 +142,45 @@ select ord, university_name, about_name, monthly_rent, n_flags from (
     lines=_LINES,
 )
 def records_tolerant_load(spark, sf_dir):
-    lines = spread(run_sql(spark, sf_dir, _LINES).select("ord", "line"))
+    lines = dealt(run_sql(spark, sf_dir, _LINES).select("ord", "line"))
     return record_io.parse_records(lines).select(
         "ord", "university_name", F.col("data.about.name").alias("about_name"),
         "data.living_costs.monthly_rent", F.size("validation_flags").alias("n_flags"),
     )
 
 
+@register(
+    """
+select university_name, about_name, monthly_rent from (
+  select name as university_name, cast(ord as varchar) as about_name, cast(o_custkey as double) as monthly_rent,
+    row_number() over (partition by name order by ord desc) as n
+  from $lines join $orders on o_orderkey = ord where variant < 3) x where n = 1""",
+    lines=_LINES,
+)
+def records_last_wins(spark, sf_dir):
+    """Lines that carry no position: the last of a name in file order stays."""
+    path = fresh_path(spark, "lines")
+    run_sql(spark, sf_dir, _LINES).orderBy("ord").select("line").write.text(path)
+    read = record_io.read_records(spark, path)
+    return read.select("university_name", F.col("data.about.name").alias("about_name"), "data.living_costs.monthly_rent")
+
+
+@register(
+    """
+select case when variant < 6 then name end as university_name,
+  case when variant < 7 then cast(ord as varchar) end as about_name, variant = 7 as broken
+from $lines""",
+    lines=_LINES,
+)
+def records_raw_load(spark, sf_dir):
+    """Every stored line in declared types, damaged ones included."""
+    path = fresh_path(spark, "lines")
+    run_sql(spark, sf_dir, _LINES).select("line").write.text(path)
+    read = record_io.read_raw_records(spark, path)
+    about = F.col("data.about.name")
+    return read.select("university_name", about.alias("about_name"), about.isNull().alias("broken"))
+
+
 @register("select ord, name as university_name from $rec where ek % 10 <> 0")
 def entity_list(spark, sf_dir):
     nameless = F.when(F.col("ek") % 10 != 0, F.col("name"))
@@ -219,21 +262,33 @@ def reuse_merge(spark, sf_dir):
     )
 
 
-@register(
-    """
+_UPSERT = """
 select university_name, ord, source from (
   select *, row_number() over (partition by university_name order by case source when 'new' then 1 else 0 end desc, ord desc) as n from (
     select concat('Customer ', cast(c_custkey as varchar)) as university_name, c_custkey as ord, 'old' as source from $customer
     union all
-    select concat('Customer ', cast(o_custkey as varchar)), o_orderkey, 'new' from $orders where o_orderstatus = 'P') u) x
+    select concat('Customer ', cast(o_custkey as varchar)), o_orderkey, 'new' from $orders where {batch}) u) x
 where n = 1"""
-)
-def record_upsert(spark, sf_dir):
+
+
+def _upserted(spark, sf_dir, batch):
     named = lambda key: F.concat(F.lit("Customer "), F.col(key).cast("string")).alias("university_name")
     stored = load(spark, sf_dir, "customer").select(
         named("c_custkey"), F.col("c_custkey").alias("ord"), F.lit("old").alias("source")
     )
-    fresh = load(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(
+    fresh = load(spark, sf_dir, "orders").filter(batch).select(
         named("o_custkey"), F.col("o_orderkey").alias("ord"), F.lit("new").alias("source")
     )
     return incremental.upsert(stored, fresh)
+
+
+@register(_UPSERT.format(batch="o_orderstatus = 'P'"))
+def record_upsert(spark, sf_dir):
+    """A small batch: most stored records stay."""
+    return _upserted(spark, sf_dir, "o_orderstatus = 'P'")
+
+
+@register(_UPSERT.format(batch="true"))
+def record_upsert_all(spark, sf_dir):
+    """A batch that repeats most keys."""
+    return _upserted(spark, sf_dir, "true")

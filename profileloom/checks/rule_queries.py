@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from profileloom.checks.inputs import load
+from profileloom.checks.inputs import dealt, load
 from profileloom.checks.registry import register
 from profileloom.fixed_values import CATEGORIES, LIST_CATEGORIES
 from profileloom.functions.dates import parse_date
 from profileloom.functions.numbers import is_close
 from profileloom.operators import rules
-from profileloom.runtime import spread
 
 AS_OF_YEAR = 2026
 VIEW_OF = {
@@ -171,9 +170,7 @@ _COLUMNS = ["ek", "field", "rule_id", "part", "idx", "severity"]
 
 
 def _table(spark, sf_dir, field):
-    table = load(spark, sf_dir, VIEW_OF[field])
-    # Only date parsing is costly enough to be worth spreading a small scan.
-    return spread(table) if field in rules.DERIVED else table
+    return load(spark, sf_dir, VIEW_OF[field])
 
 
 def _register_rule(name: str, field: str, ids: set[str]) -> None:
@@ -284,7 +281,7 @@ select ek, date_text, d is not null as is_date, d as parsed from (
 )
 def date_parse(spark, sf_dir):
     parsed = parse_date("date_text")
-    return spread(load(spark, sf_dir, "date_text")).select(
+    return dealt(load(spark, sf_dir, "date_text")).select(
         "ek", "date_text", parsed.isNotNull().alias("is_date"), parsed.alias("parsed")
     )
 

@@ -101,13 +101,3 @@ def join_on_hot_key(
     )
     copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_facts.join(copies, [*keys, "_salt"], how).drop("_salt")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads a scan of fewer splits than cores before CPU-heavy expressions.
-
-    A scan that already has a split per core, as any large one has, is returned
-    as it is and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -22,6 +22,8 @@ def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
             F.raise_error(F.lit("profiles must have a 'universities' root key"))
         )
         return documents.select(F.explode(checked).alias("p")).select("p.*")
+    if fmt not in ("jsonl", "parquet"):
+        raise ValueError(f"unknown format {fmt!r}; known are json, jsonl, parquet")
     reader = spark.read.schema(PROFILE_TYPE)
     return reader.json(path) if fmt == "jsonl" else reader.format(fmt).load(path)
 

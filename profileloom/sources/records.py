@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from profileloom.functions.arrays import computed
 from profileloom.functions.dates import bind
@@ -32,40 +33,106 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+_TEXT_FORMATS = ("json", "jsonl")
+
+
+def _known_format(fmt: str, formats: tuple[str, ...]) -> None:
+    if fmt not in formats:
+        raise ValueError(f"unknown format {fmt!r}; known are {', '.join(formats)}")
+
+
+def _numbered_files(rows: DataFrame) -> DataFrame:
+    """Adds ``file``: the rank of each row's file by path, one row per file being ranked."""
+    order = Window.orderBy("path")
+    files = rows.select("path").distinct().withColumn("file", F.row_number().over(order) - 1)
+    return rows.join(files, "path")
+
+
+def _place(file: Column, within: Column) -> Column:
+    """One number for a place within a file: below 2**40, as a file's bytes are."""
+    return F.shiftleft(file.cast("bigint"), 40) + within
+
+
+def _array_text(document: Column) -> Column:
+    """A document as the text of an array; one that isn't JSON as a whole fails the job."""
+    trimmed = F.trim(document)
+    listed = F.when(trimmed.startswith("["), trimmed).otherwise(F.concat(F.lit("["), trimmed, F.lit("]")))
+    broken = F.raise_error(F.lit("not one JSON document; one record per line is the format jsonl"))
+    return F.when(F.try_parse_json(listed).isNotNull(), listed).otherwise(broken.cast("string"))
+
+
 def record_lines(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFrame:
-    """Raw record texts ``(ord, line)`` of a file; no rows when it is missing.
+    """Raw record texts ``(ord, line)`` of a path; no rows when it is missing.
 
-    ``json`` is one array document, read whole because its records cannot be
-    told apart otherwise; ``jsonl`` holds one record per line, carries its
-    position as ``ord``, and splits over tasks.
+    ``json`` is one array document (or one object), read whole because its records
+    cannot be told apart otherwise; ``jsonl`` holds one record per line and splits over
+    tasks. ``ord`` is what a line carries under that name, else its place: files by
+    path, then lines as they stand.
     """
+    _known_format(fmt, _TEXT_FORMATS)
     if not _path_exists(spark, path):
         return spark.createDataFrame([], "ord bigint, line string")
     if fmt == "json":
-        documents = spark.read.text(path, wholetext=True)
-        entries = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
-        return documents.select(F.posexplode(entries).alias("ord", "entry")).select(
-            F.col("ord").cast("bigint").alias("ord"), F.to_json("entry").alias("line")
+        documents = _numbered_files(
+            spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+        )
+        entries = F.try_variant_get(F.parse_json(_array_text(F.col("value"))), "$", "array<variant>")
+        return documents.select("file", F.posexplode(entries).alias("pos", "entry")).select(
+            _place(F.col("file"), F.col("pos")).alias("ord"), F.to_json("entry").alias("line")
         )
-    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    # The scan numbers a task's lines in order; a block lies in one task, and its first
+    # byte plus a line's number in it grows along the file.
+    scanned = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
+    )
+    in_block = F.row_number().over(Window.partitionBy("path", "block").orderBy("row"))
+    placed = _numbered_files(scanned.withColumn("within", F.col("block") + in_block))
     position = F.try_variant_get(F.try_parse_json("line"), "$.ord", "bigint")
-    return lines.select(F.coalesce(position, F.lit(0)).alias("ord"), "line")
+    return placed.select(F.coalesce(position, _place(F.col("file"), F.col("within"))).alias("ord"), "line")
+
+
+def _stored_columns() -> T.StructType:
+    return T.StructType([T.StructField("ord", T.LongType()), *RECORD_TYPE.fields])
+
+
+def _read_columnar(spark: SparkSession, path: str) -> DataFrame:
+    """Records as ``write_records`` stores them; only the asked columns and fields are read."""
+    if not _path_exists(spark, path):
+        return spark.createDataFrame([], _stored_columns())
+    return spark.read.schema(_stored_columns()).parquet(path)
 
 
 def read_records(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFrame:
     """Stored records that fit the schema, one per name, with their position ``ord``."""
+    _known_format(fmt, (*_TEXT_FORMATS, "parquet"))
+    if fmt == "parquet":
+        named = _read_columnar(spark, path).filter("university_name is not null")
+        return last_per_key(named, ["university_name"], ["ord"])
     return parse_records(record_lines(spark, path, fmt))
 
 
 def read_raw_records(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFrame:
     """Stored records for lookups: declared types, but nothing is dropped or deduplicated."""
+    _known_format(fmt, (*_TEXT_FORMATS, "parquet"))
+    if fmt == "parquet":
+        return _read_columnar(spark, path)
     parsed = F.from_json("line", RECORD_TYPE, {"mode": "PERMISSIVE"})
     return record_lines(spark, path, fmt).select("ord", parsed.alias("r")).select("ord", "r.*")
 
 
-def write_records(records: DataFrame, path: str) -> None:
-    """One JSON record per line, nulls kept, ``ord`` included when present."""
-    records.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
+def write_records(records: DataFrame, path: str, fmt: str = "jsonl") -> None:
+    """One record per line or row, nulls kept, ``ord`` included when present.
+
+    ``parquet`` is the store for large tables: it splits, keeps types and lets a lookup
+    read single fields.
+    """
+    _known_format(fmt, ("jsonl", "parquet"))
+    writer = records.write.mode("errorifexists")
+    if fmt == "parquet":
+        writer.parquet(path)
+    else:
+        writer.option("ignoreNullFields", "false").json(path)
 
 
 def write_flat(records: DataFrame, path: str) -> None:
@@ -81,6 +148,13 @@ def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(columns).options(**options).csv(path)
 
 
-def read_truth(spark: SparkSession, path: str) -> DataFrame:
-    """Sparse ground truth: an array document or one JSON object per line."""
-    return spark.read.schema(TRUTH_TYPE).option("multiLine", True).json(path)
+def read_truth(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Sparse ground truth: ``json`` is an array document (or one object), ``jsonl`` an
+    object per line, ``parquet`` a row per object. All objects count, whatever the format."""
+    _known_format(fmt, (*_TEXT_FORMATS, "parquet"))
+    if fmt != "json":
+        reader = spark.read.schema(TRUTH_TYPE)
+        return reader.json(path) if fmt == "jsonl" else reader.parquet(path)
+    documents = spark.read.text(path, wholetext=True)
+    entries = F.from_json(_array_text(F.col("value")), T.ArrayType(TRUTH_TYPE))
+    return documents.select(F.explode(entries).alias("t")).select("t.*")

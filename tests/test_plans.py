@@ -8,7 +8,10 @@ from profileloom.runtime import join_on_hot_key
 
 SF_DIR = "/root/testdata/sf0.001"
 WITH_PYTHON = {"extractor_plugin"}
-WRITES = {"flat_csv_roundtrip", "records_roundtrip"}
+WRITES = {
+    "flat_csv_roundtrip", "records_roundtrip", "records_parquet_roundtrip", "records_last_wins", "records_raw_load",
+    "truth_read",
+}
 
 
 def physical(frame):

@@ -160,7 +160,44 @@ def test_array_document_of_records(spark, tmp_path):
     assert sorted(read) == ["Other U", "Test U"]
     assert read[lines[0]["university_name"]].field_confidence == {"about": 1.0}
     path.write_text("not json")
-    assert record_io.read_records(spark, str(path), "json").isEmpty()
+    with pytest.raises(Exception, match="jsonl"):
+        record_io.read_records(spark, str(path), "json").count()
+
+
+def test_last_line_of_a_name_wins_without_positions(spark, tmp_path):
+    line = json.loads(stored(spark).limit(1).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).first()[0])
+    line.pop("ord")
+    for name, years in (("a.jsonl", range(5)), ("b.jsonl", range(5, 9))):
+        lines = [{**line, "data": {**line["data"], "about": {**line["data"]["about"], "name": f"v{y}"}}} for y in years]
+        (tmp_path / name).write_text("\n".join(map(json.dumps, lines)) + "\n")
+    read = record_io.read_records(spark, str(tmp_path)).collect()
+    assert [r.data.about.name for r in read] == ["v8"]
+    raw = record_io.read_raw_records(spark, str(tmp_path)).orderBy("ord").collect()
+    assert [r.data.about.name for r in raw] == [f"v{y}" for y in range(9)]
+
+
+def test_record_formats(spark, tmp_path):
+    path = str(tmp_path / "columnar")
+    record_io.write_records(stored(spark), path, "parquet")
+    read = by_name(record_io.read_records(spark, path, "parquet"))
+    assert read["Test U"].data == by_name(stored(spark))["Test U"].data
+    assert record_io.read_raw_records(spark, path, "parquet").count() == 2
+    assert record_io.read_records(spark, str(tmp_path / "none"), "parquet").isEmpty()
+    for use in (record_io.read_records, record_io.read_raw_records, record_io.read_truth):
+        with pytest.raises(ValueError, match="unknown format"):
+            use(spark, path, "csv")
+
+
+def test_truth_formats_keep_every_object(spark, tmp_path):
+    truth = [{"university_name": f"U{i}", "data": {"about": {"founding_year": 1900 + i}}} for i in range(3)]
+    lines, array = tmp_path / "t.jsonl", tmp_path / "t.json"
+    lines.write_text("\n".join(map(json.dumps, truth)))
+    array.write_text(json.dumps(truth, indent=1))
+    for path, fmt in ((lines, "jsonl"), (array, "json")):
+        rows = record_io.read_truth(spark, str(path), fmt).collect()
+        assert sorted((r.university_name, r.data.about.founding_year) for r in rows) == [(f"U{i}", 1900 + i) for i in range(3)]
+    with pytest.raises(Exception, match="jsonl"):
+        record_io.read_truth(spark, str(lines), "json").count()
 
 
 def test_lookups(spark):
