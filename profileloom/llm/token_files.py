@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ TOKENIZER = "byte_bpe_50k.json"
 # space holds whatever other engines count as such; letters and punctuation are kept to
 # ranges all engines agree on.
 _PIECE = re.compile(r"\s*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-/:-@\[-`{-~])|\s*\S+|\s+")
-_REMEMBERED, _LONGEST = 700_000, 64
+_REMEMBERED, _LONGEST = 1_000_000, 64
 
 
 def encode_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
@@ -65,7 +66,9 @@ def encode_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
     packed = {}
     for width in np.unique(widths):  # blocks of a width are packed at once
         mine = np.flatnonzero(widths == width)
-        bits = ((rest[mine][:, :, None] >> np.arange(width)) & 1).astype(np.uint8).reshape(len(mine), BLOCK * width)
+        kind = "<u2" if width <= 16 else "<u4"
+        low = (rest[mine] & ((1 << int(width)) - 1)).astype(kind).view(np.uint8).reshape(len(mine), BLOCK, -1)
+        bits = np.unpackbits(low, axis=2, bitorder="little", count=int(width)).reshape(len(mine), BLOCK * int(width))
         packed.update(zip(mine.tolist(), np.packbits(bits, axis=1, bitorder="little"), strict=True))
     heads = np.zeros(blocks, [("least", "<u4"), ("width", "u1"), ("last", "u1"), ("more", "u1")])
     over = (needed > widths[:, None]) & (np.arange(BLOCK) < counts[:, None])
@@ -167,7 +170,7 @@ class Encoder:
         if len(self._known) > _REMEMBERED:
             self._known.clear()
         known, pieces = self._known, [_PIECE.findall(t) for t in texts]
-        new = {p for each in pieces for p in each if p not in known}
+        new = set().union(*pieces).difference(known)
         learnt = self._learn(sorted(new)) if new else {}
         known.update((p, ids) for p, ids in learnt.items() if len(p) <= _LONGEST)
         long = {p: ids for p, ids in learnt.items() if len(p) > _LONGEST}
@@ -175,8 +178,14 @@ class Encoder:
         return [np.frombuffer(b"".join(map(take, each)), "<u4").astype(np.int64) for each in pieces]
 
 
+@lru_cache(2)
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker, with what it remembers."""
+    return Encoder(path)
+
+
 def _segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encode, part, number = Encoder(path), TaskContext.get().partitionId(), 0
+    encode, part, number = _encoder(path), TaskContext.get().partitionId(), 0
     ids, docs, held = [], [], 0
 
     def flush() -> pa.RecordBatch:
