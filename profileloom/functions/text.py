@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,39 +17,100 @@ COMMENT = r"<!--.*?(?:-->|\z)"
 UNICODE_SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
 # Element names whose content the tokenizer never reads as markup.
 OPAQUE_ELEMENTS = ["script", "style"]
+# Elements that have no end tag.
+VOID_ELEMENTS = [
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
+]
 
 
 def _element(name: str) -> str:
     return rf"<{name}(?=[\s/>]){TAG_BODY}>.*?(?:</{name}\s*+>|\z)"
 
 
-def _innermost(names: list[str]) -> str:
+def _tag(names: list[str], closing: str = "") -> str:
+    return rf"<{closing}(?:{'|'.join(names)})(?=[\s/>]){TAG_BODY}>"
+
+
+def _closed(names: list[str]) -> str:
+    """A dropped element that is closed and holds no dropped one's tags."""
     tags = "|".join(names)
     return (
         rf"<({tags})(?=[\s/>]){TAG_BODY}>"
-        rf"(?:[^<]++|<(?!\1[\s/>]|/\1\s*+>))*+(?:</\1\s*+>|\z)"
+        rf"(?:[^<]++|<(?!/?(?:{tags})[\s/>]))*+</\1\s*+>"
     )
 
 
+def _without(text: Column, drops: list[str], gap: str) -> Column:
+    """Text pieces of a page outside the dropped elements, by walking its tags with a stack.
+
+    A closing tag closes its element and whatever is open inside it; one that closes
+    nothing is ignored. Per tag only a flag is kept, so long pages stay cheap.
+    """
+    tags = F.regexp_extract_all(text, F.lit(ANY_TAG), F.lit(0))
+    pieces = F.split(text, ANY_TAG, -1)
+    named = F.transform(
+        tags,
+        lambda tag: F.struct(
+            F.lower(F.regexp_extract(tag, r"^</?([a-zA-Z][^\s/>]*)", 1)).alias("name"), tag.startswith("</").alias("ends")
+        ),
+    )
+    start = F.struct(
+        F.array().cast("array<string>").alias("open"), F.lit(0).alias("from"), F.array(F.lit(True)).alias("shown"),
+    )
+
+    def step(state: Column, tag: Column) -> Column:
+        opens = ~tag["ends"] & (tag["name"] != "") & ~tag["name"].isin(VOID_ELEMENTS)
+        depth = F.size(state["open"]) + 1 - F.array_position(F.reverse(state["open"]), tag["name"]).cast("int")
+        closes = tag["ends"] & F.array_contains(state["open"], tag["name"])
+        stack = (
+            F.when(opens, F.concat(state["open"], F.array(tag["name"])))
+            .when(closes, F.slice(state["open"], F.lit(1), depth - 1))
+            .otherwise(state["open"])
+        )
+        dropped = (
+            F.when(opens & (state["from"] == 0) & tag["name"].isin(drops), F.size(state["open"]) + 1)
+            .when(closes & (depth <= state["from"]), 0)
+            .otherwise(state["from"])
+        )
+        return F.struct(stack.alias("open"), dropped.alias("from"), F.concat(state["shown"], F.array(dropped == 0)).alias("shown"))
+
+    shown = F.aggregate(named, start, step, lambda state: state["shown"])
+    kept = F.filter(F.arrays_zip(pieces.alias("text"), shown.alias("shown")), lambda x: x["shown"])
+    return F.array_join(F.transform(kept, lambda x: x["text"]), gap)
+
+
 def collapse_space(text: Column) -> Column:
     """Runs of Unicode whitespace become one space; ends are trimmed."""
     return F.trim(F.regexp_replace(text, UNICODE_SPACE, " "))
 
 
+def _windows_1252() -> dict[int, int]:
+    """What HTML reads numeric references to the C1 range as: the bytes of Windows-1252."""
+    decoded = {code: bytes([code]).decode("cp1252", "ignore") for code in range(0x80, 0xA0)}
+    return {code: ord(char) for code, char in decoded.items() if char}
+
+
 def decode_entities(text: Column) -> Column:
-    """Named and numeric character references, decoded once, left to right."""
-    pairs = ", ".join(f"'{name}', '\\u{code:04x}'" for name, code in name2codepoint.items())
-    names = F.expr(f"map({pairs})")
+    """Named and numeric character references, decoded once, left to right.
+
+    All HTML5 names count, always with their semicolon; so do numbers with any leading
+    zeros, and numbers of the C1 range as Windows-1252.
+    """
+    known = {name[:-1]: value for name, value in html5.items() if name.endswith(";") and name != "amp;"}
+    quoted = lambda value: "'" + "".join(f"\\u{ord(c):04x}" if ord(c) < 0x10000 else f"\\U{ord(c):08x}" for c in value) + "'"
+    names = F.expr("map(" + ", ".join(f"'{name}', {quoted(value)}" for name, value in known.items()) + ")")
+    moved = F.expr("map(" + ", ".join(f"{a}L, {b}L" for a, b in _windows_1252().items()) + ")")
 
     def from_code(code: Column) -> Column:
+        code = F.coalesce(F.try_element_at(moved, code), code)
         valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         encoded = F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0"))
         return F.decode(encoded, "UTF-32")
 
     def decode_piece(piece: Column, position: Column) -> Column:
-        name = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        decimal = F.substring(name, 2, 7)
-        hexadecimal = F.substring(name, 3, 6)
+        name = F.regexp_extract(piece, r"^(#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        decimal = F.regexp_extract(name, r"^#0*([0-9]{1,7})$", 1)
+        hexadecimal = F.regexp_extract(name, r"^#[xX]0*([0-9a-fA-F]{1,6})$", 1)
         char = (
             F.when(name == "", None)
             .when(name == "amp", "&")
@@ -71,16 +132,20 @@ def strip_markup(html: Column, drop: list[str], gap: str) -> Column:
     """Text of an HTML page without the ``drop`` elements; tags become ``gap``.
 
     Comments and raw-text elements go first in one left-to-right pass, since
-    their content may look like markup; then the remaining dropped elements,
-    innermost first (twice: one level of nesting); then every other tag.
+    their content may look like markup. Dropped elements that are closed and hold no
+    others go with one more expression; only a page that has tags of dropped elements
+    left, being nested or never closed, is walked tag by tag. At last go all other tags.
     """
     opaque = [name for name in drop if name in OPAQUE_ELEMENTS]
     nested = [name for name in drop if name not in OPAQUE_ELEMENTS]
     first = "(?is)" + "|".join([COMMENT, *map(_element, opaque)])
     text = F.regexp_replace(html, first, gap)
     if nested:
-        pattern = "(?is)" + _innermost(nested)
-        text = F.regexp_replace(F.regexp_replace(text, pattern, gap), pattern, gap)
+        simple = F.regexp_replace(text, "(?is)" + _closed(nested), gap)
+        left = simple.rlike("(?is)" + _tag(nested))
+        return decode_entities(
+            F.when(left, _without(text, nested, gap)).otherwise(F.regexp_replace(simple, ANY_TAG, gap))
+        )
     return decode_entities(F.regexp_replace(text, ANY_TAG, gap))
 
 

@@ -16,7 +16,6 @@ from profileloom.fixed_values import MAX_PAGES_PER_CATEGORY, MAX_URLS_PER_CATEGO
 from profileloom.functions.arrays import unroll
 from profileloom.functions.urls import domain_and_parents, strip_fragment
 from profileloom.operators.links import PAGINATION
-from profileloom.runtime import join_on_hot_key
 
 PLACE = ["level", "parent_rank", "pos"]
 
@@ -65,17 +64,12 @@ def page_outlinks(
     the first ``2 * max_urls`` can matter. The array is bounded by that, however
     many links a page has, and repeated links collapse before the shuffle.
     """
-    parents = unroll(
-        links, domain_and_parents("target_domain"), "base_domain",
-        "page_url", "kind", "target_url", "pos",
-    )
-    inside = join_on_hot_key(
-        parents,
-        domains.select("base_domain").distinct(),
-        ["base_domain"],
-        "left_semi",
-        spread=["page_url", "pos"],
-    )
+    # Domains are matched first, and once each: links meet the few matches of their own
+    # domain, never one row per parent domain such as "com".
+    targets = links.select("target_domain").distinct()
+    parents = unroll(targets, domain_and_parents("target_domain"), "base_domain", "target_domain")
+    matched = parents.join(domains.select("base_domain").distinct(), "base_domain", "left_semi")
+    inside = links.select("page_url", "kind", "target_url", "pos", "target_domain").join(matched, "target_domain")
     first_seen = inside.groupBy("page_url", "base_domain", "kind", "target_url").agg(
         F.min("pos").alias("pos")
     )
@@ -100,9 +94,7 @@ def _seed_queue(seeds: DataFrame, entities: DataFrame) -> DataFrame:
     )
     first = queue.groupBy("ek", "category", "url").agg(F.min(F.struct(*PLACE)).alias("place"))
     domains = entities.select("ek", "base_domain")
-    return join_on_hot_key(
-        first.select("ek", "category", "url", "place.*"), domains, ["ek"], "left"
-    )
+    return first.select("ek", "category", "url", "place.*").join(domains, "ek", "left")
 
 
 def _next_level(kept: DataFrame, outlinks: DataFrame, level: int, max_urls: int, max_pages: int) -> DataFrame:
@@ -165,11 +157,11 @@ def build_plan(
 def plan_with_render(plan: DataFrame, page_info: DataFrame) -> DataFrame:
     """Adds ``needs_render`` to plan targets; failed and unknown pages never need it.
 
-    ``page_info(url, needs_render)`` holds one row per URL. Popular URLs may be
-    planned by very many entities, hence the hot-key join.
+    ``page_info(url, needs_render)`` holds one row per URL. A popular URL may be
+    planned by very many entities; adaptive execution splits such a key.
     """
     flags = page_info.select("url", "needs_render")
-    joined = join_on_hot_key(plan, flags, ["url"], "left")
+    joined = plan.join(flags, "url", "left")
     return joined.withColumn("needs_render", F.coalesce("needs_render", F.lit(False)))
 
 
@@ -184,7 +176,7 @@ def fetch_plan(plan: DataFrame, pages: DataFrame) -> DataFrame:
     A target the snapshot lacks comes back as a failed fetch.
     """
     snapshot = pages.withColumn("_known", F.lit(True))
-    joined = join_on_hot_key(plan, snapshot, ["url"], "left", spread=["ek", "category", "rank"])
+    joined = plan.join(snapshot, "url", "left")
     missing = F.col("_known").isNull()
     return (
         joined.withColumn(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from profileloom.fixed_values import CATEGORIES
-from profileloom.runtime import join_on_hot_key
 
 
 def page_changes(pages: DataFrame, state: DataFrame) -> DataFrame:
@@ -18,7 +17,7 @@ def page_changes(pages: DataFrame, state: DataFrame) -> DataFrame:
     run's state, never with updates made during this run.
     """
     old = state.select("url", F.col("hash").alias("_old_hash"))
-    joined = join_on_hot_key(pages, old, ["url"], "left", spread=["url", "hash"])
+    joined = pages.join(old, "url", "left")  # unique on both sides
     changed = F.col("error").isNotNull() | ~F.col("hash").eqNullSafe(F.col("_old_hash"))
     return joined.withColumn("has_changed", changed).drop("_old_hash")
 

@@ -19,19 +19,16 @@ def compile_data(profiles: DataFrame, responses: DataFrame, unwrap: bool = False
     """Adds the nested ``data`` of every profile from its answers.
 
     ``profiles(ek, name, country, base_url)``; ``responses(ek, category,
-    content)`` has at most ten rows per key. Missing, empty and rejected answers
-    become the typed default.
+    content)``. Missing, empty and rejected answers become the typed default. Of
+    repeated answers to one category the greatest text counts, whatever their order.
     """
     answers = responses.groupBy("ek").agg(
-        F.map_from_entries(F.collect_list(F.struct("category", "content"))).alias("_answers")
+        *[F.max(F.when(F.col("category") == c, F.col("content"))).alias(f"_answer_{c}") for c in CATEGORIES]
     )
     joined = profiles.join(answers, "ek", "left")
     read = joined.select(
         *profiles.columns,
-        *[
-            F.expr(answer_sql(f"try_element_at(_answers, '{c}')", c, unwrap)).alias(f"_{c}")
-            for c in CATEGORIES
-        ],
+        *[F.expr(answer_sql(f"_answer_{c}", c, unwrap)).alias(f"_{c}") for c in CATEGORIES],
     )
     data = F.struct(
         *[
@@ -69,7 +66,7 @@ def isolate_failures(records: DataFrame, profiles: DataFrame, errors: DataFrame)
     default data, zero confidence everywhere and one high flag, and does not
     touch other entities.
     """
-    joined = profiles.select("ek", "name", "country", "base_url").join(errors, "ek", "inner")
+    failed = profiles.select("ek", "name", "country", "base_url").join(errors, "ek")
     flag = F.struct(
         F.lit(FAILURE_FIELD).alias("field"),
         F.lit("T9").alias("rule_id"),
@@ -80,17 +77,23 @@ def isolate_failures(records: DataFrame, profiles: DataFrame, errors: DataFrame)
     zero = F.map_from_arrays(
         F.array(*map(F.lit, CATEGORIES)), F.array_repeat(F.lit(0.0), len(CATEGORIES))
     )
-    run_ts = records.select("ek", "scraped_at")
-    fallback = joined.join(run_ts, "ek", "left").select(
+    fallback = failed.select(
         "ek",
-        F.col("name").alias("university_name"),
-        F.coalesce("scraped_at", F.current_timestamp()).alias("scraped_at"),
-        default_data(*_profile_columns()).alias("data"),
-        zero.alias("field_confidence"),
-        F.array(flag).cast(f"array<{FLAG_TYPE.simpleString()}>").alias("validation_flags"),
+        F.struct(
+            F.col("name").alias("university_name"),
+            default_data(*_profile_columns()).alias("data"),
+            zero.alias("field_confidence"),
+            F.array(flag).cast(f"array<{FLAG_TYPE.simpleString()}>").alias("validation_flags"),
+        ).alias("_fallback"),
     )
-    kept = records.join(errors.select("ek"), "ek", "left_anti")
-    return kept.unionByName(fallback)
+    joined = records.join(fallback, "ek", "full_outer")
+    is_failed = F.col("_fallback").isNotNull()
+    replaced = {
+        name: F.when(is_failed, F.col("_fallback")[name]).otherwise(F.col(name)).alias(name)
+        for name in ("university_name", "data", "field_confidence", "validation_flags")
+    }
+    stamp = F.coalesce("scraped_at", F.current_timestamp()).alias("scraped_at")
+    return joined.select(*[replaced.get(c, stamp if c == "scraped_at" else F.col(c)) for c in records.columns])
 
 
 def flatten_fields(records: DataFrame, *keep: str) -> DataFrame:

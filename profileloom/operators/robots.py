@@ -5,76 +5,76 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from profileloom.runtime import join_on_hot_key
+_LINE = r"(?i)^\s*(user-agent|allow|disallow|crawl-delay|request-rate)\s*:\s*([^#]*?)\s*(?:#.*)?$"
 
-_LINE = r"(?i)^\s*(user-agent|allow|disallow)\s*:\s*([^#]*?)\s*(?:#.*)?$"
+
+def _decoded(path: Column) -> Column:
+    """A path with its percent escapes resolved: what begins with what is then the same
+    whichever of the two sides was escaped."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
 
 
 def parse_rules(robots_text: Column, agent: str) -> Column:
     """Ordered rules of a robots file that bind ``agent``: array of (allow, path).
 
-    Consecutive agent lines open a group, rule lines fill it. The first group
-    naming the agent binds; without one, the first ``*`` group does. An empty
-    ``Disallow`` allows everything.
+    Consecutive agent lines open a group, rule lines fill it; an empty line ends it, and
+    forgets agents that have no rules yet. Rules outside a group count for nobody. The
+    first group naming the agent binds; without one, the first ``*`` group does. An
+    empty ``Disallow`` allows everything.
     """
     wanted = agent.split("/")[0].lower()
     lines = F.transform(
         F.split(F.coalesce(robots_text, F.lit("")), r"\r\n|\r|\n"),
         lambda line: F.struct(
-            F.lower(F.regexp_extract(line, _LINE, 1)).alias("key"),
-            F.regexp_extract(line, _LINE, 2).alias("value"),
+            F.when(line == "", "end").otherwise(F.lower(F.regexp_extract(line, _LINE, 1))).alias("key"),
+            _decoded(F.regexp_extract(line, _LINE, 2)).alias("value"),
         ),
     )
     known = F.filter(lines, lambda line: line["key"] != "")
+    # Only the group's number is carried along; 0 stands outside every group.
     start = F.struct(
-        F.lit(0).alias("group"),
-        F.lit(False).alias("in_rules"),
-        F.array().cast("array<struct<group:int,agent:string>>").alias("agents"),
-        F.array().cast("array<struct<group:int,allow:boolean,path:string>>").alias("rules"),
-    )
+        F.lit(0).alias("group"), F.lit(0).alias("last"), F.lit("").alias("before"), F.array().cast("array<int>").alias("of"),
+    )
 
     def step(state: Column, line: Column) -> Column:
-        names_agent = line["key"] == "user-agent"
-        opens = names_agent & (state["in_rules"] | (state["group"] == 0))
-        group = F.when(opens, state["group"] + 1).otherwise(state["group"])
-        named = F.struct(group.alias("group"), F.lower(line["value"]).alias("agent"))
-        rule = F.struct(
-            group.alias("group"),
-            ((line["key"] == "allow") | (line["value"] == "")).alias("allow"),
-            line["value"].alias("path"),
-        )
+        opens = (line["key"] == "user-agent") & ((state["before"] != "user-agent") | (state["group"] == 0))
+        last = F.when(opens, state["last"] + 1).otherwise(state["last"])
+        group = F.when(line["key"] == "end", 0).when(opens, last).otherwise(state["group"])
         return F.struct(
-            group.alias("group"),
-            (~names_agent & (group > 0)).alias("in_rules"),
-            F.when(names_agent, F.concat(state["agents"], F.array(named)))
-            .otherwise(state["agents"])
-            .alias("agents"),
-            F.when(names_agent | (group == 0), state["rules"])
-            .otherwise(F.concat(state["rules"], F.array(rule)))
-            .alias("rules"),
-        )
+            group.alias("group"), last.alias("last"), line["key"].alias("before"),
+            F.concat(state["of"], F.array(group)).alias("of"),
+        )
 
-    def bind(state: Column) -> Column:
-        own = F.filter(
-            state["agents"],
-            lambda a: (a["agent"] != "*") & (a["agent"] != "") & F.lit(wanted).contains(a["agent"]),
+    def bind(placed: Column) -> Column:
+        is_rule = lambda x: x["line"]["key"].isin("allow", "disallow", "crawl-delay", "request-rate")
+        filled = F.transform(F.filter(placed, lambda x: is_rule(x) & (x["of"] > 0)), lambda x: x["of"])
+        agents = F.transform(
+            F.filter(placed, lambda x: (x["line"]["key"] == "user-agent") & F.array_contains(filled, x["of"])),
+            lambda x: F.struct(x["of"].alias("group"), F.lower(x["line"]["value"]).alias("agent")),
         )
-        fallback = F.filter(state["agents"], lambda a: a["agent"] == "*")
-        group = F.coalesce(F.try_element_at(own, F.lit(1)), F.try_element_at(fallback, F.lit(1)))["group"]
+        own = F.filter(agents, lambda a: (a["agent"] != "*") & F.lit(wanted).contains(a["agent"]))
+        # A group that also names everybody is the general one, and no other.
+        general = F.transform(F.filter(agents, lambda a: a["agent"] == "*"), lambda a: a["group"])
+        special = F.filter(own, lambda a: ~F.array_contains(general, a["group"]))
+        group = F.coalesce(F.get(special, F.lit(0))["group"], F.get(general, F.lit(0)))
         return F.transform(
-            F.filter(state["rules"], lambda rule: rule["group"] == group),
-            lambda rule: F.struct(rule["allow"], rule["path"]),
+            F.filter(placed, lambda x: (x["of"] == group) & x["line"]["key"].isin("allow", "disallow")),
+            lambda x: F.struct(
+                ((x["line"]["key"] == "allow") | (x["line"]["value"] == "")).alias("allow"), x["line"]["value"].alias("path")
+            ),
         )
 
-    return F.aggregate(known, start, step, bind)
+    numbers = F.aggregate(known, start, step, lambda state: state["of"])
+    once = F.transform(F.array(F.arrays_zip(known.alias("line"), numbers.alias("of"))), bind)
+    return F.get(once, F.lit(0))
 
 
 def url_allowed(rules: Column, url: Column) -> Column:
     """Decision of the first rule, in file order, whose path begins the URL's path."""
     target = F.regexp_replace(url, r"(?s)^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//[^/?#]*|#.*$", "")
-    path = F.when(target == "", "/").otherwise(target)
-    hits = F.filter(rules, lambda rule: (rule["path"] == "*") | F.startswith(path, rule["path"]))
-    return F.coalesce(F.try_element_at(hits, F.lit(1))["allow"], F.lit(True))
+    path = _decoded(F.when(target == "", "/").otherwise(target))
+    hits = F.filter(rules, lambda rule: F.startswith(path, rule["path"]))
+    return F.coalesce(F.get(hits, F.lit(0))["allow"], F.lit(True))
 
 
 def apply_robots(urls: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
@@ -85,5 +85,5 @@ def apply_robots(urls: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
     robots file allows everything.
     """
     rules = robots.select("site", parse_rules(F.col("robots_text"), agent).alias("_rules"))
-    joined = join_on_hot_key(urls, rules, ["site"], "left")
+    joined = urls.join(rules, "site", "left")
     return joined.withColumn("allowed", url_allowed(F.col("_rules"), F.col("url"))).drop("_rules")

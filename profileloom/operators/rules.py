@@ -38,7 +38,6 @@ from profileloom.fixed_values import (
 from profileloom.functions.arrays import unroll
 from profileloom.functions.dates import bind, parse_date_sql
 from profileloom.functions.numbers import clamp_unit
-from profileloom.runtime import join_on_hot_key
 from profileloom.schemas import FLAG_TYPE
 
 MISSING_RULE = "N11"
@@ -293,7 +292,7 @@ def _column_names(items: DataFrame) -> Names:
 def attach_currency(items: DataFrame, entities: DataFrame) -> DataFrame:
     """Adds the expected currency of each item's entity (``entities(ek, country)``)."""
     known = entities.select("ek", expected_currency(F.col("country")).alias("expected_currency"))
-    return join_on_hot_key(items, known, ["ek"], "left")
+    return items.join(known, "ek", "left")
 
 
 def non_empty(field: str, items: DataFrame) -> DataFrame:

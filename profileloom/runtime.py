@@ -1,15 +1,12 @@
-"""Session set-up, shared storage for intermediate results, and join helpers."""
+"""Session set-up and shared storage for intermediate results."""
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-_SIZE_UNITS = {"": 1, "b": 1, "k": 1024, "m": 1024**2, "g": 1024**3, "t": 1024**4}
 
 
 def build_session(app_name: str = "profileloom", cpus: int | str | None = None) -> SparkSession:
@@ -26,6 +23,8 @@ def build_session(app_name: str = "profileloom", cpus: int | str | None = None)
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Hot keys: the rows of one are split over tasks, even if that costs a later shuffle.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -63,41 +62,3 @@ def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage through reliable storage, so a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 when switched off)."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)b?", text).groups()
-    return int(number) * _SIZE_UNITS[unit]
-
-
-def join_on_hot_key(
-    facts: DataFrame,
-    dimension: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    salts: int = 16,
-    spread: list[str | Column] | None = None,
-) -> DataFrame:
-    """Join many fact rows to at most one dimension row per key, whatever the skew.
-
-    A dimension under the broadcast limit joins plainly: Catalyst broadcasts it
-    and the facts are not shuffled at all. A larger one is repeated ``salts``
-    times and the facts of each key are spread over the copies by a hash of
-    ``spread`` (all fact columns by default), so no key is ever one task's work.
-    The salt is a pure function of the row, hence stable under task retries.
-    """
-    limit = broadcast_limit(facts.sparkSession)
-    if limit >= 0 and estimated_bytes(dimension) <= limit:
-        return facts.join(dimension, keys, how)
-    salted_facts = facts.withColumn(
-        "_salt", F.pmod(F.xxhash64(*(spread or facts.columns)), F.lit(salts)).cast("int")
-    )
-    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(copies, [*keys, "_salt"], how).drop("_salt")

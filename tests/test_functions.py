@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 from urllib.parse import urljoin, urlparse
 from urllib.robotparser import RobotFileParser
@@ -175,3 +176,41 @@ def test_numeric_closeness(spark):
     ).collect()
     assert [r.near for r in found] == [True, False, True, False, False, True]
     assert [r.same for r in found] == [False, False, True, False, False, False]
+
+
+def test_robots_over_many_files(spark):
+    random.seed(11)
+    lines = ["User-agent: *", "User-agent: profilebot", "user-agent: Other", "Disallow: /x", "Allow: /x/y", "Disallow:", "",
+             "Disallow: /a%20b", "Disallow: /caf%C3%A9", "Crawl-delay: 3", "# note", "Sitemap: /s", "Disallow: *", "Allow: /a b"]
+    files = ["\n".join(random.choice(lines) for _ in range(random.randrange(1, 12))) for _ in range(150)]
+    urls = ["https://h/x", "https://h/x/y", "https://h/a b/c", "https://h/a%20b/c", "https://h/caf\u00e9", "https://h", "https://h/q?x=1"]
+    frame = spark.createDataFrame([(i, f, u) for i, f in enumerate(files) for u in urls], "i int, t string, u string")
+    allowed = robots.url_allowed(robots.parse_rules(F.col("t"), "profilebot/1.0"), F.col("u"))
+    for row in frame.select("t", "u", allowed.alias("ok")).collect():
+        parser = RobotFileParser()
+        parser.parse(row.t.splitlines())
+        parser.modified()
+        assert row.ok == parser.can_fetch("profilebot/1.0", row.u), (row.t, row.u)
+
+
+def test_nested_and_unclosed_elements(spark):
+    deep = "<nav>a" * 5 + "b" + "</nav>c" * 4 + "</nav>text"
+    cases = {
+        "<nav>a<nav>b<nav>c</nav>d</nav>e</nav>text": "text", deep: "text",
+        "<div><nav>x</div><p>kept</p>": "kept", "one<footer>two": "one", "</nav>stray": "stray",
+        "<DIV>a<Nav class='x'>b<br>c<img src='d'></NAV>e</DIV>": "a e", "<navy>stays</navy>": "stays",
+        "<nav>x<footer>y</footer>z</nav>w": "w", "<nav>x<footer>y</nav>z": "z",
+    }
+    rows = spark.createDataFrame(list(cases.items()), "html string, expected string")
+    for row in rows.select("*", text.clean_text(F.col("html")).alias("found")).collect():
+        assert row.found == row.expected, row.html
+
+
+def test_html5_references(spark):
+    cases = {
+        "it&apos;s": "it's", "&#00000065;&#x0000041;": "AA", "&#146;": "\u2019", "&NotEqualTilde;": "\u2242\u0338", "&amp;lt;": "&lt;",
+        "&copy 2024": "&copy 2024", "&Afr;": "\U0001d504", "&nosuch; &#1114112; &": "&nosuch; &#1114112; &", "&bsol;&quot;&lt;": '\\"<',
+    }
+    rows = spark.createDataFrame(list(cases.items()), "t string, expected string")
+    for row in rows.select("*", text.decode_entities(F.col("t")).alias("found")).collect():
+        assert row.found == row.expected, row.t

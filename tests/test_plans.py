@@ -1,10 +1,8 @@
 """Plan shapes: no nested loops, no Python on native paths, skew-safe joins."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from profileloom.checks.catalogue import QUERIES
-from profileloom.runtime import join_on_hot_key
 
 SF_DIR = "/root/testdata/sf0.001"
 WITH_PYTHON = {"extractor_plugin"}
@@ -33,17 +31,19 @@ def test_scans_read_only_needed_columns(spark):
     assert "html" not in plan.split("ReadSchema")[1]
 
 
-def test_hot_key_join_spreads_the_facts(spark):
-    facts = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
-    dimension = spark.range(0, 30_000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    expected = {(r.id, r.v) for r in facts.join(dimension, "k", "left").collect()}
+@pytest.mark.parametrize("name", ["page_changed", "plan_fetch_join", "plan_any_render", "robots_filter"])
+def test_no_copies_of_a_joined_side(spark, name):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        salted = join_on_hot_key(facts, dimension, ["k"])
-        assert "_salt" in physical(salted)
-        assert {(r.id, r.v) for r in salted.collect()} == expected
-        kept = join_on_hot_key(facts, dimension.select("k"), ["k"], "left_semi")
-        assert kept.count() == sum(v is not None for _, v in expected)
+        plan = physical(QUERIES[name](spark, SF_DIR))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "_salt" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
+def test_building_a_query_starts_no_job(spark, name):
+    spark.sparkContext.setJobGroup(name, name)
+    QUERIES[name](spark, SF_DIR)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(name)
