@@ -16,6 +16,7 @@ encoding, not an approximation to it.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,6 +33,7 @@ from profileloom.llm.shared import map_arrow, small_batches, sql_type, stored, t
 MODEL = "piece_bpe_32k.model"
 #: Texts of more characters are giant; their chunks have so many characters.
 GIANT, CHUNK = 50_000, 10_000
+_WORD, _LONGEST_WORD = re.compile("▁+[^▁]*"), 64
 State = tuple[int, int]  # beginning and end of a piece; of the start of a text, (-1, 0)
 START: State = (-1, 0)
 
@@ -52,6 +54,9 @@ class Vocabulary:
                 self._scores[p.id_to_piece(i)] = p.get_score(i)
                 self._ids[p.id_to_piece(i)] = i
         self.longest = max(map(len, self._scores))
+        # If no piece goes on over a space behind something else, words don't touch each other.
+        self.separate = not any(re.search("[^▁]▁", piece) for piece in self._scores)
+        self.chain = lru_cache(1 << 18)(self._chain)
         self.stable = lru_cache(1 << 20)(self._stable)
         self._whole = lru_cache(1 << 18)(self._is_whole)
 
@@ -71,6 +76,11 @@ class Vocabulary:
     def _stable(self, left: str, right: str) -> bool:
         return self._merged(left + right) == [left, right]
 
+    def _chain(self, word: str) -> list[tuple[int, int, float]]:
+        """(end, begin, sum of scores) of the last pieces on the ways from a word's beginning."""
+        came, _ = _ways(self, word, START, len(word))
+        return [(end, begin, total) for end, (begin, total) in came.items() if end]
+
     def _is_whole(self, piece: str) -> bool:
         return len(piece) == 1 or (piece in self._scores and self._merged(piece) == [piece])
 
@@ -100,15 +110,26 @@ def _ways(v: Vocabulary, text: str, state: State, stop: int, reference: dict | N
 
     From one state there is at most one way to each end. A way that agrees with the
     reference's last pieces over the longest piece's length agrees from there on: the
-    place is returned, and the rest left out.
+    place is returned, and the rest left out. Words are walked once and remembered.
     """
     came = {state[1]: (state[0], 0.0)}
-    same = 0
-    for end in range(state[1] + 1, stop + 1):
+    same, end, reached = 0, state[1], state[1]
+    while end < stop and end - reached <= v.longest:  # else no piece leads on
+        if v.separate and end in came and end and text[end] == "▁" != text[end - 1]:
+            if reference is not None and end in reference:
+                return came, end
+            word = _WORD.match(text, end)
+            if word.end() <= stop and word.end() - end <= _LONGEST_WORD:
+                total = came[end][1]
+                for last, begin, more in v.chain(word[0]):
+                    came[end + last] = (end + begin, total + more)
+                end = reached = word.end()
+                continue
+        end += 1
         for begin, piece in v.ending(text, end, state[1]):
             before = came.get(begin)
             if before is not None and (before[0] < 0 or v.stable(text[before[0] : begin], piece)):
-                came[end] = (begin, before[1] + v.score(piece))
+                came[end], reached = (begin, before[1] + v.score(piece)), end
                 break
         if reference is not None:
             mine, other = came.get(end), reference.get(end)
