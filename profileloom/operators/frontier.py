@@ -16,6 +16,7 @@ from profileloom.fixed_values import MAX_PAGES_PER_CATEGORY, MAX_URLS_PER_CATEGO
 from profileloom.functions.arrays import unroll
 from profileloom.functions.urls import domain_and_parents, strip_fragment
 from profileloom.operators.links import PAGINATION
+from profileloom.operators.robots import url_allowed
 
 PLACE = ["level", "parent_rank", "pos"]
 
@@ -97,12 +98,17 @@ def _seed_queue(seeds: DataFrame, entities: DataFrame) -> DataFrame:
     return first.select("ek", "category", "url", "place.*").join(domains, "ek", "left")
 
 
-def _next_level(kept: DataFrame, outlinks: DataFrame, level: int, max_urls: int, max_pages: int) -> DataFrame:
+def _next_level(
+    kept: DataFrame, outlinks: DataFrame, level: int, max_urls: int, max_pages: int, rules: DataFrame | None
+) -> DataFrame:
     """Every kept row together with the candidates its page adds at ``level``."""
     sources = outlinks.withColumnRenamed("page_url", "url")
     joined = kept.join(sources, ["url", "base_domain"], "left")
     itself = F.struct("url", *PLACE)
     expands = (F.col("level") == level - 1) & (F.col("rank") < max_urls)
+    if rules is not None:
+        joined = joined.join(rules, "ek", "left")
+        expands = expands & url_allowed(F.col("_rules"), F.col("url"))
     may_follow = F.filter(
         "outlinks",
         lambda link: link_admitted(
@@ -132,6 +138,7 @@ def build_plan(
     max_urls: int = MAX_URLS_PER_CATEGORY,
     max_pages: int = MAX_PAGES_PER_CATEGORY,
     materialise=None,
+    rules: DataFrame | None = None,
 ) -> DataFrame:
     """Targets ``(ek, category, rank, url, level)`` in crawl order.
 
@@ -140,14 +147,15 @@ def build_plan(
     previous one exactly once: a kept row and its page's candidates leave the
     join together, so the plan grows linearly and needs no action between
     levels. ``materialise`` (such as ``runtime.materialise``) stores the outlink
-    table when the links are costly to derive.
+    table when the links are costly to derive. ``rules(ek, _rules)``, one row per
+    entity, forbid it pages: those stay targets, but nothing is followed from them.
     """
     outlinks = page_outlinks(links, entities, max_urls)
     if materialise is not None:
         outlinks = materialise(outlinks)
     kept = first_in_queue(_seed_queue(seeds, entities), max_urls)
     for level in range(1, max_urls):
-        grown = _next_level(kept, outlinks, level, max_urls, max_pages)
+        grown = _next_level(kept, outlinks, level, max_urls, max_pages, rules)
         # One shuffle serves both steps: groups are small here by construction.
         grown = grown.repartition("ek", "category")
         kept = first_in_queue(earliest_per_url(grown), max_urls)

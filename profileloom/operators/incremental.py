@@ -92,3 +92,19 @@ def upsert(stored: DataFrame, fresh: DataFrame, key: str = "university_name") ->
     newest = last_per_key(fresh, [key], ["ord"])
     untouched = stored.join(newest.select(key), key, "left_anti")
     return untouched.unionByName(newest)
+
+
+def stored_order(names: DataFrame, stored: DataFrame) -> DataFrame:
+    """``(university_name, ord)`` of names: their stored place, or one behind all stored, by name.
+
+    Only names and places are shuffled or sorted, over all tasks.
+    """
+    known = stored.groupBy("university_name").agg(F.max("ord").alias("ord"))
+    last = stored.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("_last"))
+    behind = names.join(known, "university_name", "left_anti").orderBy("university_name").select(
+        "university_name", F.monotonically_increasing_id().alias("_behind")
+    )
+    placed = behind.join(F.broadcast(last)).select(  # one row
+        "university_name", (F.col("_last") + 1 + F.col("_behind")).alias("ord")
+    )
+    return names.join(known, "university_name").unionByName(placed)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profileloom.fixed_values import (
+    BLOCKED_BY_ROBOTS,
     MAX_CONTEXT_CHARS,
     MAX_PAGES_PER_CATEGORY,
     MAX_URLS_PER_CATEGORY,
@@ -24,20 +25,22 @@ from profileloom.operators.incremental import (
     merge_reused,
     next_state,
     page_changes,
+    stored_order,
 )
 from profileloom.operators.links import extract_links, followable_links
 from profileloom.operators.pages import needs_render, plan_usable, with_clean_text
-from profileloom.operators.records import compile_data, finish_records
-from profileloom.operators.robots import apply_robots
+from profileloom.operators.records import compile_data, finish_records, isolate_failures
+from profileloom.operators.robots import apply_robots, parse_rules, url_allowed
 from profileloom.sources.profiles import seed_rows, with_keys
 
 
 class RunResult(NamedTuple):
-    """Lazy outputs of a run."""
+    """Lazy outputs of a run: ``records`` of this batch, ``store`` with all stored ones."""
 
     plan: DataFrame
     records: DataFrame
     state: DataFrame
+    store: DataFrame
 
 
 def block_by_robots(pages: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
@@ -52,12 +55,31 @@ def block_by_robots(pages: DataFrame, robots: DataFrame, agent: str) -> DataFram
     )
 
 
+def entity_rules(profiles: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
+    """``(ek, _rules)``: the rules of each entity's own site, which bind all its fetches."""
+    sites = robots.select(F.col("site").alias("base_domain"), parse_rules(F.col("robots_text"), agent).alias("_rules"))
+    return profiles.select("ek", "base_domain").join(sites, "base_domain").select("ek", "_rules")
+
+
+def _forbid(fetched: DataFrame, rules: DataFrame) -> DataFrame:
+    """Planned pages an entity may not read come back as failed fetches."""
+    judged = fetched.join(rules, "ek", "left").withColumn("_no", ~url_allowed(F.col("_rules"), F.col("url")))
+    return (
+        judged.withColumn("error", F.when(F.col("_no"), BLOCKED_BY_ROBOTS).otherwise(F.col("error")))
+        .withColumn("status_code", F.when(F.col("_no"), 0).otherwise(F.col("status_code")))
+        .withColumn("clean_text", F.when(F.col("_no"), "").otherwise(F.col("clean_text")))
+        .withColumn("has_changed", F.col("_no") | F.col("has_changed"))
+        .drop("_no", "_rules")
+    )
+
+
 def plan_targets(
     profiles: DataFrame,
     pages: DataFrame,
     max_urls: int = MAX_URLS_PER_CATEGORY,
     max_pages: int = MAX_PAGES_PER_CATEGORY,
     materialise=None,
+    rules: DataFrame | None = None,
 ) -> DataFrame:
     """Crawl plan of keyed profiles over a page snapshot.
 
@@ -65,9 +87,13 @@ def plan_targets(
     """
     usable = pages.filter(plan_usable(F.col("error"), F.col("status_code")))
     links = followable_links(extract_links(usable.select("url", "html")))
-    plan = build_plan(seed_rows(profiles), profiles, links, max_urls, max_pages, materialise)
+    plan = build_plan(seed_rows(profiles), profiles, links, max_urls, max_pages, materialise, rules)
     shell = needs_render(F.col("error"), F.col("status_code"), F.col("html"))
-    return plan_with_render(plan, pages.select("url", shell.alias("needs_render")))
+    shown = plan_with_render(plan, pages.select("url", shell.alias("needs_render")))
+    if rules is None:
+        return shown
+    may = url_allowed(F.col("_rules"), F.col("url"))
+    return shown.join(rules, "ek", "left").withColumn("needs_render", F.col("needs_render") & may).drop("_rules")
 
 
 def run(
@@ -82,6 +108,9 @@ def run(
     max_pages: int = MAX_PAGES_PER_CATEGORY,
     context_chars: int = MAX_CONTEXT_CHARS,
     materialise=None,
+    robots: DataFrame | None = None,
+    agent: str = "profilebot",
+    errors: DataFrame | None = None,
 ) -> RunResult:
     """Plans, reads, reuses, extracts, types, validates and scores every profile.
 
@@ -90,25 +119,36 @@ def run(
     pages did not change keep their stored value and never reach the extractor.
     ``materialise`` stores the plan and the answers, so that a costly extractor
     runs once however often the outputs are used.
+
+    ``robots(site, robots_text)`` bind ``agent``: the rules of an entity's own site hold
+    for every URL it plans, so one page may be open to one entity and closed to another.
+    ``errors(university_name, error)`` names entities whose work failed elsewhere; they
+    get the fallback record and touch no others. ``store`` is ``previous`` with the
+    batch's records put in; a record keeps its place ``ord``, new ones follow by name.
     """
     spark = profiles.sparkSession
     keep = materialise or (lambda df: df)
     keyed = with_keys(profiles)
-    plan = keep(plan_targets(keyed, pages, max_urls, max_pages, materialise))
+    rules = None if robots is None else entity_rules(keyed, robots, agent)
+    plan = keep(plan_targets(keyed, pages, max_urls, max_pages, materialise, rules))
 
     # Each planned page is cleaned and hashed once, however many plans name it. An
     # inner join, as a semi join would be pushed below the cleaning and shuffle html.
     planned = plan.select("url").distinct()
     visited = with_clean_text(pages).join(planned, "url")
+    # What is read of a page is cut before popular pages are copied to their plans.
+    read = F.left("clean_text", F.lit(context_chars + 1)).alias("clean_text")
     known = state if state is not None else spark.createDataFrame([], "url string, hash string, fetched_at timestamp")
     fetched = fetch_plan(plan, page_changes(visited, known).select(
-        "url", "status_code", "error", "clean_text", "has_changed"
+        "url", "status_code", "error", read, "has_changed"
     )).withColumn("has_changed", F.coalesce("has_changed", F.lit(True)))
 
+    if rules is not None:
+        fetched = _forbid(fetched, rules)
     texts = assemble_texts(fetched, context_chars)
     stored = None
     if previous is not None and state is not None:
-        stored = previous.withColumn("ek", F.xxhash64("university_name"))
+        stored = previous.withColumn("ek", F.col("university_name"))
         reuse = category_reuse(fetched, stored).filter("can_reuse").select("ek", "category")
         texts = texts.join(reuse, ["ek", "category"], "left_anti")
     based = texts.join(keyed.select("ek", "base_url"), "ek", "left").withColumn(
@@ -124,4 +164,16 @@ def run(
             data.join(reusable, "ek", "left"), stored, F.coalesce("_keep", none)
         ).drop("_keep")
     records = finish_records(data, as_of_year, run_ts)
-    return RunResult(plan, records, next_state(visited, known, run_ts))
+    if errors is not None:
+        failed = errors.groupBy("university_name").agg(F.max("error").alias("error"))
+        records = isolate_failures(records, keyed, failed.withColumnRenamed("university_name", "ek"))
+    # The batch's records are worked out once for the store: places come from the names.
+    kinds = {f.name: f.dataType for f in records.drop("ek").schema}
+    before = spark.createDataFrame([], "ord bigint").withColumns({n: F.lit(None).cast(k) for n, k in kinds.items()})
+    if previous is not None:
+        own = previous.select("university_name").distinct()
+        before = previous if "ord" in previous.columns else previous.join(stored_order(own, before), "university_name")
+    names = keyed.select(F.col("name").alias("university_name"))
+    fresh = records.join(stored_order(names, before), "university_name").select("ord", *kinds)
+    store = before.select("ord", *kinds).join(names, "university_name", "left_anti").unionByName(fresh)
+    return RunResult(plan, records, next_state(visited, known, run_ts), store)

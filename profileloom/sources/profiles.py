@@ -29,8 +29,11 @@ def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
 
 
 def with_keys(profiles: DataFrame) -> DataFrame:
-    """Adds the entity key (a hash of the name, stable over runs) and the base domain."""
-    return profiles.withColumn("ek", F.xxhash64("name")).withColumn(
+    """Adds the entity key (the name itself: no two entities can share it) and the base domain.
+
+    Of several profiles with one name a single one counts.
+    """
+    return profiles.dropDuplicates(["name"]).withColumn("ek", F.col("name")).withColumn(
         "base_domain", base_domain("base_url")
     )
 

@@ -77,6 +77,56 @@ def test_incremental_runs_reuse_unchanged_categories(spark):
     assert later["https://t.edu/fees"] == state["https://t.edu/fees"].hash
 
 
+def test_store_keeps_other_entities_and_places(spark):
+    first = run(profiles(spark), snapshot(spark), extractor("Toronto"), 2026, run_ts())
+    store = spark.createDataFrame(first.store.collect(), first.store.schema)
+    assert {r.university_name: r.ord for r in store.collect()}.keys() == {"Test U", "Other U"}
+    kept = {r.university_name: r.ord for r in store.collect()}
+    assert kept["Other U"] < kept["Test U"]
+    hashes = spark.createDataFrame(first.state.collect(), first.state.schema)
+    batch = profiles(spark).filter("name = 'Test U'").unionByName(
+        spark.createDataFrame([("A new U", "Canada", "https://n.edu", {})], PROFILE)
+    )
+    later = run(batch, snapshot(spark, "Version two"), extractor("Vancouver"), 2026, run_ts(), hashes, store)
+    found = by_name(later.store)
+    assert sorted(found) == ["A new U", "Other U", "Test U"]
+    assert found["Other U"] == by_name(store)["Other U"]
+    assert found["Test U"].ord == kept["Test U"] and found["A new U"].ord > max(kept.values())
+    assert found["Test U"].data.about.location.city == "Vancouver"
+
+
+def test_robots_of_the_entitys_site_bind_its_plan(spark):
+    seeds = {"about": ["https://t.edu/about"], "tuition_fees": ["https://t.edu/fees"]}
+    both = spark.createDataFrame(
+        [("Test U", "Canada", "https://t.edu", seeds), ("Guest U", "Canada", "https://g.edu", seeds)], PROFILE
+    )
+    rules = spark.createDataFrame([("t.edu", "User-agent: *\nDisallow: /about")], "site string, robots_text string")
+    seen = run(both, snapshot(spark), extractor("Toronto"), 2026, run_ts(), robots=rules)
+    found = by_name(seen.records)
+    assert found["Test U"].data.about.location.city != "Toronto"
+    assert found["Guest U"].data.about.location.city == "Toronto"
+
+
+def test_failed_entities_get_the_fallback_and_no_others(spark):
+    errors = spark.createDataFrame([("Other U", "boom"), ("Other U", "again")], "university_name string, error string")
+    found = by_name(run(profiles(spark), snapshot(spark), extractor("Toronto"), 2026, run_ts(), errors=errors).records)
+    assert found["Other U"].validation_flags[0].issue.endswith("boom") and len(found) == 2
+    assert set(found["Other U"].field_confidence.values()) == {0.0}
+    assert found["Test U"].data.about.location.city == "Toronto"
+
+
+def test_repeated_answers_do_not_end_a_run(spark):
+    once = extractor("Toronto")
+
+    def twice(batches):
+        for batch in once(batches):
+            yield batch
+            yield batch
+
+    found = by_name(run(profiles(spark), snapshot(spark), twice, 2026, run_ts()).records)
+    assert found["Test U"].data.about.location.city == "Toronto"
+
+
 def test_run_without_extractor_gives_defaults(spark):
     found = by_name(run(profiles(spark), snapshot(spark), None, 2026, run_ts()).records)
     stubs = records.stub_records(profile_source.with_keys(profiles(spark)), 2026, run_ts())
