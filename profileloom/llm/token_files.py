@@ -143,13 +143,28 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._known: dict[str, bytes] = {}
+        added = self._tokenizer.get_added_tokens_decoder()
+        #: The added tokens' strings, which the library takes out of a text before all else.
+        self._added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        longest_first = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(longest_first)})")
+        # Others reach into the text around them or depend on a normaliser: no cutting then.
+        self._pieces_do = not any(
+            t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content) for t in added.values()
+        )
+        self._known: dict[str, bytes] = dict(self._added)
 
     def whole(self, text: str) -> np.ndarray:
         """The library's ids of a text in one go."""
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
 
+    def _pieces(self, text: str) -> list[str]:
+        """The pieces of a text; each added token in it is one of its own."""
+        if not any(token in text for token in self._added):
+            return _PIECE.findall(text)
+        parts = self._cut.split(text)
+        return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else _PIECE.findall(part))]
+
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         """The ids of pieces; those between white space are encoded as one text, and told apart by offsets."""
         found = {}
@@ -167,9 +182,11 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The same ids for each text, from the library's ids of the texts' pieces."""
+        if not self._pieces_do:
+            return [self.whole(t) for t in texts]
         if len(self._known) > _REMEMBERED:
-            self._known.clear()
-        known, pieces = self._known, [_PIECE.findall(t) for t in texts]
+            self._known = dict(self._added)
+        known, pieces = self._known, [self._pieces(t) for t in texts]
         new = set().union(*pieces).difference(known)
         learnt = self._learn(sorted(new)) if new else {}
         known.update((p, ids) for p, ids in learnt.items() if len(p) <= _LONGEST)
@@ -216,7 +233,8 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
 def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """Writes the ids of ``documents`` (doc_id, text, ...) in ascending doc_id order.
 
-    Texts are encoded whole; null counts as empty and leaves the end id alone. Null ids
+    Texts are encoded whole, and the strings of the tokenizer's added tokens get those
+    tokens' ids, as in the library; null counts as empty and leaves the end id alone. Null ids
     come first; repeated ids and rows are documents like others, in the order of their
     texts. Files are in the order of (part, number), one row per segment.
     """

@@ -69,6 +69,30 @@ def test_pieces_of_a_text_give_its_ids():
     assert all((a == encode.whole(t)).all() for a, t in zip(encode(texts), texts, strict=True))
 
 
+def test_added_tokens_in_texts_get_the_librarys_ids(spark):
+    from tokenizers import AddedToken, Tokenizer
+
+    path = public_tokenizers.path(token_files.TOKENIZER)
+    library = Tokenizer.from_file(path)
+    ids = lambda t: library.encode(t, add_special_tokens=False).ids
+    end = "<|endoftext|>"
+    texts = ["a<|endoftext|>b", end, end * 2, f" {end}  {end}\n", f"it{end}'s  <|endoftext| >, don{end}'t!", f"<|end{end}oftext|>"]
+    random.seed(4)
+    texts += ["".join(random.choice([end, " ", "  ", "\n", "a", "'s", "<|", "|>", "é", "endoftext"]) for _ in range(12)) for _ in range(2000)]
+    assert ids("a<|endoftext|>b") == [64, 50256, 65]
+    assert all(a.tolist() == ids(t) for a, t in zip(token_files.Encoder(path)(texts), texts, strict=True))
+    rows = token_files.round_trip(spark.createDataFrame(list(enumerate(texts[:6])), "doc_id long, text string")).collect()
+    expected = [np.array([*ids(t), token_files.END_ID], "<u4") for t in texts[:6]]
+    starts = np.cumsum([0, *map(len, expected)]).tolist()
+    assert sorted(map(tuple, rows)) == [(i, starts[i], len(e), zlib.crc32(e.tobytes())) for i, e in enumerate(expected)]
+
+    library.add_tokens([AddedToken("zq", lstrip=True)])
+    other = fresh_path(spark, "tokenizer").removeprefix("file:")
+    library.save(other)
+    texts = ["a  zq b", f"zqzq{end} zq", "plain text"]
+    assert [a.tolist() for a in token_files.Encoder(other)(texts)] == [ids(t) for t in texts]
+
+
 def test_token_files_round_trip(spark, awkward, nothing):
     rows = token_files.round_trip(awkward.repartition(5)).toPandas().sort_values("start")
     assert (rows.start.to_numpy() == np.r_[0, np.cumsum(rows.n_tokens)[:-1]]).all()
