@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from functools import lru_cache
@@ -24,14 +25,16 @@ from profileloom.llm.shared import map_arrow, small_batches, sql_type, text_byte
 ROUNDS = 10
 # The formats. Order decides where two kinds could begin at one place.
 _FIRST_DAY, _DAYS = date(1900, 1, 1), 73_049  # up to 2099-12-31
-_NUMBERS = re.compile(
+_OTHERS = (
     r"(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d))"
     r"|(?P<date>(?<![\d./-])(?:\d{4}(?P<m1>[-/.])\d{1,2}(?P=m1)\d{1,2}|\d{1,2}(?P<m2>[-/.])\d{1,2}(?P=m2)\d{4})(?!\d|[./-]\d))"
     r"|(?P<phone>(?<![\d+])(?:\+1[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\+1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-    r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))",
-    re.ASCII,
 )
+_NUMBERS = re.compile(_OTHERS + r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))", re.ASCII)
+_OTHERS = re.compile(_OTHERS, re.ASCII)
+_DIGITS = re.compile(r"\d+", re.ASCII)
+_FAR = 64  # characters: more than any number has, with what stands around it
 #: Runs that hold whatever ``_NUMBERS`` can match: found fast, looked at closely.
 _RUN = re.compile(r"[\d(+][\d()+ ./-]*\d", re.ASCII)
 _NAME_END = re.compile(r"[A-Za-z0-9._+-]")
@@ -97,9 +100,13 @@ def _refill(shape: str, digits: str) -> str:
 Permute = Callable[[int, int, str], int]
 
 
+def _is_card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and _luhn(digits[:-1]) == int(digits[-1]) and bool(digits.strip("0"))
+
+
 def _card(text: str, permute: Permute) -> str | None:
     digits = re.sub(r"\D", "", text)
-    if _luhn(digits[:-1]) != int(digits[-1]) or not digits.strip("0"):
+    if not _is_card(digits):
         return None
     body = f"{permute(int(digits[:-1]), 10 ** (len(digits) - 1), f'card{len(digits)}'):0{len(digits) - 1}d}"
     return _refill(text, body + str(_luhn(body)))
@@ -185,8 +192,10 @@ def _maker(key: bytes, inverse: bool):
     return make
 
 
-def _candidates(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of what looks like personal data; addresses first, none overlapping."""
+Span = tuple[int, int, str]  # start, end, kind
+
+
+def _mails(text: str) -> list[Span]:
     found, done, at = [], 0, text.find("@")
     while at >= 0:
         start = at
@@ -199,22 +208,102 @@ def _candidates(text: str) -> list[tuple[int, int, str]]:
             found.append((start, domain.end(), "email"))
             done = domain.end()
         at = text.find("@", max(at + 1, done))
-    taken = iter([*found, (len(text), len(text), "")])
-    mail = next(taken)
-    for run in _RUN.finditer(text):
-        for match in _NUMBERS.finditer(text, run.start(), run.end()):
-            while mail[1] <= match.start() < len(text) and mail[2]:
-                mail = next(taken)
-            if match.end() <= mail[0]:
-                found.append((match.start(), match.end(), next(k for k in KINDS[1:] if match[k] is not None)))
-    return sorted(found)
+    return found
+
 
+def _valid_part(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """The longest valid card number of a stretch, from digit group to digit group; the first of equals."""
+    groups = [m.span() for m in _DIGITS.finditer(text, start, end)]
+    parts = [(a, b, re.sub(r"\D", "", text[a:b])) for i, (a, _) in enumerate(groups) for _, b in groups[i:]]
+    a, b, _ = max((p for p in parts if _is_card(p[2])), key=lambda p: len(p[2]), default=(None, None, ""))
+    return None if a is None else (a, b)
 
-def pseudonymise(text: str, make) -> tuple[str, list[tuple[str, int, int]]]:
+
+def _in_run(text: str, at: int, end: int, limit: int, until: int | None = None) -> tuple[list[Span], bool, list[int]]:
+    """What looks like numbers of a run, up to ``limit``; whether check digits told where; where the search went on.
+
+    A card number may stand next to other numbers: where a run of digits is none, its
+    parts are tried, up to where a number of another kind begins; if none is valid
+    either, the search goes on behind the run's first group.
+    """
+    found, told, stops = [], False, [at]
+    while (until is None or at < until) and (match := _NUMBERS.search(text, at, end)):
+        start, at = match.span()
+        kind = next(k for k in KINDS[1:] if match[k] is not None)
+        if kind == "card":
+            first = _DIGITS.match(text, start).end()
+            other = _OTHERS.search(text, first, min(end, at + _FAR))
+            part = _valid_part(text, start, min(at, limit, other.start() if other else at))
+            told |= part != (start, at) and first < at
+            if part is None:
+                at = first
+                stops.append(at)
+                continue
+            start, at = part
+        stops.append(at)
+        if at <= limit:
+            found.append((start, at, kind))
+    return found, told, stops
+
+
+def _new_values(
+    text: str, bounds: tuple[int, int, int], spans: list[Span], stops: list[int], make, inverse: bool
+) -> list[str | None]:
+    """Pseudonyms for the numbers of a run in which check digits told where they are.
+
+    One after which others would be found is permuted once more. The way back takes
+    the numbers in the opposite order, so it meets the same neighbours.
+    """
+    at, end, limit = bounds
+    low = max(at - 1, 0)
+    run, spans = text[low:end], [(a - low, b - low, kind) for a, b, kind in spans]
+    limit, stops, values = limit - low, [x - low for x in stops], [None] * len(spans)
+    for i in sorted(range(len(spans)), reverse=inverse):
+        start, stop, kind = spans[i]
+        # What begins at a stop so far before it doesn't reach the number.
+        begin = stops[max(bisect_right(stops, start - _FAR) - 1, 0)]
+        near = spans[bisect_left(spans, (begin,)) : i]
+        new = make(kind, run[start:stop])
+        while new is not None:
+            by = len(new) - (stop - start)
+            changed = run[:start] + new + run[stop:]
+            if _in_run(changed, begin, len(changed), limit + by, stop + by)[0] == [*near, (start, stop + by, kind)]:
+                run, limit, values[i] = changed, limit + by, new
+                if by:
+                    spans = [(a + by * (a >= stop), b + by * (b >= stop), k) for a, b, k in spans]
+                    stops = [x + by * (x >= stop) for x in stops]
+                break
+            new = make(kind, new)
+    return values
+
+
+def _replacements(text: str, make, inverse: bool) -> list[tuple[int, int, str, str | None]]:
+    """(start, end, kind, pseudonym) of what looks like personal data; addresses first, none overlapping."""
+    mails = _mails(text)
+    out = [(a, b, kind, make(kind, text[a:b])) for a, b, kind in mails]
+    rest = iter([*mails, (len(text), len(text), "")])
+    mail = next(rest)
+    for run in _RUN.finditer(text):
+        at = run.start()
+        while at < run.end():
+            while mail[2] and mail[1] <= at:
+                mail = next(rest)
+            if at < mail[0]:
+                bounds = at, min(run.end(), mail[0] + 1), min(run.end(), mail[0])
+                spans, told, stops = _in_run(text, *bounds)
+                if told and spans:
+                    values = _new_values(text, bounds, spans, stops, make, inverse)
+                else:
+                    values = [make(kind, text[a:b]) for a, b, kind in spans]
+                out += [(*span, value) for span, value in zip(spans, values, strict=True)]
+            at = max(mail[1], at + 1) if mail[2] else run.end()
+    return sorted(out, key=lambda x: x[:2])
+
+
+def pseudonymise(text: str, make, inverse: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, end) of what was replaced, in code points."""
     parts, spans, at = [], [], 0
-    for start, end, kind in _candidates(text):
-        new = make(kind, text[start:end])
+    for start, end, kind, new in _replacements(text, make, inverse):
         if new is not None:
             spans.append((kind, start, end))
             parts += [text[at:start], new]
@@ -227,11 +316,13 @@ def hide_personal_data(documents: DataFrame, key: bytes, inverse: bool = False)
 
     Returns doc_id, text, n_email, n_ip, n_date, n_phone, n_ssn, n_card and spans
     (kind:start:end in the old text, by start, comma-joined). Card numbers must have a
-    right check digit, dates must exist between 1900 and 2099, addresses and numbers
-    must keep their ranges; others stay as they are. Dates that could be read both ways
-    count as day before month. Replaced values keep their length, but for addresses
-    and dates written without leading zeros. With ``inverse`` the pseudonyms go back to
-    the values. Null texts count as empty; null and repeated ids and repeated rows are
+    right check digit; where other numbers stand next to one, it is the longest run of
+    digit groups that has, and its pseudonym may differ from the usual one where that
+    would hide it from the way back. Dates must exist between 1900 and 2099, addresses
+    and numbers must keep their ranges; others stay as they are. Dates that could be
+    read both ways count as day before month. Replaced values keep their length, but for
+    addresses and dates written without leading zeros. With ``inverse`` the pseudonyms go
+    back to the values. Null texts count as empty; null and repeated ids and repeated rows are
     rows like others; other columns are ignored; an empty table gives none.
     """
 
@@ -241,7 +332,7 @@ def hide_personal_data(documents: DataFrame, key: bytes, inverse: bool = False)
             rows = []
             for value in batch.column(1).to_pylist():
                 text = value.decode("utf-8", "replace")
-                rows.append(pseudonymise(text, make))
+                rows.append(pseudonymise(text, make, inverse))
             counts = [pa.array([sum(s[0] == kind for s in spans) for _, spans in rows], pa.int64()) for kind in KINDS]
             spans = pa.array([",".join(f"{k}:{a}:{b}" for k, a, b in spans) for _, spans in rows], pa.string())
             texts = pa.array([text.encode("utf-8", "surrogatepass").decode("utf-8", "replace") for text, _ in rows], pa.string())

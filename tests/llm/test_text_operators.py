@@ -150,6 +150,24 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert pseudonyms.hide_personal_data(frame.filter("false"), b"key").count() == 0
 
 
+def test_cards_next_to_other_numbers():
+    card = "4111 1111 1111 1111"
+    there, back = pseudonyms._maker(b"key", False), pseudonyms._maker(b"key", True)
+    for text in (f"{card} 12/25", "4111111111111111 123", f"7 {card}", f"12-{card} 9", f"1 2 3 {card} 4 5", f"{card} 7a@b.com"):
+        _, spans = pseudonyms.pseudonymise(text, there)
+        assert [text[a:b] for kind, a, b in spans if kind == "card"] == [card if card in text else "4111111111111111"], text
+    text = f"7 2024-02-29 {card} 12/25/2027 123-45-6789 9"
+    assert [k for k, *_ in pseudonyms.pseudonymise(text, there)[1]] == ["date", "card", "date", "ssn"]
+    random = np.random.default_rng(8)
+    for _ in range(3000):
+        numbers = [card, "123", "7", "12/25", "4111111111111111", "2024-02-29", "x", "378282246310005", "4222222222222 9"]
+        text = "".join(random.choice(numbers) + random.choice([" ", " ", "-", ", "]) for _ in range(random.integers(1, 6))) + "9"
+        hidden, spans = pseudonyms.pseudonymise(text, there)
+        assert pseudonyms.pseudonymise(hidden, back, inverse=True)[0] == text
+        cards = [re.sub(r"\D", "", text[a:b]) for kind, a, b in spans if kind == "card"]
+        assert all(pseudonyms._is_card(c) for c in cards)
+
+
 def test_quality_on_held_out_rows(spark):
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality.score(d, labels).join(labels, "doc_id").filter("held_out").collect()
