@@ -43,6 +43,7 @@ ALLOWED = (
 )
 KINDS = ("assign", "access", "hex", *(name for name, *_ in CLASSES))
 REDACTED = "[SECRET]"
+_BLANK = " "  # stands in no candidate
 
 
 def _text() -> Column:
@@ -192,29 +193,40 @@ def _replaced(text: Column, pattern: str, value) -> Column:
 def redact(documents: DataFrame) -> DataFrame:
     """``documents`` with every secret in ``text`` replaced; all columns stay, no row leaves.
 
-    Of an assignment only the value is replaced, of a candidate its hot windows. A value
-    ends where its run of characters ends, so no other span crosses it and the kinds
-    can be replaced one after another. Null texts stay null; ``n_chars``, where there
-    is one, counts again for changed texts.
+    Of an assignment only the value is replaced, of a candidate its hot windows. No
+    candidate crosses the ends of a value, and every other secret lies in one candidate;
+    so values go first, and within a candidate all secrets are found before any is
+    replaced. Those that overlap or touch become one. Null texts stay null; ``n_chars``,
+    where there is one, counts again for changed texts.
     """
     def assigned(match: Column) -> Column:
         value = F.length(F.regexp_extract(match, ASSIGN, 2))
         return F.when(value >= ASSIGN_LEAST, F.concat(F.left(match, F.length(match) - value), F.lit(REDACTED))).otherwise(match)
 
-    def hot(match: Column) -> Column:
-        return _bound(
-            _entropy(match),
-            lambda e: F.when(
-                e["first"].isNotNull(),
-                F.concat(F.left(match, e["first"]), F.lit(REDACTED), F.substring(match, e["last"] + 1, F.length(match))),
-            ).otherwise(match),
-        )
+    def blank(match: Column) -> Column:
+        return F.repeat(F.lit(_BLANK), F.length(match))
+
+    def either(one: Column, other: Column) -> Column:
+        """What is blank in either of two texts of one length."""
+        pairs = F.arrays_zip(F.split(one, "").alias("a"), F.split(other, "").alias("b"))
+        return F.array_join(F.transform(pairs, lambda x: F.when(x["a"] == _BLANK, x["a"]).otherwise(x["b"])), "")
+
+    def candidate(match: Column) -> Column:
+        access, hexes = (_replaced(match, pattern, blank) for pattern in (ACCESS, HEX))
+        shapes = F.when(match.rlike(ACCESS) & match.rlike(HEX), either(access, hexes)).when(match.rlike(HEX), hexes).otherwise(access)
+        hot = lambda e: F.when(
+            e["first"].isNotNull(),
+            F.concat(
+                F.left(shapes, e["first"]), F.repeat(F.lit(_BLANK), e["last"] - e["first"]),
+                F.substring(shapes, e["last"] + 1, F.length(match)),
+            ),
+        ).otherwise(shapes)
+        return F.regexp_replace(_bound(_entropy(match), hot), f"{_BLANK}+", REDACTED)
 
     text = F.col("text")
     clean = documents
-    for pattern, value in ((ASSIGN, assigned), (ACCESS, None), (HEX, None), (CANDIDATE, hot)):
-        new = F.regexp_replace(text, pattern, REDACTED) if value is None else _replaced(text, pattern, value)
-        clean = clean.withColumn("text", new)
+    for pattern, value in ((ASSIGN, assigned), (CANDIDATE, candidate)):
+        clean = clean.withColumn("text", _replaced(text, pattern, value))
     if "n_chars" in documents.columns:
         clean = clean.withColumn("n_chars", F.when(text.isNotNull(), F.length(text)).otherwise(F.col("n_chars")).cast(documents.schema["n_chars"].dataType))
     return clean
