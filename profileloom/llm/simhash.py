@@ -176,16 +176,23 @@ def near_duplicates(
 
 
 def keep_one_of_near(documents: DataFrame) -> DataFrame:
-    """``documents`` with the row of the least doc_id of each component; all columns stay.
+    """``documents`` with exactly one row of each component; all columns stay.
 
-    Rows leave by doc_id. Rows without doc_id stay unless their component has one
-    with an id; where several rows stay under one doc_id, one of each text does.
+    It is the row of the least doc_id, null ids last, and of several such rows that of
+    the least SHA-256 of the text. Where ids are distinct, rows leave by doc_id; else
+    rows are numbered and stored first, and leave by number.
     """
-    decided = stored(near_duplicates(documents), "near")
-    stays = decided.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    goes = decided.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    repeated = not decided.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    if not repeated:
+    if documents.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        decided = stored(near_duplicates(documents), "near")
+        goes = decided.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
         return documents.join(goes, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    kept = documents.join(stays.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    numbered = stored(documents.withColumn("_number", F.monotonically_increasing_id()), "numbered")
+    near = near_duplicates(numbered.select(F.col("_number").alias("doc_id"), "text"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2(text_bytes(), 256), "_number")
+    rows = numbered.select("_number", order.alias("order"))
+    stays = (
+        rows.join(near.select(F.col("doc_id").alias("_number"), "component_id"), "_number")
+        .groupBy("component_id")
+        .agg(F.min("order").getField("_number").alias("_number"))
+    )
+    return numbered.join(stored(stays.select("_number"), "stays"), "_number", "left_semi").select(*documents.columns)

@@ -135,3 +135,26 @@ def test_one_of_near_stays(awkward):
     assert kept.columns == awkward.columns
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 3, 6, 7, 8, 9] and None in ids
+
+
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    words = [f"word{i}" for i in range(400)]
+    page, other = " ".join(words), " ".join(reversed(words))
+    edited = lambda text, i: text.replace(f"word{i} ", f"word{i}  ")
+    bits = lambda text: (slow_print(text) ^ slow_print(page)).bit_count()
+    changed = next(t for t in (page.replace(f"word{i} ", f"other{i} ") for i in range(400)) if 0 < bits(t) <= 3)
+    rows = [
+        (1, page), (1, edited(page, 7)), (1, changed), (2, edited(page, 9)), (2, "alone under a repeated id"), (3, other), (2, edited(other, 5)),
+        (None, edited(other, 8)), (None, "a null id alone"), (None, "a null id alone"), (None, edited(page, 3)), (4, None), (4, ""),
+    ]
+    roots = slow_components([(i, slow_print(t)) for i, (_, t) in enumerate(rows)])
+    groups = {}
+    for row in rows:
+        groups.setdefault(roots[slow_print(row[1])], []).append(row)
+    assert len(groups) == 5
+    rank = lambda r: (r[0] is None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).hexdigest())
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as print", "2 as order").repartition(3)
+    kept = simhash.keep_one_of_near(frame)
+    assert kept.columns == frame.columns
+    found = Counter((r.doc_id, r.text or "") for r in kept.collect())
+    assert found == Counter((i, t or "") for i, t in (min(g, key=rank) for g in groups.values()))
