@@ -32,11 +32,13 @@ CLASSES = (
         3.7,
     ),
 )
-# What is known to be harmless. A candidate that matches one is left alone.
+# What is known to be harmless. Of a candidate that holds a word, the windows
+# that share a character with it are left alone; one that looks like another is as a whole.
+WORDS = r"(?i)example|placeholder|changeme|x{4,}|0123456789|abcdefgh|12345678"
 ALLOWED = (
     r"^[A-Za-z_/-]+$",
     r"^[0-9+/_-]+$",
-    r"(?i)example|placeholder|changeme|xxxx|0123456789|abcdefgh|12345678",
+    WORDS,
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^(?:[a-z]+[-_/])+[a-z0-9]{1,8}$",
     r"^(.{1,4})\1+$",
@@ -44,6 +46,7 @@ ALLOWED = (
 KINDS = ("assign", "access", "hex", *(name for name, *_ in CLASSES))
 REDACTED = "[SECRET]"
 _BLANK = " "  # stands in no candidate
+_OF_WORD = 100  # more than any alphabet has
 
 
 def _text() -> Column:
@@ -54,32 +57,53 @@ def _n_log_n(n: Column) -> Column:
     return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(F.lit(0.0))
 
 
+def _replaced(text: Column, pattern: str, value) -> Column:
+    """The text with each match of the pattern put through ``value``; other texts are untouched."""
+    pairs = F.arrays_zip(
+        F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m")
+    )
+    pieces = F.transform(pairs, lambda x: F.concat(x["p"], F.coalesce(value(x["m"]), F.lit(""))))
+    return F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)
+
+
+def _blank(match: Column) -> Column:
+    return F.repeat(F.lit(_BLANK), F.length(match))
+
+
 def _hot_windows(value: Column, alphabet: str, least: float) -> Column:
     """struct(first, last): from the first to the last window of ``WINDOW`` characters
-    with ``least`` bits of entropy, as offsets in the value; null without any.
+    with ``least`` bits of entropy and no part of a harmless word, as offsets in the
+    value; null without any.
 
-    Events are +i for a character that enters and -i for one that leaves.
+    Events are +i for a character that enters and -i for one that leaves; one of a word
+    enters as i + _OF_WORD.
     """
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(alphabet), c))
     leaving = F.concat(F.array_repeat(F.lit(0), WINDOW), codes)
+    words = F.split(_replaced(value, WORDS, _blank), "")
+    entering = F.when(
+        value.rlike(WORDS), F.zip_with(codes, words, lambda i, c: F.when(c == _BLANK, i + _OF_WORD).otherwise(i))
+    ).otherwise(codes)
     events = F.flatten(
-        F.transform(F.arrays_zip(codes.alias("i"), leaving.alias("o")), lambda x: F.array(-x["o"], x["i"]))
+        F.transform(F.arrays_zip(entering.alias("i"), leaving.alias("o")), lambda x: F.array(-x["o"], x["i"]))
     )
     most = WINDOW * (math.log2(WINDOW) - least) + 1e-9
     start = F.struct(
-        F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("seen"),
+        F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("seen"), F.lit(0).alias("clean"),
         F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"),
     )
 
     def slide(state: Column, event: Column) -> Column:
         step = F.signum(event).cast("int")
-        count = F.element_at(state["counts"], F.abs(event))
+        code = F.abs(event) % _OF_WORD
+        count = F.element_at(state["counts"], code)
         total = state["sum"] + _n_log_n(count + step) - _n_log_n(count)
         seen = state["seen"] + F.greatest(step, F.lit(0))
-        hot = (step > 0) & (seen >= WINDOW) & (total <= most)
+        clean = F.when(event > _OF_WORD, 0).otherwise(state["clean"] + F.greatest(step, F.lit(0)))
+        hot = (step > 0) & (clean >= WINDOW) & (total <= most)
         return F.struct(
-            F.transform(state["counts"], lambda n, i: F.when(i + 1 == F.abs(event), n + step).otherwise(n)).alias("counts"),
-            total.alias("sum"), seen.alias("seen"),
+            F.transform(state["counts"], lambda n, i: F.when(i + 1 == code, n + step).otherwise(n)).alias("counts"),
+            total.alias("sum"), seen.alias("seen"), clean.alias("clean"),
             F.when(hot, F.coalesce(state["first"], seen - WINDOW)).otherwise(state["first"]).alias("first"),
             F.when(hot, seen).otherwise(state["last"]).alias("last"),
         )
@@ -111,6 +135,8 @@ def _entropy(value: Column) -> Column:
         found = F.when(value.rlike(looks), _bound(hot, _with_kind(KINDS.index(name)))).otherwise(found)
     allowed = F.lit(False)
     for pattern in ALLOWED:
+        if pattern == WORDS:
+            continue  # decides window by window
         allowed = allowed | value.rlike(pattern)
     return F.when(~allowed, found)
 
@@ -181,15 +207,6 @@ def secret_spans(documents: DataFrame) -> DataFrame:
     )
 
 
-def _replaced(text: Column, pattern: str, value) -> Column:
-    """The text with each match of the pattern put through ``value``; other texts are untouched."""
-    pairs = F.arrays_zip(
-        F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m")
-    )
-    pieces = F.transform(pairs, lambda x: F.concat(x["p"], F.coalesce(value(x["m"]), F.lit(""))))
-    return F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)
-
-
 def redact(documents: DataFrame) -> DataFrame:
     """``documents`` with every secret in ``text`` replaced; all columns stay, no row leaves.
 
@@ -203,16 +220,13 @@ def redact(documents: DataFrame) -> DataFrame:
         value = F.length(F.regexp_extract(match, ASSIGN, 2))
         return F.when(value >= ASSIGN_LEAST, F.concat(F.left(match, F.length(match) - value), F.lit(REDACTED))).otherwise(match)
 
-    def blank(match: Column) -> Column:
-        return F.repeat(F.lit(_BLANK), F.length(match))
-
     def either(one: Column, other: Column) -> Column:
         """What is blank in either of two texts of one length."""
         pairs = F.arrays_zip(F.split(one, "").alias("a"), F.split(other, "").alias("b"))
         return F.array_join(F.transform(pairs, lambda x: F.when(x["a"] == _BLANK, x["a"]).otherwise(x["b"])), "")
 
     def candidate(match: Column) -> Column:
-        access, hexes = (_replaced(match, pattern, blank) for pattern in (ACCESS, HEX))
+        access, hexes = (_replaced(match, pattern, _blank) for pattern in (ACCESS, HEX))
         shapes = F.when(match.rlike(ACCESS) & match.rlike(HEX), either(access, hexes)).when(match.rlike(HEX), hexes).otherwise(access)
         hot = lambda e: F.when(
             e["first"].isNotNull(),
