@@ -3,11 +3,12 @@
 All words that a batch of documents brings for the first time are laid out in one
 array of symbols. An index maps every pair that has a merge to all its positions; the
 active ranks are applied in ascending order, each at all its positions, and every merge
-updates the lists of the pairs it makes. White space is never part of a word, so texts
-are cut there, and the ids of what stands between are remembered for the worker's life.
+updates the lists of the pairs it makes. The ids of words are remembered for the
+worker's life.
 
-The tokenizer's normaliser and word pattern are applied by its library to strings
-beyond ASCII; the merges are this module's.
+Texts of ASCII and the letters of Western Europe are cut into words by one expression;
+for others the tokenizer's normaliser and word pattern are applied by its library. The
+merges are this module's for all.
 """
 
 from __future__ import annotations
@@ -16,11 +17,10 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
@@ -28,26 +28,37 @@ from pyspark.sql import DataFrame
 from profileloom.llm.shared import map_arrow, sql_type, text_bytes
 
 TOKENIZER = "word_bpe_49k.json"
-# Fixed value: the words of lower-case ASCII text, as the tokenizer's file gives them for all letters.
-_ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
-# ``str.split`` cuts at the tokenizer's white space, and at U+001C to U+001F, which are none.
-_SPACE, _NO_SPACE = re.compile(r"[ \t\n\r]+"), re.compile("[\x1c-\x1f]")
+# Characters that the tokenizer's normaliser only lower-cases, and the words of
+# texts of nothing else, as the tokenizer's file gives them for all letters.
+_NOT_PLAIN = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]")
+_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[!-/:-@\[-`{-~]+")
 _REMEMBERED, _LONGEST = 600_000, 64
 
 
-@dataclass(frozen=True)
 class Merges:
-    """``rank`` of a pair packed as left << 32 | right; of each rank the ``pair`` and the symbol ``made``."""
+    """``rank`` of a pair packed as left << 32 | right; of each rank the ``pair`` and the symbol ``made``.
 
-    rank: dict[int, int]
-    pair: list[int]
-    made: list[int]
+    From (left, right, made) in the order of ranks.
+    """
 
-    @classmethod
-    def of(cls, merges: list[tuple[int, int, int]]) -> Merges:
-        """From (left, right, made) in the order of ranks."""
-        pairs = [a << 32 | b for a, b, _ in merges]
-        return cls({p: r for r, p in enumerate(pairs)}, pairs, [c for *_, c in merges])
+    def __init__(self, merges: list[tuple[int, int, int]]):
+        self.pair = [a << 32 | b for a, b, _ in merges]
+        self.made = [c for *_, c in merges]
+        self.rank = {p: r for r, p in enumerate(self.pair)}
+        self._ranks = np.argsort(np.array(self.pair, np.int64), kind="stable")
+        self._pairs = np.array(self.pair, np.int64)[self._ranks]
+
+    def index(self, symbols: list[int]) -> dict[int, list[int]]:
+        """All positions of every pair that has a merge, by rank; negative symbols are in none."""
+        row = np.array(symbols, np.int64)
+        pairs = np.where((row[:-1] >= 0) & (row[1:] >= 0), row[:-1] << 32 | row[1:], -1)
+        near = np.minimum(np.searchsorted(self._pairs, pairs), len(self._pairs) - 1)
+        places = np.flatnonzero(self._pairs[near] == pairs) if len(self._pairs) else near[:0]
+        ranks = self._ranks[near[places]]
+        order = np.argsort(ranks, kind="stable")
+        found, starts = np.unique(ranks[order], return_index=True)
+        lists = np.split(places[order], starts[1:])
+        return {rank: list_.tolist() for rank, list_ in zip(found.tolist(), lists, strict=False)}
 
 
 def merge_words(words: list[list[int]], merges: Merges) -> list[list[int]]:
@@ -62,58 +73,43 @@ def merge_words(words: list[list[int]], merges: Merges) -> list[list[int]]:
         symbols += word
         symbols.append(-1)
     after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
-    rank_of, index = merges.rank.get, {}
-    active: list[int] = []
-
-    def note(left: int, right: int, at: int, now: int) -> bool:
-        """Enters a pair at a position; whether its rank is below the one applied now."""
-        rank = rank_of(left << 32 | right)
-        if rank is None:
-            return False
-        if rank in index:
-            index[rank].append(at)
-        else:
-            index[rank] = [at]
-            heappush(active, rank)
-        return rank < now
-
-    for at in range(1, len(symbols) - 1):
-        if symbols[at] >= 0 <= symbols[at + 1] and (rank := rank_of(symbols[at] << 32 | symbols[at + 1])) is not None:
-            index.setdefault(rank, []).append(at)
-    active += index
+    rank_of, index = merges.rank.get, merges.index(symbols)
+    active = list(index)
     heapify(active)
     while active:
         rank = heappop(active)
-        places, made = sorted(index.pop(rank)), merges.made[rank]
-        left, right = merges.pair[rank] >> 32, merges.pair[rank] & 0xFFFFFFFF
+        places, made, pair = sorted(index.pop(rank)), merges.made[rank], merges.pair[rank]
+        left, right, lower = pair >> 32, pair & 0xFFFFFFFF, False
         for k, at in enumerate(places):
             next_at = after[at]
             if symbols[at] != left or symbols[next_at] != right:
                 continue  # a merge has taken part of it
             symbols[at], symbols[next_at] = made, -2
-            beyond, behind = after[next_at], before[at]
+            behind, beyond = before[at], after[next_at]
             after[at], before[beyond] = beyond, at
-            lower = symbols[behind] >= 0 and note(symbols[behind], made, behind, rank)
-            if symbols[beyond] >= 0 and note(made, symbols[beyond], at, rank) or lower:
-                # A lower rank goes before the rest of this one.
-                for rest in places[k + 1 :]:
-                    note(left, right, rest, rank)
+            for pair, place in ((symbols[behind] << 32 | made, behind), (made << 32 | symbols[beyond], at)):
+                found = rank_of(pair)  # a pair with -1 has none
+                if found is not None:
+                    if found in index:
+                        index[found].append(place)
+                    else:
+                        index[found] = [place]
+                        heappush(active, found)
+                    lower = lower or found < rank
+            if lower:  # goes before the rest of this rank
+                if rest := places[k + 1 :]:
+                    index[rank] = index.get(rank, []) + rest
+                    heappush(active, rank)
                 break
     return [[s for s in symbols[a : a + len(word)] if s >= 0] for a, word in zip(starts, words, strict=True)]
 
 
-class Coded(NamedTuple):
-    """The decimal ids of a stretch of text, and the text they decode to, both joined by spaces."""
-
-    ids: str
-    decoded: str
-
-
 class Encoder:
     """Ids of whole texts by a byte-level BPE file with word ends, and their decoding."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
@@ -122,74 +118,60 @@ class Encoder:
         odd = {k for k in ("dropout", "unk_token", "continuing_subword_prefix") if model[k] is not None}
         if odd or told["decoder"] is not None or told["post_processor"] is not None:
             raise ValueError(f"this encoder reads plain word-end BPE files only, not {sorted(odd)}")
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.no_truncation()
-        self._tokenizer.no_padding()
+        tokenizer = Tokenizer.from_file(path)
+        self._normalise, self._cut_words = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
+        self._show = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self._merges = Merges.of([(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in pairs])
+        self._merges = Merges([(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in pairs])
         self._inner = {s: i for s, i in vocabulary.items() if len(s) == 1}
         self._last = {s[0]: i for s, i in vocabulary.items() if len(s) == 1 + len(suffix) and s.endswith(suffix)}
-        added = self._tokenizer.get_added_tokens_decoder()
+        added = tokenizer.get_added_tokens_decoder()
         if any(t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content) for t in added.values()):
             raise ValueError("added tokens that reach into the text around them")
         self._token = {i: s for s, i in vocabulary.items()} | {i: t.content for i, t in added.items()}
-        self._added = {t.content: i for i, t in added.items()}
+        self._added = {t.content: str(i) for i, t in added.items()}
         self._cut = re.compile(f"({'|'.join(sorted(map(re.escape, self._added), key=len, reverse=True))})")
-        self._words: dict[str, list[int]] = {}
-        self._known: dict[str, Coded] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Of known words the decimal ids, and the text they decode to, both joined by spaces.
+        self._ids, self._decoded = dict(self._added), {content: content for content in self._added}
 
     def decode(self, ids: list[int]) -> str:
         """The tokens of ids, special ones too, joined by spaces as the library does for this file."""
         return " ".join([self._token[i] for i in ids if i in self._token])
 
-    def _split(self, stretch: str) -> list[str]:
-        """The words of a stretch without added tokens, as the library's byte characters."""
-        if stretch.isascii() and stretch.isprintable():
-            return _ASCII_WORD.findall(stretch.lower())
-        normal = self._tokenizer.normalizer.normalize_str(stretch)
-        return [word for word, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
-
-    def _learn(self, new: list[str]) -> dict[str, Coded]:
-        """Codes stretches; the words none has brought before go through the merges together."""
-        if len(self._words) > _REMEMBERED:
-            self._words = {}
-        parts: dict[str, list[str | int]] = {}  # words, and the ids of added tokens
-        for stretch in new:
-            if "<" in stretch and len(pieces := self._cut.split(stretch)) > 1:
-                split = [[self._added[p]] if i % 2 else self._split(p) for i, p in enumerate(pieces)]
-                parts[stretch] = [x for some in split for x in some]
-            else:
-                parts[stretch] = self._split(stretch)
-        words = sorted({w for found in parts.values() for w in found if isinstance(w, str)}.difference(self._words))
-        symbols = [[self._inner[c] for c in w[:-1]] + [self._last[w[-1]]] for w in words]
-        fresh = dict(zip(words, merge_words(symbols, self._merges), strict=True))
-        self._words.update(fresh)
-        ids_of, coded = self._words, {}
-        for stretch, found in parts.items():
-            if len(found) == 1 and isinstance(found[0], str):
-                ids = ids_of[found[0]]
-            else:
-                ids = [i for x in found for i in (ids_of[x] if isinstance(x, str) else (x,))]
-            coded[stretch] = Coded(" ".join(map(str, ids)), self.decode(ids))
-        for word in fresh:
+    def _words(self, text: str) -> list[str]:
+        """The words of a text; an added token is one of its own, and no other word is like it."""
+        if "<" in text and len(parts := self._cut.split(text)) > 1:
+            return [w for i, part in enumerate(parts) for w in ([part] if i % 2 else self._words(part))]
+        if not _NOT_PLAIN.search(text):
+            return _WORD.findall(text.lower())
+        normal = self._normalise(text)
+        return [normal[a:b] for _, (a, b) in self._cut_words(normal)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Puts words that none has brought before through the merges together."""
+        shown = [w if w.isascii() and w.isprintable() else self._show(w)[0][0] for w in words]
+        symbols = [[*map(self._inner.__getitem__, s[:-1]), self._last[s[-1]]] for s in shown]
+        coded = merge_words(symbols, self._merges)
+        self._ids.update(zip(words, [" ".join(map(str, ids)) for ids in coded], strict=True))
+        self._decoded.update(zip(words, map(self.decode, coded), strict=True))
+
+    def __call__(self, texts: list[str]) -> list[tuple[str, str]]:
+        """Of each text its decimal ids, and the text they decode to."""
+        if len(self._ids) > _REMEMBERED:
+            self._forget()
+        words = list(map(self._words, texts))
+        new = sorted(set().union(*words).difference(self._ids))
+        self._learn(new)
+        ids, decoded = self._ids.__getitem__, self._decoded.__getitem__
+        coded = [(" ".join(map(ids, each)), " ".join(map(decoded, each))) for each in words]
+        for word in new:
             if len(word) > _LONGEST:
-                del ids_of[word]
+                del self._ids[word], self._decoded[word]
         return coded
 
-    def __call__(self, texts: list[str]) -> list[list[Coded]]:
-        """The coded stretches of each text; those without tokens are left out."""
-        if len(self._known) > _REMEMBERED:
-            self._known = {}
-        stretches = [_SPACE.split(t) if _NO_SPACE.search(t) else t.split() for t in texts]
-        new = set().union(*stretches).difference(self._known)
-        learnt = self._learn(sorted(new)) if new else {}
-        long = {s: c for s, c in learnt.items() if len(s) > _LONGEST}
-        self._known.update((s, c) for s, c in learnt.items() if len(s) <= _LONGEST)
-        known = self._known
-        if long:
-            return [[c for c in (long[s] if s in long else known[s] for s in each) if c.ids] for each in stretches]
-        return [[c for c in map(known.__getitem__, each) if c.ids] for each in stretches]
-
 
 @lru_cache(2)
 def _encoder(path: str) -> Encoder:
@@ -202,7 +184,7 @@ def _path(tokenizer: str | None) -> str:
 
 
 def _by_texts(documents: DataFrame, columns: dict[str, tuple[str, pa.DataType]], make, tokenizer: str | None) -> DataFrame:
-    """doc_id and the columns that ``make`` gives for the coded stretches of every text."""
+    """doc_id and the columns that ``make`` makes of every text's ids and decoded text."""
     path = _path(tokenizer)
     schema = ", ".join([f"doc_id {sql_type(documents, 'doc_id')}", *(f"{name} {kind}" for name, (kind, _) in columns.items())])
 
@@ -227,7 +209,7 @@ def encode(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
     columns are ignored; an empty table gives none.
     """
     columns = {"ids": ("array<bigint>", pa.list_(pa.int64()))}
-    return _by_texts(documents, columns, lambda coded: ([int(i) for c in coded for i in c.ids.split(" ")],), tokenizer)
+    return _by_texts(documents, columns, lambda coded: ([int(i) for i in coded[0].split()],), tokenizer)
 
 
 def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -254,10 +236,9 @@ def encode_and_decode(documents: DataFrame, tokenizer: str | None = None) -> Dat
     ``decode`` gives for them. Rows are defined as in ``encode``.
     """
 
-    def digests(coded: list[Coded]) -> tuple[int, str, str]:
-        ids, decoded = (" ".join(each) for each in zip(*coded, strict=True)) if coded else ("", "")
-        n = ids.count(" ") + 1 if ids else 0
-        return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+    def digests(coded: tuple[str, str]) -> tuple[int, str, str]:
+        n = coded[0].count(" ") + 1 if coded[0] else 0
+        return n, *(hashlib.sha256(x.encode()).hexdigest() for x in coded)
 
     columns = {"n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
     return _by_texts(documents, columns, digests, tokenizer)
