@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from profileloom.llm.shared import small_batches, stored, text_bytes
 
 WORDS_MOST, LEAST, COVERED, TOP = 3, 10, 50, 2000
+_SHARES = 32
 UNKNOWN_LANG = "und"
 # The bytes that end a piece, and blanks besides the space.
 _ENDS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b"\t"
@@ -373,7 +374,10 @@ def collocations(documents: DataFrame, top: int = TOP, budget: int = BUDGET) ->
     kept = _scored(phrases, words).join(longer, ["lang", "phrase"], "left")
     # A phrase of three words has no longer one.
     kept = kept.filter((F.col("size") == WORDS_MOST) | F.col("_longer").isNull() | (100 * F.col("_longer") < COVERED * F.col("a")))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    order = F.desc("score"), F.desc("a"), "phrase"
+    # The best of each share of a language first, so that no task meets all its phrases.
+    share = F.pmod(F.xxhash64("phrase"), F.lit(_SHARES)).alias("_share")
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang", share).orderBy(*order))).filter(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
