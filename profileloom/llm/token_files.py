@@ -42,7 +42,7 @@ TOKENIZER = "byte_bpe_50k.json"
 # punctuation behind a letter, so a text may be cut in front of both. Python's white
 # space holds whatever other engines count as such; letters and punctuation are kept to
 # ranges all engines agree on.
-_PIECE = re.compile(r"\s*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-/:-@\[-`{-~])|\s*\S+|\s+")
+_PIECE = re.compile(r"\s*+(?:[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[!-/:-@\[-`{-~])|\S++)|\s++")
 _REMEMBERED, _LONGEST = 1_000_000, 64
 
 
@@ -153,6 +153,9 @@ class Encoder:
             t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content) for t in added.values()
         )
         self._known: dict[str, bytes] = dict(self._added)
+        #: Whether a token starts with a space, as the file's byte characters show it.
+        self._spaced = np.zeros(self._tokenizer.get_vocab_size(), bool)
+        self._spaced[[i for s, i in self._tokenizer.get_vocab().items() if s.startswith("Ġ")]] = True
 
     def whole(self, text: str) -> np.ndarray:
         """The library's ids of a text in one go."""
@@ -166,16 +169,17 @@ class Encoder:
         return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else _PIECE.findall(part))]
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """The ids of pieces; those between white space are encoded as one text, and told apart by offsets."""
+        """The ids of pieces; those of one space and a word are encoded as one text and told apart by their spaces."""
         found = {}
-        chain = [p for p in new if p[0].isspace() and not p[-1].isspace()]
+        chain = [p for p in new if p[0] == " " and len(p) > 1 and not p[1].isspace()]
         if chain:
-            coded = self._tokenizer.encode("".join(chain), add_special_tokens=False)
-            starts = np.cumsum([0, *map(len, chain)])
-            of = np.searchsorted(starts, [a for a, _ in coded.offsets], "right")
-            raw, ends = np.array(coded.ids, "<u4").tobytes(), np.searchsorted(of, np.arange(len(chain) + 1), "right") * 4
-            found = {p: raw[ends[i] : ends[i + 1]] for i, p in enumerate(chain)}
-        alone = [p for p in new if p not in found]
+            (coded,) = self._tokenizer.encode_batch_fast(["".join(chain)], add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4")
+            starts = np.flatnonzero(self._spaced[ids]) * 4
+            raw, starts = ids.tobytes(), [*starts.tolist(), 4 * len(ids)]
+            if len(starts) == len(chain) + 1:
+                found = {p: raw[a:b] for p, a, b in zip(chain, starts, starts[1:], strict=False)}
+        alone = [p for p in new if p not in found] if len(found) < len(new) else []
         for piece, coded in zip(alone, self._tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             found[piece] = np.array(coded.ids, "<u4").tobytes()
         return found
@@ -189,10 +193,12 @@ class Encoder:
         known, pieces = self._known, [self._pieces(t) for t in texts]
         new = set().union(*pieces).difference(known)
         learnt = self._learn(sorted(new)) if new else {}
-        known.update((p, ids) for p, ids in learnt.items() if len(p) <= _LONGEST)
-        long = {p: ids for p, ids in learnt.items() if len(p) > _LONGEST}
-        take = (lambda p: long[p] if p in long else known[p]) if long else known.__getitem__
-        return [np.frombuffer(b"".join(map(take, each)), "<u4").astype(np.int64) for each in pieces]
+        known.update(learnt)
+        coded = [np.frombuffer(b"".join(map(known.__getitem__, each)), "<u4").astype(np.int64) for each in pieces]
+        for piece in learnt:
+            if len(piece) > _LONGEST:
+                del known[piece]
+        return coded
 
 
 @lru_cache(2)
@@ -241,7 +247,8 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None)
     file = tokenizer or public_tokenizers.path(TOKENIZER)
     kind = documents.schema["doc_id"].dataType.simpleString()
     ordered = documents.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Ranges of ids and of the texts' beginnings, so that a repeated or null id is split.
+    ordered = ordered.repartitionByRange("doc_id", F.substring("text", 1, 256)).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(
         lambda batches: _segments(batches, file),
         f"part bigint, number bigint, ids bigint, segment binary, doc_ids array<{kind}>",
