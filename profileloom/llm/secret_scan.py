@@ -40,8 +40,8 @@ ALLOWED = (
     r"^[0-9+/_-]+$",
     WORDS,
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^(?:[a-z]+[-_/])+[a-z0-9]{1,8}$",
-    r"^(.{1,4})\1+$",
+    r"^(?:[a-z]++[-_/])++[a-z0-9]{1,8}$",  # possessive: a plain repeated group recurses in Java
+    r"^(.{1,4})\1++$",
 )
 KINDS = ("assign", "access", "hex", *(name for name, *_ in CLASSES))
 REDACTED = "[SECRET]"
