@@ -126,27 +126,31 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     """A model from the learnable folds of ``documents`` and ``labels`` (doc_id, quality, ...).
 
     Positives are documents all of whose labels are 1, unlabelled ones have no label.
-    At most ``sample`` of each are taken, the least by a hash of their doc_id; only
-    those rows' features reach the driver.
+    At most ``sample`` rows of each are taken, the least by a hash of doc_id and text, equal
+    rows once; only those rows' features reach the driver, however often a doc_id occurs.
     """
     judged = labels.groupBy("doc_id").agg(F.min("quality").alias("least"), F.count("*").alias("n"))
-    ids = documents.select("doc_id").filter(fold() != HELD_OUT).distinct()
-    least = F.xxhash64("doc_id"), F.col("doc_id")
-    positive = ids.join(judged.filter("least = 1").select("doc_id"), "doc_id", "left_semi").orderBy(*least).limit(sample)
-    unlabelled = ids.join(judged.select("doc_id"), "doc_id", "left_anti").orderBy(*least).limit(sample)
-    chosen = positive.withColumn("_p", F.lit(1)).unionByName(unlabelled.withColumn("_p", F.lit(0)))
-    # At most two samples of ids: bounded by ``sample``.
-    rows = documents.select("doc_id", text_bytes().alias("_t")).join(F.broadcast(chosen), "doc_id").select("_p", "doc_id", "_t")
+    texts = documents.filter(fold() != HELD_OUT).select("doc_id", text_bytes().alias("_t")).withColumn("_h", F.xxhash64("doc_id", "_t"))
+    rows = texts.select("doc_id", "_h").distinct()  # equal rows count once
+    positive = rows.join(judged.filter("least = 1").select("doc_id"), "doc_id", "left_semi")
+    unlabelled = rows.join(judged.select("doc_id"), "doc_id", "left_anti")
+    chosen = [(F.lit(p).alias("_p"), kind.select("_h").distinct().orderBy("_h").limit(sample)) for p, kind in ((1, positive), (0, unlabelled))]
+    chosen = chosen[0][1].withColumn("_p", chosen[0][0]).unionByName(chosen[1][1].withColumn("_p", chosen[1][0]))
+    # At most two samples of hashes: bounded by ``sample``.
+    rows = texts.join(F.broadcast(chosen), "_h").select("_p", "_h", "_t")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()  # of at most two samples
         for batch in batches:
+            first = [i for i, h in enumerate(batch.column(1).to_pylist()) if not (h in done or done.add(h))]
+            batch = batch.take(pa.array(first, pa.int64()))
             seen = [features(t).tolist() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(seen, pa.list_(pa.float32()))], names=["p", "doc_id", "x"]
+                [batch.column(0), batch.column(1), pa.array(seen, pa.list_(pa.float32()))], names=["p", "h", "x"]
             )
 
-    table = map_arrow(rows, look, f"p int, doc_id {sql_type(documents, 'doc_id')}, x array<float>").toArrow()
-    table = table.sort_by([("p", "ascending"), ("doc_id", "ascending")])  # the fit doesn't depend on tasks' order
+    table = map_arrow(rows, look, "p int, h bigint, x array<float>").groupBy("p", "h").agg(F.first("x").alias("x")).toArrow()
+    table = table.sort_by([("p", "ascending"), ("h", "ascending")])  # the fit doesn't depend on tasks' order
     width = len(features(b""))
     x = np.asarray(table["x"].combine_chunks().flatten(), np.float64).reshape(-1, width)
     is_p = np.asarray(table["p"]) == 1
