@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from functools import lru_cache
@@ -19,6 +18,7 @@ from math import isqrt
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from profileloom.llm.shared import map_arrow, small_batches, sql_type, text_bytes
 
@@ -28,13 +28,17 @@ _FIRST_DAY, _DAYS = date(1900, 1, 1), 73_049  # up to 2099-12-31
 _OTHERS = (
     r"(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d))"
     r"|(?P<date>(?<![\d./-])(?:\d{4}(?P<m1>[-/.])\d{1,2}(?P=m1)\d{1,2}|\d{1,2}(?P<m2>[-/.])\d{1,2}(?P=m2)\d{4})(?!\d|[./-]\d))"
-    r"|(?P<phone>(?<![\d+])(?:\+1[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\+1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d))"
+    r"|(?P<phone>(?<![\d+])(?:\+1[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\+1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)"
+    r"|(?<![\d+.-])[2-9]\d{2}(?P<m3>[.-])\d{3}(?P=m3)\d{4}(?![\d]|[.-]\d)"
+    r"|(?<![\d+])\+(?!1[ .-])[1-9]\d{0,2}[ .-](?:\(?\d{1,5}\)?[ .-]?){1,4}(?<=\d)(?!\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
 )
 _NUMBERS = re.compile(_OTHERS + r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))", re.ASCII)
 _OTHERS = re.compile(_OTHERS, re.ASCII)
 _DIGITS = re.compile(r"\d+", re.ASCII)
 _FAR = 64  # characters: more than any number has, with what stands around it
+# The digit groups card numbers are usually written in.
+_CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4))
 #: Runs that hold whatever ``_NUMBERS`` can match: found fast, looked at closely.
 _RUN = re.compile(r"[\d(+][\d()+ ./-]*\d", re.ASCII)
 _NAME_END = re.compile(r"[A-Za-z0-9._+-]")
@@ -114,7 +118,15 @@ def _card(text: str, permute: Permute) -> str | None:
 
 def _phone(text: str, permute: Permute) -> str | None:
     digits = re.sub(r"\D", "", text)
-    return _refill(text, digits[:-10] + f"{permute(int(digits[-10:]), 10**10, 'phone'):010d}")
+    abroad = re.match(r"\+(?!1[ .-]?[\d(])(\d+)", text)
+    if abroad:  # the country's code stays
+        code, rest = abroad[1], digits[len(abroad[1]) :]
+        if not 6 <= len(rest) <= 15 - len(code):
+            return None
+        return _refill(text, code + f"{permute(int(rest), 10 ** len(rest), f'phone{code}|{len(rest)}'):0{len(rest)}d}")
+    # Area codes begin with 2 to 9: numbers that have one get one.
+    least, size = (2 * 10**9, 8 * 10**9) if digits[-10] > "1" else (0, 2 * 10**9)
+    return _refill(text, digits[:-10] + f"{least + permute(int(digits[-10:]) - least, size, 'phone'):010d}")
 
 
 def _ssn(text: str, permute: Permute) -> str | None:
@@ -212,75 +224,53 @@ def _mails(text: str) -> list[Span]:
 
 
 def _valid_part(text: str, start: int, end: int) -> tuple[int, int] | None:
-    """The longest valid card number of a stretch, from digit group to digit group; the first of equals."""
+    """The card number of a stretch of digit groups: a valid one in usual groups, or else in one
+    group, or else the longest; the first of equals.
+
+    A number by its usual groups is found with or without other numbers beside it.
+    """
     groups = [m.span() for m in _DIGITS.finditer(text, start, end)]
-    parts = [(a, b, re.sub(r"\D", "", text[a:b])) for i, (a, _) in enumerate(groups) for _, b in groups[i:]]
-    a, b, _ = max((p for p in parts if _is_card(p[2])), key=lambda p: len(p[2]), default=(None, None, ""))
-    return None if a is None else (a, b)
+    best, rank = None, None
+    for i, (a, _) in enumerate(groups):
+        for j in range(i, len(groups)):
+            sizes = tuple(y - x for x, y in groups[i : j + 1])
+            if sum(sizes) > 19:
+                break
+            if _is_card("".join(text[x:y] for x, y in groups[i : j + 1])):
+                now = (sizes in _CARD_GROUPS, len(sizes) == 1, sum(sizes))
+                if rank is None or now > rank:
+                    best, rank = (a, groups[j][1]), now
+    return best
 
 
-def _in_run(text: str, at: int, end: int, limit: int, until: int | None = None) -> tuple[list[Span], bool, list[int]]:
-    """What looks like numbers of a run, up to ``limit``; whether check digits told where; where the search went on.
+def _in_run(text: str, at: int, end: int, limit: int) -> list[Span]:
+    """What looks like numbers of a run, up to ``limit``.
 
-    A card number may stand next to other numbers: where a run of digits is none, its
-    parts are tried, up to where a number of another kind begins; if none is valid
-    either, the search goes on behind the run's first group.
+    A card number may stand next to other numbers: the parts of a run of digits are
+    tried, up to where a number of another kind begins; if none is valid, the search
+    goes on behind the run's first group.
     """
-    found, told, stops = [], False, [at]
-    while (until is None or at < until) and (match := _NUMBERS.search(text, at, end)):
+    found = []
+    while match := _NUMBERS.search(text, at, end):
         start, at = match.span()
         kind = next(k for k in KINDS[1:] if match[k] is not None)
         if kind == "card":
             first = _DIGITS.match(text, start).end()
             other = _OTHERS.search(text, first, min(end, at + _FAR))
             part = _valid_part(text, start, min(at, limit, other.start() if other else at))
-            told |= part != (start, at) and first < at
             if part is None:
                 at = first
-                stops.append(at)
                 continue
             start, at = part
-        stops.append(at)
         if at <= limit:
             found.append((start, at, kind))
-    return found, told, stops
-
-
-def _new_values(
-    text: str, bounds: tuple[int, int, int], spans: list[Span], stops: list[int], make, inverse: bool
-) -> list[str | None]:
-    """Pseudonyms for the numbers of a run in which check digits told where they are.
-
-    One after which others would be found is permuted once more. The way back takes
-    the numbers in the opposite order, so it meets the same neighbours.
-    """
-    at, end, limit = bounds
-    low = max(at - 1, 0)
-    run, spans = text[low:end], [(a - low, b - low, kind) for a, b, kind in spans]
-    limit, stops, values = limit - low, [x - low for x in stops], [None] * len(spans)
-    for i in sorted(range(len(spans)), reverse=inverse):
-        start, stop, kind = spans[i]
-        # What begins at a stop so far before it doesn't reach the number.
-        begin = stops[max(bisect_right(stops, start - _FAR) - 1, 0)]
-        near = spans[bisect_left(spans, (begin,)) : i]
-        new = make(kind, run[start:stop])
-        while new is not None:
-            by = len(new) - (stop - start)
-            changed = run[:start] + new + run[stop:]
-            if _in_run(changed, begin, len(changed), limit + by, stop + by)[0] == [*near, (start, stop + by, kind)]:
-                run, limit, values[i] = changed, limit + by, new
-                if by:
-                    spans = [(a + by * (a >= stop), b + by * (b >= stop), k) for a, b, k in spans]
-                    stops = [x + by * (x >= stop) for x in stops]
-                break
-            new = make(kind, new)
-    return values
+    return found
 
 
-def _replacements(text: str, make, inverse: bool) -> list[tuple[int, int, str, str | None]]:
-    """(start, end, kind, pseudonym) of what looks like personal data; addresses first, none overlapping."""
+def _found(text: str) -> list[Span]:
+    """What looks like personal data; addresses first, none overlapping."""
     mails = _mails(text)
-    out = [(a, b, kind, make(kind, text[a:b])) for a, b, kind in mails]
+    out = list(mails)
     rest = iter([*mails, (len(text), len(text), "")])
     mail = next(rest)
     for run in _RUN.finditer(text):
@@ -289,57 +279,70 @@ def _replacements(text: str, make, inverse: bool) -> list[tuple[int, int, str, s
             while mail[2] and mail[1] <= at:
                 mail = next(rest)
             if at < mail[0]:
-                bounds = at, min(run.end(), mail[0] + 1), min(run.end(), mail[0])
-                spans, told, stops = _in_run(text, *bounds)
-                if told and spans:
-                    values = _new_values(text, bounds, spans, stops, make, inverse)
-                else:
-                    values = [make(kind, text[a:b]) for a, b, kind in spans]
-                out += [(*span, value) for span, value in zip(spans, values, strict=True)]
+                out += _in_run(text, at, min(run.end(), mail[0] + 1), min(run.end(), mail[0]))
             at = max(mail[1], at + 1) if mail[2] else run.end()
-    return sorted(out, key=lambda x: x[:2])
+    return sorted(out)
+
+
+def pseudonymise(text: str, make, found: list[Span] | None = None) -> tuple[str, list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+    """The text with pseudonyms, and (kind, start, end) of what was replaced in the old and in the new text.
+
+    A pseudonym depends on the key, the kind and the value alone, whatever stands beside
+    it. Beside other numbers a new value may look like part of another; the spans of the
+    new text, given as ``found`` on the way back, tell them apart.
+    """
+    parts, old, new, at, length = [], [], [], 0, 0
+    for start, end, kind in _found(text) if found is None else found:
+        value = make(kind, text[start:end])
+        if value is not None:
+            parts += [text[at:start], value]
+            length += start - at
+            old.append((kind, start, end))
+            new.append((kind, length, length + len(value)))
+            length, at = length + len(value), end
+    return "".join([*parts, text[at:]]), old, new
+
+
+def _written(spans: list[tuple[str, int, int]]) -> str:
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def pseudonymise(text: str, make, inverse: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
-    """The text with pseudonyms, and (kind, start, end) of what was replaced, in code points."""
-    parts, spans, at = [], [], 0
-    for start, end, kind, new in _replacements(text, make, inverse):
-        if new is not None:
-            spans.append((kind, start, end))
-            parts += [text[at:start], new]
-            at = end
-    return "".join([*parts, text[at:]]), spans
+def _read(spans: str) -> list[Span]:
+    return [(int(a), int(b), kind) for kind, a, b in (s.split(":") for s in spans.split(",") if s)]
 
 
 def hide_personal_data(documents: DataFrame, key: bytes, inverse: bool = False) -> DataFrame:
     """Every row of ``documents`` (doc_id, text, ...) with pseudonyms for personal data.
 
-    Returns doc_id, text, n_email, n_ip, n_date, n_phone, n_ssn, n_card and spans
-    (kind:start:end in the old text, by start, comma-joined). Card numbers must have a
-    right check digit; where other numbers stand next to one, it is the longest run of
-    digit groups that has, and its pseudonym may differ from the usual one where that
-    would hide it from the way back. Dates must exist between 1900 and 2099, addresses
-    and numbers must keep their ranges; others stay as they are. Dates that could be
-    read both ways count as day before month. Replaced values keep their length, but for
-    addresses and dates written without leading zeros. With ``inverse`` the pseudonyms go
-    back to the values. Null texts count as empty; null and repeated ids and repeated rows are
-    rows like others; other columns are ignored; an empty table gives none.
+    Returns doc_id, text, n_email, n_ip, n_date, n_phone, n_ssn, n_card, spans
+    (kind:start:end in the old text, by start, comma-joined) and hidden_spans (likewise
+    in the new text). Card numbers must have a right check digit; where other numbers
+    stand next to one, usual groups of digits go before one group, that before the longest
+    run of groups that has. Dates must exist between 1900 and 2099, addresses and numbers must
+    keep their ranges; others stay as they are. Dates that could be read both ways count as
+    day before month. Replaced values keep their length, but for addresses and dates written
+    without leading zeros. Equal values of a kind have equal pseudonyms in every place.
+
+    With ``inverse`` the pseudonyms go back to the values: those at ``hidden_spans`` where
+    ``documents`` has that column, and all that is found where it has none or null, which may
+    miss numbers that stand next to others. Null texts count as empty; null and repeated ids
+    and repeated rows are rows like others; other columns are ignored; an empty table gives none.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = _maker(key, inverse)
         for batch in small_batches(batches, 2 << 20):
             rows = []
-            for value in batch.column(1).to_pylist():
-                text = value.decode("utf-8", "replace")
-                rows.append(pseudonymise(text, make, inverse))
-            counts = [pa.array([sum(s[0] == kind for s in spans) for _, spans in rows], pa.int64()) for kind in KINDS]
-            spans = pa.array([",".join(f"{k}:{a}:{b}" for k, a, b in spans) for _, spans in rows], pa.string())
-            texts = pa.array([text.encode("utf-8", "surrogatepass").decode("utf-8", "replace") for text, _ in rows], pa.string())
+            for value, known in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                rows.append(pseudonymise(value.decode("utf-8", "replace"), make, None if known is None else _read(known)))
+            counts = [pa.array([sum(s[0] == kind for s in old) for _, old, _ in rows], pa.int64()) for kind in KINDS]
+            spans, hidden = (pa.array([_written(row[i]) for row in rows], pa.string()) for i in (1, 2))
+            texts = pa.array([text.encode("utf-8", "surrogatepass").decode("utf-8", "replace") for text, *_ in rows], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), texts, *counts, spans], names=["doc_id", "text", *[f"n_{k}" for k in KINDS], "spans"]
+                [batch.column(0), texts, *counts, spans, hidden], names=["doc_id", "text", *[f"n_{k}" for k in KINDS], "spans", "hidden_spans"]
             )
 
     counts = ", ".join(f"n_{k} bigint" for k in KINDS)
-    schema = f"doc_id {sql_type(documents, 'doc_id')}, text string, {counts}, spans string"
-    return map_arrow(documents.select("doc_id", text_bytes().alias("text")), work, schema)
+    schema = f"doc_id {sql_type(documents, 'doc_id')}, text string, {counts}, spans string, hidden_spans string"
+    known = F.col("hidden_spans").cast("string") if inverse and "hidden_spans" in documents.columns else F.lit(None).cast("string")
+    return map_arrow(documents.select("doc_id", text_bytes().alias("text"), known.alias("known")), work, schema)

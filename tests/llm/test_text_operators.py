@@ -191,7 +191,7 @@ def test_cards_next_to_other_numbers():
     card = "4111 1111 1111 1111"
     there, back = pseudonyms._maker(b"key", False), pseudonyms._maker(b"key", True)
     for text in (f"{card} 12/25", "4111111111111111 123", f"7 {card}", f"12-{card} 9", f"1 2 3 {card} 4 5", f"{card} 7a@b.com"):
-        _, spans = pseudonyms.pseudonymise(text, there)
+        _, spans, _ = pseudonyms.pseudonymise(text, there)
         assert [text[a:b] for kind, a, b in spans if kind == "card"] == [card if card in text else "4111111111111111"], text
     text = f"7 2024-02-29 {card} 12/25/2027 123-45-6789 9"
     assert [k for k, *_ in pseudonyms.pseudonymise(text, there)[1]] == ["date", "card", "date", "ssn"]
@@ -199,12 +199,74 @@ def test_cards_next_to_other_numbers():
     for _ in range(3000):
         numbers = [card, "123", "7", "12/25", "4111111111111111", "2024-02-29", "x", "378282246310005", "4222222222222 9"]
         text = "".join(random.choice(numbers) + random.choice([" ", " ", "-", ", "]) for _ in range(random.integers(1, 6))) + "9"
-        hidden, spans = pseudonyms.pseudonymise(text, there)
-        assert pseudonyms.pseudonymise(hidden, back, inverse=True)[0] == text
+        hidden, spans, new = pseudonyms.pseudonymise(text, there)
+        assert pseudonyms.pseudonymise(hidden, back, [(a, b, kind) for kind, a, b in new])[0] == text
         cards = [re.sub(r"\D", "", text[a:b]) for kind, a, b in spans if kind == "card"]
         assert all(pseudonyms._is_card(c) for c in cards)
 
 
+def test_a_card_has_one_pseudonym_in_every_context():
+    random = np.random.default_rng(9)
+    there = pseudonyms._maker(b"key", False)
+    contexts = ["{}", "{} 123", "{} 12/25", "7 {}", "{} 1234", "card {}, code 999", "{} 2024-02-29", "12 {} 7", "{}-x", "1 2 3 {} 4 5"]
+    for _ in range(2000):
+        body = "4" + "".join(map(str, random.integers(0, 10, 14)))
+        digits = body + str(pseudonyms._luhn(body))
+        for card in (digits, " ".join(digits[i : i + 4] for i in range(0, 16, 4))):
+            alone, *_ = pseudonyms.pseudonymise(card, there)
+            for context in contexts:
+                text = context.format(card)
+                if context == "{}-x":
+                    continue
+                hidden, spans, new = pseudonyms.pseudonymise(text, there)
+                found = [hidden[a:b] for kind, a, b in new if kind == "card"]
+                assert found == [alone], (text, hidden)
+
+
+def test_phone_forms_link_and_go_back(spark):
+    there, back = pseudonyms._maker(b"key", False), pseudonyms._maker(b"key", True)
+    forms = ["(555) 123-4567", "555-123-4567", "555.123.4567", "+1 555-123-4567", "+1 (555) 123-4567"]
+    numbers = set()
+    for form in forms:
+        hidden, spans, new = pseudonyms.pseudonymise(f"call {form} now", there)
+        assert [k for k, *_ in spans] == ["phone"], form
+        numbers.add(re.sub(r"\D", "", hidden)[-10:])
+    assert len(numbers) == 1 and numbers.pop()[0] in "23456789"
+    for text in ("+49 30 1234567", "+44 (20) 7946 0958", "+33-1-23-45-67-89"):
+        hidden, spans, new = pseudonyms.pseudonymise(text, there)
+        assert [k for k, *_ in spans] == ["phone"] and hidden[:3] == text[:3] and hidden != text
+        assert pseudonyms.pseudonymise(hidden, back, [(a, b, k) for k, a, b in new])[0] == text
+    frame = spark.createDataFrame([(1, "4111 1111 1111 1111 123, 555-123-4567 or a.b@c.org"), (2, None)], "doc_id long, text string")
+    hidden = pseudonyms.hide_personal_data(frame, b"key")
+    again = {r.doc_id: r.text for r in pseudonyms.hide_personal_data(hidden, b"key", inverse=True).collect()}
+    assert again == {1: "4111 1111 1111 1111 123, 555-123-4567 or a.b@c.org", 2: ""}
+
+
+def test_secret_patterns_stand_very_long_texts(spark):
+    n = 10**6
+    runs = ["a-" * (n // 2) + "b1", "a" * n, "0" * n, "ab1" * (n // 3), "x" * n, "token=" + "a" * n, "AKIA" + "A0" * (n // 2), "password " * (n // 9), "f0" * (n // 2), "token" + " " * n]
+    frame = spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string").repartition(4)
+    rows = {r.doc_id: r for r in secret_scan.secret_spans(frame).collect()}
+    assert len(rows) == len(runs) and rows[0].spans == "" and rows[6].n_access == 1 and rows[8].n_hex == 1 and rows[5].n_assign == 1
+    assert secret_scan.redact(frame).count() == len(runs)
+
+
+def test_quality_sample_bounds_rows_of_a_hot_id(spark):
+    from pyspark.sql import functions as F
+
+    many = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text number "), (F.col("id") % 1500).cast("string")).alias("text"))
+    few = spark.range(10, 60).select(F.col("id").alias("doc_id"), F.concat(F.lit("noise %$ "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    seen = []
+    original = quality.fit
+    quality.fit = lambda p, u, prior=None: seen.append((len(p), len(u))) or original(p, u, prior)
+    try:
+        quality.learn(many.unionByName(few), labels, sample=20)
+    finally:
+        quality.fit = original
+    assert seen == [(20, 20)]
+
+
 def test_quality_on_held_out_rows(spark):
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality.score(d, labels).join(labels, "doc_id").filter("held_out").collect()
