@@ -10,6 +10,9 @@ from profileloom.operators.responses import answer_sql, default_data, default_va
 from profileloom.operators.rules import validate_records
 from profileloom.schemas import FLAG_TYPE
 
+#: Column with the error of a failed entity.
+FAILED = "_failed"
+
 
 def _profile_columns() -> list[Column]:
     return [F.col(name) for name in ("name", "country", "base_url")]
@@ -21,13 +24,18 @@ def compile_data(profiles: DataFrame, responses: DataFrame, unwrap: bool = False
     ``profiles(ek, name, country, base_url)``; ``responses(ek, category,
     content)``. Missing, empty and rejected answers become the typed default. Of
     repeated answers to one category the greatest text counts, whatever their order.
+    Where responses have an ``error``, the greatest one of an entity stays with it, and
+    ``finish_records`` makes a fallback record of it.
     """
+    failed = [F.max("error").alias(FAILED)] if "error" in responses.columns else []
     answers = responses.groupBy("ek").agg(
-        *[F.max(F.when(F.col("category") == c, F.col("content"))).alias(f"_answer_{c}") for c in CATEGORIES]
+        *[F.max(F.when(F.col("category") == c, F.col("content"))).alias(f"_answer_{c}") for c in CATEGORIES],
+        *failed,
     )
     joined = profiles.join(answers, "ek", "left")
     read = joined.select(
         *profiles.columns,
+        *([FAILED] if failed else []),
         *[F.expr(answer_sql(f"_answer_{c}", c, unwrap)).alias(f"_{c}") for c in CATEGORIES],
     )
     data = F.struct(
@@ -36,20 +44,40 @@ def compile_data(profiles: DataFrame, responses: DataFrame, unwrap: bool = False
             for c in CATEGORIES
         ]
     )
-    return read.select(*profiles.columns, data.alias("data"))
+    return read.select(*profiles.columns, *([FAILED] if failed else []), data.alias("data"))
+
+
+def _fallback_parts() -> dict[str, Column]:
+    """What a failed entity's record holds: defaults, zero confidence and one high flag with its error."""
+    flag = F.struct(
+        F.lit(FAILURE_FIELD).alias("field"),
+        F.lit("T9").alias("rule_id"),
+        F.lit(None).cast("bigint").alias("idx"),
+        F.concat(F.lit("entity failed: "), F.col(FAILED)).alias("issue"),
+        F.lit("high").alias("severity"),
+    )
+    zero = F.map_from_arrays(F.array(*map(F.lit, CATEGORIES)), F.array_repeat(F.lit(0.0), len(CATEGORIES)))
+    flags = F.array(flag).cast(f"array<{FLAG_TYPE.simpleString()}>")
+    return {"data": default_data(*_profile_columns()), "field_confidence": zero, "validation_flags": flags}
 
 
 def finish_records(compiled: DataFrame, as_of_year: int, run_ts: Column) -> DataFrame:
-    """Validated, scored records in their stored layout, keys kept."""
-    keys = [name for name in compiled.columns if name not in ("name", "country", "base_url", "data")]
+    """Validated, scored records in their stored layout, keys kept.
+
+    Rows with an error in the column ``FAILED``, where there is one, become fallback records
+    in place: no join, and no other row changes.
+    """
+    keys = [name for name in compiled.columns if name not in ("name", "country", "base_url", "data", FAILED)]
     scored = validate_records(compiled, as_of_year)
+    parts = {name: F.col(name) for name in ("data", "field_confidence", "validation_flags")}
+    if FAILED in compiled.columns:
+        instead = _fallback_parts()
+        parts = {name: F.when(F.col(FAILED).isNotNull(), instead[name]).otherwise(own) for name, own in parts.items()}
     return scored.select(
         *keys,
         F.col("name").alias("university_name"),
         run_ts.alias("scraped_at"),
-        "data",
-        "field_confidence",
-        "validation_flags",
+        *[part.alias(name) for name, part in parts.items()],
     )
 
 
@@ -59,41 +87,23 @@ def stub_records(profiles: DataFrame, as_of_year: int, run_ts: Column) -> DataFr
     return finish_records(filled.select("ek", "name", "country", "base_url", "data"), as_of_year, run_ts)
 
 
-def isolate_failures(records: DataFrame, profiles: DataFrame, errors: DataFrame) -> DataFrame:
+def isolate_failures(
+    records: DataFrame, profiles: DataFrame, errors: DataFrame, run_ts: Column | None = None
+) -> DataFrame:
     """Replaces the records of failed entities by the fallback record.
 
     ``errors(ek, error)`` has one row per failed key. A fallback record has
     default data, zero confidence everywhere and one high flag, and does not
-    touch other entities.
+    touch other entities: of ``records`` only the keys meet the failed ones, which are
+    broadcast while they are few.
     """
-    failed = profiles.select("ek", "name", "country", "base_url").join(errors, "ek")
-    flag = F.struct(
-        F.lit(FAILURE_FIELD).alias("field"),
-        F.lit("T9").alias("rule_id"),
-        F.lit(None).cast("bigint").alias("idx"),
-        F.concat(F.lit("entity failed: "), F.col("error")).alias("issue"),
-        F.lit("high").alias("severity"),
-    )
-    zero = F.map_from_arrays(
-        F.array(*map(F.lit, CATEGORIES)), F.array_repeat(F.lit(0.0), len(CATEGORIES))
-    )
-    fallback = failed.select(
-        "ek",
-        F.struct(
-            F.col("name").alias("university_name"),
-            default_data(*_profile_columns()).alias("data"),
-            zero.alias("field_confidence"),
-            F.array(flag).cast(f"array<{FLAG_TYPE.simpleString()}>").alias("validation_flags"),
-        ).alias("_fallback"),
-    )
-    joined = records.join(fallback, "ek", "full_outer")
-    is_failed = F.col("_fallback").isNotNull()
-    replaced = {
-        name: F.when(is_failed, F.col("_fallback")[name]).otherwise(F.col(name)).alias(name)
-        for name in ("university_name", "data", "field_confidence", "validation_flags")
-    }
-    stamp = F.coalesce("scraped_at", F.current_timestamp()).alias("scraped_at")
-    return joined.select(*[replaced.get(c, stamp if c == "scraped_at" else F.col(c)) for c in records.columns])
+    failed = profiles.select("ek", "name", "country", "base_url").join(errors.withColumnRenamed("error", FAILED), "ek")
+    made = {name: part.alias(name) for name, part in _fallback_parts().items()}
+    made["university_name"] = F.col("name").alias("university_name")
+    made["scraped_at"] = (F.current_timestamp() if run_ts is None else run_ts).cast(records.schema["scraped_at"].dataType).alias("scraped_at")
+    missing = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in records.schema if f.name not in (*made, "ek")}
+    fallback = failed.select(*[made.get(c) if c in made else missing.get(c, F.col(c)) for c in records.columns])
+    return records.join(errors.select("ek"), "ek", "left_anti").select(*records.columns).unionByName(fallback)
 
 
 def flatten_fields(records: DataFrame, *keep: str) -> DataFrame:

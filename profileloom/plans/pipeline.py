@@ -18,7 +18,7 @@ from profileloom.operators.assembly import (
     extraction_requests,
     sources_or_base,
 )
-from profileloom.operators.extractor import Extractor, apply_extractor
+from profileloom.operators.extractor import Extractor, guarded_answers, stored_answers
 from profileloom.operators.frontier import build_plan, fetch_plan, plan_with_render
 from profileloom.operators.incremental import (
     category_reuse,
@@ -29,7 +29,7 @@ from profileloom.operators.incremental import (
 )
 from profileloom.operators.links import extract_links, followable_links
 from profileloom.operators.pages import needs_render, plan_usable, with_clean_text
-from profileloom.operators.records import compile_data, finish_records, isolate_failures
+from profileloom.operators.records import FAILED, compile_data, finish_records
 from profileloom.operators.robots import apply_robots, parse_rules, url_allowed
 from profileloom.sources.profiles import seed_rows, with_keys
 
@@ -111,6 +111,8 @@ def run(
     robots: DataFrame | None = None,
     agent: str = "profilebot",
     errors: DataFrame | None = None,
+    answer_store: str | None = None,
+    extractor_tasks: int | None = None,
 ) -> RunResult:
     """Plans, reads, reuses, extracts, types, validates and scores every profile.
 
@@ -122,8 +124,11 @@ def run(
 
     ``robots(site, robots_text)`` bind ``agent``: the rules of an entity's own site hold
     for every URL it plans, so one page may be open to one entity and closed to another.
-    ``errors(university_name, error)`` names entities whose work failed elsewhere; they
-    get the fallback record and touch no others. ``store`` is ``previous`` with the
+    A request the extractor raises on makes its entity's record a fallback, with the error in
+    its flag, and touches no other entity. ``errors(university_name, error)`` names entities
+    whose work failed elsewhere; they get the fallback record, too. With ``answer_store``, a
+    folder, answers are kept there, and no run asks for them again; ``extractor_tasks``
+    spreads the extractor's calls. ``store`` is ``previous`` with the
     batch's records put in; a record keeps its place ``ord``, new ones follow by name.
     """
     spark = profiles.sparkSession
@@ -154,9 +159,16 @@ def run(
     based = texts.join(keyed.select("ek", "base_url"), "ek", "left").withColumn(
         "source_urls", sources_or_base(F.col("source_urls"), F.col("base_url"))
     )
-    answers = keep(apply_extractor(extraction_requests(based, context_chars), extractor))
+    requests = extraction_requests(based, context_chars)
+    if answer_store is not None and extractor is not None:
+        answers = stored_answers(requests, extractor, answer_store, extractor_tasks)
+    else:
+        answers = keep(guarded_answers(requests, extractor, extractor_tasks))
 
     data = compile_data(keyed.select("ek", "name", "country", "base_url"), answers)
+    if errors is not None:
+        given = errors.groupBy(F.col("university_name").alias("ek")).agg(F.max("error").alias("_given"))
+        data = data.join(given, "ek", "left").withColumn(FAILED, F.coalesce("_given", FAILED)).drop("_given")
     if stored is not None:
         reusable = reuse.groupBy("ek").agg(F.collect_set("category").alias("_keep"))
         none = F.array().cast("array<string>")
@@ -164,9 +176,6 @@ def run(
             data.join(reusable, "ek", "left"), stored, F.coalesce("_keep", none)
         ).drop("_keep")
     records = finish_records(data, as_of_year, run_ts)
-    if errors is not None:
-        failed = errors.groupBy("university_name").agg(F.max("error").alias("error"))
-        records = isolate_failures(records, keyed, failed.withColumnRenamed("university_name", "ek"))
     # The batch's records are worked out once for the store: places come from the names.
     kinds = {f.name: f.dataType for f in records.drop("ek").schema}
     before = spark.createDataFrame([], "ord bigint").withColumns({n: F.lit(None).cast(k) for n, k in kinds.items()})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -51,3 +52,21 @@ def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
     if version not in known:
         df.write.mode("overwrite").parquet(_version_path(root, version))
     return version
+
+
+def append_version(df: DataFrame, root: str) -> int:
+    """Adds a version beside those there are; ``read_all`` reads them together."""
+    return write_version(df, root)
+
+
+def read_all(spark: SparkSession, root: str, schema: T.StructType | str, numbered: bool = False) -> DataFrame:
+    """The rows of all complete versions, with their ``version`` if asked for; an empty table when there is none."""
+    known = versions(spark, root)
+    if not known:
+        empty = spark.createDataFrame([], schema)
+        return empty.selectExpr("*", "cast(null as bigint) as version") if numbered else empty
+    rows = spark.read.schema(schema).parquet(*[_version_path(root, v) for v in known])
+    if not numbered:
+        return rows
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/version=(\d+)/[^/]*$", 1).cast("bigint")
+    return rows.select("*", number.alias("version"))
