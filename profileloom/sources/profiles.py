@@ -7,21 +7,18 @@ from pyspark.sql import functions as F
 
 from profileloom.functions.urls import base_domain
 from profileloom.schemas import PROFILE_TYPE
+from profileloom.sources.json_arrays import array_elements, valid_json
 
 
 def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Profiles with their seed map; the schema is declared, never inferred.
 
-    A file of whole-document JSON must hold its profiles under ``universities``;
-    ``jsonl`` and ``parquet`` hold one profile per row and split over tasks.
+    A file of whole-document JSON must hold its profiles in an array under ``universities``;
+    ``jsonl`` and ``parquet`` hold one profile per row. All of them split over tasks.
     """
     if fmt == "json":
-        root = spark.read.schema(f"universities array<{PROFILE_TYPE.simpleString()}>")
-        documents = root.option("multiLine", True).json(path)
-        checked = F.when(F.col("universities").isNotNull(), F.col("universities")).otherwise(
-            F.raise_error(F.lit("profiles must have a 'universities' root key"))
-        )
-        return documents.select(F.explode(checked).alias("p")).select("p.*")
+        entry = F.from_json(valid_json(F.col("text")), PROFILE_TYPE)
+        return array_elements(spark, path, key="universities").select(entry.alias("p")).select("p.*")
     if fmt not in ("jsonl", "parquet"):
         raise ValueError(f"unknown format {fmt!r}; known are json, jsonl, parquet")
     reader = spark.read.schema(PROFILE_TYPE)

@@ -12,6 +12,7 @@ from profileloom.operators.incremental import last_per_key
 from profileloom.operators.records import flatten_fields
 from profileloom.operators.responses import typed_record_sql
 from profileloom.schemas import RECORD_TYPE, TRUTH_TYPE
+from profileloom.sources.json_arrays import array_elements, valid_json
 
 FLAT_COLUMNS = ["university_name", "field_name", "field_json", "confidence", "flags_json"]
 
@@ -53,33 +54,18 @@ def _place(file: Column, within: Column) -> Column:
     return F.shiftleft(file.cast("bigint"), 40) + within
 
 
-def _array_text(document: Column) -> Column:
-    """A document as the text of an array; one that isn't JSON as a whole fails the job."""
-    trimmed = F.trim(document)
-    listed = F.when(trimmed.startswith("["), trimmed).otherwise(F.concat(F.lit("["), trimmed, F.lit("]")))
-    broken = F.raise_error(F.lit("not one JSON document; one record per line is the format jsonl"))
-    return F.when(F.try_parse_json(listed).isNotNull(), listed).otherwise(broken.cast("string"))
-
-
 def record_lines(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFrame:
     """Raw record texts ``(ord, line)`` of a path; no rows when it is missing.
 
-    ``json`` is one array document (or one object), read whole because its records
-    cannot be told apart otherwise; ``jsonl`` holds one record per line and splits over
-    tasks. ``ord`` is what a line carries under that name, else its place: files by
+    ``json`` is one array document (or one object) a file, ``jsonl`` holds one record per line;
+    both split over tasks. ``ord`` is what a line carries under that name, else its place: files by
     path, then lines as they stand.
     """
     _known_format(fmt, _TEXT_FORMATS)
     if not _path_exists(spark, path):
         return spark.createDataFrame([], "ord bigint, line string")
     if fmt == "json":
-        documents = _numbered_files(
-            spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-        )
-        entries = F.try_variant_get(F.parse_json(_array_text(F.col("value"))), "$", "array<variant>")
-        return documents.select("file", F.posexplode(entries).alias("pos", "entry")).select(
-            _place(F.col("file"), F.col("pos")).alias("ord"), F.to_json("entry").alias("line")
-        )
+        return array_elements(spark, path).select(_place(F.col("file"), F.col("pos")).alias("ord"), valid_json(F.col("text")).alias("line"))
     # The scan numbers a task's lines in order; a block lies in one task, and its first
     # byte plus a line's number in it grows along the file.
     scanned = spark.read.text(path).select(
@@ -155,6 +141,5 @@ def read_truth(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     if fmt != "json":
         reader = spark.read.schema(TRUTH_TYPE)
         return reader.json(path) if fmt == "jsonl" else reader.parquet(path)
-    documents = spark.read.text(path, wholetext=True)
-    entries = F.from_json(_array_text(F.col("value")), T.ArrayType(TRUTH_TYPE))
-    return documents.select(F.explode(entries).alias("t")).select("t.*")
+    entry = F.from_json(valid_json(F.col("text")), TRUTH_TYPE)
+    return array_elements(spark, path).select(entry.alias("t")).select("t.*")
