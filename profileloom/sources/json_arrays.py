@@ -281,9 +281,9 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _PART, strict=True)], schema=_PART)
 
 
-def valid_json(text: F.Column) -> F.Column:
-    """The text of an element; one that is no JSON fails the job."""
-    broken = F.raise_error(F.lit(BROKEN)).cast("string")
+def valid_elements(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """``array_elements`` whose texts all are JSON; one that isn't fails the job, even a count."""
+    broken = F.raise_error(F.lit(BROKEN)).cast("boolean")
     # In brackets, as the parser doesn't look behind a first value.
-    one = (F.trim(text) != "") & F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
-    return F.when(one, text).otherwise(broken)
+    one = (F.trim("text") != "") & F.try_parse_json(F.concat(F.lit("["), F.col("text"), F.lit("]"))).isNotNull()
+    return array_elements(spark, path, key).filter(F.when(one, True).otherwise(broken))

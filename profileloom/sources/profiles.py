@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from profileloom.functions.urls import base_domain
 from profileloom.schemas import PROFILE_TYPE
-from profileloom.sources.json_arrays import array_elements, valid_json
+from profileloom.sources.json_arrays import valid_elements
 
 
 def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -17,8 +17,8 @@ def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
     ``jsonl`` and ``parquet`` hold one profile per row. All of them split over tasks.
     """
     if fmt == "json":
-        entry = F.from_json(valid_json(F.col("text")), PROFILE_TYPE)
-        return array_elements(spark, path, key="universities").select(entry.alias("p")).select("p.*")
+        entry = F.from_json("text", PROFILE_TYPE)
+        return valid_elements(spark, path, key="universities").select(entry.alias("p")).select("p.*")
     if fmt not in ("jsonl", "parquet"):
         raise ValueError(f"unknown format {fmt!r}; known are json, jsonl, parquet")
     reader = spark.read.schema(PROFILE_TYPE)

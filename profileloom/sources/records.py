@@ -12,7 +12,7 @@ from profileloom.operators.incremental import last_per_key
 from profileloom.operators.records import flatten_fields
 from profileloom.operators.responses import typed_record_sql
 from profileloom.schemas import RECORD_TYPE, TRUTH_TYPE
-from profileloom.sources.json_arrays import array_elements, valid_json
+from profileloom.sources.json_arrays import valid_elements
 
 FLAT_COLUMNS = ["university_name", "field_name", "field_json", "confidence", "flags_json"]
 
@@ -65,7 +65,7 @@ def record_lines(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFram
     if not _path_exists(spark, path):
         return spark.createDataFrame([], "ord bigint, line string")
     if fmt == "json":
-        return array_elements(spark, path).select(_place(F.col("file"), F.col("pos")).alias("ord"), valid_json(F.col("text")).alias("line"))
+        return valid_elements(spark, path).select(_place(F.col("file"), F.col("pos")).alias("ord"), F.col("text").alias("line"))
     # The scan numbers a task's lines in order; a block lies in one task, and its first
     # byte plus a line's number in it grows along the file.
     scanned = spark.read.text(path).select(
@@ -141,5 +141,5 @@ def read_truth(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     if fmt != "json":
         reader = spark.read.schema(TRUTH_TYPE)
         return reader.json(path) if fmt == "jsonl" else reader.parquet(path)
-    entry = F.from_json(valid_json(F.col("text")), TRUTH_TYPE)
-    return array_elements(spark, path).select(entry.alias("t")).select("t.*")
+    entry = F.from_json("text", TRUTH_TYPE)
+    return valid_elements(spark, path).select(entry.alias("t")).select("t.*")
