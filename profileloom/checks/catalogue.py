@@ -7,6 +7,7 @@ from profileloom.checks import (  # noqa: F401
     page_queries,
     record_queries,
     rule_queries,
+    run_queries,
 )
 from profileloom.checks.registry import ORACLES, QUERIES
 

@@ -16,6 +16,8 @@ from profileloom.functions.text import (
 )
 from profileloom.functions.urls import base_domain, in_domain, resolve, strip_fragment
 from profileloom.operators import incremental, links, pages, robots
+from profileloom.runtime import fresh_path
+from profileloom.sources.pages import append_hash_changes, read_hash_state
 
 # The oracle's own reading of HTML, one replacement per element kind.
 _RAW = ["script", "style", "noscript", "iframe"]
@@ -266,6 +268,25 @@ def page_hash_update(spark, sf_dir):
     return incremental.next_state(now, earlier, F.lit(_RUN_TIME).cast("timestamp_ntz"))
 
 
+@register(
+    f"""
+select coalesce(n.url, e.url) as url, coalesce(n.hash, e.hash) as hash,
+  case when n.hash is null or n.hash = e.hash then timestamp '{_EARLIER_TIME}' else timestamp '{_RUN_TIME}' end as fetched_at
+from (select * from $now where error is null) n full outer join $earlier e on n.url = e.url""",
+    page=_DUCK_PAGE, now=_NOW, earlier=_EARLIER,
+)
+def hash_state_runs(spark, sf_dir):
+    """The stored state after three runs: one that makes it, one that changes pages, one that changes none."""
+    root = fresh_path(spark, "state")
+    now, earlier = _now_and_earlier(spark, sf_dir)
+    first = earlier.select("url", "hash", F.lit(None).cast("string").alias("error"))
+    for pages_read, moment in ((first, _EARLIER_TIME), (now, _RUN_TIME), (now, "2027-01-01 00:00:00")):
+        state = read_hash_state(spark, root)
+        changes = incremental.state_changes(pages_read, state, F.lit(moment).cast("timestamp"))
+        append_hash_changes(changes, root)
+    return read_hash_state(spark, root).withColumn("fetched_at", F.col("fetched_at").cast("timestamp_ntz"))
+
+
 @register("select doc_id, lower(regexp_replace(coalesce(text, ''), '[^\\p{L}\\p{N}]', '', 'g')) as plain from $documents")
 def normalize_text(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", normalise_alnum(F.col("text")).alias("plain"))

@@ -37,6 +37,18 @@ def next_state(pages: DataFrame, state: DataFrame, run_ts: Column) -> DataFrame:
     )
 
 
+def state_changes(pages: DataFrame, state: DataFrame, run_ts: Column) -> DataFrame:
+    """What a run changes in the state: ``(url, hash, fetched_at)`` of read pages with a new hash.
+
+    ``next_state`` without the rows that stay. Of ``state`` only the pages' URLs are
+    looked at, so that it isn't shuffled while the run is small.
+    """
+    fresh = pages.filter(F.col("error").isNull()).select("url", F.col("hash").alias("_new")).filter("_new is not null")
+    known = state.select("url", "hash").join(fresh.select("url"), "url", "left_semi")
+    joined = fresh.join(known, "url", "left").filter(~F.col("_new").eqNullSafe(F.col("hash")))
+    return joined.select("url", F.col("_new").alias("hash"), run_ts.alias("fetched_at"))
+
+
 def category_reuse(fetched: DataFrame, previous: DataFrame) -> DataFrame:
     """Per (ek, category): page counts and whether the previous value may be kept.
 

@@ -25,6 +25,7 @@ from profileloom.operators.incremental import (
     merge_reused,
     next_state,
     page_changes,
+    state_changes,
     stored_order,
 )
 from profileloom.operators.links import extract_links, followable_links
@@ -35,12 +36,14 @@ from profileloom.sources.profiles import seed_rows, with_keys
 
 
 class RunResult(NamedTuple):
-    """Lazy outputs of a run: ``records`` of this batch, ``store`` with all stored ones."""
+    """Lazy outputs of a run: ``records`` of this batch, ``store`` with all stored ones;
+    ``state`` is the whole next state, ``changes`` what differs from the one before."""
 
     plan: DataFrame
     records: DataFrame
     state: DataFrame
     store: DataFrame
+    changes: DataFrame
 
 
 def block_by_robots(pages: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
@@ -144,7 +147,9 @@ def run(
     # What is read of a page is cut before popular pages are copied to their plans.
     read = F.left("clean_text", F.lit(context_chars + 1)).alias("clean_text")
     known = state if state is not None else spark.createDataFrame([], "url string, hash string, fetched_at timestamp")
-    fetched = fetch_plan(plan, page_changes(visited, known).select(
+    # Of the state only what is planned: it isn't shuffled while the batch is small.
+    seen = known.join(planned, "url", "left_semi")
+    fetched = fetch_plan(plan, page_changes(visited, seen).select(
         "url", "status_code", "error", read, "has_changed"
     )).withColumn("has_changed", F.coalesce("has_changed", F.lit(True)))
 
@@ -185,4 +190,4 @@ def run(
     names = keyed.select(F.col("name").alias("university_name"))
     fresh = records.join(stored_order(names, before), "university_name").select("ord", *kinds)
     store = before.select("ord", *kinds).join(names, "university_name", "left_anti").unionByName(fresh)
-    return RunResult(plan, records, next_state(visited, known, run_ts), store)
+    return RunResult(plan, records, next_state(visited, known, run_ts), store, state_changes(visited, seen, run_ts))

@@ -30,7 +30,7 @@ def _version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/version={version:08d}"
 
 
-def read_latest(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def read_latest(spark: SparkSession, root: str, schema: T.StructType | str) -> DataFrame:
     """The newest complete version; an empty table when there is none."""
     known = versions(spark, root)
     if not known:
@@ -59,9 +59,17 @@ def append_version(df: DataFrame, root: str) -> int:
     return write_version(df, root)
 
 
-def read_all(spark: SparkSession, root: str, schema: T.StructType | str, numbered: bool = False) -> DataFrame:
-    """The rows of all complete versions, with their ``version`` if asked for; an empty table when there is none."""
-    known = versions(spark, root)
+def read_version(spark: SparkSession, root: str, version: int, schema: T.StructType | str) -> DataFrame:
+    """One version, which must be complete."""
+    return spark.read.schema(schema).parquet(_version_path(root, version))
+
+
+def read_all(
+    spark: SparkSession, root: str, schema: T.StructType | str, numbered: bool = False, only: list[int] | None = None
+) -> DataFrame:
+    """The rows of all complete versions or ``only`` some, with their ``version`` if asked for;
+    an empty table when there is none."""
+    known = versions(spark, root) if only is None else only
     if not known:
         empty = spark.createDataFrame([], schema)
         return empty.selectExpr("*", "cast(null as bigint) as version") if numbered else empty
@@ -70,3 +78,9 @@ def read_all(spark: SparkSession, root: str, schema: T.StructType | str, numbere
         return rows
     number = F.regexp_extract(F.col("_metadata.file_path"), r"/version=(\d+)/[^/]*$", 1).cast("bigint")
     return rows.select("*", number.alias("version"))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder or file, if it is there."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from profileloom.operators.incremental import last_per_key, next_state, page_changes
+from profileloom.operators.incremental import last_per_key, page_changes, state_changes
 from profileloom.operators.pages import with_clean_text
-from profileloom.schemas import HASH_STATE_TYPE, PAGE_TYPE
-from profileloom.sources.storage import read_latest, write_version
+from profileloom.schemas import PAGE_TYPE
+from profileloom.sources.pages import append_hash_changes, read_hash_state
+from profileloom.sources.storage import write_version
 
 
 def start_change_feed(
@@ -17,19 +18,20 @@ def start_change_feed(
 ) -> StreamingQuery:
     """Compares arriving page files with the stored hashes, batch by batch.
 
-    Each micro-batch appends its changed pages to ``changes_root`` and writes
-    the next version of the hash state. Versions are numbered by batch, so a
-    batch that is repeated after a failure rewrites only what it had not
+    Each micro-batch appends its changed pages to ``changes_root`` and its new hashes to
+    the hash state, whose other rows it neither shuffles nor writes. Versions are numbered
+    by batch, so a batch that is repeated after a failure rewrites only what it had not
     completed and reads the state from before it.
     """
 
     def advance(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        state = _state_before(session, state_root, batch_id)
+        version = batch_id + 1
+        state = read_hash_state(batch.sparkSession, state_root, before=version)
         pages = with_clean_text(last_per_key(batch, ["url"], ["fetched_at"]))
-        changed = page_changes(pages, state).filter("has_changed")
-        write_version(changed.select("url", "hash", "error", "fetched_at"), changes_root, batch_id + 1)
-        write_version(next_state(pages, state, F.current_timestamp()), state_root, batch_id + 1)
+        seen = state.join(batch.select("url"), "url", "left_semi")
+        changed = page_changes(pages, seen).filter("has_changed")
+        write_version(changed.select("url", "hash", "error", "fetched_at"), changes_root, version)
+        append_hash_changes(state_changes(pages, seen, F.current_timestamp()), state_root, version)
 
     stream = spark.readStream.schema(PAGE_TYPE).parquet(pages_dir)
     return (
@@ -40,12 +42,6 @@ def start_change_feed(
     )
 
 
-def _state_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    if batch_id == 0:
-        return spark.createDataFrame([], HASH_STATE_TYPE)
-    return spark.read.schema(HASH_STATE_TYPE).parquet(f"{root.rstrip('/')}/version={batch_id:08d}")
-
-
 def latest_state(spark: SparkSession, state_root: str) -> DataFrame:
     """Hash state after the last completed batch."""
-    return read_latest(spark, state_root, HASH_STATE_TYPE)
+    return read_hash_state(spark, state_root)
