@@ -18,6 +18,7 @@ any store and prunes by document range.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -140,6 +141,8 @@ class Encoder:
     """The tokenizer's ids of whole texts, with the ids of short pieces remembered."""
 
     def __init__(self, path: str):
+        # Tasks share the cores already: threads of the library would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -184,21 +187,28 @@ class Encoder:
             found[piece] = np.array(coded.ids, "<u4").tobytes()
         return found
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        """The same ids for each text, from the library's ids of the texts' pieces."""
+    def raw(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, 4 bytes each, from the library's ids of the texts' pieces."""
         if not self._pieces_do:
-            return [self.whole(t) for t in texts]
+            return [self.whole(t).astype("<u4").tobytes() for t in texts]
         if len(self._known) > _REMEMBERED:
             self._known = dict(self._added)
-        known, pieces = self._known, [self._pieces(t) for t in texts]
-        new = set().union(*pieces).difference(known)
-        learnt = self._learn(sorted(new)) if new else {}
+        known, pieces = self._known, list(map(self._pieces, texts))
+        coded = [list(map(known.get, each)) for each in pieces]
+        gaps = [i for i, found in enumerate(coded) if None in found]
+        learnt = self._learn(sorted({p for i in gaps for p, ids in zip(pieces[i], coded[i], strict=True) if ids is None}))
         known.update(learnt)
-        coded = [np.frombuffer(b"".join(map(known.__getitem__, each)), "<u4").astype(np.int64) for each in pieces]
+        for i in gaps:
+            coded[i] = map(known.__getitem__, pieces[i])
+        out = list(map(b"".join, coded))
         for piece in learnt:
             if len(piece) > _LONGEST:
                 del known[piece]
-        return coded
+        return out
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """The same ids as numbers."""
+        return [np.frombuffer(ids, "<u4").astype(np.int64) for ids in self.raw(texts)]
 
 
 @lru_cache(2)
@@ -209,11 +219,12 @@ def _encoder(path: str) -> Encoder:
 
 def _segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     encode, part, number = _encoder(path), TaskContext.get().partitionId(), 0
-    ids, docs, held = [], [], 0
+    ids, docs, held, end = [], [], 0, np.array([END_ID], "<u4").tobytes()
 
     def flush() -> pa.RecordBatch:
         nonlocal ids, docs, held, number
-        segment = encode_segment(np.concatenate(ids), np.array([len(x) for x in ids]))
+        every = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+        segment = encode_segment(every, np.array([len(x) // 4 for x in ids]))
         batch = pa.RecordBatch.from_arrays(
             [
                 pa.array([part]), pa.array([number]), pa.array([held]), pa.array([segment], pa.binary()),
@@ -226,10 +237,10 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
 
     for batch in small_batches(batches, 1 << 20):
         texts = [t.decode("utf-8", "replace") for t in batch.column(1).to_pylist()]
-        for i, found in enumerate(encode(texts)):
-            ids.append(np.r_[found, END_ID])
+        for i, found in enumerate(encode.raw(texts)):
+            ids.append(found + end)
             docs.append(batch.column(0).slice(i, 1))
-            held += len(ids[-1])
+            held += len(ids[-1]) // 4
             if held >= SEGMENT_IDS:
                 yield flush()
     if ids:
