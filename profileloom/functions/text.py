@@ -44,39 +44,62 @@ def _without(text: Column, drops: list[str], gap: str) -> Column:
     """Text pieces of a page outside the dropped elements, by walking its tags with a stack.
 
     A closing tag closes its element and whatever is open inside it; one that closes
-    nothing is ignored. Per tag only a flag is kept, so long pages stay cheap.
+    nothing is ignored. The walk carries the open elements, those of one name in a row as
+    one entry, and a range of pieces for each dropped element, so its cost grows with the
+    number of tags, not with its square.
     """
     tags = F.regexp_extract_all(text, F.lit(ANY_TAG), F.lit(0))
-    pieces = F.split(text, ANY_TAG, -1)
     named = F.transform(
         tags,
         lambda tag: F.struct(
             F.lower(F.regexp_extract(tag, r"^</?([a-zA-Z][^\s/>]*)", 1)).alias("name"), tag.startswith("</").alias("ends")
         ),
     )
+    entry, ranges = "array<struct<name:string,n:int>>", "array<struct<start:int,size:int>>"
     start = F.struct(
-        F.array().cast("array<string>").alias("open"), F.lit(0).alias("from"), F.array(F.lit(True)).alias("shown"),
+        F.array().cast(entry).alias("open"), F.lit(0).alias("from"), F.lit(0).alias("at"), F.lit(0).alias("since"),
+        F.array().cast(ranges).alias("shown"),
     )
 
+    def range_to(state: Column, at: Column) -> Column:
+        own = F.struct(state["since"].alias("start"), (at - state["since"] + 1).alias("size"))
+        return F.concat(state["shown"], F.array(own))
+
     def step(state: Column, tag: Column) -> Column:
-        opens = ~tag["ends"] & (tag["name"] != "") & ~tag["name"].isin(VOID_ELEMENTS)
-        depth = F.size(state["open"]) + 1 - F.array_position(F.reverse(state["open"]), tag["name"]).cast("int")
-        closes = tag["ends"] & F.array_contains(state["open"], tag["name"])
-        stack = (
-            F.when(opens, F.concat(state["open"], F.array(tag["name"])))
-            .when(closes, F.slice(state["open"], F.lit(1), depth - 1))
-            .otherwise(state["open"])
+        stack, size, name = state["open"], F.size(state["open"]), tag["name"]
+        opens = ~tag["ends"] & (name != "") & ~name.isin(VOID_ELEMENTS)
+        top = F.try_element_at(stack, F.lit(-1))
+        place = size + 1 - F.array_position(F.reverse(F.transform(stack, lambda e: e["name"])), name).cast("int")
+        closes = tag["ends"] & (place <= size)
+        drop = opens & (state["from"] == 0) & name.isin(drops)
+        again = opens & ~drop & (size != state["from"]) & top["name"].eqNullSafe(name)
+        one = lambda n: F.array(F.struct(name.alias("name"), n.cast("int").alias("n")))
+        left = F.try_element_at(stack, F.greatest(place, F.lit(1)))["n"] - 1
+        below = F.slice(stack, F.lit(1), F.greatest(place - 1, F.lit(0)))
+        opened = (
+            F.when(again, F.concat(F.slice(stack, F.lit(1), F.greatest(size - 1, F.lit(0))), one(top["n"] + 1)))
+            .when(opens, F.concat(stack, one(F.lit(1))))
+            .when(closes & (left > 0), F.concat(below, one(left)))
+            .when(closes, below)
+            .otherwise(stack)
         )
-        dropped = (
-            F.when(opens & (state["from"] == 0) & tag["name"].isin(drops), F.size(state["open"]) + 1)
-            .when(closes & (depth <= state["from"]), 0)
-            .otherwise(state["from"])
+        shows = closes & (state["from"] > 0) & (place <= state["from"])
+        return F.struct(
+            opened.alias("open"),
+            F.when(drop, size + 1).when(shows, 0).otherwise(state["from"]).alias("from"),
+            (state["at"] + 1).alias("at"),
+            F.when(shows, state["at"] + 1).otherwise(state["since"]).alias("since"),
+            F.when(drop, range_to(state, state["at"])).otherwise(state["shown"]).alias("shown"),
         )
-        return F.struct(stack.alias("open"), dropped.alias("from"), F.concat(state["shown"], F.array(dropped == 0)).alias("shown"))
 
-    shown = F.aggregate(named, start, step, lambda state: state["shown"])
-    kept = F.filter(F.arrays_zip(pieces.alias("text"), shown.alias("shown")), lambda x: x["shown"])
-    return F.array_join(F.transform(kept, lambda x: x["text"]), gap)
+    end = lambda s: F.when(s["from"] == 0, range_to(s, s["at"])).otherwise(s["shown"])
+    parts = F.struct(F.split(text, ANY_TAG, -1).alias("pieces"), F.aggregate(named, start, step, end).alias("shown"))
+    # Bound once: a lambda would split the text again for every range.
+    kept = F.transform(
+        F.array(parts),
+        lambda p: F.flatten(F.transform(p["shown"], lambda r: F.slice(p["pieces"], r["start"] + 1, r["size"]))),
+    )
+    return F.array_join(F.flatten(kept), gap)
 
 
 def collapse_space(text: Column) -> Column:

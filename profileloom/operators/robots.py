@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 _LINE = r"(?i)^\s*(user-agent|allow|disallow|crawl-delay|request-rate)\s*:\s*([^#]*?)\s*(?:#.*)?$"
 
+_AGENT, _ALLOW, _DISALLOW, _OTHER, _ENDS = "u", "a", "d", "o", "e"
+_KINDS = {"user-agent": _AGENT, "allow": _ALLOW, "disallow": _DISALLOW, "crawl-delay": _OTHER, "request-rate": _OTHER}
+# Possessive, hence linear and without regex-engine recursion.
+_GROUP = rf"(?<=\n)(?:{_AGENT}[^\n]*+\n)++(?:[{_ALLOW}{_DISALLOW}{_OTHER}][^\n]*+\n)*+"
+
 
 def _decoded(path: Column) -> Column:
     """A path with its percent escapes resolved: what begins with what is then the same
@@ -23,50 +28,45 @@ def parse_rules(robots_text: Column, agent: str) -> Column:
     empty ``Disallow`` allows everything.
     """
     wanted = agent.split("/")[0].lower()
-    lines = F.transform(
-        F.split(F.coalesce(robots_text, F.lit("")), r"\r\n|\r|\n"),
-        lambda line: F.struct(
-            F.when(line == "", "end").otherwise(F.lower(F.regexp_extract(line, _LINE, 1))).alias("key"),
-            _decoded(F.regexp_extract(line, _LINE, 2)).alias("value"),
+    lines = F.split(F.coalesce(robots_text, F.lit("")), r"\r\n|\r|\n")
+    # A line becomes its kind and value: agents, allowed, disallowed and other rules, the end of a group.
+    kinds = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+    known = F.transform(
+        lines,
+        lambda line: F.when(line == "", _ENDS).otherwise(
+            F.concat(F.element_at(kinds, F.lower(F.regexp_extract(line, _LINE, 1))), F.regexp_extract(line, _LINE, 2))
+        ),
+    )
+    told = F.concat(F.lit("\n"), F.array_join(F.array_compact(known), "\n"), F.lit("\n"))
+    # Agent lines in a row and the rules behind them: one pass over the text finds all groups.
+    groups = F.transform(
+        F.regexp_extract_all(told, F.lit(_GROUP), F.lit(0)),
+        lambda group: F.transform(
+            F.filter(F.split(group, "\n"), lambda line: line != ""),
+            lambda line: F.struct(F.left(line, F.lit(1)).alias("kind"), _decoded(F.substring(line, 2, F.length(line))).alias("value")),
         ),
     )
-    known = F.filter(lines, lambda line: line["key"] != "")
-    # Only the group's number is carried along; 0 stands outside every group.
-    start = F.struct(
-        F.lit(0).alias("group"), F.lit(0).alias("last"), F.lit("").alias("before"), F.array().cast("array<int>").alias("of"),
-    )
-
-    def step(state: Column, line: Column) -> Column:
-        opens = (line["key"] == "user-agent") & ((state["before"] != "user-agent") | (state["group"] == 0))
-        last = F.when(opens, state["last"] + 1).otherwise(state["last"])
-        group = F.when(line["key"] == "end", 0).when(opens, last).otherwise(state["group"])
-        return F.struct(
-            group.alias("group"), last.alias("last"), line["key"].alias("before"),
-            F.concat(state["of"], F.array(group)).alias("of"),
-        )
-
-    def bind(placed: Column) -> Column:
-        is_rule = lambda x: x["line"]["key"].isin("allow", "disallow", "crawl-delay", "request-rate")
-        filled = F.transform(F.filter(placed, lambda x: is_rule(x) & (x["of"] > 0)), lambda x: x["of"])
-        agents = F.transform(
-            F.filter(placed, lambda x: (x["line"]["key"] == "user-agent") & F.array_contains(filled, x["of"])),
-            lambda x: F.struct(x["of"].alias("group"), F.lower(x["line"]["value"]).alias("agent")),
-        )
-        own = F.filter(agents, lambda a: (a["agent"] != "*") & F.lit(wanted).contains(a["agent"]))
+    agents = lambda group: F.transform(F.filter(group, lambda x: x["kind"] == _AGENT), lambda x: F.lower(x["value"]))
+    filled = F.transform(
+        F.filter(groups, lambda group: F.exists(group, lambda x: x["kind"] != _AGENT)),
+        lambda group: F.struct(
+            F.array_contains(agents(group), "*").alias("general"),
+            F.exists(agents(group), lambda a: F.lit(wanted).contains(a)).alias("own"),
+            F.transform(
+                F.filter(group, lambda x: x["kind"].isin(_ALLOW, _DISALLOW)),
+                lambda x: F.struct(((x["kind"] == _ALLOW) | (x["value"] == "")).alias("allow"), x["value"].alias("path")),
+            ).alias("rules"),
+        ),
+    )
+
+    def bind(found: Column) -> Column:
         # A group that also names everybody is the general one, and no other.
-        general = F.transform(F.filter(agents, lambda a: a["agent"] == "*"), lambda a: a["group"])
-        special = F.filter(own, lambda a: ~F.array_contains(general, a["group"]))
-        group = F.coalesce(F.get(special, F.lit(0))["group"], F.get(general, F.lit(0)))
-        return F.transform(
-            F.filter(placed, lambda x: (x["of"] == group) & x["line"]["key"].isin("allow", "disallow")),
-            lambda x: F.struct(
-                ((x["line"]["key"] == "allow") | (x["line"]["value"] == "")).alias("allow"), x["line"]["value"].alias("path")
-            ),
-        )
-
-    numbers = F.aggregate(known, start, step, lambda state: state["of"])
-    once = F.transform(F.array(F.arrays_zip(known.alias("line"), numbers.alias("of"))), bind)
-    return F.get(once, F.lit(0))
+        special = F.filter(found, lambda g: g["own"] & ~g["general"])
+        general = F.filter(found, lambda g: g["general"])
+        none = F.array().cast("array<struct<allow:boolean,path:string>>")
+        return F.coalesce(F.get(special, F.lit(0))["rules"], F.get(general, F.lit(0))["rules"], none)
+
+    return F.get(F.transform(F.array(filled), bind), F.lit(0))
 
 
 def url_allowed(rules: Column, url: Column) -> Column:

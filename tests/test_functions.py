@@ -214,3 +214,40 @@ def test_html5_references(spark):
     rows = spark.createDataFrame(list(cases.items()), "t string, expected string")
     for row in rows.select("*", text.decode_entities(F.col("t")).alias("found")).collect():
         assert row.found == row.expected, row.t
+
+
+def test_walks_of_pages_and_robots_files_grow_with_their_length(spark):
+    """Ten times the tags or lines take about ten times as long, never a hundred."""
+    from time import perf_counter
+
+    def seconds(value, column):
+        frame = spark.createDataFrame([(value,)], "v string")
+        best = 1e9
+        for _ in range(2):
+            start = perf_counter()
+            frame.select(column.alias("n")).first()
+            best = min(best, perf_counter() - start)
+        return best
+
+    rules = F.size(robots.parse_rules(F.col("v"), "bot"))
+    cases = [
+        (lambda n: "<body><nav><nav>x</nav></nav>" + "<p>t</p>" * (n // 2), F.length(text.clean_text(F.col("v")))),
+        (lambda n: "<body><nav><nav>x</nav></nav>" + "<p>t" * n, F.length(text.clean_text(F.col("v")))),
+        (lambda n: "User-agent: *\n" + "Disallow: /x\n" * n, rules),
+        (lambda n: "User-agent: *\nDisallow: /x\n" * (n // 2), rules),
+    ]
+    for page, column in cases:
+        assert seconds(page(100_000), column) < 20 * max(seconds(page(10_000), column), 0.2)
+
+
+def test_dropped_elements_by_hand(spark):
+    pages = {
+        "<nav>a<nav>b</nav>c</nav>d": "d",
+        "<div><nav>a</div>b": "b",
+        "<p>x<nav>a<p>b</nav>c": "x c",
+        "<nav>a<nav>b</nav>c": "",
+        "</nav>a<nav>b</p>c</nav>d": "a d",
+        "<p>1<p>2<nav>3<nav>4</p>5": "1 2 5",
+    }
+    frame = spark.createDataFrame([(h,) for h in pages], "h string")
+    assert {r.h: r.t for r in frame.select("h", text.clean_text(F.col("h")).alias("t")).collect()} == pages
