@@ -43,7 +43,7 @@ TOKENIZER = "byte_bpe_50k.json"
 # punctuation behind a letter, so a text may be cut in front of both. Python's white
 # space holds whatever other engines count as such; letters and punctuation are kept to
 # ranges all engines agree on.
-_PIECE = re.compile(r"\s*+(?:[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[!-/:-@\[-`{-~])|\S++)|\s++")
+_PIECE = re.compile(r"\s*+(?:[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[\s!-/:-@\[-`{-~]|\Z)|\S++)|\s++")
 _REMEMBERED, _LONGEST = 1_000_000, 64
 
 
@@ -58,8 +58,8 @@ def encode_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
     grid = filled.reshape(blocks, BLOCK)
     least = grid.min(1) if blocks else np.empty(0, np.int64)
     rest = grid - least[:, None]
-    needed = np.ceil(np.log2(rest + 1)).astype(np.int64)
-    widths = np.sort(needed, axis=1)[:, (BLOCK * PERCENTILE + 99) // 100 - 1] if blocks else least
+    needed = np.frexp(rest.astype(np.float64))[1].astype(np.uint8)  # bits of each value
+    widths = np.sort(needed, axis=1)[:, (BLOCK * PERCENTILE + 99) // 100 - 1].astype(np.int64) if blocks else least
     counts = np.full(blocks, BLOCK)
     if n % BLOCK:
         counts[-1] = n % BLOCK
@@ -124,10 +124,9 @@ def decode_segment(segment: bytes) -> tuple[np.ndarray, np.ndarray]:
             mine = np.flatnonzero(widths == width)
             packed = raw[(starts[mine] + 7)[:, None] + np.arange(BLOCK * width // 8)]
             bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(mine), BLOCK, width)
-            total = np.zeros((len(mine), BLOCK), np.int64)
-            for i in range(width):
-                total |= bits[:, :, i].astype(np.int64) << i
-            values[mine] = total
+            whole = np.zeros((len(mine), BLOCK, 4), np.uint8)
+            whole[:, :, : (width + 7) // 8] = np.packbits(bits, axis=2, bitorder="little")
+            values[mine] = whole.view("<u4")[:, :, 0]
     rows = np.repeat(np.arange(blocks), more)
     order = np.arange(len(rows)) - np.repeat(np.cumsum(more) - more, more)
     at = (starts + 7 + BLOCK * widths // 8)[rows] + 5 * order
@@ -137,6 +136,14 @@ def decode_segment(segment: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (values + least[:, None]).reshape(-1)[:n], sizes
 
 
+def _gaps(row: list) -> Iterator[int]:
+    """Where a list holds None."""
+    k = -1
+    for _ in range(row.count(None)):
+        k = row.index(None, k + 1)
+        yield k
+
+
 class Encoder:
     """The tokenizer's ids of whole texts, with the ids of short pieces remembered."""
 
@@ -195,11 +202,11 @@ class Encoder:
             self._known = dict(self._added)
         known, pieces = self._known, list(map(self._pieces, texts))
         coded = [list(map(known.get, each)) for each in pieces]
-        gaps = [i for i, found in enumerate(coded) if None in found]
-        learnt = self._learn(sorted({p for i in gaps for p, ids in zip(pieces[i], coded[i], strict=True) if ids is None}))
+        gaps = [(row, each, k) for row, each in zip(coded, pieces, strict=True) for k in _gaps(row)]
+        learnt = self._learn(sorted({each[k] for _, each, k in gaps}))
         known.update(learnt)
-        for i in gaps:
-            coded[i] = map(known.__getitem__, pieces[i])
+        for row, each, k in gaps:
+            row[k] = learnt[each[k]]
         out = list(map(b"".join, coded))
         for piece in learnt:
             if len(piece) > _LONGEST:
