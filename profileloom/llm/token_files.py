@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -70,18 +71,19 @@ def encode_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
         kind = "<u2" if width <= 16 else "<u4"
         low = (rest[mine] & ((1 << int(width)) - 1)).astype(kind).view(np.uint8).reshape(len(mine), BLOCK, -1)
         bits = np.unpackbits(low, axis=2, bitorder="little", count=int(width)).reshape(len(mine), BLOCK * int(width))
-        packed.update(zip(mine.tolist(), np.packbits(bits, axis=1, bitorder="little"), strict=True))
+        body, long = np.packbits(bits, axis=1, bitorder="little").tobytes(), BLOCK * int(width) // 8
+        packed.update((b, body[i * long : (i + 1) * long]) for i, b in enumerate(mine.tolist()))
     heads = np.zeros(blocks, [("least", "<u4"), ("width", "u1"), ("last", "u1"), ("more", "u1")])
     over = (needed > widths[:, None]) & (np.arange(BLOCK) < counts[:, None])
     heads["least"], heads["width"], heads["last"], heads["more"] = least, widths, counts - 1, over.sum(1)
     rows, places = np.nonzero(over)
     extra = np.zeros(len(rows), [("place", "u1"), ("high", "<u4")])
     extra["place"], extra["high"] = places, rest[rows, places] >> widths[rows]
-    ends = np.searchsorted(rows, np.arange(blocks), "right")
-    begin = 0
+    ends = (np.searchsorted(rows, np.arange(blocks), "right") * extra.itemsize).tolist()
+    head, more, size, begin = heads.tobytes(), extra.tobytes(), heads.itemsize, 0
     for b in range(blocks):
         starts[b] = at
-        chunk = heads[b].tobytes() + packed[b].tobytes() + extra[begin : ends[b]].tobytes()
+        chunk = head[b * size : (b + 1) * size] + packed[b] + more[begin : ends[b]]
         begin = ends[b]
         parts.append(chunk)
         at += len(chunk)
@@ -136,14 +138,6 @@ def decode_segment(segment: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (values + least[:, None]).reshape(-1)[:n], sizes
 
 
-def _gaps(row: list) -> Iterator[int]:
-    """Where a list holds None."""
-    k = -1
-    for _ in range(row.count(None)):
-        k = row.index(None, k + 1)
-        yield k
-
-
 class Encoder:
     """The tokenizer's ids of whole texts, with the ids of short pieces remembered."""
 
@@ -191,7 +185,8 @@ class Encoder:
                 found = {p: raw[a:b] for p, a, b in zip(chain, starts, starts[1:], strict=False)}
         alone = [p for p in new if p not in found] if len(found) < len(new) else []
         for piece, coded in zip(alone, self._tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            found[piece] = np.array(coded.ids, "<u4").tobytes()
+            ids = coded.ids
+            found[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
     def raw(self, texts: list[str]) -> list[bytes]:
@@ -202,11 +197,19 @@ class Encoder:
             self._known = dict(self._added)
         known, pieces = self._known, list(map(self._pieces, texts))
         coded = [list(map(known.get, each)) for each in pieces]
-        gaps = [(row, each, k) for row, each in zip(coded, pieces, strict=True) for k in _gaps(row)]
-        learnt = self._learn(sorted({each[k] for _, each, k in gaps}))
+        gaps = []
+        for row, each in zip(coded, pieces, strict=True):
+            k, places = -1, []
+            for _ in range(row.count(None)):
+                k = row.index(None, k + 1)
+                places.append(k)
+            if places:
+                gaps.append((row, each, places))
+        learnt = self._learn(sorted({each[k] for _, each, places in gaps for k in places}))
         known.update(learnt)
-        for row, each, k in gaps:
-            row[k] = learnt[each[k]]
+        for row, each, places in gaps:
+            for k in places:
+                row[k] = learnt[each[k]]
         out = list(map(b"".join, coded))
         for piece in learnt:
             if len(piece) > _LONGEST:
