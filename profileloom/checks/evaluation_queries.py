@@ -175,6 +175,22 @@ def eval_accuracy_pivot(spark, sf_dir):
     return evaluation.accuracy_matrix(evaluation.score_rows(joined(spark, sf_dir)))
 
 
+# The report's layout: a row for each category, a column for each entity it names.
+_REPORTED = [f"Entity {k}" for k in (1, 2, 3, 5, 8)]
+
+
+@register(
+    "select category, "
+    + ", ".join(
+        f"max(case when university_name = '{n}' and checked > 0 then round(correct * 100e0 / checked, 1) end) as \"{n}\"" for n in _REPORTED
+    )
+    + " from $scores group by category",
+    **_VIEWS,
+)
+def eval_accuracy_report(spark, sf_dir):
+    return evaluation.accuracy_matrix(evaluation.score_rows(joined(spark, sf_dir)), _REPORTED)
+
+
 @register(
     f"""
 select r.name as university_name, count(*) filter (f.severity = 'high') as high,

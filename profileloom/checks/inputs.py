@@ -61,7 +61,7 @@ select l_suppkey as ek, l_orderkey * 8 + l_linenumber as idx,
   case when l_linenumber = 3 then null else l_extendedprice * 8 - 20000 end as domestic_fee,
   case when l_linenumber = 4 then null else l_extendedprice * l_quantity / 8 - 3000 end as international_fee,
   case when l_linestatus = 'O' then ' cad ' when l_returnflag = 'A' then '' else 'USD' end as currency
-from $lineitem where l_suppkey % 10 <> 9""",
+from $lineitem""",
     "living": """
 select s_suppkey as ek,
   case when s_suppkey % 5 = 0 then null else s_acctbal * 1.5e0 end as monthly_rent,
