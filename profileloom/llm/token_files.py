@@ -263,13 +263,14 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None)
     Texts are encoded whole, and the strings of the tokenizer's added tokens get those
     tokens' ids, as in the library; null counts as empty and leaves the end id alone. Null ids
     come first; repeated ids and rows are documents like others, in the order of their
-    texts. Files are in the order of (part, number), one row per segment.
+    texts' hashes. Files are in the order of (part, number), one row per segment.
     """
     file = tokenizer or public_tokenizers.path(TOKENIZER)
     kind = documents.schema["doc_id"].dataType.simpleString()
     ordered = documents.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    # Ranges of ids and of the texts' beginnings, so that a repeated or null id is split.
-    ordered = ordered.repartitionByRange("doc_id", F.substring("text", 1, 256)).sortWithinPartitions("doc_id", "text")
+    # Ranges of ids and of the texts' hashes, so that a repeated or null id is split.
+    key = "doc_id", F.xxhash64("text")
+    ordered = ordered.repartitionByRange(*key).sortWithinPartitions(*key, "text")
     ordered.mapInArrow(
         lambda batches: _segments(batches, file),
         f"part bigint, number bigint, ids bigint, segment binary, doc_ids array<{kind}>",
