@@ -9,6 +9,7 @@ WITH_PYTHON = {"extractor_plugin"}
 WRITES = {
     "flat_csv_roundtrip", "records_roundtrip", "records_parquet_roundtrip", "records_last_wins", "records_raw_load",
     "truth_read",
+    "hash_state_runs", "run_failures", "run_incremental", "record_store_upsert", "record_store_lookup",
 }
 
 
