@@ -27,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -41,11 +42,21 @@ SEGMENT_IDS = 1 << 18
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 # A pre-token of this tokenizer goes on over neither white space behind anything else nor
-# punctuation behind a letter, so a text may be cut in front of both. Python's white
-# space holds whatever other engines count as such; letters and punctuation are kept to
-# ranges all engines agree on.
-_PIECE = re.compile(r"\s*+(?:[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[\s!-/:-@\[-`{-~]|\Z)|\S++)|\s++")
+# punctuation behind a letter, so a text may be cut in front of both. Classes of bytes:
+# white space, signs, letters and digits all engines agree on, else 0; nothing is cut
+# in front of or behind the latter.
+_SPACE, _SIGN, _LETTER, _DIGIT = 1, 2, 3, 4
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] = _SIGN
+_CLASS[[*b"\t\n\v\f\r "]] = _SPACE
+_CLASS[[c for c in range(0x21, 0x7F) if chr(c).isalpha()]] = _LETTER
+_CLASS[[*b"0123456789"]] = _DIGIT
+# By the classes of the byte before (times 8) and here.
+_CUT = np.zeros(64, bool)
+_CUT[[8 * before + _SPACE for before in (_SIGN, _LETTER, _DIGIT)] + [8 * _LETTER + _SIGN]] = True
+_SPACED_WORD = re.compile(r" [!-~À-ÖØ-öø-ÿ]+")
 _REMEMBERED, _LONGEST = 1_000_000, 64
+_NOTHING = pa.array([], pa.large_binary())
 
 
 def encode_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
@@ -138,6 +149,20 @@ def decode_segment(segment: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (values + least[:, None]).reshape(-1)[:n], sizes
 
 
+def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the pieces begin of texts that stand one after another, cut at ``bounds`` in UTF-8 bytes."""
+    kind = _CLASS[data]
+    begins = bounds[:-1][bounds[:-1] < len(data)]
+    # The letters from U+00C0 to U+00FF; the two signs among them are left alone.
+    latin = (data[:-1] == 0xC3) & (data[1:] >> 6 == 2) & (data[1:] & 0xDF != 0x97)
+    latin[begins[begins > 0] - 1] = False
+    kind[1:][latin] = _LETTER
+    cut = np.empty(len(data), bool)
+    cut[1:] = _CUT[kind[:-1] << 3 | kind[1:]]
+    cut[begins] = True
+    return np.flatnonzero(cut)
+
+
 class Encoder:
     """The tokenizer's ids of whole texts, with the ids of short pieces remembered."""
 
@@ -156,7 +181,8 @@ class Encoder:
         self._pieces_do = not any(
             t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content) for t in added.values()
         )
-        self._known: dict[str, bytes] = dict(self._added)
+        #: Remembered pieces and their ids.
+        self._known = self._ids = _NOTHING
         #: Whether a token starts with a space, as the file's byte characters show it.
         self._spaced = np.zeros(self._tokenizer.get_vocab_size(), bool)
         self._spaced[[i for s, i in self._tokenizer.get_vocab().items() if s.startswith("Ġ")]] = True
@@ -165,60 +191,66 @@ class Encoder:
         """The library's ids of a text in one go."""
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
 
-    def _pieces(self, text: str) -> list[str]:
-        """The pieces of a text; each added token in it is one of its own."""
-        if not any(token in text for token in self._added):
-            return _PIECE.findall(text)
-        parts = self._cut.split(text)
-        return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else _PIECE.findall(part))]
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
+    def _learn(self, new: list[str]) -> pa.Array:
         """The ids of pieces; those of one space and a word are encoded as one text and told apart by their spaces."""
-        found = {}
-        chain = [p for p in new if p[0] == " " and len(p) > 1 and not p[1].isspace()]
-        if chain:
-            (coded,) = self._tokenizer.encode_batch_fast(["".join(chain)], add_special_tokens=False)
+        order = np.array([_SPACED_WORD.fullmatch(p) is not None for p in new], bool)
+        chain, alone = np.flatnonzero(order), np.flatnonzero(~order)
+        found = _NOTHING
+        if len(chain):
+            (coded,) = self._tokenizer.encode_batch_fast(["".join([new[i] for i in chain])], add_special_tokens=False)
             ids = np.array(coded.ids, "<u4")
-            starts = np.flatnonzero(self._spaced[ids]) * 4
-            raw, starts = ids.tobytes(), [*starts.tolist(), 4 * len(ids)]
+            starts = np.append(np.flatnonzero(self._spaced[ids]), len(ids)) * 4
             if len(starts) == len(chain) + 1:
-                found = {p: raw[a:b] for p, a, b in zip(chain, starts, starts[1:], strict=False)}
-        alone = [p for p in new if p not in found] if len(found) < len(new) else []
-        for piece, coded in zip(alone, self._tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            ids = coded.ids
-            found[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
-
-    def raw(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, 4 bytes each, from the library's ids of the texts' pieces."""
+                found = pa.Array.from_buffers(pa.large_binary(), len(chain), [None, pa.py_buffer(starts), pa.py_buffer(ids)])
+            else:
+                chain, alone = chain[:0], np.arange(len(new))
+        coded = self._tokenizer.encode_batch_fast([new[i] for i in alone], add_special_tokens=False)
+        rest = pa.array([struct.pack(f"<{len(c)}I", *c.ids) for c in coded], pa.large_binary())
+        return pa.concat_arrays([found, rest]).take(pa.array(np.argsort(np.concatenate([chain, alone]))))
+
+    def _coded(self, texts: pa.Array) -> list[bytes]:
+        """The ids of texts without added tokens: equal pieces of a batch are looked up once."""
+        texts = texts.cast(pa.large_binary())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        if bounds[0] == bounds[-1]:
+            return [b""] * len(texts)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        starts = piece_starts(data, bounds)
+        ends = pa.py_buffer(np.append(starts, len(data)))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, ends, pa.py_buffer(data)])
+        # Numbered behind the remembered ones, so that what is new has the last numbers.
+        numbered = pa.chunked_array([self._known, pieces]).dictionary_encode().chunks[-1]
+        new = numbered.dictionary.slice(len(self._known))
+        learnt = self._learn([p.decode("utf-8", "replace") for p in new.to_pylist()])
+        ids = pa.concat_arrays([self._ids, learnt])
+        if len(ids) > _REMEMBERED:
+            self._known, self._ids = _NOTHING, _NOTHING
+        else:
+            short = pc.less_equal(pc.binary_length(new), _LONGEST)
+            self._known = pa.concat_arrays([self._known, new.filter(short)])
+            self._ids = pa.concat_arrays([self._ids, learnt.filter(short)])
+        joined = ids.take(numbered.indices)
+        places = np.frombuffer(joined.buffers()[1], np.int64)[np.searchsorted(starts, bounds)].tolist()
+        whole = memoryview(joined.buffers()[2])
+        return [bytes(whole[a:b]) for a, b in zip(places, places[1:], strict=False)]
+
+    def raw(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (UTF-8 bytes), 4 bytes each, from the library's ids of the texts' pieces."""
+        if not len(texts):
+            return []
         if not self._pieces_do:
-            return [self.whole(t).astype("<u4").tobytes() for t in texts]
-        if len(self._known) > _REMEMBERED:
-            self._known = dict(self._added)
-        known, pieces = self._known, list(map(self._pieces, texts))
-        coded = [list(map(known.get, each)) for each in pieces]
-        gaps = []
-        for row, each in zip(coded, pieces, strict=True):
-            k, places = -1, []
-            for _ in range(row.count(None)):
-                k = row.index(None, k + 1)
-                places.append(k)
-            if places:
-                gaps.append((row, each, places))
-        learnt = self._learn(sorted({each[k] for _, each, places in gaps for k in places}))
-        known.update(learnt)
-        for row, each, places in gaps:
-            for k in places:
-                row[k] = learnt[each[k]]
-        out = list(map(b"".join, coded))
-        for piece in learnt:
-            if len(piece) > _LONGEST:
-                del known[piece]
-        return out
+            return [self.whole(t.decode("utf-8", "replace")).astype("<u4").tobytes() for t in texts.to_pylist()]
+        if not any(pc.any(pc.match_substring(texts, token)).as_py() for token in self._added):
+            return self._coded(texts)
+        # Odd parts are added tokens, the parts between them texts of their own.
+        split = [self._cut.split(t.decode("utf-8", "replace")) for t in texts.to_pylist()]
+        between = iter(self._coded(pa.array([p.encode() for parts in split for p in parts[::2]], pa.binary())))
+        return [b"".join(self._added[p] if i % 2 else next(between) for i, p in enumerate(parts)) for parts in split]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The same ids as numbers."""
-        return [np.frombuffer(ids, "<u4").astype(np.int64) for ids in self.raw(texts)]
+        return [np.frombuffer(ids, "<u4").astype(np.int64) for ids in self.raw(pa.array([t.encode() for t in texts], pa.binary()))]
 
 
 @lru_cache(2)
@@ -245,9 +277,8 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
         number, ids, docs, held = number + 1, [], [], 0
         return batch
 
-    for batch in small_batches(batches, 1 << 20):
-        texts = [t.decode("utf-8", "replace") for t in batch.column(1).to_pylist()]
-        for i, found in enumerate(encode.raw(texts)):
+    for batch in small_batches(batches, 16 << 20):
+        for i, found in enumerate(encode.raw(batch.column(1))):
             ids.append(found + end)
             docs.append(batch.column(0).slice(i, 1))
             held += len(ids[-1]) // 4
