@@ -55,7 +55,7 @@ _CLASS[[*b"0123456789"]] = _DIGIT
 _CUT = np.zeros(64, bool)
 _CUT[[8 * before + _SPACE for before in (_SIGN, _LETTER, _DIGIT)] + [8 * _LETTER + _SIGN]] = True
 _SPACED_WORD = re.compile(r" [!-~À-ÖØ-öø-ÿ]+")
-_REMEMBERED, _LONGEST = 1_000_000, 64
+_REMEMBERED, _LONGEST = 600_000, 64
 _NOTHING = pa.array([], pa.large_binary())
 
 
@@ -277,7 +277,7 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
         number, ids, docs, held = number + 1, [], [], 0
         return batch
 
-    for batch in small_batches(batches, 16 << 20):
+    for batch in small_batches(batches, 4 << 20):
         for i, found in enumerate(encode.raw(batch.column(1))):
             ids.append(found + end)
             docs.append(batch.column(0).slice(i, 1))
