@@ -42,23 +42,36 @@ def _object(**fields: Column) -> Column:
 def _levels(calls: Column) -> Column:
     """For each call of a message, the longest chain of calls of the message it builds on.
 
-    As many rounds as there are calls settle every chain; what is on a circle, or behind
-    one, ends at or above the number of calls.
+    Calls are found by their places once; then each round looks one call further, until
+    nothing changes, or for as many rounds as there are calls: what is on a circle, or
+    behind one, ends at or above that number.
     """
     ids = F.transform(calls, lambda c: c["id"])
-    inner = F.transform(calls, lambda c: F.array_intersect(F.coalesce(c["after"], F.array().cast("array<string>")), ids))
-
-    def round_(levels: Column, _: Column) -> Column:
-        return F.transform(
-            inner,
-            lambda after: F.coalesce(
-                F.array_max(F.transform(after, lambda a: F.get(levels, F.array_position(ids, a).cast("int") - 1))) + 1, F.lit(0)
-            ),
+    none = F.array().cast("array<string>")
+    places = F.transform(
+        calls,
+        lambda c: F.transform(
+            F.array_intersect(F.coalesce(c["after"], none), ids), lambda a: F.array_position(ids, a).cast("int") - 1
+        ),
+    )
+
+    def chained(inner: Column) -> Column:
+        def further(levels: Column) -> Column:
+            return F.transform(
+                inner, lambda after: F.coalesce(F.array_max(F.transform(after, lambda a: F.get(levels, a))) + 1, F.lit(0))
+            )
+
+        def round_(state: Column, _: Column) -> Column:
+            both = lambda levels: F.struct(levels.alias("levels"), (levels == state["levels"]).alias("settled"))
+            return F.when(state["settled"], state).otherwise(F.get(F.transform(F.array(further(state["levels"])), both), 0))
+
+        start = F.struct(
+            F.transform(inner, lambda _: F.lit(0)).alias("levels"),
+            (~F.exists(inner, lambda after: F.size(after) > 0)).alias("settled"),
         )
+        return F.aggregate(F.sequence(F.lit(1), F.size(inner)), start, round_)["levels"]
 
-    flat = F.array_repeat(F.lit(0), F.size(calls))
-    chained = F.aggregate(F.sequence(F.lit(1), F.size(calls)), flat, round_)
-    return F.when(F.exists(inner, lambda after: F.size(after) > 0), chained).otherwise(flat)
+    return F.get(F.transform(F.array(places), chained), 0)
 
 
 def _faults(name: str, schema: dict) -> Column:
@@ -109,8 +122,9 @@ def link_tools(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     ``invalid`` (arguments against the schema of its tool); ``repeated`` (an earlier
     call of the conversation has the id); ``bad reference`` (``after`` names no call of
     the message or of an earlier turn); ``cyclic``; ``unanswered``; the first that holds
-    of invalid, repeated, bad reference, cyclic, unanswered. Of a result: ``ok``,
-    ``repeated``, or ``orphan`` (no such call); those stay at their own turn. A call
+    of invalid, repeated, bad reference, cyclic, unanswered. Of a result: ``ok``, or
+    ``orphan`` (no such call), ``early`` (at a turn before its call, which it doesn't
+    answer) and ``repeated``; those three stay at their own turn. A call
     without an id has the empty id. A text that isn't such JSON is a message, null is
     empty; null conv_ids make one conversation, null turns come first. Repeated rows
     repeat messages, and their calls and results count as repeated. Other columns are
@@ -163,9 +177,14 @@ def link_tools(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     nested = F.coalesce(value.rlike(r"^[\[{]"), F.lit(False))
     content = F.when(nested, value).otherwise(_quoted(F.col("content")))
     answers = answers.withColumn("content", content)
-    answered = answers.groupBy("conv", "id").agg(
-        F.min(F.struct("turn", "content")).alias("answer"), F.count_if(F.lit(True)).alias("answers")
-    )
+    call_turn = first.select("conv", "id", F.lit(True).alias("called"), F.col("first.turn").alias("call_turn"))
+    is_early = F.coalesce(F.col("turn") < F.col("call_turn"), F.col("turn").isNull() & F.col("call_turn").isNotNull())
+    # One row a turn before the calls are met, then the first that isn't early.
+    answered = (
+        answers.groupBy("conv", "id", "turn").agg(F.min("content").alias("content"))
+        .join(call_turn, ["conv", "id"]).filter(~is_early)
+        .groupBy("conv", "id").agg(F.min(F.struct("turn", "content")).alias("answer"))
+    )
 
     linked = (
         calls.join(first, ["conv", "id"])
@@ -193,20 +212,18 @@ def link_tools(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         "conv_id", "turn", "step", "place", "x.part", "x.kind", "id", "x.status", "x.json"
     )
 
-    # Results that stand behind no call: orphans, and all but one of repeated ones.
-    known = answers.join(first.select("conv", "id", F.lit(True).alias("called")), ["conv", "id"], "left").join(
-        answered, ["conv", "id"]
-    )
+    # Results that stand behind no call: orphans, early ones, and all but one of the others.
     again = (
-        known.groupBy("conv", "conv_id", "id", "turn", "content", "called", "answer")
-        .agg(F.count("*").alias("n"))
-        .withColumn("n", F.col("n") - (F.col("called").isNotNull() & F.struct("turn", "content").eqNullSafe(F.col("answer"))).cast("int"))
+        answers.groupBy("conv", "conv_id", "id", "turn", "content").agg(F.count("*").alias("n"))
+        .join(call_turn, ["conv", "id"], "left").join(answered, ["conv", "id"], "left")
+        .withColumn("early", F.col("called").isNotNull() & is_early)
+        .withColumn("n", F.col("n") - F.struct("turn", "content").eqNullSafe(F.col("answer")).cast("int"))
         .filter("n > 0")
     )
     left = again.select(
         "conv_id", "turn", F.lit(0).alias("step"), F.lit(0).alias("place"),
         F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("part"), F.lit("result").alias("kind"), "id",
-        F.when(F.col("called").isNull(), "orphan").otherwise("repeated").alias("status"), result_json(F.col("content")).alias("json"),
+        F.when(F.col("called").isNull(), "orphan").when(F.col("early"), "early").otherwise("repeated").alias("status"), result_json(F.col("content")).alias("json"),
     )
     return plain.unionByName(out).unionByName(left)
 

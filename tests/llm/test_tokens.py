@@ -194,6 +194,42 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert tool_chat.link_tools(frame.filter("false"), tool_chat.SCHEMAS).count() == 0
 
 
+def test_results_before_their_call_are_early(spark):
+    call = json.dumps({"tool_calls": [{"id": "a", "name": "reply", "arguments": "{}"}]})
+    result = lambda text: json.dumps({"tool_call_id": "a", "content": text})
+    chat = [
+        (1, 1, "tool", result("x")), (1, 2, "assistant", call),
+        (2, None, "tool", result("x")), (2, 1, "tool", result("x")), (2, 1, "tool", result("x")), (2, 2, "assistant", call),
+        (2, 3, "tool", result("y")), (2, 3, "tool", result("y")), (2, 4, "tool", result("x")),
+        (3, None, "assistant", call), (3, None, "tool", result("x")), (3, 1, "tool", result("w")),
+    ]
+    frame = spark.createDataFrame(chat, "conv_id long, turn long, role string, text string").repartition(4)
+    rows = tool_chat.link_tools(frame, {"reply": {}}).orderBy("conv_id", "turn", "step", "place", "part").collect()
+    found = lambda conv: [(r.turn, r.kind, r.status, json.loads(r.json).get("content")) for r in rows if r.conv_id == conv]
+    assert found(1) == [(1, "result", "early", "x"), (2, "call", "unanswered", None)]
+    early = [(None, "result", "early", "x"), (1, "result", "early", "x"), (1, "result", "early", "x")]
+    more = [(3, "result", "repeated", "y"), (4, "result", "repeated", "x")]
+    assert found(2) == [*early, (2, "call", "ok", None), (2, "result", "ok", "y"), *more]
+    assert found(3) == [(None, "call", "ok", None), (None, "result", "ok", "x"), (1, "result", "repeated", "w")]
+
+
+def test_steps_of_calls_equal_longest_chains(spark):
+    random.seed(6)
+    chats, expected = [], {}
+    for conv in range(40):
+        n = 600 if conv == 0 else random.randrange(1, 9)
+        after = [[i - 1] if i else [] for i in range(n)] if conv == 0 else [random.sample(range(n), random.randrange(min(n, 3))) for _ in range(n)]
+        calls = [{"id": f"c{i}", "name": "reply", "arguments": "{}", "after": [f"c{j}" for j in after[i]]} for i in range(n)]
+        chats.append((conv, 1, "assistant", json.dumps({"tool_calls": calls})))
+        levels = [0] * n
+        for _ in range(n):
+            levels = [max((levels[j] + 1 for j in some), default=0) for some in after]
+        expected |= {(conv, f"c{i}"): (step, "cyclic" if step >= n else "unanswered") for i, step in enumerate(levels)}
+    frame = spark.createDataFrame(chats, "conv_id long, turn long, role string, text string")
+    rows = tool_chat.link_tools(frame, {"reply": {}}).collect()
+    assert {(r.conv_id, r.id): (r.step, r.status) for r in rows} == expected
+
+
 def test_derived_calls_of_the_table(spark):
     chats = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     log = {(r.conv_id, r.turn): r for r in chats.collect()}
