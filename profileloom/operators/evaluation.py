@@ -6,6 +6,8 @@ so the items of an entity are never paired up across rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,18 +56,27 @@ def about_score(truth: Column, found: Column) -> Column:
     return _score(year_right + kind_right, year_asked + kind_asked)
 
 
+def _matched(truth: Column, found: Column, match: Callable[[Column, Column], Column]) -> Column:
+    """Truth items that match some found item; both lists are worked out once, not per pair."""
+    some = lambda candidates: F.filter(truth, lambda t: F.exists(candidates, lambda c: match(t, c)))
+    return F.get(F.transform(F.array(found), some), 0)
+
+
 def tuition_score(truth: Column, found: Column) -> Column:
     """A point per truth fee that some found fee matches in currency and amount."""
 
-    def matched(fee: Column) -> Column:
-        currency = normalise_alnum(fee["currency"])
-        return F.exists(
-            found,
-            lambda x: (currency == normalise_alnum(x["currency"]))
-            & is_close(fee["international_fee"], x["international_fee"], FEE_TOLERANCE),
+    def plain(fees: Column) -> Column:
+        return F.transform(
+            fees,
+            lambda f: F.struct(
+                normalise_alnum(f["currency"]).alias("currency"), f["international_fee"].alias("fee")
+            ),
         )
 
-    return _score(F.size(F.filter(truth, matched)), F.size(truth))
+    def same(t: Column, c: Column) -> Column:
+        return (t["currency"] == c["currency"]) & is_close(t["fee"], c["fee"], FEE_TOLERANCE)
+
+    return _score(F.size(_matched(plain(truth), plain(found), same)), F.size(truth))
 
 
 def acceptance_score(truth: Column, found: Column) -> Column:
@@ -89,15 +100,10 @@ def course_score(truth: Column, found: Column) -> Column:
     def overlaps(a: Column, b: Column) -> Column:
         return (a != "") & (b != "") & (b.contains(a) | a.contains(b))
 
-    candidates = plain(found)
-    matched = F.filter(
-        plain(truth),
-        lambda t: F.exists(
-            candidates,
-            lambda c: overlaps(t["code"], c["code"]) & overlaps(t["title"], c["title"]),
-        ),
-    )
-    return _score(F.size(matched), F.size(truth))
+    def same(t: Column, c: Column) -> Column:
+        return overlaps(t["code"], c["code"]) & overlaps(t["title"], c["title"])
+
+    return _score(F.size(_matched(plain(truth), plain(found), same)), F.size(truth))
 
 
 _SCORERS = {
