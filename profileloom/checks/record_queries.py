@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from profileloom.checks.inputs import (
@@ -17,11 +20,11 @@ from profileloom.checks.rule_queries import (
     all_flags_sql,
     confidence_sql,
 )
-from profileloom.fixed_values import CATEGORIES
-from profileloom.functions.arrays import unroll
-from profileloom.operators import incremental, records, rules
+from profileloom.fixed_values import CATEGORIES, LIST_CATEGORIES
+from profileloom.functions.arrays import computed, unroll
+from profileloom.operators import incremental, records, responses, rules
 from profileloom.runtime import fresh_path
-from profileloom.schemas import DATA_TYPE
+from profileloom.schemas import CATEGORY_TYPES, DATA_TYPE
 from profileloom.sources import records as record_io
 
 _RUN_TIME = "2026-01-01"
@@ -116,6 +119,40 @@ def _store_summary(read):
     )
 
 
+# Answers of every category made of the record values: cut short, in another JSON kind,
+# fenced, between white space, or as they stand.
+_ANSWERED = " union all ".join(
+    f"""select ek, '{c}' as category, case when ek % 7 = 6 then 'empty' when ek % 5 = 3 then 'rejected'
+      when field_json = '[]' then 'empty' else 'loaded' end as status, field_json from $cells where field_name = '{c}'"""
+    for c in CATEGORIES
+)
+
+
+@register(
+    "select ek, category, status, case when status = 'loaded' then field_json end as value_json from $answered",
+    cells=_CELLS, answered=_ANSWERED,
+)
+def response_typed_all(spark, sf_dir):
+    base, columns = dealt(load(spark, sf_dir, "rec")), spark_data_columns()
+    options = {"ignoreNullFields": "false"}
+
+    def loaded(category):
+        value = F.expr(columns[category]).cast(CATEGORY_TYPES[category])
+        texts, text = computed(base, F.to_json(value, options), "text", "ek"), F.col("text")
+        other = F.concat(F.lit('{"items":'), text, F.lit("}")) if category in LIST_CATEGORIES else F.concat(F.lit("["), text, F.lit("]"))
+        content = (
+            F.when(F.col("ek") % 7 == 6, F.substring(text, F.lit(1), F.length(text) - 1))
+            .when(F.col("ek") % 5 == 3, other)
+            .when(F.col("ek") % 5 == 1, F.concat(F.lit("```json\n"), text, F.lit("\n```")))
+            .when(F.col("ek") % 5 == 2, F.concat(F.lit(" \n"), text, F.lit("\n")))
+            .otherwise(text)
+        )
+        read = responses.load_responses(computed(texts, content, "content", "ek"), category)
+        return read.select("ek", F.lit(category).alias("category"), "status", F.to_json("value", options).alias("value_json"))
+
+    return reduce(DataFrame.unionByName, map(loaded, CATEGORIES))
+
+
 # Stored record lines, some of them damaged; about ten lines share each name,
 # and a third of all lines share one.
 _LINE_NAME = "case when o_orderkey % 3 = 0 then 'Popular' else concat('Entity ', cast(o_custkey as string)) end"
