@@ -42,13 +42,6 @@ def _known_format(fmt: str, formats: tuple[str, ...]) -> None:
         raise ValueError(f"unknown format {fmt!r}; known are {', '.join(formats)}")
 
 
-def _numbered_files(rows: DataFrame) -> DataFrame:
-    """Adds ``file``: the rank of each row's file by path, one row per file being ranked."""
-    order = Window.orderBy("path")
-    files = rows.select("path").distinct().withColumn("file", F.row_number().over(order) - 1)
-    return rows.join(files, "path")
-
-
 def _place(file: Column, within: Column) -> Column:
     """One number for a place within a file: below 2**40, as a file's bytes are."""
     return F.shiftleft(file.cast("bigint"), 40) + within
@@ -66,16 +59,18 @@ def record_lines(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFram
         return spark.createDataFrame([], "ord bigint, line string")
     if fmt == "json":
         return valid_elements(spark, path).select(_place(F.col("file"), F.col("pos")).alias("ord"), F.col("text").alias("line"))
-    # The scan numbers a task's lines in order; a block lies in one task, and its first
-    # byte plus a line's number in it grows along the file.
+    # The scan numbers a task's lines in order and a block lies in one task, so a line's number less
+    # its block's first one grows along the block. Only a row per block is shuffled, never a text.
     scanned = spark.read.text(path).select(
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
     )
-    in_block = F.row_number().over(Window.partitionBy("path", "block").orderBy("row"))
-    placed = _numbered_files(scanned.withColumn("within", F.col("block") + in_block))
+    blocks = scanned.groupBy("path", "block").agg(F.min("row").alias("first"))
+    blocks = blocks.withColumn("file", F.dense_rank().over(Window.orderBy("path")) - 1)
+    placed = scanned.join(F.broadcast(blocks), ["path", "block"])
+    within = F.col("block") + F.col("row") - F.col("first") + 1
     position = F.try_variant_get(F.try_parse_json("line"), "$.ord", "bigint")
-    return placed.select(F.coalesce(position, _place(F.col("file"), F.col("within"))).alias("ord"), "line")
+    return placed.select(F.coalesce(position, _place(F.col("file"), within)).alias("ord"), "line")
 
 
 def _stored_columns() -> T.StructType:
