@@ -35,6 +35,8 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 _TEXT_FORMATS = ("json", "jsonl")
+#: Records per compressed text file, which one task reads.
+LINES_PER_FILE = 20_000
 
 
 def _known_format(fmt: str, formats: tuple[str, ...]) -> None:
@@ -106,14 +108,15 @@ def write_records(records: DataFrame, path: str, fmt: str = "jsonl") -> None:
     """One record per line or row, nulls kept, ``ord`` included when present.
 
     ``parquet`` is the store for large tables: it splits, keeps types and lets a lookup
-    read single fields.
+    read single fields. Text is compressed, in files of ``LINES_PER_FILE`` records at most, as
+    such a file doesn't split.
     """
     _known_format(fmt, ("jsonl", "parquet"))
     writer = records.write.mode("errorifexists")
     if fmt == "parquet":
         writer.parquet(path)
     else:
-        writer.option("ignoreNullFields", "false").json(path)
+        writer.options(ignoreNullFields="false", compression="gzip", maxRecordsPerFile=LINES_PER_FILE).json(path)
 
 
 def write_flat(records: DataFrame, path: str) -> None:

@@ -4,7 +4,9 @@ import gzip
 import json
 
 import pytest
+from tests.test_runs import stored
 
+from profileloom.checks.catalogue import QUERIES
 from profileloom.sources import records as record_io
 
 
@@ -13,6 +15,14 @@ def executed(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_text_records_are_compressed_and_short(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(record_io, "LINES_PER_FILE", 1)
+    record_io.write_records(stored(spark).coalesce(1), str(tmp_path / "r"))
+    files = sorted((tmp_path / "r").glob("part-*"))
+    assert [len(gzip.decompress(f.read_bytes()).splitlines()) for f in files] == [1, 1]
+    assert sorted(r.university_name for r in record_io.read_records(spark, str(tmp_path / "r")).collect()) == ["Other U", "Test U"]
+
+
 @pytest.mark.parametrize("packed", [False, True])
 def test_places_follow_files_and_blocks_without_shuffled_texts(spark, tmp_path, packed):
     lines = [json.dumps({"n": n, "pad": "x" * (n % 50)}) for n in range(400)]
@@ -31,3 +41,10 @@ def test_places_follow_files_and_blocks_without_shuffled_texts(spark, tmp_path,
     shuffled = [line for line in plan.split("== Initial Plan ==")[0].splitlines() if "hashpartitioning" in line]
     assert not any("line#" in line or "value#" in line for line in shuffled)
     assert "SortMergeJoin" not in plan and plan.split("== Initial Plan ==")[0].count("Window ") == 1
+
+
+def test_the_query_writes_little(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("profileloom.checks.record_queries.fresh_path", lambda _, label: str(tmp_path / label))
+    assert QUERIES["records_roundtrip"](spark, "/root/testdata/sf0.001").count() == 1500
+    packed = list((tmp_path / "records").glob("part-*"))
+    assert sum(len(gzip.decompress(f.read_bytes())) for f in packed) > 8 * sum(f.stat().st_size for f in packed)
