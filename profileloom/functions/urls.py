@@ -59,7 +59,7 @@ def domain_and_parents(domain: str) -> Column:
 def path_of_sql(url: str) -> str:
     """SQL of the path of a raw reference, without parameters of its last segment."""
     path = f"regexp_extract({url}, r'{_PATH}', 1)"
-    return f"regexp_replace({path}, ';[^/]*$', '')"
+    return f"if(contains({url}, ';'), regexp_replace({path}, ';[^/]*$', ''), {path})"
 
 
 def path_of(url: str) -> Column:

@@ -65,21 +65,22 @@ def page_outlinks(
     the first ``2 * max_urls`` can matter. The array is bounded by that, however
     many links a page has, and repeated links collapse before the shuffle.
     """
-    # Domains are matched first, and once each: links meet the few matches of their own
-    # domain, never one row per parent domain such as "com".
-    targets = links.select("target_domain").distinct()
+    # Repeats collapse first. Both readers of the collapsed links ask for the same columns, hence
+    # a bound that every place meets, so that the links are worked out and shuffled once.
+    collapsed = links.filter("target_domain is not null").groupBy("page_url", "kind", "target_url", "target_domain")
+    distinct = collapsed.agg(F.min(F.col("pos").cast("bigint")).alias("pos")).filter(F.col("pos") >= F.lit(-(2**63)))
+    # Domains are matched once each: links meet the few matches of their own domain, never one
+    # row per parent domain such as "com".
+    targets = distinct.select("target_domain").distinct()
     parents = unroll(targets, domain_and_parents("target_domain"), "base_domain", "target_domain")
     matched = parents.join(domains.select("base_domain").distinct(), "base_domain", "left_semi")
-    inside = links.select("page_url", "kind", "target_url", "pos", "target_domain").join(matched, "target_domain")
-    first_seen = inside.groupBy("page_url", "base_domain", "kind", "target_url").agg(
-        F.min("pos").alias("pos")
-    )
+    first_seen = distinct.join(matched, "target_domain")
     order = Window.partitionBy("page_url", "base_domain", "kind").orderBy("pos", "target_url")
     leading = first_seen.withColumn("_n", F.row_number().over(order)).filter(
         F.col("_n") <= 2 * max_urls
     )
     return leading.groupBy("page_url", "base_domain").agg(
-        F.collect_list(F.struct("kind", F.col("pos").cast("bigint").alias("pos"), "target_url")).alias("outlinks")
+        F.collect_list(F.struct("kind", "pos", "target_url")).alias("outlinks")
     )
 
 

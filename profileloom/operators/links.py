@@ -91,21 +91,28 @@ def shortest_keywords(keywords: list[str]) -> list[str]:
     return [k for k in keywords if not any(o != k and o in k for o in keywords)]
 
 
+def _words_sql(anchor_text: str, href: str) -> str:
+    """SQL of the text that keywords are looked for in: never null."""
+    return f"lower(concat_ws('\\n', {anchor_text}, {path_of_sql(href)}))"
+
+
+def _hits_sql(words: str) -> str:
+    """SQL array of the categories with a keyword in ``words``; no lambda, so that it is compiled."""
+
+    def hit(category: str) -> str:
+        tests = " or ".join(f"contains({words}, '{word}')" for word in shortest_keywords(CATEGORY_KEYWORDS[category]))
+        return f"if({tests}, '{category}', null)"
+
+    return f"array_except(array({', '.join(map(hit, CATEGORY_KEYWORDS))}), array(cast(null as string)))"
+
+
 def relevant_categories(anchor_text: str, href: str) -> Column:
     """Array of the categories whose keywords occur in anchor text or raw path.
 
     Text and path are searched together, prepared once; the newline between
     them cannot be part of a keyword, so no match spans both.
     """
-
-    def hit(category: str) -> str:
-        words = shortest_keywords(CATEGORY_KEYWORDS[category])
-        tests = " or ".join(f"contains(words, '{word}')" for word in words)
-        return f"if({tests}, '{category}', null)"
-
-    hits = ", ".join(map(hit, CATEGORY_KEYWORDS))
-    haystack = f"lower(concat_ws('\\n', {anchor_text}, {path_of_sql(href)}))"
-    return F.expr(bind(haystack, "words", f"array_compact(array({hits}))"))
+    return F.expr(bind(_words_sql(anchor_text, href), "words", _hits_sql("words")))
 
 
 def resolve_links(links: DataFrame) -> DataFrame:
@@ -125,10 +132,10 @@ def followable_links(links: DataFrame) -> DataFrame:
     worked out for them.
     """
     page = is_pagination("anchor_text", "href", "rel", "classes")
-    kinds = F.when(page, F.array(F.lit(PAGINATION))).otherwise(
-        relevant_categories("anchor_text", "href")
-    )
-    kept = unroll(links, kinds, "kind", "page_url", "pos", "href")
+    words = F.when(page, F.lit("")).otherwise(F.expr(_words_sql("anchor_text", "href")))
+    read = computed(links, F.struct(page.alias("page"), words.alias("words")), "read", "page_url", "pos", "href")
+    kinds = F.when(F.col("read.page"), F.array(F.lit(PAGINATION))).otherwise(F.expr(_hits_sql("read.words")))
+    kept = unroll(read, kinds, "kind", "page_url", "pos", "href")
     target = F.expr(f"substring_index({resolve_sql('page_url', 'href')}, '#', 1)")
     resolved = computed(kept, target, "target_url", "page_url", "pos", "kind")
     return resolved.withColumn("target_domain", authority("target_url"))

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from profileloom.checks.catalogue import QUERIES
 from profileloom.operators.frontier import build_plan, page_outlinks
 from profileloom.plans.pipeline import plan_targets
 from profileloom.sources.profiles import with_keys
@@ -129,3 +130,11 @@ def test_failed_seed_stays_and_shell_is_flagged(spark):
     seeds = {"about": ["https://u.edu/gone", "https://u.edu/portal"]}
     found = plan_of(spark, seeds, [("https://u.edu/gone", 404, shell), ("https://u.edu/portal", 200, shell)])
     assert found == [("about", "https://u.edu/gone", False), ("about", "https://u.edu/portal", True)]
+
+
+def test_links_are_worked_out_once(spark):
+    plan = QUERIES["frontier_plan"](spark, "/root/testdata/sf0.001")
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    worked_out = [line for line in final.splitlines() if "Generate " in line and "[target_url#" in line]
+    assert len(worked_out) == 1
