@@ -412,10 +412,17 @@ select * from (values ('United States', 'USD'), ('United Kingdom', 'GBP'), ('Can
 }
 
 
+#: Bytes of stored input a task gets at most when rows are dealt.
+_DEALT_BYTES = 4 << 20
+
+
 def dealt(df):
     """The rows of a one-file table dealt over the cluster, for checks of costly expressions.
 
     The given tables have one split each. Operators never deal their input: a large
-    table has splits enough.
+    table has splits enough. Tasks become more as the files grow, not larger.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = df.sparkSession
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in df.inputFiles()]
+    size = sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in paths)
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // _DEALT_BYTES))

@@ -84,3 +84,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder or file, if it is there."""
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a folder to a place where there is none."""
+    fs, source = _file_system(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"{path} cannot be moved to {to}")
