@@ -245,6 +245,81 @@ FLAG_KIND = ListOf(
 )
 
 
+_NUMBER_NAMES = r"(?:BIGINT|DECIMAL[(][0-9,]++[)]|DOUBLE|FLOAT)"
+_EXACT_NAMES = {"string": "STRING", "bigint": "BIGINT", "double": _NUMBER_NAMES}
+#: What a stored flag holds beyond what is read of it.
+_FLAG_EXTRAS = {"rule_id": "(?:STRING|VOID)", "idx": "(?:BIGINT|VOID)"}
+
+
+def _object_kind(fields: dict[str, str], more: bool = False) -> str:
+    """Regex of ``schema_of_variant`` for objects of some of the fields, which it sorts, and with
+    ``more`` of scalars of other names."""
+    other = f"(?:(?!(?:{'|'.join(fields)}): )[A-Za-z0-9_]++: (?:{_NUMBER_NAMES}|STRING|BOOLEAN|VOID)(?:, )?+)*+" if more else ""
+    return "OBJECT<" + "".join(f"{other}(?:{name}: {kind}(?:, )?+)?+" for name, kind in sorted(fields.items())) + f"{other}>"
+
+
+def _exact_kind(kind, extras: dict[str, str] | None = None) -> str:
+    """Regex of ``schema_of_variant`` for values that ``from_json`` reads as ``read_sql`` does."""
+    if isinstance(kind, ListOf):
+        return f"ARRAY<(?:{_exact_kind(kind.kind, extras)}|VOID)>"
+    if isinstance(kind, Shape):
+        return _object_kind({f.name: f"(?:{_exact_kind(f.kind)}|VOID)" for f in kind.fields} | (extras or {}))
+    return _EXACT_NAMES[kind.simpleString()]
+
+
+def _sound_sql(value: str, field: Field, depth: int = 0) -> str:
+    """SQL of whether a typed value has all that its declaration requires."""
+    declared = field.kind
+    if isinstance(declared, ListOf):
+        inner = f"forall({value}, s{depth} -> {_sound_sql(f's{depth}', Field('item', declared.kind, True), depth + 1)})"
+    elif isinstance(declared, Shape):
+        tests = [_sound_sql(f"{value}.{f.name}", f, depth) for f in declared.fields if f.required or f.allowed or not isinstance(f.kind, T.DataType)]
+        inner = " and ".join(["true", *tests])
+    else:
+        inner = f"{value} in ({', '.join(map(repr, field.allowed))})" if field.allowed else "true"
+    return f"({value} is not null and {inner})" if field.required else f"({value} is null or {inner})"
+
+
+def stored_record_sql(line: str) -> str:
+    """SQL of one stored record in declared types, null where the line isn't one.
+
+    ``typed_record_sql``, behind a shortcut: a record whose every value has just the declared
+    JSON kind, as the kinds of the whole document tell, is read by ``from_json`` in one go. All
+    others, broken ones included, are read value by value.
+    """
+    lists = [c for c in CATEGORIES if isinstance(CATEGORY_KINDS[c], ListOf)]
+    types = {c: spark_type(CATEGORY_KINDS[c]).simpleString() for c in CATEGORIES}
+    flags = spark_type(FLAG_KIND).simpleString()
+    # The date text is read like any other; all the rest has its type at once.
+    schema = (
+        f"university_name string, scraped_at string, data struct<{','.join(f'{c}:{t}' for c, t in types.items())}>, "
+        f"field_confidence map<string,double>, validation_flags {flags}"
+    )
+    kinds = _object_kind({
+        "university_name": "STRING", "scraped_at": "STRING",
+        "data": _object_kind({c: _exact_kind(CATEGORY_KINDS[c]) for c in CATEGORIES}),
+        "field_confidence": f"OBJECT<(?:[a-z_]++: {_NUMBER_NAMES}(?:, )?+)*+>",
+        "validation_flags": _exact_kind(FLAG_KIND, _FLAG_EXTRAS),
+    }, more=True)
+    tests = [
+        "z.t.university_name is not null", "z.at is not null", "z.t.field_confidence is not null",
+        *[_sound_sql(f"z.t.data.{c}", Field(c, CATEGORY_KINDS[c], c not in lists)) for c in CATEGORIES],
+        _sound_sql("z.t.validation_flags", Field("flags", FLAG_KIND, False)),
+    ]
+    some = lambda value, kind: f"coalesce({value}, cast(array() as {kind}))"
+    data = ", ".join(f"'{c}', " + (some(f"z.t.data.{c}", types[c]) if c in lists else f"z.t.data.{c}") for c in CATEGORIES)
+    typed = (
+        "named_struct('university_name', z.t.university_name, 'scraped_at', z.at, "
+        f"'data', named_struct({data}), 'field_confidence', z.t.field_confidence, "
+        f"'validation_flags', {some('z.t.validation_flags', flags)})"
+    )
+    at = f"try_cast(concat(cast({parse_date_sql('y.t.scraped_at')} as string), 'Z') as timestamp)"
+    slow = bind(typed_record_sql("z.doc"), "r", "if(r.ok, r.value, null)")
+    read = bind(f"named_struct('doc', y.doc, 't', y.t, 'at', {at})", "z", f"if({' and '.join(tests)}, {typed}, {slow})")
+    exact = f"if(schema_of_variant(doc) rlike r'^{kinds}$', from_json({line}, '{schema}'), null)"
+    return bind(f"try_parse_json({line})", "doc", bind(f"named_struct('doc', doc, 't', {exact})", "y", read))
+
+
 def typed_record_sql(parsed: str) -> str:
     """SQL of the struct ``(ok, value)`` of one stored record given as a VARIANT.
 

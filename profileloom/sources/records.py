@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profileloom.functions.arrays import computed
-from profileloom.functions.dates import bind
 from profileloom.operators.incremental import last_per_key
 from profileloom.operators.records import flatten_fields
-from profileloom.operators.responses import typed_record_sql
+from profileloom.operators.responses import stored_record_sql
 from profileloom.schemas import RECORD_TYPE, TRUTH_TYPE
 from profileloom.sources.json_arrays import valid_elements
 
@@ -23,9 +22,7 @@ def parse_records(lines: DataFrame) -> DataFrame:
     Records that fail the schema are dropped one by one; of several with one
     name the last stays.
     """
-    read = bind("try_parse_json(line)", "doc", typed_record_sql("doc"))
-    record = F.expr(bind(read, "r", "if(r.ok, r.value, null)"))
-    valid = computed(lines, record, "record", "ord").select("ord", "record.*")
+    valid = computed(lines, F.expr(stored_record_sql("line")), "record", "ord").select("ord", "record.*")
     return last_per_key(valid, ["university_name"], ["ord"])
 
 
