@@ -43,3 +43,12 @@ def test_many_batches_keep_the_newest_of_a_name(spark, tmp_path, monkeypatch):
         parts.append(len(record_store._manifest(spark, root)[0]))
     assert parts == [2, 3, 1, 2]
     assert record_store.lookup_field(spark, root, "U007", "about").count() == 1
+
+
+def test_a_first_load_is_written_once(spark, tmp_path, monkeypatch):
+    paths, write = [], record_store._write_parts
+    monkeypatch.setattr(record_store, "_write_parts", lambda rows, path: (paths.append(path), write(rows, path)))
+    root = str(tmp_path / "store")
+    record_store.put_records(numbered(spark, ["U1", "U2"], "one"), root)
+    assert [path.split("/")[-2] for path in paths] == ["staged"] and files(root)
+    assert record_store.lookup_field(spark, root, "u2", "about").count() == 1
