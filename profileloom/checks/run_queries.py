@@ -56,9 +56,8 @@ def _reader(label):
 
     def answer(batches):
         for batch in batches:
-            text = batch["user_message"].str.split("\nText:\n", n=1).str[1].str.strip()
-            fees = text.str.startswith("Fees")
-            if (fees & (text.str.rsplit(" ", n=1).str[1].where(fees, "1").astype(int) % 11 == 0)).any():
+            text = [message.split("\nText:\n", 1)[1].strip() for message in batch["user_message"]]
+            if any(t.startswith("Fees") and int(t.rsplit(" ", 1)[1]) % 11 == 0 for t in text):
                 raise ValueError("unreadable fees")
             about = [
                 json.dumps({"name": f"{t} {label}", "location": {"city": "C", "country": "Canada"}, "institution_type": "public"}) for t in text

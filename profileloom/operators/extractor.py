@@ -88,11 +88,15 @@ def guarded_answers(
             shown = batch.drop(columns=[carry]) if carry else batch
             of = dict(zip(zip(batch["ek"], batch["category"], strict=True), batch[carry], strict=True)) if carry else {}
             for start in range(0, len(batch), batch_rows):
-                for answers in _ask(extractor, shown.iloc[start : start + batch_rows].reset_index(drop=True)):
-                    if carry:
-                        pairs = zip(answers["ek"], answers["category"], strict=True)
-                        answers = answers.assign(**{carry: [of.get(pair) for pair in pairs]})
-                    yield answers[columns]
+                # One frame a batch: halving leaves many short ones.
+                parts = list(_ask(extractor, shown.iloc[start : start + batch_rows].reset_index(drop=True)))
+                if not parts:
+                    continue
+                answers = pd.concat(parts, ignore_index=True)
+                if carry:
+                    pairs = zip(answers["ek"], answers["category"], strict=True)
+                    answers = answers.assign(**{carry: [of.get(pair) for pair in pairs]})
+                yield answers[columns]
 
     dealt = requests.repartition(tasks) if tasks else requests
     return dealt.mapInPandas(work, schema)

@@ -131,7 +131,8 @@ def run(
     its flag, and touches no other entity. ``errors(university_name, error)`` names entities
     whose work failed elsewhere; they get the fallback record, too. With ``answer_store``, a
     folder, answers are kept there, and no run asks for them again; ``extractor_tasks``
-    spreads the extractor's calls. ``store`` is ``previous`` with the
+    spreads the extractor's calls, over as many tasks as a shuffle has unless it is given.
+    ``store`` is ``previous`` with the
     batch's records put in; a record keeps its place ``ord``, new ones follow by name.
     """
     spark = profiles.sparkSession
@@ -165,10 +166,12 @@ def run(
         "source_urls", sources_or_base(F.col("source_urls"), F.col("base_url"))
     )
     requests = extraction_requests(based, context_chars)
+    # Requests are short but slow to answer: by their bytes alone few tasks would get them all.
+    tasks = extractor_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if answer_store is not None and extractor is not None:
-        answers = stored_answers(requests, extractor, answer_store, extractor_tasks)
+        answers = stored_answers(requests, extractor, answer_store, tasks)
     else:
-        answers = keep(guarded_answers(requests, extractor, extractor_tasks))
+        answers = keep(guarded_answers(requests, extractor, tasks))
 
     data = compile_data(keyed.select("ek", "name", "country", "base_url"), answers)
     if errors is not None:

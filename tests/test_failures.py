@@ -2,13 +2,16 @@
 
 import json
 
+import pandas as pd
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from tests.test_runs import by_name, profiles, run_ts, snapshot
 
 from profileloom.fixed_values import CATEGORIES
 from profileloom.operators.extractor import BATCH_ROWS, guarded_answers, stored_answers
 from profileloom.plans.pipeline import run
+from profileloom.runtime import materialise
 
 REQUEST = "ek string, category string, system_message string, user_message string, temperature double, response_format string"
 
@@ -108,3 +111,25 @@ def test_a_failing_extractor_costs_its_entity_alone(spark, tmp_path):
         assert found["Test U"].validation_flags[0].issue == "entity failed: RuntimeError: model is away"
         assert found["Test U"].field_confidence == {c: 0.0 for c in CATEGORIES} and len(found["Test U"].validation_flags) == 1
         assert found["Other U"].data.about.location.city == "Toronto"
+
+
+def test_a_runs_requests_are_spread_over_tasks(spark):
+    def answer(batches):
+        for batch in batches:
+            about = {"name": f"task {TaskContext.get().partitionId()}", "location": {"city": "C", "country": "Canada"}, "institution_type": "public"}
+            yield batch[["ek", "category"]].assign(content=json.dumps(about))
+
+    many = spark.range(64).selectExpr("cast(id as string) as name", "'Canada' as country", "concat('https://u', id, '.edu') as base_url")
+    seeds = many.withColumn("seed_urls", F.create_map(F.lit("about"), F.array(F.concat("base_url", F.lit("/a")))))
+    pages = many.select(F.concat("base_url", F.lit("/a")).alias("url"), F.lit(200).alias("status_code"), F.lit("<p>Text</p>").alias("html"), F.lit(None).cast("string").alias("error"))
+    names = lambda **more: {r.data.about.name for r in run(seeds, pages, answer, 2026, run_ts(), materialise=materialise, **more).records.collect()}
+    assert len(names()) > 4 and len(names(extractor_tasks=1)) == 1
+
+
+def test_halved_batches_leave_one_frame(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(type(requests(spark, 1)), "mapInPandas", lambda frame, work, schema: seen.append(work) or frame)
+    guarded_answers(requests(spark, 1), raising([f"message {i}" for i in range(0, 60, 7)]))
+    frame = pd.DataFrame([(f"e{i}", "about", "s", f"message {i}", 0.0, "j") for i in range(60)], columns=[part.split()[0] for part in REQUEST.split(", ")])
+    (found,) = seen[0](iter([frame]))
+    assert len(found) == 60 and found["error"].notna().sum() == 9 and found["content"].isna().sum() == 9
