@@ -30,6 +30,7 @@ from profileloom.schemas import (
 _NUMBER_TEXT = r"(?i)^[+-]?((\d+(_\d+)*\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
 _INTEGER_TEXT = r"^[+-]?\d+(_\d+)*(\.0*)?$"
 _NUMBER_KINDS = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+_JSON_START = r'^[-0-9\[{"tfn]'
 
 
 def _strip(text: str) -> str:
@@ -43,8 +44,9 @@ def parse_response_sql(content: str) -> str:
     """
     opened = r"regexp_replace(t, r'^```[^\r\n]*(\r\n|\r|\n|$)', '')"
     inner = rf"regexp_replace({opened}, r'(^|\r\n|\r|\n)```[^\r\n]*$', '')"
-    fenced = f"if(startswith(t, '```'), try_parse_json({_strip(inner)}), null)"
-    return bind(_strip(content), "t", f"coalesce(try_parse_json(t), {fenced})")
+    # Only what may begin a JSON text is parsed: a refusal costs an exception.
+    plain = rf"if(t rlike r'{_JSON_START}', try_parse_json(t), null)"
+    return bind(_strip(content), "t", f"if(startswith(t, '```'), try_parse_json({_strip(inner)}), {plain})")
 
 
 def parse_response(content: str) -> Column:
@@ -104,7 +106,10 @@ def read_sql(value: str, field: Field, depth: int = 0) -> str:
     source = f"named_struct('v', {value}, 'kind', schema_of_variant({value}))"
     listed = ", ".join(f"'{choice}'" for choice in field.allowed or [])
     ok = f"r in ({listed})" if field.allowed else "r is not null"
-    read = bind(_SCALAR_SQL[declared.simpleString()], "r", _result(ok, "r"))
+    if declared == STRING and not field.allowed:
+        read = _result("b.kind = 'STRING'", _SCALAR_SQL["string"])
+    else:
+        read = bind(_SCALAR_SQL[declared.simpleString()], "r", _result(ok, "r"))
     if not field.required:
         read = f"if(b.kind is null or b.kind = 'VOID', {_nothing(field)}, {read})"
     return bind(source, "b", read)
@@ -283,9 +288,10 @@ def _sound_sql(value: str, field: Field, depth: int = 0) -> str:
 def stored_record_sql(line: str) -> str:
     """SQL of one stored record in declared types, null where the line isn't one.
 
-    ``typed_record_sql``, behind a shortcut: a record whose every value has just the declared
-    JSON kind, as the kinds of the whole document tell, is read by ``from_json`` in one go. All
-    others, broken ones included, are read value by value.
+    ``typed_record_sql``, behind shortcuts: a record whose every value has just the declared
+    JSON kind, as the kinds of the whole document tell, is read by ``from_json`` in one go, and
+    is none if it then lacks something required. What is no JSON or has a name that is no text
+    isn't read any further. All others are read value by value.
     """
     lists = [c for c in CATEGORIES if isinstance(CATEGORY_KINDS[c], ListOf)]
     types = {c: spark_type(CATEGORY_KINDS[c]).simpleString() for c in CATEGORIES}
@@ -314,10 +320,13 @@ def stored_record_sql(line: str) -> str:
         f"'validation_flags', {some('z.t.validation_flags', flags)})"
     )
     at = f"try_cast(concat(cast({parse_date_sql('y.t.scraped_at')} as string), 'Z') as timestamp)"
-    slow = bind(typed_record_sql("z.doc"), "r", "if(r.ok, r.value, null)")
-    read = bind(f"named_struct('doc', y.doc, 't', y.t, 'at', {at})", "z", f"if({' and '.join(tests)}, {typed}, {slow})")
+    slow = bind(typed_record_sql("y.doc"), "r", "if(r.ok, r.value, null)")
+    misnamed = "coalesce(schema_of_variant(try_variant_get(y.doc, '$.university_name', 'variant')) <> 'STRING', false)"
+    fast = bind(f"named_struct('t', y.t, 'at', {at})", "z", f"if({' and '.join(tests)}, {typed}, null)")
+    read = f"if(y.t is not null, {fast}, if({misnamed}, null, {slow}))"
     exact = f"if(schema_of_variant(doc) rlike r'^{kinds}$', from_json({line}, '{schema}'), null)"
-    return bind(f"try_parse_json({line})", "doc", bind(f"named_struct('doc', doc, 't', {exact})", "y", read))
+    whole = bind(f"named_struct('doc', doc, 't', {exact})", "y", read)
+    return bind(f"try_parse_json({line})", "doc", f"if(doc is null, null, {whole})")
 
 
 def typed_record_sql(parsed: str) -> str:

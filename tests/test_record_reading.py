@@ -63,3 +63,23 @@ def test_whole_records_take_the_shortcut(spark, monkeypatch):
     with pytest.raises(Exception, match="plain reading"):
         table.limit(1).selectExpr("concat('[', line, ']') as line").select(F.expr(responses.stored_record_sql("line"))).collect()
     assert all(r[0] is not None for r in table.select(F.expr(responses.stored_record_sql("line"))).collect())
+
+
+def test_broken_records_are_not_read_value_by_value(spark, monkeypatch):
+    monkeypatch.setattr(responses, "typed_record_sql", lambda doc: "named_struct('ok', true, 'value', raise_error('plain reading'))")
+    whole = json.loads(stored(spark).limit(1).select(F.to_json(F.struct("*"), OPTIONS)).first()[0])
+    odd_type = json.loads(json.dumps(whole))
+    odd_type["data"]["about"]["institution_type"] = "Secret"
+    broken = ["not json", json.dumps(odd_type), json.dumps(whole | {"university_name": None}), json.dumps(whole | {"university_name": 5})]
+    rows = spark.createDataFrame([(line,) for line in broken], "line string").select(F.expr(responses.stored_record_sql("line")).alias("r")).collect()
+    assert [r.r for r in rows] == [None] * 4
+
+
+def test_only_texts_that_may_be_json_are_parsed(spark, monkeypatch):
+    texts = ['"x"', "-1", "0.5", "true", "null", "false", "nan", "NaN", "+1", ".5", "﻿{}", "'x'", "no", "Infinity", "/*c*/1", "[", "[1]", '{"a":1}']
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    show = lambda sql: F.expr(f"cast({sql} as string)")
+    rows = table.select("t", show(responses.parse_response_sql("t")).alias("guarded"), show("try_parse_json(t)").alias("plain")).collect()
+    assert [r.t for r in rows if r.guarded != r.plain] == []
+    monkeypatch.setattr(responses, "_JSON_START", "^x")
+    assert table.select(show(responses.parse_response_sql("t")).alias("v")).filter("v is not null").count() == 0
