@@ -304,10 +304,14 @@ RECORD_ITEMS = {
     ),
 }
 
+#: Items a list of a nested record has at most: counts are remainders of five or less.
+_MOST_ITEMS = 4
+
 _SPARK_PARTS = {
     "ranking": "named_struct('rank', cust, 'source', 'S', 'year', cast(2024 as bigint))",
     "location": "named_struct('city', 'Town', 'country', country)",
-    "requirements": "array_repeat('proof', n_requirement)",
+    # A lambda keeps Spark from fusing the projection into one method, too large for the JIT to compile.
+    "requirements": "transform(array_repeat(0, n_requirement), x -> 'proof')",
     "no_texts": "cast(array() as array<string>)",
 }
 _DUCK_PARTS = {
@@ -329,10 +333,10 @@ def spark_data_columns() -> dict[str, str]:
         pairs = ", ".join(f"'{f}', {_fill(e, _SPARK_PARTS)}" for f, e in fields.items())
         columns[name] = f"named_struct({pairs})"
     for name, (count, fields) in RECORD_ITEMS.items():
+        # Spelled out, as Spark interprets lambdas.
         pairs = ", ".join(f"'{f}', {_fill(e, _SPARK_PARTS)}" for f, e in fields.items())
-        columns[name] = (
-            f"transform(filter(sequence(0, 4), i -> i < {count}), i -> named_struct({pairs}))"
-        )
+        items = [f"if({n} < {count}, named_struct({re.sub(r'\bi\b', str(n), pairs)}), null)" for n in range(_MOST_ITEMS)]
+        columns[name] = f"slice(array({', '.join(items)}), 1, greatest({count}, 0))"
     return columns
 
 

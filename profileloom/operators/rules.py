@@ -36,11 +36,14 @@ from profileloom.fixed_values import (
     UNKNOWN_TYPE,
 )
 from profileloom.functions.arrays import unroll
-from profileloom.functions.dates import bind, parse_date_sql
+from profileloom.functions.dates import parse_date_sql
 from profileloom.functions.numbers import clamp_unit
 from profileloom.schemas import FLAG_TYPE
 
 MISSING_RULE = "N11"
+#: Items of a list, and flags of a category, that compiled code looks at; a lambda has the others.
+UNROLLED = 4
+_NO_FLAGS = f"cast(array() as array<{FLAG_TYPE.simpleString()}>)"
 Names = Callable[[str], str]
 
 
@@ -192,13 +195,13 @@ def rules_of(field: str, rule_ids: Iterable[str] | None = None) -> list[Rule]:
 # ---------------------------------------------------------------- nested layout
 
 
-def _nested_names(item: str, derived: Iterable[str] = ()) -> Names:
-    """Fields of ``item.v`` with derived values beside it."""
+def _nested_names(item: str, derived: dict[str, str]) -> Names:
+    """Fields of ``item``, and the SQL of its derived values."""
 
     def path(name: str) -> str:
         if name == "n_requirements":
-            return f"size({item}.v.key_requirements)"
-        return f"{item}.{name}" if name in derived else f"{item}.v.{name}"
+            return f"size({item}.key_requirements)"
+        return derived.get(name) or f"{item}.{name}"
 
     return path
 
@@ -219,31 +222,48 @@ def _flag_sql(field: str, rule_id: str, idx: str, issue: str, severity: str) ->
     )
 
 
+def _derived_sql(field: str, value: str) -> dict[str, str]:
+    """SQL of arrays with the derived values of a category's items, by column name."""
+    return {
+        f"_{field}_{name}": f"transform({value}, x -> {parse_date_sql(f'x.{source}')})"
+        for name, source in DERIVED.get(field, {}).items()
+    }
+
+
 def category_flags_sql(field: str, value: str, expected: str, year: int) -> str:
-    """SQL of the flags of one non-empty nested category, in item then rule order."""
-    derived = DERIVED.get(field, {})
-
-    def check(item: str, idx: str) -> str:
-        names = _nested_names("b", derived)
-        flags = ", ".join(
-            f"case when {_fill(r.test, names, expected, year)} then "
-            f"{_flag_sql(field, r.rule_id, idx, _fill(r.issue, names, expected, year), r.severity)} end"
+    """SQL of the flags of one non-empty nested category, in item then rule order.
+
+    Spark compiles what stands outside lambdas only, so the rules are spelled out for a value and
+    for the first ``UNROLLED`` items of a list; a lambda looks at the others. Columns named as by
+    ``_derived_sql`` hold the derived values.
+    """
+
+    def check(item: str, at: str, idx: str) -> str:
+        names = _nested_names(item, {k: f"get(_{field}_{k}, {at})" for k in DERIVED.get(field, {})})
+        found = ", ".join(
+            f"if({_fill(r.test, names, expected, year)}, "
+            f"array({_flag_sql(field, r.rule_id, idx, _fill(r.issue, names, expected, year), r.severity)}), {_NO_FLAGS})"
             for r in rules_of(field)
         )
-        extra = "".join(f", '{k}', {parse_date_sql(f'{item}.{source}')}" for k, source in derived.items())
-        return bind(f"named_struct('v', {item}{extra})", "b", f"array_compact(array({flags}))")
+        return f"concat({found})"
 
-    if field in LIST_CATEGORIES:
-        return f"flatten(transform({value}, (x, i) -> {check('x', 'i')}))"
-    return check(value, "null")
+    if field not in LIST_CATEGORIES:
+        return check(value, "null", "null")
+    first = [f"if(size({value}) > {n}, {check(f'get({value}, {n})', str(n), str(n))}, {_NO_FLAGS})" for n in range(UNROLLED)]
+    at = f"(i + {UNROLLED})"
+    others = f"flatten(transform(slice({value}, {UNROLLED + 1}, size({value})), (x, i) -> {check('x', at, at)}))"
+    return f"concat({', '.join(first)}, if(size({value}) > {UNROLLED}, {others}, {_NO_FLAGS}))"
 
 
 def _score_sql(flags: str, empty: str) -> str:
     """SQL of a confidence: base minus penalties taken in flag order, within [0, 1]."""
     weights = " ".join(f"when '{s}' then {SEVERITY_PENALTY[s]!r}D" for s in SEVERITIES)
-    penalty = f"aggregate({flags}, 0D, (total, flag) -> total + case flag.severity {weights} else 0D end)"
-    base = f"if({empty}, {EMPTY_CONFIDENCE!r}D, {BASE_CONFIDENCE!r}D)"
-    return f"greatest(0D, least(1D, {base} - {penalty}))"
+    first = " + ".join(f"case get({flags}, {n}).severity {weights} else 0D end" for n in range(UNROLLED))
+    others = f"slice({flags}, {UNROLLED + 1}, size({flags}))"
+    longer = f"aggregate({others}, {first}, (total, flag) -> total + case flag.severity {weights} else 0D end)"
+    penalty = f"case when size({flags}) = 0 then 0D when size({flags}) <= {UNROLLED} then {first} else {longer} end"
+    missing = f"greatest(0D, least(1D, {EMPTY_CONFIDENCE!r}D - {SEVERITY_PENALTY['medium']!r}D))"
+    return f"if({empty}, {missing}, greatest(0D, least(1D, {BASE_CONFIDENCE!r}D - {penalty})))"
 
 
 def validate_records(
@@ -258,25 +278,23 @@ def validate_records(
     missing = {
         f: _flag_sql(f, MISSING_RULE, "null", f"'{MISSING_ISSUE}'", "medium") for f in CATEGORIES
     }
-    no_flags = f"cast(array() as array<{FLAG_TYPE.simpleString()}>)"
-    checked = records.withColumn("_currency", expected_currency(F.col(country))).selectExpr(
-        "*",
+    derived = [f"{v} as {k}" for f in CATEGORIES for k, v in _derived_sql(f, f"{data}.{f}").items()]
+    known = records.withColumn("_currency", expected_currency(F.col(country))).selectExpr("*", *derived)
+    checked = known.selectExpr(
+        *[f"`{name}`" for name in records.columns],
         *[
-            f"""if({_empty_sql(f, f'{data}.{f}')}, named_struct('empty', true, 'flags', {no_flags}),
+            f"""if({_empty_sql(f, f'{data}.{f}')}, named_struct('empty', true, 'flags', {_NO_FLAGS}),
                 named_struct('empty', false, 'flags',
                     {category_flags_sql(f, f'{data}.{f}', '_currency', as_of_year)})) as _{f}"""
             for f in CATEGORIES
         ],
     )
-    absent = ", ".join(f"case when _{f}.empty then {missing[f]} end" for f in CATEGORIES)
+    absent = ", ".join(f"if(_{f}.empty, array({missing[f]}), {_NO_FLAGS})" for f in CATEGORIES)
     own = ", ".join(f"_{f}.flags" for f in CATEGORIES)
-    scores = ", ".join(
-        f"'{f}', " + _score_sql(f"if(_{f}.empty, array({missing[f]}), _{f}.flags)", f"_{f}.empty")
-        for f in CATEGORIES
-    )
+    scores = ", ".join(f"'{f}', {_score_sql(f'_{f}.flags', f'_{f}.empty')}" for f in CATEGORIES)
     return checked.selectExpr(
         *records.columns,
-        f"concat(array_compact(array({absent})), {own}) as validation_flags",
+        f"concat({absent}, {own}) as validation_flags",
         f"map({scores}) as field_confidence",
     )
 

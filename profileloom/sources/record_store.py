@@ -29,6 +29,9 @@ MERGE_SHARE, MAX_PARTS = 0.2, 8
 BROADCAST_NAMES = 2_000_000
 #: Names a file's bloom filter is made for; without it each filter takes 1 MB.
 _BLOOM_NAMES = 5_000
+#: Files a batch is written as at most, unless a cluster has more cores than that: each costs about
+#: 30 ms besides its rows, so many small tasks are joined first.
+MOST_FILES = 4_096
 _MANIFEST = "bucket int, version bigint, buckets int, last_ord bigint, rows bigint"
 _STORED = f"ord bigint, {', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in RECORD_TYPE.fields)}, name_key string"
 
@@ -74,7 +77,14 @@ def _write_parts(rows: DataFrame, path: str) -> None:
     """Rows with their ``bucket``, each task's sorted by bucket and name."""
     writer = rows.sortWithinPartitions("bucket", "name_key").write.mode("overwrite").partitionBy("bucket")
     bloom = {"parquet.bloom.filter.enabled#name_key": "true", "parquet.bloom.filter.expected.ndv#name_key": _BLOOM_NAMES}
-    writer.options(compression="zstd", **bloom).parquet(path)
+    # Tasks move their own files, not the driver all of them: nobody reads any before the manifest is there.
+    commit = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+    writer.options(compression="zstd", **bloom, **commit).parquet(path)
+
+
+def _few_tasks(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows in tasks that write ``MOST_FILES`` at most, if each has rows of all ``buckets``."""
+    return rows.coalesce(max(MOST_FILES // buckets, rows.sparkSession.sparkContext.defaultParallelism))
 
 
 def put_records(records: DataFrame, root: str, buckets: int = BUCKETS, version: int | None = None) -> int:
@@ -103,7 +113,7 @@ def put_records(records: DataFrame, root: str, buckets: int = BUCKETS, version:
     layout = layout.withColumn("bucket", _bucket(F.col("university_name"), buckets))
     whole = not manifest and "ord" in records.columns
     if whole:  # written as parts at once: nothing is stored yet and places are there
-        _write_parts(layout, staged)
+        _write_parts(_few_tasks(layout, buckets), staged)
     else:
         layout.write.mode("overwrite").option("compression", "zstd").parquet(staged)
     if not _has_rows(spark, staged):
@@ -133,7 +143,7 @@ def put_records(records: DataFrame, root: str, buckets: int = BUCKETS, version:
         if merged:
             stay = _read(spark, root, manifest, merged).join(batch.select("university_name"), "university_name", "left_anti")
             fresh = stay.withColumn("bucket", _bucket(F.col("university_name"), buckets)).unionByName(fresh)
-        _write_parts(fresh, data)
+        _write_parts(_few_tasks(fresh, buckets), data)
         delete_path(spark, staged)
         highest = spark.read.schema("ord bigint").parquet(data).agg(F.max("ord")).first()[0]
     last = max(last, -1 if highest is None else highest)

@@ -143,3 +143,25 @@ def test_long_layout_agrees_with_nested(spark):
 def test_empty_about(spark, about, empty):
     flags, _ = validate(spark, {**CLEAN, "about": {**CLEAN["about"], **about}})
     assert (("about", "N11", "medium") in flags) == empty
+
+
+@pytest.mark.parametrize("unrolled", [1, 4, 9])
+def test_items_and_flags_behind_the_compiled_ones_count_alike(spark, monkeypatch, unrolled):
+    monkeypatch.setattr(rules, "UNROLLED", unrolled)
+    data = changed()
+    fee, deadline = data["tuition_fees"][0], data["intake_deadlines"][0]
+    data["tuition_fees"] = [{**fee, "domestic_fee": -1.0} if i % 2 else fee for i in range(7)]
+    data["intake_deadlines"] = [{**deadline, "application_close_date": f"{i + 8}/13/20245"} for i in range(3)] + [deadline] * 3 + [
+        {**deadline, "application_close_date": "1 May 2020"}
+    ]
+    data["course_listings"] = [{**data["course_listings"][0], "code": ""}] * 6
+    rows = spark.createDataFrame([(json.dumps(data), "Canada")], "text string, country string")
+    row = rules.validate_records(rows.select("country", F.from_json("text", DATA_TYPE).alias("data")), 2026).collect()[0]
+    assert [(f.rule_id, f.idx) for f in row.validation_flags] == (
+        [("R4", 1), ("R4", 3), ("R4", 5), ("R23", 0), ("R23", 1), ("R23", 2), ("R24", 6)] + [("R25", i) for i in range(6)]
+    )
+    low = 0.0
+    for _ in range(6):
+        low += 0.1
+    assert row.field_confidence["course_listings"] == 1.0 - low
+    assert (row.field_confidence["tuition_fees"], row.field_confidence["intake_deadlines"]) == (0.0, 0.0)

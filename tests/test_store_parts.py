@@ -52,3 +52,12 @@ def test_a_first_load_is_written_once(spark, tmp_path, monkeypatch):
     record_store.put_records(numbered(spark, ["U1", "U2"], "one"), root)
     assert [path.split("/")[-2] for path in paths] == ["staged"] and files(root)
     assert record_store.lookup_field(spark, root, "u2", "about").count() == 1
+
+
+def test_small_tasks_write_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(record_store, "MOST_FILES", 2)
+    root, names = str(tmp_path / "store"), [f"U{i:03d}" for i in range(200)]
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    record_store.put_records(numbered(spark, names, "one").repartition(tasks), root, buckets=1)
+    assert len(files(root)) <= tasks / 4
+    assert found(spark, root) == {n: (i, "one") for i, n in enumerate(names)}
