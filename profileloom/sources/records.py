@@ -83,12 +83,29 @@ def _read_columnar(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_stored_columns()).parquet(path)
 
 
+#: Up to so many repeated names are broadcast to the readers of stored records.
+BROADCAST_NAMES = 2_000_000
+
+
+def _last_of_names(stored: DataFrame) -> DataFrame:
+    """The last row of each name by ``ord``. Names are counted at once, as reading that column
+    alone is cheap; then only rows of repeated names are shuffled."""
+    repeated = stored.groupBy("university_name").count().filter("count > 1").select("university_name")
+    n = repeated.count()
+    if n == 0:
+        return stored
+    if n > BROADCAST_NAMES:
+        return last_per_key(stored, ["university_name"], ["ord"])
+    few = F.broadcast(repeated)
+    last = last_per_key(stored.join(few, "university_name", "left_semi"), ["university_name"], ["ord"])
+    return stored.join(few, "university_name", "left_anti").unionByName(last).select(*stored.columns)
+
+
 def read_records(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFrame:
     """Stored records that fit the schema, one per name, with their position ``ord``."""
     _known_format(fmt, (*_TEXT_FORMATS, "parquet"))
     if fmt == "parquet":
-        named = _read_columnar(spark, path).filter("university_name is not null")
-        return last_per_key(named, ["university_name"], ["ord"])
+        return _last_of_names(_read_columnar(spark, path).filter("university_name is not null"))
     return parse_records(record_lines(spark, path, fmt))
 
 

@@ -4,9 +4,11 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from tests.test_runs import stored
 
 from profileloom.checks.catalogue import QUERIES
+from profileloom.schemas import RECORD_TYPE
 from profileloom.sources import records as record_io
 
 
@@ -48,3 +50,19 @@ def test_the_query_writes_little(spark, tmp_path, monkeypatch):
     assert QUERIES["records_roundtrip"](spark, "/root/testdata/sf0.001").count() == 1500
     packed = list((tmp_path / "records").glob("part-*"))
     assert sum(len(gzip.decompress(f.read_bytes())) for f in packed) > 8 * sum(f.stat().st_size for f in packed)
+
+
+def test_columnar_records_are_shuffled_only_where_names_repeat(spark, tmp_path):
+    def kept(label, rows):
+        frame = spark.createDataFrame(rows, "ord bigint, university_name string")
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in RECORD_TYPE.fields if f.name != "university_name"]
+        path = str(tmp_path / label)
+        record_io.write_records(frame.select("*", *empty), path, "parquet")
+        return record_io.read_records(spark, path, "parquet")
+
+    once = kept("once", [(i, f"U{i}") for i in range(20)] + [(99, None)])
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    assert sorted(r.ord for r in once.collect()) == list(range(20))
+    rows = [(1, "A"), (7, "A"), (3, "B"), (4, "C"), (5, "C"), (9, None)]
+    assert sorted((r.ord, r.university_name) for r in kept("twice", rows).collect()) == [(3, "B"), (5, "C"), (7, "A")]
