@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from profileloom.fixed_values import MAX_PAGES_PER_CATEGORY, MAX_URLS_PER_CATEGORY
 from profileloom.functions.arrays import unroll
+from profileloom.functions.joins import shuffled
 from profileloom.functions.urls import domain_and_parents, strip_fragment
 from profileloom.operators.links import PAGINATION
 from profileloom.operators.robots import url_allowed
@@ -73,8 +74,8 @@ def page_outlinks(
     # row per parent domain such as "com".
     targets = distinct.select("target_domain").distinct()
     parents = unroll(targets, domain_and_parents("target_domain"), "base_domain", "target_domain")
-    matched = parents.join(domains.select("base_domain").distinct(), "base_domain", "left_semi")
-    first_seen = distinct.join(matched, "target_domain")
+    matched = parents.join(shuffled(domains.select("base_domain").distinct()), "base_domain", "left_semi")
+    first_seen = distinct.join(shuffled(matched), "target_domain")
     order = Window.partitionBy("page_url", "base_domain", "kind").orderBy("pos", "target_url")
     leading = first_seen.withColumn("_n", F.row_number().over(order)).filter(
         F.col("_n") <= 2 * max_urls
@@ -96,7 +97,7 @@ def _seed_queue(seeds: DataFrame, entities: DataFrame) -> DataFrame:
     )
     first = queue.groupBy("ek", "category", "url").agg(F.min(F.struct(*PLACE)).alias("place"))
     domains = entities.select("ek", "base_domain")
-    return first.select("ek", "category", "url", "place.*").join(domains, "ek", "left")
+    return first.select("ek", "category", "url", "place.*").join(shuffled(domains), "ek", "left")
 
 
 def _next_level(
@@ -104,11 +105,11 @@ def _next_level(
 ) -> DataFrame:
     """Every kept row together with the candidates its page adds at ``level``."""
     sources = outlinks.withColumnRenamed("page_url", "url")
-    joined = kept.join(sources, ["url", "base_domain"], "left")
+    joined = kept.join(shuffled(sources), ["url", "base_domain"], "left")
     itself = F.struct("url", *PLACE)
     expands = (F.col("level") == level - 1) & (F.col("rank") < max_urls)
     if rules is not None:
-        joined = joined.join(rules, "ek", "left")
+        joined = joined.join(shuffled(rules), "ek", "left")
         expands = expands & url_allowed(F.col("_rules"), F.col("url"))
     may_follow = F.filter(
         "outlinks",
@@ -170,7 +171,7 @@ def plan_with_render(plan: DataFrame, page_info: DataFrame) -> DataFrame:
     planned by very many entities; adaptive execution splits such a key.
     """
     flags = page_info.select("url", "needs_render")
-    joined = plan.join(flags, "url", "left")
+    joined = plan.join(shuffled(flags), "url", "left")
     return joined.withColumn("needs_render", F.coalesce("needs_render", F.lit(False)))
 
 
@@ -185,7 +186,7 @@ def fetch_plan(plan: DataFrame, pages: DataFrame) -> DataFrame:
     A target the snapshot lacks comes back as a failed fetch.
     """
     snapshot = pages.withColumn("_known", F.lit(True))
-    joined = plan.join(snapshot, "url", "left")
+    joined = plan.join(shuffled(snapshot), "url", "left")
     missing = F.col("_known").isNull()
     return (
         joined.withColumn(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profileloom.fixed_values import CATEGORIES, FAILURE_FIELD
+from profileloom.functions.joins import shuffled
 from profileloom.operators.responses import answer_sql, default_data, default_value
 from profileloom.operators.rules import validate_records
 from profileloom.schemas import FLAG_TYPE
@@ -32,7 +33,7 @@ def compile_data(profiles: DataFrame, responses: DataFrame, unwrap: bool = False
         *[F.max(F.when(F.col("category") == c, F.col("content"))).alias(f"_answer_{c}") for c in CATEGORIES],
         *failed,
     )
-    joined = profiles.join(answers, "ek", "left")
+    joined = profiles.join(shuffled(answers), "ek", "left")
     read = joined.select(
         *profiles.columns,
         *([FAILED] if failed else []),

@@ -13,6 +13,7 @@ from profileloom.fixed_values import (
     MAX_PAGES_PER_CATEGORY,
     MAX_URLS_PER_CATEGORY,
 )
+from profileloom.functions.joins import copied_if_few, shuffled
 from profileloom.operators.assembly import (
     assemble_texts,
     extraction_requests,
@@ -61,12 +62,12 @@ def block_by_robots(pages: DataFrame, robots: DataFrame, agent: str) -> DataFram
 def entity_rules(profiles: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
     """``(ek, _rules)``: the rules of each entity's own site, which bind all its fetches."""
     sites = robots.select(F.col("site").alias("base_domain"), parse_rules(F.col("robots_text"), agent).alias("_rules"))
-    return profiles.select("ek", "base_domain").join(sites, "base_domain").select("ek", "_rules")
+    return profiles.select("ek", "base_domain").join(shuffled(sites), "base_domain").select("ek", "_rules")
 
 
 def _forbid(fetched: DataFrame, rules: DataFrame) -> DataFrame:
     """Planned pages an entity may not read come back as failed fetches."""
-    judged = fetched.join(rules, "ek", "left").withColumn("_no", ~url_allowed(F.col("_rules"), F.col("url")))
+    judged = fetched.join(shuffled(rules), "ek", "left").withColumn("_no", ~url_allowed(F.col("_rules"), F.col("url")))
     return (
         judged.withColumn("error", F.when(F.col("_no"), BLOCKED_BY_ROBOTS).otherwise(F.col("error")))
         .withColumn("status_code", F.when(F.col("_no"), 0).otherwise(F.col("status_code")))
@@ -96,7 +97,7 @@ def plan_targets(
     if rules is None:
         return shown
     may = url_allowed(F.col("_rules"), F.col("url"))
-    return shown.join(rules, "ek", "left").withColumn("needs_render", F.col("needs_render") & may).drop("_rules")
+    return shown.join(shuffled(rules), "ek", "left").withColumn("needs_render", F.col("needs_render") & may).drop("_rules")
 
 
 def run(
@@ -144,6 +145,7 @@ def run(
     # Each planned page is cleaned and hashed once, however many plans name it. An
     # inner join, as a semi join would be pushed below the cleaning and shuffle html.
     planned = plan.select("url").distinct()
+    planned = copied_if_few(planned, plan.count() if materialise else None)
     visited = with_clean_text(pages).join(planned, "url")
     # What is read of a page is cut before popular pages are copied to their plans.
     read = F.left("clean_text", F.lit(context_chars + 1)).alias("clean_text")
@@ -161,8 +163,8 @@ def run(
     if previous is not None and state is not None:
         stored = previous.withColumn("ek", F.col("university_name"))
         reuse = category_reuse(fetched, stored).filter("can_reuse").select("ek", "category")
-        texts = texts.join(reuse, ["ek", "category"], "left_anti")
-    based = texts.join(keyed.select("ek", "base_url"), "ek", "left").withColumn(
+        texts = texts.join(shuffled(reuse), ["ek", "category"], "left_anti")
+    based = texts.join(shuffled(keyed.select("ek", "base_url")), "ek", "left").withColumn(
         "source_urls", sources_or_base(F.col("source_urls"), F.col("base_url"))
     )
     requests = extraction_requests(based, context_chars)
@@ -176,12 +178,12 @@ def run(
     data = compile_data(keyed.select("ek", "name", "country", "base_url"), answers)
     if errors is not None:
         given = errors.groupBy(F.col("university_name").alias("ek")).agg(F.max("error").alias("_given"))
-        data = data.join(given, "ek", "left").withColumn(FAILED, F.coalesce("_given", FAILED)).drop("_given")
+        data = data.join(shuffled(given), "ek", "left").withColumn(FAILED, F.coalesce("_given", FAILED)).drop("_given")
     if stored is not None:
         reusable = reuse.groupBy("ek").agg(F.collect_set("category").alias("_keep"))
         none = F.array().cast("array<string>")
         data = merge_reused(
-            data.join(reusable, "ek", "left"), stored, F.coalesce("_keep", none)
+            data.join(shuffled(reusable), "ek", "left"), stored, F.coalesce("_keep", none)
         ).drop("_keep")
     records = finish_records(data, as_of_year, run_ts)
     # The batch's records are worked out once for the store: places come from the names.
@@ -189,8 +191,8 @@ def run(
     before = spark.createDataFrame([], "ord bigint").withColumns({n: F.lit(None).cast(k) for n, k in kinds.items()})
     if previous is not None:
         own = previous.select("university_name").distinct()
-        before = previous if "ord" in previous.columns else previous.join(stored_order(own, before), "university_name")
+        before = previous if "ord" in previous.columns else previous.join(shuffled(stored_order(own, before)), "university_name")
     names = keyed.select(F.col("name").alias("university_name"))
-    fresh = records.join(stored_order(names, before), "university_name").select("ord", *kinds)
-    store = before.select("ord", *kinds).join(names, "university_name", "left_anti").unionByName(fresh)
+    fresh = records.join(shuffled(stored_order(names, before)), "university_name").select("ord", *kinds)
+    store = before.select("ord", *kinds).join(shuffled(names), "university_name", "left_anti").unionByName(fresh)
     return RunResult(plan, records, next_state(visited, known, run_ts), store, state_changes(visited, seen, run_ts))

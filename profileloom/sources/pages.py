@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from profileloom.functions.joins import copied_if_few
 from profileloom.operators.incremental import last_per_key
 from profileloom.schemas import HASH_STATE_TYPE, PAGE_TYPE
 from profileloom.sources.storage import read_all, read_version, versions, write_version
@@ -37,7 +38,8 @@ def read_hash_state(spark: SparkSession, root: str, before: int | None = None) -
         return rows
     changes = read_all(spark, _changes(root), HASH_STATE_TYPE, numbered=True, only=later)
     newest = last_per_key(changes, ["url"], ["version"]).select(*names)
-    return rows.join(newest.select("url"), "url", "left_anti").select(*names).unionByName(newest)
+    replaced = copied_if_few(newest.select("url"), changes.count())  # from the files' footers
+    return rows.join(replaced, "url", "left_anti").select(*names).unionByName(newest)
 
 
 def write_hash_state(state: DataFrame, root: str, version: int | None = None) -> int:

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from profileloom.functions.joins import copied_if_few, shuffled
 from profileloom.operators.incremental import last_per_key
 from profileloom.operators.records import find_entity, find_field
 from profileloom.schemas import RECORD_TYPE
@@ -26,7 +27,7 @@ BUCKETS = 64
 #: when it would have more parts than ``MAX_PARTS``.
 MERGE_SHARE, MAX_PARTS = 0.2, 8
 #: Up to so many names of later parts are broadcast to the readers of older ones.
-BROADCAST_NAMES = 2_000_000
+BROADCAST_NAMES = 250_000
 #: Names a file's bloom filter is made for; without it each filter takes 1 MB.
 _BLOOM_NAMES = 5_000
 #: Files a batch is written as at most, unless a cluster has more cores than that: each costs about
@@ -67,7 +68,7 @@ def _read(spark: SparkSession, root: str, manifest: Manifest, only: set[int] | N
         return spark.createDataFrame([], _STORED)
     rows, names, n = [layers[-1][0]], layers[-1][0].select("university_name"), layers[-1][1]
     for layer, size in reversed(layers[:-1]):
-        later = F.broadcast(names) if n <= BROADCAST_NAMES else names
+        later = copied_if_few(names, n, BROADCAST_NAMES)
         rows.append(layer.join(later, "university_name", "left_anti").select(*layer.columns))
         names, n = names.unionByName(layer.select("university_name")), n + size
     return reduce(DataFrame.unionByName, reversed(rows))
@@ -136,12 +137,13 @@ def put_records(records: DataFrame, root: str, buckets: int = BUCKETS, version:
     else:
         batch = last_per_key(batch, ["university_name"], ["ord"])
         places = _read(spark, root, old_parts).select("university_name", F.col("ord").alias("_place"))
-        fresh = batch.join(places, "university_name", "left").withColumn("ord", F.coalesce("_place", "ord")).drop("_place")
+        fresh = batch.join(shuffled(places), "university_name", "left").withColumn("ord", F.coalesce("_place", "ord")).drop("_place")
         behind = fresh.filter("ord is null").select("university_name").orderBy("university_name")
         behind = behind.select("university_name", (F.monotonically_increasing_id() + F.lit(last + 1)).alias("_behind"))
-        fresh = fresh.join(behind, "university_name", "left").withColumn("ord", F.coalesce("ord", "_behind")).drop("_behind")
+        fresh = fresh.join(shuffled(behind), "university_name", "left").withColumn("ord", F.coalesce("ord", "_behind")).drop("_behind")
         if merged:
-            stay = _read(spark, root, manifest, merged).join(batch.select("university_name"), "university_name", "left_anti")
+            gone = copied_if_few(batch.select("university_name"), sum(touched.values()), BROADCAST_NAMES)
+            stay = _read(spark, root, manifest, merged).join(gone, "university_name", "left_anti")
             fresh = stay.withColumn("bucket", _bucket(F.col("university_name"), buckets)).unionByName(fresh)
         _write_parts(_few_tasks(fresh, buckets), data)
         delete_path(spark, staged)
