@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.test_runs import stored
 
 from profileloom.checks.catalogue import QUERIES
+from profileloom.fixed_values import CATEGORIES
 from profileloom.schemas import RECORD_TYPE
 from profileloom.sources import records as record_io
 
@@ -66,3 +67,14 @@ def test_columnar_records_are_shuffled_only_where_names_repeat(spark, tmp_path):
     assert sorted(r.ord for r in once.collect()) == list(range(20))
     rows = [(1, "A"), (7, "A"), (3, "B"), (4, "C"), (5, "C"), (9, None)]
     assert sorted((r.ord, r.university_name) for r in kept("twice", rows).collect()) == [(3, "B"), (5, "C"), (7, "A")]
+
+
+def test_flat_rows_are_compressed_and_short(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(record_io, "LINES_PER_FILE", 1)
+    path = tmp_path / "flat"
+    record_io.write_flat(stored(spark).coalesce(1), str(path))
+    parts = [gzip.decompress(f.read_bytes()).decode().splitlines() for f in sorted(path.glob("part-*"))]
+    assert [len(lines) for lines in parts] == [1 + len(CATEGORIES)] * 2
+    assert {lines[0] for lines in parts} == {",".join(record_io.FLAT_COLUMNS)}
+    read = record_io.read_flat(spark, str(path)).collect()
+    assert sorted({r.university_name for r in read}) == ["Other U", "Test U"] and len(read) == 2 * len(CATEGORIES)
