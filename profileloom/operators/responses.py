@@ -20,6 +20,7 @@ from profileloom.schemas import (
     CATEGORY_KINDS,
     CATEGORY_TYPES,
     DOUBLE,
+    FLAG_TYPE,
     STRING,
     Field,
     ListOf,
@@ -285,12 +286,39 @@ def _sound_sql(value: str, field: Field, depth: int = 0) -> str:
     return f"({value} is not null and {inner})" if field.required else f"({value} is null or {inner})"
 
 
-def stored_record_sql(line: str) -> str:
-    """SQL of one stored record in declared types, null where the line isn't one.
+#: Begins a line of a written record: the place, behind one other column at most.
+_HEAD = (
+    r'^[{](?:"(?!(?:ord|university_name|scraped_at|data|field_confidence|validation_flags)")[A-Za-z0-9_]++":'
+    r'(?:-?(?:0|[1-9][0-9]{0,17})|"[^"\\\\\x00-\x1f]*+"),)?+(?:"ord":-?(?:0|[1-9][0-9]{0,17}),)?+$'
+)
+
+
+def _as_written_sql(line: str, read: str) -> str:
+    """SQL of whether a line is just what the record ``read`` of it is written as, so that every
+    value has its declared kind and no key is there twice; all that may be missing is there."""
+    lists = [f"{read}.data.{c} is not null" for c in CATEGORIES]
+    scores = f"map_values({read}.field_confidence)"
+    parts = ", ".join(f"'{f}', {read}.{f}" for f in ("university_name", "scraped_at", "data", "field_confidence", "validation_flags"))
+    text = f"to_json(named_struct({parts}), map('ignoreNullFields', 'false'))"
+    head = f"""substring_index({line}, '"university_name":', 1)"""
+    # The text's own brace goes; no length is asked for, which would count a line's characters.
+    whole = bind(head, "h", f"h rlike r'{_HEAD}' and {line} = concat(h, trim(leading '{{' from {text}))")
+    tests = [
+        f"{read}.validation_flags is not null", *lists, f"size(array_compact({scores})) = size({scores})",
+        f"size(array_distinct(map_keys({read}.field_confidence))) = size({scores})",
+        whole,
+    ]
+    return f"coalesce({' and '.join(tests)}, false)"
+
+
+def stored_record_sql(line: str, with_place: bool = False) -> str:
+    """SQL of one stored record in declared types, null where the line isn't one; with its
+    place, the struct ``(ord, record)``, whose ``ord`` is null where the line has none.
 
-    ``typed_record_sql``, behind shortcuts: a record whose every value has just the declared
-    JSON kind, as the kinds of the whole document tell, is read by ``from_json`` in one go, and
-    is none if it then lacks something required. What is no JSON or has a name that is no text
+    ``typed_record_sql``, behind shortcuts: a line that is just as its record is written is read
+    by ``from_json`` alone. So is a record whose every value has just the declared
+    JSON kind, as the kinds of the whole document tell. It is none if it then lacks something
+    required. What is no JSON or has a name that is no text
     isn't read any further. All others are read value by value.
     """
     lists = [c for c in CATEGORIES if isinstance(CATEGORY_KINDS[c], ListOf)]
@@ -298,8 +326,8 @@ def stored_record_sql(line: str) -> str:
     flags = spark_type(FLAG_KIND).simpleString()
     # The date text is read like any other; all the rest has its type at once.
     schema = (
-        f"university_name string, scraped_at string, data struct<{','.join(f'{c}:{t}' for c, t in types.items())}>, "
-        f"field_confidence map<string,double>, validation_flags {flags}"
+        f"ord bigint, university_name string, scraped_at string, data struct<{','.join(f'{c}:{t}' for c, t in types.items())}>, "
+        f"field_confidence map<string,double>, validation_flags array<{FLAG_TYPE.simpleString()}>"
     )
     kinds = _object_kind({
         "university_name": "STRING", "scraped_at": "STRING",
@@ -308,25 +336,37 @@ def stored_record_sql(line: str) -> str:
         "validation_flags": _exact_kind(FLAG_KIND, _FLAG_EXTRAS),
     }, more=True)
     tests = [
-        "z.t.university_name is not null", "z.at is not null", "z.t.field_confidence is not null",
-        *[_sound_sql(f"z.t.data.{c}", Field(c, CATEGORY_KINDS[c], c not in lists)) for c in CATEGORIES],
-        _sound_sql("z.t.validation_flags", Field("flags", FLAG_KIND, False)),
+        "e.t.university_name is not null", "e.at is not null", "e.t.field_confidence is not null",
+        *[_sound_sql(f"e.t.data.{c}", Field(c, CATEGORY_KINDS[c], c not in lists)) for c in CATEGORIES],
+        _sound_sql("e.t.validation_flags", Field("flags", FLAG_KIND, False)),
     ]
     some = lambda value, kind: f"coalesce({value}, cast(array() as {kind}))"
-    data = ", ".join(f"'{c}', " + (some(f"z.t.data.{c}", types[c]) if c in lists else f"z.t.data.{c}") for c in CATEGORIES)
+    data = ", ".join(f"'{c}', " + (some(f"e.t.data.{c}", types[c]) if c in lists else f"e.t.data.{c}") for c in CATEGORIES)
+    fields = ", ".join(f"'{f.name}', flag.{f.name}" for f in FLAG_KIND.kind.fields)
+    own_flags = f"transform(e.t.validation_flags, flag -> if(flag is null, null, named_struct({fields})))"
     typed = (
-        "named_struct('university_name', z.t.university_name, 'scraped_at', z.at, "
-        f"'data', named_struct({data}), 'field_confidence', z.t.field_confidence, "
-        f"'validation_flags', {some('z.t.validation_flags', flags)})"
+        "named_struct('university_name', e.t.university_name, 'scraped_at', e.at, "
+        f"'data', named_struct({data}), 'field_confidence', e.t.field_confidence, "
+        f"'validation_flags', {some(own_flags, flags)})"
     )
-    at = f"try_cast(concat(cast({parse_date_sql('y.t.scraped_at')} as string), 'Z') as timestamp)"
-    slow = bind(typed_record_sql("y.doc"), "r", "if(r.ok, r.value, null)")
-    misnamed = "coalesce(schema_of_variant(try_variant_get(y.doc, '$.university_name', 'variant')) <> 'STRING', false)"
-    fast = bind(f"named_struct('t', y.t, 'at', {at})", "z", f"if({' and '.join(tests)}, {typed}, null)")
-    read = f"if(y.t is not null, {fast}, if({misnamed}, null, {slow}))"
+    place = "if(e.doc is null, e.t.ord, try_variant_get(e.doc, '$.ord', 'bigint'))"
+    own = (lambda record: f"named_struct('ord', {place}, 'record', {record})") if with_place else str
+    slow = bind(typed_record_sql("e.doc"), "r", f"if(r.ok, {own('r.value')}, null)")
+    misnamed = "coalesce(schema_of_variant(try_variant_get(e.doc, '$.university_name', 'variant')) <> 'STRING', false)"
+    read = f"if(e.t is not null, if({' and '.join(tests)}, {own(typed)}, null), if(e.doc is null or {misnamed}, null, {slow}))"
+
+    # What is bound is handed on; each result that leaves a ``bind`` is copied, so these are few.
+    def told(doc: str, record: str) -> str:
+        at = f"try_cast(concat(cast({parse_date_sql(record + '.scraped_at')} as string), 'Z') as timestamp)"
+        return f"named_struct('doc', {doc}, 't', {record}, 'at', {at})"
+
+    # Only a line with a field that others may lack can be as it is written.
+    optional = next(f.name for f in CATEGORY_KINDS["about"].fields if not f.required)
+    tried = f"""if(contains({line}, '"{optional}":'), from_json({line}, '{schema}'), null)"""
     exact = f"if(schema_of_variant(doc) rlike r'^{kinds}$', from_json({line}, '{schema}'), null)"
-    whole = bind(f"named_struct('doc', doc, 't', {exact})", "y", read)
-    return bind(f"try_parse_json({line})", "doc", f"if(doc is null, null, {whole})")
+    parsed = bind(f"try_parse_json({line})", "doc", bind(exact, "x", told("doc", "x")))
+    looked = f"if({_as_written_sql(line, 'k')}, {told('cast(null as variant)', 'k')}, {parsed})"
+    return bind(tried, "k", bind(looked, "e", read))
 
 
 def typed_record_sql(parsed: str) -> str:

@@ -27,6 +27,13 @@ def parse_records(lines: DataFrame) -> DataFrame:
     return last_per_key(valid, ["university_name"], ["ord"])
 
 
+def _parse_placed(lines: DataFrame) -> DataFrame:
+    """``parse_records`` of ``lines(place, line)``, whose ``ord`` comes from the same reading of a line."""
+    read = computed(lines, F.expr(stored_record_sql("line", with_place=True)), "read", "place")
+    valid = read.select(F.coalesce("read.ord", "place").alias("ord"), "read.record.*")
+    return last_per_key(valid, ["university_name"], ["ord"])
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
@@ -61,6 +68,12 @@ def record_lines(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFram
         return spark.createDataFrame([], "ord bigint, line string")
     if fmt == "json":
         return valid_elements(spark, path).select(_place(F.col("file"), F.col("pos")).alias("ord"), F.col("text").alias("line"))
+    position = F.try_variant_get(F.try_parse_json("line"), "$.ord", "bigint")
+    return _placed_lines(spark, path).select(F.coalesce(position, "place").alias("ord"), "line")
+
+
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files with their ``place``."""
     # The scan numbers a task's lines in order and a block lies in one task, so a line's number less
     # its block's first one grows along the block. Only a row per block is shuffled, never a text.
     scanned = spark.read.text(path).select(
@@ -71,8 +84,7 @@ def record_lines(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFram
     blocks = blocks.withColumn("file", F.dense_rank().over(Window.orderBy("path")) - 1)
     placed = scanned.join(F.broadcast(blocks), ["path", "block"])
     within = F.col("block") + F.col("row") - F.col("first") + 1
-    position = F.try_variant_get(F.try_parse_json("line"), "$.ord", "bigint")
-    return placed.select(F.coalesce(position, _place(F.col("file"), within)).alias("ord"), "line")
+    return placed.select(_place(F.col("file"), within).alias("place"), "line")
 
 
 def _stored_columns() -> T.StructType:
@@ -109,6 +121,8 @@ def read_records(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFram
     _known_format(fmt, (*_TEXT_FORMATS, "parquet"))
     if fmt == "parquet":
         return _last_of_names(_read_columnar(spark, path).filter("university_name is not null"))
+    if fmt == "jsonl" and _path_exists(spark, path):
+        return _parse_placed(_placed_lines(spark, path))
     return parse_records(record_lines(spark, path, fmt))
 
 
@@ -133,7 +147,7 @@ def write_records(records: DataFrame, path: str, fmt: str = "jsonl") -> None:
     if fmt == "parquet":
         writer.parquet(path)
     else:
-        writer.options(ignoreNullFields="false", compression="gzip", maxRecordsPerFile=LINES_PER_FILE).json(path)
+        writer.options(ignoreNullFields="false", maxRecordsPerFile=LINES_PER_FILE, **_GZIP).json(path)
 
 
 def write_flat(records: DataFrame, path: str) -> None:
