@@ -22,11 +22,16 @@ def nothing_is_few(monkeypatch):
     monkeypatch.setattr(record_store, "BROADCAST_NAMES", 0)
 
 
-def test_a_run_broadcasts_nothing_that_grows(spark, nothing_is_few):
-    robots = spark.createDataFrame(ROBOTS, "site string, robots_text string")
-    hashes = spark.createDataFrame([("https://t.edu/about", "a", None)], HASH_STATE_TYPE)
-    stored = stubs(spark, ["Test U", "Other U"], "one")
-    again = run(profiles(spark), snapshot(spark), extractor("Toronto"), 2026, run_ts(), hashes, stored, robots=robots)
+def test_a_run_broadcasts_nothing_that_grows(spark, tmp_path, nothing_is_few):
+    def filed(frame, name):  # only of files does Spark know how small they are
+        frame.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    robots = filed(spark.createDataFrame(ROBOTS, "site string, robots_text string"), "robots")
+    hashes = filed(spark.createDataFrame([("https://t.edu/about", "a", None)], HASH_STATE_TYPE), "hashes")
+    stored = filed(stubs(spark, ["Test U", "Other U"], "one"), "stored")
+    colleges, shown = filed(profiles(spark), "profiles"), filed(snapshot(spark), "pages")
+    again = run(colleges, shown, extractor("Toronto"), 2026, run_ts(), hashes, stored, robots=robots)
     assert "BroadcastExchange" not in physical(again.records)
 
 
